@@ -83,3 +83,12 @@ def maidenhead_point(c, precision: int = 8) -> Column:
     c = _c(c)
     return F.when(F.length(c) >= 4, F.struct(maidenhead_lat(c, precision).alias("lat"),
                                              maidenhead_lon(c, precision).alias("lon")))
+
+
+def midpoint_lat_expr(tx, rx) -> Column:
+    """Mid-latitude of two 4-char grid centres from the raw character codes
+    (no case folding, as the gold builds compute it)."""
+    tx, rx = _c(tx), _c(rx)
+    a = (_code(tx, 2) - 65) * 10 + (_code(tx, 4) - 48)
+    b = (_code(rx, 2) - 65) * 10 + (_code(rx, 4) - 48)
+    return (a + b) / 2.0 - 90 + 0.5

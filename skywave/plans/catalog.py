@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywave import constants as K
-from skywave.operators import callsigns, signatures, solar
+from skywave import functions
+from skywave.operators import callsigns, flags, reports, sampling, signatures, solar, tables, validation
 from skywave.plans.registry import register
 from skywave.sources import fixtures as fx
 
@@ -25,3 +26,322 @@ FIXTURE_WINDOW = ("1990-01-01", "2030-01-01")
 @register("signatures_v1")
 def signatures_v1(spark: SparkSession, sf: str) -> DataFrame:
     return signatures.wspr_signatures(fx.spots(spark, sf), fx.solar_raw(spark, sf))
+
+
+def _spots(spark, sf):
+    return fx.spots(spark, sf)
+
+
+def _cg(spark, sf):
+    return callsigns.callsign_grid(_spots(spark, sf))
+
+
+def _flags(spark, sf):
+    s = _spots(spark, sf)
+    return flags.balloon_flags_v2(s, callsigns.callsign_grid(s))
+
+
+def _contest_sig(spark, sf):
+    return signatures.contest_signatures(fx.contest_raw(spark, sf), _cg(spark, sf), fx.solar_raw(spark, sf),
+                                         window=FIXTURE_WINDOW)
+
+
+def _rbn_sig(spark, sf):
+    return signatures.rbn_signatures(fx.rbn_raw(spark, sf), _cg(spark, sf), fx.solar_raw(spark, sf),
+                                     window=FIXTURE_WINDOW)
+
+
+def _v2(spark, sf):
+    s = _spots(spark, sf)
+    return signatures.wspr_signatures_v2(s, fx.solar_raw(spark, sf), flags.balloon_flags_v2(s, callsigns.callsign_grid(s)))
+
+
+# ---------------------------------------------------------------- scans
+@register("scan_spots")
+def scan_spots(spark, sf):
+    return _spots(spark, sf)
+
+
+@register("scan_rbn")
+def scan_rbn(spark, sf):
+    return fx.rbn_raw(spark, sf)
+
+
+@register("scan_contest")
+def scan_contest(spark, sf):
+    return fx.contest_raw(spark, sf)
+
+
+@register("scan_solar")
+def scan_solar(spark, sf):
+    return fx.solar_raw(spark, sf)
+
+
+@register("mode_thresholds")
+def mode_thresholds(spark, sf):
+    return validation.seed_mode_thresholds(spark)
+
+
+@register("schema_upgrade")
+def schema_upgrade(spark, sf):
+    """Legacy (v1, 15-column) bronze rows upgraded to v2: mode/column_count
+    added with their defaults; counted per (mode, column_count)."""
+    legacy = _spots(spark, sf).drop("mode", "column_count").withColumn("band", F.col("band").cast("short"))
+    up = tables.upgrade_v1_to_v2(legacy)
+    return up.groupBy("mode", "column_count").agg(F.count(F.lit(1)).alias("rows"), F.sum("band").alias("band_sum"))
+
+
+# ---------------------------------------------------------------- predicates / grid functions
+@register("clean_callsign")
+def clean_callsign(spark, sf):
+    s = _spots(spark, sf)
+    padded = s.select(F.rpad("callsign", 16, "\u0000").alias("c")).unionByName(
+        s.select(F.rpad("reporter", 16, "\u0000").alias("c")))
+    return padded.select(functions.clean_fixed("c").alias("callsign")).groupBy("callsign").agg(
+        F.count(F.lit(1)).alias("rows")).withColumn("length", F.length("callsign"))
+
+
+def _all_grids(spark, sf):
+    s = _spots(spark, sf)
+    return s.select(F.col("grid").alias("g")).unionByName(s.select(F.col("reporter_grid").alias("g"))).unionByName(
+        fx.pskr_spots(spark, sf).select(F.col("sender_grid").alias("g"))).distinct()
+
+
+@register("valid_grid_filter")
+def valid_grid_filter(spark, sf):
+    g = _all_grids(spark, sf)
+    return g.select(F.col("g").alias("grid"), functions.has_valid_field("g").cast("int").alias("valid_field"))
+
+
+@register("grid_validation")
+def grid_validation(spark, sf):
+    g = _all_grids(spark, sf)
+    return g.select(F.col("g").alias("grid"), F.length("g").alias("grid_length"),
+                    functions.is_valid_locator("g").cast("int").alias("is_valid_format"),
+                    functions.has_valid_field("g").cast("int").alias("valid_field"))
+
+
+@register("grid_centroids")
+def grid_centroids(spark, sf):
+    g = _all_grids(spark, sf).where(functions.is_valid_locator("g"))
+    p = functions.maidenhead_point("g", 8)
+    return g.select(F.col("g").alias("grid"), functions.maidenhead_lat("g").alias("lat4"),
+                    functions.maidenhead_lon("g").alias("lon4"), p["lat"].alias("lat"), p["lon"].alias("lon"))
+
+
+@register("path_geometry")
+def path_geometry(spark, sf):
+    s = _spots(spark, sf).where(functions.has_valid_field("grid") & functions.has_valid_field("reporter_grid"))
+    pairs = s.select(functions.grid4("grid").alias("tx_grid_4"), functions.grid4("reporter_grid").alias("rx_grid_4")).distinct()
+    tlon, tlat = functions.maidenhead_lon("tx_grid_4"), functions.maidenhead_lat("tx_grid_4")
+    rlon, rlat = functions.maidenhead_lon("rx_grid_4"), functions.maidenhead_lat("rx_grid_4")
+    return pairs.select("tx_grid_4", "rx_grid_4", functions.great_circle_km(tlon, tlat, rlon, rlat).alias("distance_km"),
+                        functions.azimuth_deg(tlon, tlat, rlon, rlat).alias("azimuth_deg"))
+
+
+@register("freq_to_band")
+def freq_to_band(spark, sf):
+    p = fx.pskr_spots(spark, sf)
+    return p.groupBy("band", functions.freq_to_band("frequency", "hz").alias("resolved_band")).agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+@register("training_filter")
+def training_filter_q(spark, sf):
+    return sampling.training_filter(_spots(spark, sf), FIXTURE_WINDOW).groupBy("band").agg(F.count(F.lit(1)).alias("rows"))
+
+
+# ---------------------------------------------------------------- monitoring
+@register("data_integrity")
+def data_integrity(spark, sf):
+    return reports.data_integrity(_spots(spark, sf))
+
+
+@register("spots_daily")
+def spots_daily(spark, sf):
+    return reports.spots_daily(_spots(spark, sf))
+
+
+# ---------------------------------------------------------------- solar
+@register("solar_daily")
+def solar_daily(spark, sf):
+    return solar.solar_daily(fx.solar_raw(spark, sf))
+
+
+@register("solar_buckets")
+def solar_buckets(spark, sf):
+    return solar.solar_buckets(fx.solar_raw(spark, sf), "max")
+
+
+@register("latest_by_key")
+def latest_by_key_q(spark, sf):
+    return solar.solar_latest(fx.solar_raw(spark, sf))
+
+
+@register("solar_join_raw")
+def solar_join_raw(spark, sf):
+    return solar.join_solar_raw(_spots(spark, sf).select("id", "timestamp"), fx.solar_raw(spark, sf))
+
+
+@register("solar_join_bucketed")
+def solar_join_bucketed(spark, sf):
+    return solar.join_solar_bucketed(_spots(spark, sf).select("id", "timestamp"), fx.solar_raw(spark, sf), how="inner")
+
+
+@register("solar_coverage")
+def solar_coverage(spark, sf):
+    return solar.solar_coverage_start(fx.solar_raw(spark, sf))
+
+
+# ---------------------------------------------------------------- callsigns and flags
+@register("callsign_grid")
+def callsign_grid(spark, sf):
+    return _cg(spark, sf)
+
+
+@register("callsign_grid_report")
+def callsign_grid_report(spark, sf):
+    return callsigns.callsign_grid_report(_cg(spark, sf))
+
+
+@register("velocity_day")
+def velocity_day(spark, sf):
+    return flags.velocity_day(_spots(spark, sf))
+
+
+@register("type2_telemetry")
+def type2_telemetry(spark, sf):
+    s = _spots(spark, sf)
+    return flags.type2_telemetry(s, callsigns.callsign_grid(s), flagged=flags.velocity_day(s))
+
+
+@register("balloon_flags_v2")
+def balloon_flags_v2(spark, sf):
+    return _flags(spark, sf)
+
+
+@register("flag_summary")
+def flag_summary(spark, sf):
+    s = _spots(spark, sf)
+    return flags.flag_summary(flags.balloon_flags_v2(s, callsigns.callsign_grid(s)), s)
+
+
+@register("exclude_type2")
+def exclude_type2(spark, sf):
+    """Spots left per band after removing type-2 telemetry TX and RX."""
+    s = _spots(spark, sf)
+    f = flags.balloon_flags_v2(s, callsigns.callsign_grid(s)).where(F.col("flag_reason") == "type2_telemetry")
+    return signatures.exclude_flagged(s, f).groupBy("band").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("exclude_velocity_day")
+def exclude_velocity_day(spark, sf):
+    """Spots left per band after removing (TX callsign, day) flight days."""
+    s = _spots(spark, sf)
+    f = flags.velocity_day(s)
+    return signatures.exclude_flagged(s, f).groupBy("band").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("mobility_tier")
+def mobility_tier(spark, sf):
+    return flags.mobility_profile(_spots(spark, sf))
+
+
+@register("velocity_tier_v1")
+def velocity_tier_v1(spark, sf):
+    return flags.velocity_tier_v1(_spots(spark, sf))
+
+
+@register("type2_telemetry_v1")
+def type2_telemetry_v1(spark, sf):
+    s = _spots(spark, sf)
+    return flags.type2_telemetry_v1(s, callsigns.callsign_grid(s), flagged=flags.velocity_tier_v1(s))
+
+
+@register("reserved_prefix_v1")
+def reserved_prefix_v1(spark, sf):
+    """Reserved-prefix step checked against the callsign dimension and the
+    velocity-tier flags only (in the full v1 chain every reserved callsign is
+    already caught as type-2; see balloon_flags_v1)."""
+    s = _spots(spark, sf)
+    return flags.reserved_prefix_v1(s, callsigns.callsign_grid(s), flagged=flags.velocity_tier_v1(s))
+
+
+@register("balloon_flags_v1")
+def balloon_flags_v1(spark, sf):
+    s = _spots(spark, sf)
+    return flags.balloon_flags_v1(s, callsigns.callsign_grid(s))
+
+
+# ---------------------------------------------------------------- signatures
+@register("signatures_v2")
+def signatures_v2(spark, sf):
+    return _v2(spark, sf)
+
+
+@register("signature_delta")
+def signature_delta(spark, sf):
+    return signatures.signature_delta(signatures_v1(spark, sf), _v2(spark, sf))
+
+
+@register("enrich_endpoints")
+def enrich_endpoints(spark, sf):
+    q = fx.contest_raw(spark, sf).select("timestamp", "band", "mode", "call_1", "call_2")
+    return callsigns.enrich_endpoints(q, _cg(spark, sf), "call_1", "call_2")
+
+
+@register("endpoint_resolution")
+def endpoint_resolution(spark, sf):
+    return callsigns.endpoint_resolution(fx.rbn_raw(spark, sf), _cg(spark, sf), "dx_call", "de_call", by=["band"])
+
+
+@register("contest_signatures")
+def contest_signatures(spark, sf):
+    return _contest_sig(spark, sf)
+
+
+@register("rbn_signatures")
+def rbn_signatures(spark, sf):
+    return _rbn_sig(spark, sf)
+
+
+@register("anchor_counts")
+def anchor_counts(spark, sf):
+    return signatures.anchor_counts(_contest_sig(spark, sf))
+
+
+@register("signature_report")
+def signature_report(spark, sf):
+    return signatures.signature_report(_rbn_sig(spark, sf))
+
+
+@register("snr_distribution")
+def snr_distribution(spark, sf):
+    return signatures.snr_distribution(_rbn_sig(spark, sf))
+
+
+@register("coverage_metrics")
+def coverage_metrics(spark, sf):
+    return signatures.coverage_metrics(_rbn_sig(spark, sf))
+
+
+@register("signature_union")
+def signature_union(spark, sf):
+    return signatures.union_signatures(wspr=_v2(spark, sf), contest=_contest_sig(spark, sf), rbn=_rbn_sig(spark, sf))
+
+
+@register("rows_by_band")
+def rows_by_band(spark, sf):
+    u = signatures.union_signatures(wspr=_v2(spark, sf), contest=_contest_sig(spark, sf), rbn=_rbn_sig(spark, sf))
+    return u.groupBy("source", "band").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("dxpedition_paths")
+def dxpedition_paths(spark, sf):
+    return signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
+
+
+@register("dxpedition_signatures")
+def dxpedition_signatures(spark, sf):
+    p = signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
+    return signatures.dxpedition_signatures(p, fx.solar_raw(spark, sf), min_spots=1, replicate=2)

@@ -1,10 +1,204 @@
-"""DuckDB oracle SQL per registered query (same column names and types)."""
+"""DuckDB oracle SQL per registered query (same column names and types).
+
+Floating-point outputs are rounded to 4 decimals, as the Spark side reports
+them (``registry.finalize``)."""
 
 from __future__ import annotations
 
 from skywave import constants as K
-from skywave.plans.sql import BANDS, sql, signature_sql
+from skywave.plans.sql import (BANDS, SIG_COLS, azimuth, gc_km, in_window, reserved_sql, signature_sql, sql)
 
 ORACLE: dict[str, str] = {}
+R = 4
+
+
+def r(x: str, d: int = R) -> str:
+    """Two-step rounding (9 then ``d`` decimals), as ``registry.finalize``."""
+    return f"round(round(CAST({x} AS DOUBLE), 9), {d})"
+
+
+SPOT_COLS = ("id, timestamp, reporter, reporter_grid, snr, frequency, callsign, grid, power, drift, distance, azimuth, "
+             "band, mode, version, code, column_count")
+
+ORACLE["signatures_v1"] = sql("SELECT * FROM sig_v1", "sig_v1")
+ORACLE["scan_spots"] = sql(f"SELECT {SPOT_COLS} FROM spots", "spots")
+ORACLE["scan_rbn"] = sql("SELECT * FROM rbn", "rbn")
+ORACLE["scan_contest"] = sql("""
+SELECT timestamp, frequency, band, mode, call_1, call_2, '59' AS rst_sent, CAST(l_orderkey % 40 AS VARCHAR) AS exch_sent,
+       '59' AS rst_rcvd, CAST(l_partkey % 40 AS VARCHAR) AS exch_rcvd, 'CQ-WW' AS contest, 'cq-ww/' || l_linestatus AS source
+FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST((l_orderkey + l_linenumber) % 4 * 6 AS BIGINT)) AS timestamp,
+        CAST(102 + l_partkey % 10 AS INTEGER) AS band,
+        CASE l_returnflag WHEN 'A' THEN 'PH' WHEN 'N' THEN 'RY' ELSE 'CW' END AS mode,
+        'K' || CAST(l_suppkey % 60 AS VARCHAR) AS call_1, 'W' || CAST(l_linenumber % 4 AS VARCHAR) AS call_2,
+        CAST(floor(CAST(CASE WHEN l_partkey % 10 = 0 THEN 1840000 WHEN l_partkey % 10 = 1 THEN 3570000
+          WHEN l_partkey % 10 = 2 THEN 5290000 WHEN l_partkey % 10 = 3 THEN 7040000 WHEN l_partkey % 10 = 4 THEN 10140000
+          WHEN l_partkey % 10 = 5 THEN 14100000 WHEN l_partkey % 10 = 6 THEN 18100000 WHEN l_partkey % 10 = 7 THEN 21100000
+          WHEN l_partkey % 10 = 8 THEN 24920000 ELSE 28130000 END AS BIGINT) / 1000) + l_partkey % 100 AS BIGINT) AS frequency
+      FROM lineitem)""")
+ORACLE["scan_solar"] = sql(f"""
+SELECT date, time, {r('observed_flux')} AS observed_flux, {r('adjusted_flux')} AS adjusted_flux, {r('ssn')} AS ssn,
+       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('xray_short')} AS xray_short,
+       {r('xray_long')} AS xray_long, source_file, updated_at FROM solar_raw""", "solar_raw")
+ORACLE["mode_thresholds"] = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m}', '{f}', CAST({t} AS DOUBLE), '{d}')" for m, f, t, d in K.MODE_THRESHOLDS) + \
+    ") AS t(mode, family, threshold_db, description)"
+ORACLE["schema_upgrade"] = sql("""
+SELECT 'WSPR' AS mode, 15 AS column_count, count(*) AS rows, sum(band) AS band_sum FROM spots""", "spots")
+ORACLE["schema_upgrade"] = sql("""
+SELECT 'WSPR' AS mode, 15 AS column_count, count(*) AS rows, CAST(sum(band) AS BIGINT) AS band_sum FROM spots""", "spots")
+
+ORACLE["clean_callsign"] = sql("""
+SELECT callsign, count(*) AS rows, CAST(length(callsign) AS INTEGER) AS length
+FROM (SELECT callsign FROM spots UNION ALL SELECT reporter FROM spots) GROUP BY callsign""", "spots")
+ORACLE["valid_grid_filter"] = sql("""
+SELECT g AS grid, CAST(length(g) >= 4 AND regexp_matches(g, '^[A-R]{2}[0-9]{2}') AS INTEGER) AS valid_field
+FROM all_grids""", "all_grids")
+ORACLE["grid_validation"] = sql(f"""
+SELECT g AS grid, CAST(length(g) AS INTEGER) AS grid_length,
+       CAST(regexp_matches(g, '{K.LOCATOR_PATTERN}') AS INTEGER) AS is_valid_format,
+       CAST(length(g) >= 4 AND regexp_matches(g, '^[A-R]{{2}}[0-9]{{2}}') AS INTEGER) AS valid_field
+FROM all_grids""", "all_grids")
+
+_LONB = "((ascii(upper(substr(g,1,1))) - 65) * 20.0 + (ascii(substr(g,3,1)) - 48) * 2.0 - 180)"
+_LATB = "((ascii(upper(substr(g,2,1))) - 65) * 10.0 + (ascii(substr(g,4,1)) - 48) - 90)"
+_LON6 = f"CASE WHEN length(g) >= 6 THEN {_LONB} + (ascii(lower(substr(g,5,1))) - 97) * (5.0 / 60) + 2.5 / 60 ELSE {_LONB} + 1.0 END"
+_LAT6 = f"CASE WHEN length(g) >= 6 THEN {_LATB} + (ascii(lower(substr(g,6,1))) - 97) * (2.5 / 60) + 1.25 / 60 ELSE {_LATB} + 0.5 END"
+_LON8 = (f"CASE WHEN length(g) >= 8 THEN {_LONB} + (ascii(lower(substr(g,5,1))) - 97) * (5.0 / 60) + (ascii(substr(g,7,1)) - 48) * (0.5 / 60) + 0.25 / 60 "
+         f"ELSE {_LON6} END")
+_LAT8 = (f"CASE WHEN length(g) >= 8 THEN {_LATB} + (ascii(lower(substr(g,6,1))) - 97) * (2.5 / 60) + (ascii(substr(g,8,1)) - 48) * (0.25 / 60) + 0.125 / 60 "
+         f"ELSE {_LAT6} END")
+ORACLE["grid_centroids"] = sql(f"""
+SELECT g AS grid, {r(_LATB + ' + 0.5')} AS lat4, {r(_LONB + ' + 1.0')} AS lon4, {r(_LAT8)} AS lat, {r(_LON8)} AS lon
+FROM all_grids WHERE regexp_matches(g, '{K.LOCATOR_PATTERN}')""", "all_grids")
+
+_L4 = lambda g: f"((ascii(upper(substr({g},1,1))) - 65) * 20.0 + (ascii(substr({g},3,1)) - 48) * 2.0 - 180 + 1.0)"
+_A4 = lambda g: f"((ascii(upper(substr({g},2,1))) - 65) * 10.0 + (ascii(substr({g},4,1)) - 48) - 90 + 0.5)"
+ORACLE["path_geometry"] = sql(f"""
+SELECT tx_grid_4, rx_grid_4,
+       {r(gc_km(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4')))} AS distance_km,
+       {r(azimuth(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4')))} AS azimuth_deg
+FROM (SELECT DISTINCT substr(grid, 1, 4) AS tx_grid_4, substr(reporter_grid, 1, 4) AS rx_grid_4 FROM spots
+      WHERE length(grid) >= 4 AND regexp_matches(grid, '^[A-R]{{2}}[0-9]{{2}}')
+        AND length(reporter_grid) >= 4 AND regexp_matches(reporter_grid, '^[A-R]{{2}}[0-9]{{2}}'))""", "spots")
+
+_EDGES = [(102, 1.800, 2.000), (103, 3.500, 4.000), (104, 5.060, 5.450), (105, 7.000, 7.300), (106, 10.100, 10.150),
+          (107, 14.000, 14.350), (108, 18.068, 18.168), (109, 21.000, 21.450), (110, 24.890, 24.990), (111, 28.000, 29.700)]
+_F2B = "CASE " + " ".join(f"WHEN frequency * 1e-6 >= {lo} AND frequency * 1e-6 <= {hi} THEN {b}" for b, lo, hi in _EDGES) + " ELSE 0 END"
+ORACLE["freq_to_band"] = sql(f"""
+SELECT band, CAST({_F2B} AS INTEGER) AS resolved_band, count(*) AS rows FROM pskr GROUP BY 1, 2""", "pskr")
+ORACLE["training_filter"] = sql(f"""
+SELECT band, count(*) AS rows FROM spots
+WHERE {in_window()} AND snr BETWEEN -35 AND 25 AND distance BETWEEN 500 AND 18000
+  AND length(grid) >= 4 AND length(reporter_grid) >= 4 GROUP BY band""", "spots")
+
+ORACLE["data_integrity"] = sql("""
+SELECT count(*) AS total_rows, count(*) FILTER (WHERE frequency = 0) AS zero_frequency,
+       count(*) FILTER (WHERE epoch(timestamp) = 0) AS zero_timestamp,
+       count(*) FILTER (WHERE callsign = '') AS empty_callsign, count(*) FILTER (WHERE reporter = '') AS empty_reporter,
+       count(*) FILTER (WHERE column_count <> 17) AS non_v2_rows, min(timestamp) AS earliest_spot, max(timestamp) AS latest_spot
+FROM spots""", "spots")
+ORACLE["spots_daily"] = sql(f"""
+SELECT CAST(timestamp AS DATE) AS day, band, mode, count(*) AS spot_count, count(DISTINCT callsign) AS unique_tx,
+       count(DISTINCT reporter) AS unique_rx, {r('avg(snr)')} AS avg_snr, max(distance) AS max_distance
+FROM spots GROUP BY 1, 2, 3""", "spots")
+
+ORACLE["solar_daily"] = sql(f"""
+SELECT date, {r('max(observed_flux)')} AS sfi, {r('max(ssn)')} AS ssn, {r('max(kp_index)')} AS kp, {r('max(ap_index)')} AS ap,
+       {r('max(xray_short)')} AS xray_short, {r('max(xray_long)')} AS xray_long, min(source_file) AS primary_source
+FROM solar_latest GROUP BY date""", "solar_latest")
+ORACLE["solar_buckets"] = sql(f"""
+SELECT sd AS date, CAST(sb AS INTEGER) AS bucket, {r('ssn')} AS ssn, {r('sfi')} AS sfi, {r('kp')} AS kp FROM solar_bkt_max""",
+                              "solar_bkt_max")
+ORACLE["latest_by_key"] = sql(f"""
+SELECT date, time, {r('observed_flux')} AS observed_flux, {r('adjusted_flux')} AS adjusted_flux, {r('ssn')} AS ssn,
+       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('xray_short')} AS xray_short,
+       {r('xray_long')} AS xray_long, source_file, updated_at FROM solar_latest""", "solar_latest")
+ORACLE["solar_join_raw"] = sql(f"""
+SELECT s.id, s.timestamp, {r('coalesce(l.observed_flux, 0.0)')} AS sfi, {r('coalesce(l.kp_index, 0.0)')} AS kp,
+       {r('coalesce(l.ssn, 0.0)')} AS ssn
+FROM spots s LEFT JOIN solar_latest l ON CAST(s.timestamp AS DATE) = l.date AND hour(s.timestamp) // 3 = hour(l.time) // 3""",
+                               "spots", "solar_latest")
+ORACLE["solar_join_bucketed"] = sql(f"""
+SELECT s.id, s.timestamp, {r('b.ssn')} AS ssn, {r('b.sfi')} AS sfi, {r('b.kp')} AS kp
+FROM spots s JOIN solar_bkt_max b ON CAST(s.timestamp AS DATE) = b.sd AND hour(s.timestamp) // 3 = b.sb""",
+                                    "spots", "solar_bkt_max")
+ORACLE["solar_coverage"] = sql("""
+SELECT min(date) AS first_flux_date, max(date) AS last_flux_date, count(DISTINCT date) AS days_with_flux
+FROM solar_raw WHERE observed_flux > 0""", "solar_raw")
+
+ORACLE["callsign_grid"] = sql("SELECT * FROM cg", "cg")
+ORACLE["callsign_grid_report"] = sql("""
+SELECT count(*) AS total_rows, count(DISTINCT callsign) AS distinct_callsigns,
+       count(*) FILTER (WHERE spot_count > 0) AS rows_with_spots FROM cg""", "cg")
+ORACLE["velocity_day"] = sql("SELECT * FROM velocity", "velocity")
+ORACLE["type2_telemetry"] = sql("SELECT * FROM type2", "type2")
+ORACLE["balloon_flags_v2"] = sql("SELECT * FROM flags", "flags")
+ORACLE["flag_summary"] = sql("""
+SELECT flag_reason, count(*) AS entries, count(DISTINCT callsign) AS callsigns, sum(total_spots)::BIGINT AS flagged_spots,
+       (SELECT count(*) FROM spots) AS bronze_rows,
+       round(round(CAST(sum(total_spots) * 100.0 / (SELECT count(*) FROM spots) AS DOUBLE), 9), 4)::DOUBLE AS contamination_pct
+FROM flags GROUP BY flag_reason""", "flags", "spots")
+ORACLE["exclude_type2"] = sql("""
+SELECT band, count(*) AS rows FROM spots s
+WHERE NOT EXISTS (SELECT 1 FROM type2 f WHERE f.callsign = s.callsign)
+  AND NOT EXISTS (SELECT 1 FROM type2 f WHERE f.callsign = s.reporter) GROUP BY band""", "spots", "type2")
+ORACLE["exclude_velocity_day"] = sql("""
+SELECT band, count(*) AS rows FROM spots s
+WHERE NOT EXISTS (SELECT 1 FROM velocity f WHERE f.callsign = s.callsign AND f.flag_date = CAST(s.timestamp AS DATE))
+GROUP BY band""", "spots", "velocity")
+ORACLE["mobility_tier"] = sql("""
+SELECT CASE WHEN dg <= 1 THEN 'Fixed' WHEN dg < 10 THEN 'Maritime' WHEN dg < 25 THEN 'Vehicle'
+            WHEN dg >= 45 THEN 'Fast' ELSE 'Unclassified' END AS tier,
+       count(*) AS callsign_days, sum(ds)::BIGINT AS spots, count(DISTINCT callsign) AS callsigns
+FROM (SELECT callsign, d, count(*) AS dg, sum(n) AS ds FROM v1_daily GROUP BY 1, 2) GROUP BY 1""", "v1_daily")
+ORACLE["velocity_tier_v1"] = sql("""
+SELECT callsign, flag_reason, max_daily_grids, total_spots::BIGINT AS total_spots, total_grids, first_seen, last_seen
+FROM v1_velocity""", "v1_velocity")
+ORACLE["type2_telemetry_v1"] = sql("SELECT * FROM v1_type2", "v1_type2")
+ORACLE["reserved_prefix_v1"] = sql(reserved_sql(["v1_velocity"]), "spots", "cg", "v1_velocity")
+ORACLE["balloon_flags_v1"] = sql(f"""
+SELECT callsign, flag_reason, max_daily_grids, total_spots::BIGINT AS total_spots, total_grids, first_seen, last_seen FROM v1_velocity
+UNION ALL SELECT * FROM v1_type2
+UNION ALL SELECT * FROM ({reserved_sql(['v1_velocity', 'v1_type2'])})""", "spots", "cg", "v1_velocity", "v1_type2")
 
-ORACLE["signatures_v1"] = sql(signature_sql("spots_sol", K.WSPR_MIN_SPOTS), "spots_sol")
+ORACLE["signatures_v2"] = sql("SELECT * FROM sig_v2", "sig_v2")
+ORACLE["signature_delta"] = sql("""
+SELECT a.n AS v1_rows, b.n AS v2_rows, a.n - b.n AS removed, round((a.n - b.n) * 100.0 / a.n, 3)::DOUBLE AS removed_pct
+FROM (SELECT count(*) AS n FROM sig_v1) a, (SELECT count(*) AS n FROM sig_v2) b""", "sig_v1", "sig_v2")
+ORACLE["enrich_endpoints"] = sql("""
+SELECT c.timestamp, c.band, c.mode, c.call_1, c.call_2, t.grid_4 AS tx_grid_4, x.grid_4 AS rx_grid_4
+FROM contest c JOIN cg t ON c.call_1 = t.callsign JOIN cg x ON c.call_2 = x.callsign
+WHERE t.grid_4 <> '' AND x.grid_4 <> ''""", "contest", "cg")
+ORACLE["endpoint_resolution"] = sql(f"""
+SELECT band, count(*) AS rows, count(*) FILTER (WHERE t.callsign IS NOT NULL AND x.callsign IS NOT NULL) AS resolved,
+       {r("count(*) FILTER (WHERE t.callsign IS NOT NULL AND x.callsign IS NOT NULL) * 100.0 / count(*)")} AS resolved_pct
+FROM rbn b LEFT JOIN (SELECT callsign FROM cg WHERE grid_4 <> '') t ON b.dx_call = t.callsign
+LEFT JOIN (SELECT callsign FROM cg WHERE grid_4 <> '') x ON b.de_call = x.callsign GROUP BY band""", "rbn", "cg")
+ORACLE["contest_signatures"] = sql("SELECT * FROM contest_sig", "contest_sig")
+ORACLE["rbn_signatures"] = sql("SELECT * FROM rbn_sig", "rbn_sig")
+ORACLE["anchor_counts"] = sql("""
+SELECT count(*) AS total, count(*) FILTER (WHERE median_snr = 10) AS ssb, count(*) FILTER (WHERE median_snr = 0) AS rtty
+FROM contest_sig""", "contest_sig")
+ORACLE["signature_report"] = sql(f"""
+SELECT band, count(*) AS signatures, {r('round(avg(median_snr), 1)')} AS avg_snr, {r('round(avg(spot_count), 0)')} AS avg_spots,
+       {r('round(avg(avg_distance), 0)')} AS avg_dist_km FROM rbn_sig GROUP BY band""", "rbn_sig")
+ORACLE["snr_distribution"] = sql(f"""
+SELECT {r('round(quantile_cont(median_snr, 0.1), 1)')} AS p10, {r('round(quantile_cont(median_snr, 0.5), 1)')} AS p50,
+       {r('round(quantile_cont(median_snr, 0.9), 1)')} AS p90 FROM rbn_sig""", "rbn_sig")
+ORACLE["coverage_metrics"] = sql(f"""
+SELECT count(*) AS signatures, count(*) FILTER (WHERE tx_grid_4 = rx_grid_4) AS same_grid,
+       {r('round(count(*) FILTER (WHERE avg_sfi > 0) * 100.0 / count(*), 1)')} AS solar_pct FROM rbn_sig""", "rbn_sig")
+ORACLE["signature_union"] = sql("SELECT * FROM sig_union", "sig_union")
+ORACLE["rows_by_band"] = sql("SELECT source, band, count(*) AS rows FROM sig_union GROUP BY 1, 2", "sig_union")
+ORACLE["dxpedition_paths"] = sql("SELECT * FROM dx_paths", "dx_paths")
+_DXG = (f"CAST(trunc(round({gc_km(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4'))}, 6)) AS BIGINT) AS avg_distance, "
+        f"CAST(trunc(round({azimuth(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4'))}, 6)) AS BIGINT) AS avg_azimuth")
+ORACLE["dxpedition_signatures"] = sql(f"""
+SELECT {SIG_COLS} FROM (
+  SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
+         round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count, round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
+         CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp, {_DXG}
+  FROM (SELECT p.*, substr(dx_grid, 1, 4) AS tx_grid_4, substr(skimmer_grid, 1, 4) AS rx_grid_4,
+               coalesce(b.sfi, 0.0) AS sfi, coalesce(b.kp, 0.0) AS kp
+        FROM dx_paths p LEFT JOIN solar_bkt_avg b ON CAST(p.timestamp AS DATE) = b.sd AND hour(p.timestamp) // 3 = b.sb)
+  GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp)) s, range(2) rep""", "dx_paths", "solar_bkt_avg")

@@ -253,12 +253,134 @@ def signature_sql(src: str, min_spots: int) -> str:
     return f"""
 SELECT substr(grid, 1, 4) AS tx_grid_4, substr(reporter_grid, 1, 4) AS rx_grid_4, band,
        CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
-       round(quantile_cont(snr, 0.5), 4) AS median_snr, count(*) AS spot_count,
-       round(stddev_pop(snr), 4) AS snr_std,
-       round(count(*) FILTER (WHERE snr > {K.RELIABLE_SNR_DB}) / count(*), 4) AS reliability,
-       round(avg(sfi), 4) AS avg_sfi, round(avg(kp), 4) AS avg_kp,
+       round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count,
+       round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
+       round(round(CAST(count(*) FILTER (WHERE snr > {K.RELIABLE_SNR_DB}) / count(*) AS DOUBLE), 9), 4) AS reliability,
+       round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
        CAST(trunc(avg(distance)) AS BIGINT) AS avg_distance, CAST(trunc(avg(azimuth)) AS BIGINT) AS avg_azimuth
 FROM {src}
 WHERE distance >= {K.MIN_DISTANCE_KM} AND band IN ({BANDS})
 GROUP BY 1, 2, 3, 4, 5
 HAVING count(*) >= {min_spots}"""
+
+CTES["pskr"] = f"""
+SELECT
+  CAST(ts AS TIMESTAMP) - INTERVAL 25 YEAR AS timestamp,
+  'K' || CAST(user_id % 40 AS VARCHAR) AS sender_call,
+  chr(CAST(65 + user_id % 18 AS INTEGER)) || chr(CAST(65 + event_id % 18 AS INTEGER)) || CAST(user_id % 10 AS VARCHAR)
+    || CAST(event_id % 10 AS VARCHAR) || lower(chr(CAST(65 + event_id % 24 AS INTEGER))) || lower(chr(CAST(65 + user_id % 24 AS INTEGER))) AS sender_grid,
+  'W' || CAST(event_id % 25 AS VARCHAR) AS receiver_call,
+  chr(CAST(70 + event_id % 5 AS INTEGER)) || 'N' || CAST(event_id % 10 AS VARCHAR) || '5' AS receiver_grid,
+  {_centre_hz('CAST(102 + event_id % 10 AS INTEGER)')} + 1000 + event_id % 2000 AS frequency,
+  CAST(102 + event_id % 10 AS INTEGER) AS band,
+  CASE event_type WHEN 'click' THEN 'FT4' WHEN 'view' THEN 'CW' ELSE 'FT8' END AS mode,
+  CAST(trunc(value) AS INTEGER) % 50 - 30 AS snr
+FROM events"""
+DEPS["pskr"] = []
+_ORDER.append("pskr")
+
+CTES["all_grids"] = """
+SELECT DISTINCT g FROM (SELECT grid AS g FROM spots UNION ALL SELECT reporter_grid FROM spots UNION ALL SELECT sender_grid FROM pskr)"""
+DEPS["all_grids"] = ["spots", "pskr"]
+_ORDER.append("all_grids")
+
+
+def sol_join(src: str, bkt: str = "solar_bkt_avg", how: str = "LEFT", zero: bool = True) -> str:
+    sfi = "coalesce(b.sfi, 0.0)" if zero else "b.sfi"
+    kp = "coalesce(b.kp, 0.0)" if zero else "b.kp"
+    ssn = "coalesce(b.ssn, 0.0)" if zero else "b.ssn"
+    return (f"SELECT x.*, {sfi} AS sfi, {kp} AS kp, {ssn} AS ssn FROM {src} x {how} JOIN {bkt} b "
+            f"ON CAST(x.timestamp AS DATE) = b.sd AND hour(x.timestamp) // 3 = b.sb")
+
+
+FIX_LO, FIX_HI = "1990-01-01", "2030-01-01"
+
+
+def in_window(col: str = "timestamp", lo: str = FIX_LO, hi: str = FIX_HI) -> str:
+    return f"{col} >= TIMESTAMP '{lo}' AND {col} < TIMESTAMP '{hi}'"
+
+
+add_cte("spots_v2", """
+SELECT s.* FROM spots s
+WHERE NOT EXISTS (SELECT 1 FROM flags f WHERE f.flag_reason = 'type2_telemetry' AND f.callsign = s.callsign)
+  AND NOT EXISTS (SELECT 1 FROM flags f WHERE f.flag_reason = 'type2_telemetry' AND f.callsign = s.reporter)
+  AND NOT EXISTS (SELECT 1 FROM flags f WHERE f.flag_reason = 'velocity_day' AND f.callsign = s.callsign
+                  AND f.flag_date = CAST(s.timestamp AS DATE))""", ["spots", "flags"])
+add_cte("spots_v2_sol", sol_join("spots_v2"), ["spots_v2", "solar_bkt_avg"])
+
+add_cte("contest_e", f"""
+SELECT c.*, t.grid_4 AS tx_grid_4, r.grid_4 AS rx_grid_4 FROM contest c
+JOIN cg t ON c.call_1 = t.callsign JOIN cg r ON c.call_2 = r.callsign
+WHERE t.grid_4 <> '' AND r.grid_4 <> '' AND c.mode IN ('PH', 'RY') AND {in_window('c.timestamp')} AND c.band IN ({BANDS})""",
+        ["contest", "cg"])
+add_cte("contest_es", sol_join("contest_e"), ["contest_e", "solar_bkt_avg"])
+
+add_cte("rbn_e", f"""
+SELECT r.*, t.grid_4 AS tx_grid_4, x.grid_4 AS rx_grid_4 FROM rbn r
+JOIN cg t ON r.dx_call = t.callsign JOIN cg x ON r.de_call = x.callsign
+WHERE t.grid_4 <> '' AND x.grid_4 <> '' AND r.tx_mode IN ('CW', 'RTTY', 'PSK31', '') AND r.snr BETWEEN -20 AND 80
+  AND {in_window('r.timestamp')} AND r.band IN ({BANDS})""", ["rbn", "cg"])
+add_cte("rbn_es", sol_join("rbn_e"), ["rbn_e", "solar_bkt_avg"])
+
+_GEO = (f"{trunc_long(gc_km(lon4('tx_grid_4'), lat4('tx_grid_4'), lon4('rx_grid_4'), lat4('rx_grid_4')))} AS avg_distance, "
+        f"{trunc_long(azimuth(lon4('tx_grid_4'), lat4('tx_grid_4'), lon4('rx_grid_4'), lat4('rx_grid_4')))} AS avg_azimuth")
+
+add_cte("contest_sig", f"""
+SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
+  CAST(CASE mode WHEN 'PH' THEN 10.0 WHEN 'RY' THEN 0.0 END AS DOUBLE) AS median_snr, count(*) AS spot_count,
+  CAST(0.0 AS DOUBLE) AS snr_std, CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
+  {_GEO}
+FROM contest_es GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp), mode
+HAVING count(*) >= {K.CONTEST_MIN_SPOTS}""", ["contest_es"])
+
+add_cte("rbn_sig", f"""
+SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
+  round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count, round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
+  CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
+  {_GEO}
+FROM rbn_es GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp)
+HAVING count(*) >= {K.RBN_MIN_SPOTS}""", ["rbn_es"])
+
+add_cte("sig_v1", signature_sql("spots_sol", K.WSPR_MIN_SPOTS), ["spots_sol"])
+add_cte("sig_v2", signature_sql("spots_v2_sol", K.WSPR_MIN_SPOTS), ["spots_v2_sol"])
+
+SIG_COLS = ("tx_grid_4, rx_grid_4, band, hour, month, median_snr, spot_count, snr_std, reliability, avg_sfi, avg_kp, "
+            "avg_distance, avg_azimuth")
+add_cte("sig_union", f"""
+SELECT {SIG_COLS}, 'wspr' AS source FROM sig_v2 UNION ALL
+SELECT {SIG_COLS}, 'contest' FROM contest_sig UNION ALL
+SELECT {SIG_COLS}, 'rbn' FROM rbn_sig""", ["sig_v2", "contest_sig", "rbn_sig"])
+
+add_cte("dx_paths", f"""
+SELECT r.timestamp, r.dx_call, c.entity AS dx_entity, c.grid AS dx_grid, r.de_call AS skimmer_call, g.grid AS skimmer_grid,
+       r.band, r.frequency, r.snr, r.tx_mode, 'rbn-dxpedition-synthesis' AS source_type
+FROM rbn r JOIN catalog c ON r.dx_call = c.callsign AND r.timestamp BETWEEN c.start_ts AND c.end_ts
+JOIN cg g ON r.de_call = g.callsign WHERE g.grid_4 <> ''""", ["rbn", "catalog", "cg"])
+
+add_cte("v1_daily", """
+SELECT callsign, CAST(timestamp AS DATE) AS d, substr(grid, 1, 4) AS g4, count(*) AS n FROM spots
+WHERE regexp_matches(grid, '^[A-R]{2}[0-9]{2}') GROUP BY 1, 2, 3""", ["spots"])
+add_cte("v1_velocity", f"""
+SELECT p.callsign, 'velocity_tier' AS flag_reason, max(dg) AS max_daily_grids, sum(ds) AS total_spots,
+       (SELECT count(DISTINCT g4) FROM v1_daily x WHERE x.callsign = p.callsign) AS total_grids,
+       min(d) AS first_seen, max(d) AS last_seen
+FROM (SELECT callsign, d, count(*) AS dg, sum(n) AS ds FROM v1_daily GROUP BY 1, 2) p
+GROUP BY p.callsign HAVING max(dg) >= {K.VELOCITY_GRIDS_PER_DAY}""", ["v1_daily"])
+add_cte("v1_type2", """
+SELECT callsign, 'type2_telemetry' AS flag_reason, CAST(0 AS BIGINT) AS max_daily_grids, count(*) AS total_spots,
+       count(DISTINCT substr(grid, 1, 4)) AS total_grids, min(CAST(timestamp AS DATE)) AS first_seen,
+       max(CAST(timestamp AS DATE)) AS last_seen
+FROM spots s WHERE NOT EXISTS (SELECT 1 FROM cg WHERE cg.callsign = s.callsign)
+  AND NOT EXISTS (SELECT 1 FROM v1_velocity v WHERE v.callsign = s.callsign)
+GROUP BY callsign""", ["spots", "cg", "v1_velocity"])
+
+
+def reserved_sql(exclude_ctes) -> str:
+    ex = " ".join(f"AND NOT EXISTS (SELECT 1 FROM {c} e WHERE e.callsign = s.callsign)" for c in exclude_ctes)
+    return f"""
+SELECT callsign, 'reserved_prefix' AS flag_reason, CAST(0 AS BIGINT) AS max_daily_grids, count(*) AS total_spots,
+       count(DISTINCT substr(grid, 1, 4)) AS total_grids, min(CAST(timestamp AS DATE)) AS first_seen,
+       max(CAST(timestamp AS DATE)) AS last_seen
+FROM spots s WHERE (regexp_matches(callsign, '^Q') OR regexp_matches(callsign, '^[0-9]{{2}}'))
+  AND NOT EXISTS (SELECT 1 FROM cg WHERE cg.callsign = s.callsign) {ex}
+GROUP BY callsign"""

@@ -269,7 +269,8 @@ def pskr_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         (_ts("ts") - F.make_ym_interval(F.lit(FIXTURE_EPOCH_SHIFT_YEARS), F.lit(0))).alias("timestamp"),
         F.concat(F.lit("K"), _s(u % 40)).alias("sender_call"),
-        F.concat(F.char(65 + u % 18), F.char(65 + e % 18), _s(u % 10), _s(e % 10)).alias("sender_grid"),
+        F.concat(F.char(65 + u % 18), F.char(65 + e % 18), _s(u % 10), _s(e % 10),
+                 F.lower(F.char(65 + e % 24)), F.lower(F.char(65 + u % 24))).alias("sender_grid"),
         F.concat(F.lit("W"), _s(e % 25)).alias("receiver_call"),
         F.concat(F.char(70 + e % 5), F.lit("N"), _s(e % 10), F.lit("5")).alias("receiver_grid"),
         (_band_centre_hz(band) + 1000 + e % 2000).alias("frequency"),

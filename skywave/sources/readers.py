@@ -59,8 +59,14 @@ def conform_wspr(df: DataFrame) -> DataFrame:
                    {"mode": V1_DEFAULT_MODE, "column_count": V1_DEFAULT_COLUMN_COUNT})
 
 
-def load_wspr(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    return conform_wspr(_read(spark, path, schemas.WSPR_SPOT, fmt, **options))
+def load_wspr(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool | None = None, **options) -> DataFrame:
+    """Typed bronze spots.  Raw files (CSV, or ``ingest=True``) go through
+    ``conform_wspr``; a conformed Parquet table is read as is, so filters on
+    its plain columns reach the scan (PushedFilters) and month partitions prune."""
+    df = _read(spark, path, schemas.WSPR_SPOT, fmt, **options)
+    if ingest if ingest is not None else fmt != "parquet":
+        return conform_wspr(df)
+    return df.select(*[f.name for f in schemas.WSPR_SPOT.fields])
 
 
 def load_rbn(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
@@ -72,8 +78,11 @@ def load_rbn(spark: SparkSession, path: str, fmt: str = "parquet", **options) ->
     return conform(raw, schemas.RBN_SPOT, RBN_STRINGS)
 
 
-def load_contest(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    return conform(_read(spark, path, schemas.CONTEST_QSO, fmt, **options), schemas.CONTEST_QSO, CONTEST_STRINGS)
+def load_contest(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool | None = None, **options) -> DataFrame:
+    df = _read(spark, path, schemas.CONTEST_QSO, fmt, **options)
+    if ingest if ingest is not None else fmt != "parquet":
+        return conform(df, schemas.CONTEST_QSO, CONTEST_STRINGS)
+    return df.select(*[f.name for f in schemas.CONTEST_QSO.fields])
 
 
 def load_solar(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
