@@ -1,22 +1,23 @@
 """Deterministic samples: hash order, stratified cells, density-weighted
 (Efraimidis-Spirakis) gold sets, and the quality-test paths.
 
-Exact top-k per group without a global sort
--------------------------------------------
-``top_k`` keeps the k best rows of each group by an order column:
-
-1. one aggregation per group: row count and approximate quantiles of the
-   order column on a 2^-j grid -> a per-group cut that leaves between
-   ~1.1k and ~2.2k candidate rows (no cut when k is half the group or more);
-2. filter on the cut (the cut table has one row per group and is broadcast)
-   and verify every group kept at least min(k, n) rows -- a group that falls
-   short (quantile error) simply loses its cut, so the result stays exact;
-3. exact rank among the candidates: range buckets of the order column split
-   each group's candidates into tasks of ~``bucket_rows`` rows, bucket offsets
-   come from a tiny cumulative count, rank = offset + row_number in bucket.
-
-No step sorts a whole group in one task, and the driver only sees one row
-per group (step 2's check).
+Exact top-k per group
+---------------------
+``top_k`` keeps the k best rows of each group by an order column.
+
+* k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000): a
+  ``row_number`` filter, which Spark plans with a partial WindowGroupLimit
+  before the shuffle -- every map task forwards at most k rows per group.
+* larger k (the reference's 200K per cell, 1M per band, 10M density rows):
+  1. one aggregation per group: row count and approximate quantiles of the
+     order column on a 2^-j grid -> a per-group cut that leaves ~1.1k..2.2k
+     candidates (no cut when k is half the group or more);
+  2. the candidates (bounded by ~2.2k per group, independent of the input
+     size) are written to the shared checkpoint folder; every group must keep
+     min(k, n) rows, a group that falls short (quantile error) loses its cut,
+     so the result stays exact;
+  3. exact ``row_number`` over the candidates of each group.
+  No task ever sorts more than ~2.2k rows of a group, whatever the input size.
 """
 
 from __future__ import annotations
@@ -36,65 +37,51 @@ from skywave.operators.solar import join_solar_bucketed
 from skywave.operators.tables import bounded_broadcast
 
 MAX_GROUPS = 100_000
+_PCTS = [2.0 ** -j for j in range(1, 31)]
+
+
+def _window_limit_threshold(spark) -> int:
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+
+
+def _rank(df: DataFrame, k: int, groups, tie_cols) -> DataFrame:
+    w = Window.partitionBy(*groups).orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
+    return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
 def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group_cols: Sequence[str] = (),
-          tie_cols: Sequence[str] = (), bucket_rows: int = 200_000, accuracy: int = 100_000) -> DataFrame:
+          tie_cols: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
     """The k first rows of each group ordered by ``order_col`` (then ``tie_cols``),
-    exact; see the module notes for the plan."""
+    exact, with a ``sample_rank`` column; see the module notes for the plan."""
     groups = list(group_cols)
     sign = -1.0 if descending else 1.0
     x = df.withColumn("__o", F.col(order_col).cast("double") * F.lit(sign))   # smaller is better
-    need = int(math.ceil(1.1 * k)) + 100
+    if k <= _window_limit_threshold(df.sparkSession):
+        return _rank(x, k, groups, tie_cols).drop("__o")
 
-    # 1. per-group cut on the 2^-j quantile grid (ascending: keep __o <= cut)
-    pcts = [2.0 ** -j for j in range(1, 31)]
+    need = int(math.ceil(1.1 * k)) + 100
     stats = x.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"),
-                                   F.percentile_approx("__o", pcts, accuracy).alias("__q"))
-    j = F.floor(F.log2(F.col("__n") / F.lit(float(need))))
-    j = F.least(j, F.lit(len(pcts))).cast("int")
-    cut = F.when(j >= 1, F.element_at("__q", j)).otherwise(F.lit(None).cast("double"))
-    cuts = stats.select(*groups, "__n", cut.alias("__cut"))
-
-    def candidates(cuts_df):
-        c = bounded_broadcast(cuts_df, MAX_GROUPS, "top-k cuts")
+                                   F.percentile_approx("__o", _PCTS, accuracy).alias("__q"))
+    j = F.least(F.floor(F.log2(F.col("__n") / F.lit(float(need)))), F.lit(len(_PCTS))).cast("int")
+    cuts = stats.select(*groups, "__n", F.when(j >= 1, F.element_at("__q", j)).alias("__cut"))
+    cuts = bounded_broadcast(cuts, MAX_GROUPS, "top-k cuts")
+
+    def candidates(c):
         joined = x.join(c, groups, "inner") if groups else _attach_single(x, c)
-        return joined.where(F.col("__cut").isNull() | (F.col("__o") <= F.col("__cut")))
+        kept = joined.where(F.col("__cut").isNull() | (F.col("__o") <= F.col("__cut")))
+        return kept.checkpoint(eager=True)   # bounded (~2.2k rows per group); reliable, in the shared folder
 
     cand = candidates(cuts)
-    # 2. verify: each group kept min(k, n) rows, else drop its cut
-    kept = cand.groupBy(*groups).agg(F.count(F.lit(1)).alias("__m"))
-    short = (cuts.join(kept, groups, "left") if groups else _attach_single(cuts, kept)) \
-        .where(F.coalesce(F.col("__m"), F.lit(0)) < F.least(F.col("__n"), F.lit(k))).select(*groups).limit(MAX_GROUPS)
-    short_rows = short.collect()
-    if short_rows:
+    counts = cand.groupBy(*groups, "__n").agg(F.count(F.lit(1)).alias("__m"))
+    short = counts.where(F.col("__m") < F.least(F.col("__n"), F.lit(k))).select(*groups).limit(MAX_GROUPS).collect()
+    if short:
         if groups:
-            bad = F.struct(*groups).isin([F.struct(*[F.lit(r[g]) for g in groups]) for r in short_rows])
+            bad = F.struct(*groups).isin([F.struct(*[F.lit(r[g]) for g in groups]) for r in short])
             cuts = cuts.withColumn("__cut", F.when(bad, F.lit(None).cast("double")).otherwise(F.col("__cut")))
         else:
             cuts = cuts.withColumn("__cut", F.lit(None).cast("double"))
         cand = candidates(cuts)
-
-    # 3. exact rank via range buckets of the order column
-    span = cand.groupBy(*groups).agg(F.min("__o").alias("__lo"), F.max("__o").alias("__hi"),
-                                     F.count(F.lit(1)).alias("__c"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("__c") / F.lit(float(bucket_rows)))).cast("int")
-    span = span.withColumn("__nb", nb)
-    span = bounded_broadcast(span, MAX_GROUPS, "top-k spans")
-    c2 = cand.join(span, groups, "inner") if groups else _attach_single(cand, span)
-    width = F.col("__hi") - F.col("__lo")
-    b = F.when(width > 0, F.least(F.floor((F.col("__o") - F.col("__lo")) / width * F.col("__nb")),
-                                  F.col("__nb") - 1)).otherwise(F.lit(0)).cast("int")
-    c2 = c2.withColumn("__b", b)
-    counts = c2.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__bc"))
-    wo = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("__off", F.coalesce(F.sum("__bc").over(wo), F.lit(0))).where(F.col("__off") < k)
-    counts = bounded_broadcast(counts.select(*groups, "__b", "__off"), MAX_GROUPS * 64, "top-k offsets")
-    c3 = c2.join(counts, groups + ["__b"], "inner")
-    wr = Window.partitionBy(*groups, "__b").orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
-    c3 = c3.withColumn("__rank", F.col("__off") + F.row_number().over(wr)).where(F.col("__rank") <= k)
-    drop = [c for c in c3.columns if c.startswith("__") and c != "__rank"]
-    return c3.drop(*drop).withColumnRenamed("__rank", "sample_rank")
+    return _rank(cand, k, groups, tie_cols).drop("__o", "__n", "__q", "__cut")
 
 
 def _attach_single(left: DataFrame, one_row: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skywave import constants as K
 from skywave import functions
-from skywave.operators import callsigns, flags, reports, sampling, signatures, solar, tables, validation
+from skywave.operators import callsigns, features, flags, reports, sampling, signatures, solar, tables, validation
 from skywave.plans.registry import register
 from skywave.sources import fixtures as fx
 
@@ -345,3 +345,185 @@ def dxpedition_paths(spark, sf):
 def dxpedition_signatures(spark, sf):
     p = signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
     return signatures.dxpedition_signatures(p, fx.solar_raw(spark, sf), min_spots=1, replicate=2)
+
+
+# ---------------------------------------------------------------- sampling / gold
+# Fixture-sized sample parameters (the reference's 200K/1M/10M per cell/band
+# exceed the fixture tables, which would make every sample "all rows").
+FIX_PER_CELL = 20
+FIX_PER_BAND = 200
+FIX_DENSITY_LIMIT = 2000
+FIX_HASH_N = 1000
+
+
+def _density(spark, sf):
+    return sampling.ifw_density(_spots(spark, sf), fx.solar_raw(spark, sf), sample_limit=FIX_DENSITY_LIMIT,
+                                window=FIXTURE_WINDOW)
+
+
+def _continuous(spark, sf):
+    return sampling.gold_continuous(_spots(spark, sf), fx.solar_raw(spark, sf), _density(spark, sf),
+                                    per_band=FIX_PER_BAND, window=FIXTURE_WINDOW)
+
+
+@register("hash_sample")
+def hash_sample(spark, sf):
+    s = _spots(spark, sf)
+    return sampling.hash_sample(s, FIX_HASH_N, sampling.sample_key_cols()).select("id", "band", "hash_u32")
+
+
+@register("gold_stratified")
+def gold_stratified(spark, sf):
+    return sampling.gold_stratified(_spots(spark, sf), fx.solar_raw(spark, sf), per_cell=FIX_PER_CELL, window=FIXTURE_WINDOW)
+
+
+@register("ifw_density")
+def ifw_density(spark, sf):
+    return _density(spark, sf)
+
+
+@register("density_stats")
+def density_stats(spark, sf):
+    return sampling.density_stats(_density(spark, sf))
+
+
+@register("gold_continuous")
+def gold_continuous(spark, sf):
+    return _continuous(spark, sf)
+
+
+@register("gold_v6")
+def gold_v6(spark, sf):
+    return sampling.gold_v6(_continuous(spark, sf))
+
+
+@register("ssn_quintile_bounds")
+def ssn_quintile_bounds(spark, sf):
+    return sampling.ssn_quintile_bounds(_spots(spark, sf), fx.solar_raw(spark, sf), window=FIXTURE_WINDOW)
+
+
+FIX_QT_MIN_SPOTS = 8
+FIX_QT_PER_BAND = 40
+
+
+def _qt_paths(spark, sf):
+    return sampling.quality_test_paths(signatures_v1(spark, sf), per_band=FIX_QT_PER_BAND, min_spots=FIX_QT_MIN_SPOTS)
+
+
+@register("quality_test_paths")
+def quality_test_paths(spark, sf):
+    return _qt_paths(spark, sf)
+
+
+# ---------------------------------------------------------------- validation
+def _scored(spark, sf):
+    pred = fx.predictions(signatures_v1(spark, sf))
+    return validation.score_paths(pred, validation.seed_mode_thresholds(spark))
+
+
+@register("score_paths")
+def score_paths(spark, sf):
+    return _scored(spark, sf).select("source", "tx_grid_4", "rx_grid_4", "band", "hour", "month", "actual_snr",
+                                     "actual_mode", "predicted_snr", "snr_error", "ft8_viable", "cw_viable",
+                                     "rtty_viable", "ssb_viable", "mode_hit", "profile")
+
+
+@register("model_metrics")
+def model_metrics(spark, sf):
+    return validation.model_metrics(_scored(spark, sf), ["source", "band"])
+
+
+@register("band_hour_heatmap")
+def band_hour_heatmap(spark, sf):
+    return validation.band_hour_heatmap(_scored(spark, sf))
+
+
+@register("quality_test_metrics")
+def quality_test_metrics(spark, sf):
+    paths = _qt_paths(spark, sf)
+    preds = paths.select("path_id", (F.col("median_snr") + ((F.col("band") * 7 + F.col("hour") * 3) % 11 - 5)).alias("model_snr"),
+                         ((F.col("path_id") * 13) % 40 - 20).cast("double").alias("voacap_snr"))
+    return validation.quality_test_metrics(paths, preds)
+
+
+@register("step_i_compare")
+def step_i_compare(spark, sf):
+    p = fx.step_i_paths(fx.spots_hist(spark, sf))
+    return validation.step_i_compare(p.drop("voacap_band_open"), p.select(
+        "tx_lat", "tx_lon", "rx_lat", "rx_lon", "freq_mhz", "year", "month", "hour_utc", "voacap_band_open"))
+
+
+# ---------------------------------------------------------------- versions, config, ingest log
+@register("latest_versions")
+def latest_versions(spark, sf):
+    return reports.latest_versions(fx.lab_versions(spark, sf))
+
+
+@register("recent_versions")
+def recent_versions(spark, sf):
+    return reports.recent_versions(fx.lab_versions(spark, sf), 10)
+
+
+@register("latest_config")
+def latest_config(spark, sf):
+    return reports.latest_config(fx.config_table(spark, sf))
+
+
+@register("pending_files")
+def pending_files(spark, sf):
+    return reports.pending_files(fx.file_listing(spark, sf), fx.ingest_log(spark, sf))
+
+
+# ---------------------------------------------------------------- contracts and gates
+@register("conformance_report")
+def conformance_report(spark, sf):
+    from skywave.sources.schemas import WSPR_CONTRACT
+    return tables.conformance_report(_spots(spark, sf), WSPR_CONTRACT)
+
+
+@register("width_check")
+def width_check(spark, sf):
+    return tables.width_check(_spots(spark, sf), ["reporter", "reporter_grid", "callsign", "grid", "mode", "version"])
+
+
+FIX_GATES = {"callsign_grid": 50, "balloon_flags_v2": 40, "spots": 1000}
+
+
+@register("row_gates")
+def row_gates(spark, sf):
+    s = _spots(spark, sf)
+    cg = callsigns.callsign_grid(s)
+    return tables.row_gates({"callsign_grid": (cg, FIX_GATES["callsign_grid"]),
+                             "balloon_flags_v2": (flags.balloon_flags_v2(s, cg), FIX_GATES["balloon_flags_v2"]),
+                             "spots": (s, FIX_GATES["spots"])})
+
+
+@register("table_inventory")
+def table_inventory(spark, sf):
+    s = _spots(spark, sf)
+    return tables.table_inventory({"wspr.bronze": s, "solar.bronze": fx.solar_raw(spark, sf), "rbn.bronze": fx.rbn_raw(spark, sf),
+                                   "contest.bronze": fx.contest_raw(spark, sf), "wspr.callsign_grid": callsigns.callsign_grid(s),
+                                   "pskr.bronze": fx.pskr_spots(spark, sf), "validation.model_results": None})
+
+
+# ---------------------------------------------------------------- features, quality, live state
+@register("signature_features")
+def signature_features(spark, sf):
+    return features.signature_features(signatures_v1(spark, sf))
+
+
+@register("quality_distribution")
+def quality_distribution(spark, sf):
+    return features.quality_distribution(fx.silver(spark, sf))
+
+
+@register("live_conditions")
+def live_conditions(spark, sf):
+    return features.live_conditions(solar.solar_latest(fx.solar_raw(spark, sf)))
+
+
+@register("live_enrich")
+def live_enrich(spark, sf):
+    cond = features.conditions_by_bucket(solar.solar_latest(fx.solar_raw(spark, sf)))
+    p = fx.pskr_spots(spark, sf).select("timestamp", "sender_call", "receiver_call", "band", "snr")
+    return features.enrich_with_conditions(p, cond)

@@ -6,7 +6,7 @@ them (``registry.finalize``)."""
 from __future__ import annotations
 
 from skywave import constants as K
-from skywave.plans.sql import (BANDS, SIG_COLS, azimuth, gc_km, in_window, reserved_sql, signature_sql, sql)
+from skywave.plans.sql import (BANDS, SIG_COLS, SIG_ROUNDED, azimuth, gc_km, in_window, reserved_sql, signature_sql, sql)
 
 ORACLE: dict[str, str] = {}
 R = 4
@@ -14,13 +14,13 @@ R = 4
 
 def r(x: str, d: int = R) -> str:
     """Two-step rounding (9 then ``d`` decimals), as ``registry.finalize``."""
-    return f"round(round(CAST({x} AS DOUBLE), 9), {d})"
+    return f"CAST(round(CAST(round(CAST({x} AS DOUBLE), 9) AS DECIMAL(38, 9)), {d}) AS DOUBLE)"
 
 
 SPOT_COLS = ("id, timestamp, reporter, reporter_grid, snr, frequency, callsign, grid, power, drift, distance, azimuth, "
              "band, mode, version, code, column_count")
 
-ORACLE["signatures_v1"] = sql("SELECT * FROM sig_v1", "sig_v1")
+ORACLE["signatures_v1"] = sql(f"SELECT {SIG_ROUNDED} FROM sig_v1", "sig_v1")
 ORACLE["scan_spots"] = sql(f"SELECT {SPOT_COLS} FROM spots", "spots")
 ORACLE["scan_rbn"] = sql("SELECT * FROM rbn", "rbn")
 ORACLE["scan_contest"] = sql("""
@@ -136,7 +136,7 @@ ORACLE["balloon_flags_v2"] = sql("SELECT * FROM flags", "flags")
 ORACLE["flag_summary"] = sql("""
 SELECT flag_reason, count(*) AS entries, count(DISTINCT callsign) AS callsigns, sum(total_spots)::BIGINT AS flagged_spots,
        (SELECT count(*) FROM spots) AS bronze_rows,
-       round(round(CAST(sum(total_spots) * 100.0 / (SELECT count(*) FROM spots) AS DOUBLE), 9), 4)::DOUBLE AS contamination_pct
+       CAST(round(CAST(round(CAST(sum(total_spots) * 100.0 / (SELECT count(*) FROM spots) AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE)::DOUBLE AS contamination_pct
 FROM flags GROUP BY flag_reason""", "flags", "spots")
 ORACLE["exclude_type2"] = sql("""
 SELECT band, count(*) AS rows FROM spots s
@@ -161,9 +161,9 @@ SELECT callsign, flag_reason, max_daily_grids, total_spots::BIGINT AS total_spot
 UNION ALL SELECT * FROM v1_type2
 UNION ALL SELECT * FROM ({reserved_sql(['v1_velocity', 'v1_type2'])})""", "spots", "cg", "v1_velocity", "v1_type2")
 
-ORACLE["signatures_v2"] = sql("SELECT * FROM sig_v2", "sig_v2")
+ORACLE["signatures_v2"] = sql(f"SELECT {SIG_ROUNDED} FROM sig_v2", "sig_v2")
 ORACLE["signature_delta"] = sql("""
-SELECT a.n AS v1_rows, b.n AS v2_rows, a.n - b.n AS removed, round((a.n - b.n) * 100.0 / a.n, 3)::DOUBLE AS removed_pct
+SELECT a.n AS v1_rows, b.n AS v2_rows, a.n - b.n AS removed, CAST(round(CAST((a.n - b.n) * 100.0 / a.n AS DECIMAL(38, 9)), 3) AS DOUBLE) AS removed_pct
 FROM (SELECT count(*) AS n FROM sig_v1) a, (SELECT count(*) AS n FROM sig_v2) b""", "sig_v1", "sig_v2")
 ORACLE["enrich_endpoints"] = sql("""
 SELECT c.timestamp, c.band, c.mode, c.call_1, c.call_2, t.grid_4 AS tx_grid_4, x.grid_4 AS rx_grid_4
@@ -174,21 +174,21 @@ SELECT band, count(*) AS rows, count(*) FILTER (WHERE t.callsign IS NOT NULL AND
        {r("count(*) FILTER (WHERE t.callsign IS NOT NULL AND x.callsign IS NOT NULL) * 100.0 / count(*)")} AS resolved_pct
 FROM rbn b LEFT JOIN (SELECT callsign FROM cg WHERE grid_4 <> '') t ON b.dx_call = t.callsign
 LEFT JOIN (SELECT callsign FROM cg WHERE grid_4 <> '') x ON b.de_call = x.callsign GROUP BY band""", "rbn", "cg")
-ORACLE["contest_signatures"] = sql("SELECT * FROM contest_sig", "contest_sig")
-ORACLE["rbn_signatures"] = sql("SELECT * FROM rbn_sig", "rbn_sig")
+ORACLE["contest_signatures"] = sql(f"SELECT {SIG_ROUNDED} FROM contest_sig", "contest_sig")
+ORACLE["rbn_signatures"] = sql(f"SELECT {SIG_ROUNDED} FROM rbn_sig", "rbn_sig")
 ORACLE["anchor_counts"] = sql("""
 SELECT count(*) AS total, count(*) FILTER (WHERE median_snr = 10) AS ssb, count(*) FILTER (WHERE median_snr = 0) AS rtty
 FROM contest_sig""", "contest_sig")
 ORACLE["signature_report"] = sql(f"""
-SELECT band, count(*) AS signatures, {r('round(avg(median_snr), 1)')} AS avg_snr, {r('round(avg(spot_count), 0)')} AS avg_spots,
-       {r('round(avg(avg_distance), 0)')} AS avg_dist_km FROM rbn_sig GROUP BY band""", "rbn_sig")
+SELECT band, count(*) AS signatures, {r('CAST(round(CAST(avg(median_snr) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS avg_snr, {r('CAST(round(CAST(avg(spot_count) AS DECIMAL(38, 9)), 0) AS DOUBLE)')} AS avg_spots,
+       {r('CAST(round(CAST(avg(avg_distance) AS DECIMAL(38, 9)), 0) AS DOUBLE)')} AS avg_dist_km FROM rbn_sig GROUP BY band""", "rbn_sig")
 ORACLE["snr_distribution"] = sql(f"""
-SELECT {r('round(quantile_cont(median_snr, 0.1), 1)')} AS p10, {r('round(quantile_cont(median_snr, 0.5), 1)')} AS p50,
-       {r('round(quantile_cont(median_snr, 0.9), 1)')} AS p90 FROM rbn_sig""", "rbn_sig")
+SELECT {r('CAST(round(CAST(quantile_cont(median_snr, 0.1) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS p10, {r('CAST(round(CAST(quantile_cont(median_snr, 0.5) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS p50,
+       {r('CAST(round(CAST(quantile_cont(median_snr, 0.9) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS p90 FROM rbn_sig""", "rbn_sig")
 ORACLE["coverage_metrics"] = sql(f"""
 SELECT count(*) AS signatures, count(*) FILTER (WHERE tx_grid_4 = rx_grid_4) AS same_grid,
-       {r('round(count(*) FILTER (WHERE avg_sfi > 0) * 100.0 / count(*), 1)')} AS solar_pct FROM rbn_sig""", "rbn_sig")
-ORACLE["signature_union"] = sql("SELECT * FROM sig_union", "sig_union")
+       {r('CAST(round(CAST(count(*) FILTER (WHERE avg_sfi > 0) * 100.0 / count(*) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS solar_pct FROM rbn_sig""", "rbn_sig")
+ORACLE["signature_union"] = sql(f"SELECT {SIG_ROUNDED}, source FROM sig_union", "sig_union")
 ORACLE["rows_by_band"] = sql("SELECT source, band, count(*) AS rows FROM sig_union GROUP BY 1, 2", "sig_union")
 ORACLE["dxpedition_paths"] = sql("SELECT * FROM dx_paths", "dx_paths")
 _DXG = (f"CAST(trunc(round({gc_km(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4'))}, 6)) AS BIGINT) AS avg_distance, "
@@ -196,9 +196,166 @@ _DXG = (f"CAST(trunc(round({gc_km(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_gr
 ORACLE["dxpedition_signatures"] = sql(f"""
 SELECT {SIG_COLS} FROM (
   SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
-         round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count, round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
-         CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp, {_DXG}
+         CAST(round(CAST(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS median_snr, count(*) AS spot_count, CAST(round(CAST(round(CAST(stddev_pop(snr) AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS snr_std,
+         CAST(1.0 AS DOUBLE) AS reliability, CAST(round(CAST(round(CAST(avg(sfi) AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS avg_sfi, CAST(round(CAST(round(CAST(avg(kp) AS DOUBLE), 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS avg_kp, {_DXG}
   FROM (SELECT p.*, substr(dx_grid, 1, 4) AS tx_grid_4, substr(skimmer_grid, 1, 4) AS rx_grid_4,
                coalesce(b.sfi, 0.0) AS sfi, coalesce(b.kp, 0.0) AS kp
         FROM dx_paths p LEFT JOIN solar_bkt_avg b ON CAST(p.timestamp AS DATE) = b.sd AND hour(p.timestamp) // 3 = b.sb)
   GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp)) s, range(2) rep""", "dx_paths", "solar_bkt_avg")
+
+from skywave.plans.sql import SAMPLE_KEY, hash_u32  # noqa: E402
+
+GOLD = f"id, snr, distance, band, hour, month, azimuth, tx_grid, rx_grid, {r('ssn')} AS ssn, {r('sfi')} AS sfi, {r('kp')} AS kp"
+
+ORACLE["hash_sample"] = sql(f"""
+SELECT id, band, h AS hash_u32 FROM (SELECT id, band, {hash_u32(SAMPLE_KEY)} AS h FROM spots) ORDER BY h, id LIMIT 1000""", "spots")
+ORACLE["gold_stratified"] = sql(f"""
+SELECT {GOLD}, ssn_quintile FROM (
+  SELECT id, snr, distance, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month, azimuth,
+         grid AS tx_grid, reporter_grid AS rx_grid, ssn, sfi, kp,
+         CASE WHEN ssn <= 46 THEN 1 WHEN ssn <= 76 THEN 2 WHEN ssn <= 124 THEN 3 WHEN ssn <= 153 THEN 4 ELSE 5 END AS ssn_quintile,
+         {hash_u32(SAMPLE_KEY)} AS h
+  FROM gold_base WHERE band IN ({BANDS}))
+QUALIFY row_number() OVER (PARTITION BY band, ssn_quintile ORDER BY h, id) <= 20""", "gold_base")
+ORACLE["ifw_density"] = sql("SELECT * FROM density", "density")
+ORACLE["density_stats"] = sql("SELECT count(*) AS cells, min(cell_count) AS min_count, max(cell_count) AS max_count FROM density",
+                              "density")
+_GC = (f"{GOLD}, {r('midpoint_lat')} AS midpoint_lat, {r('sampling_weight')} AS sampling_weight, "
+       f"{r('sfi_dist_interact')} AS sfi_dist_interact")
+ORACLE["gold_continuous"] = sql(f"SELECT {_GC} FROM gold_cont", "gold_cont")
+ORACLE["gold_v6"] = sql(f"SELECT {_GC}, {r('1.0 - kp / 9.0')} AS kp_penalty FROM gold_cont", "gold_cont")
+ORACLE["ssn_quintile_bounds"] = sql(f"""
+SELECT {r('q[1]')} AS q1, {r('q[2]')} AS q2, {r('q[3]')} AS q3, {r('q[4]')} AS q4
+FROM (SELECT quantile_cont(ssn, [0.2, 0.4, 0.6, 0.8]) AS q FROM gold_base)""", "gold_base")
+
+_C = {b: m for b, m in K.BAND_CENTRE_MHZ.items()}
+_FREQ = "CASE " + " ".join(f"WHEN band = {b} THEN {m}" for b, m in _C.items()) + f" ELSE {K.DEFAULT_CENTRE_MHZ} END"
+ORACLE["quality_test_paths"] = sql(f"""
+SELECT path_id, tx_grid_4, rx_grid_4, {r(_A4('tx_grid_4'))} AS tx_lat, {r(_L4('tx_grid_4'))} AS tx_lon,
+       {r(_A4('rx_grid_4'))} AS rx_lat, {r(_L4('rx_grid_4'))} AS rx_lon, band, {r(_FREQ)} AS freq_mhz, hour, month, spot_count,
+       {r('median_snr')} AS median_snr, {r('snr_std')} AS snr_std, {r('reliability')} AS reliability, {r('avg_sfi')} AS avg_sfi,
+       {r('avg_kp')} AS avg_kp, avg_distance, {r('greatest(0.0, (avg_sfi - 63.7) / 0.727)')} AS ssn
+FROM qt_paths""", "qt_paths")
+
+ORACLE["score_paths"] = sql(f"""
+SELECT source, tx_grid_4, rx_grid_4, band, hour, month, {r('actual_snr')} AS actual_snr, actual_mode,
+       {r('predicted_snr')} AS predicted_snr, {r('snr_error')} AS snr_error, ft8_viable, cw_viable, rtty_viable, ssb_viable,
+       mode_hit, profile FROM scored""", "scored")
+ORACLE["model_metrics"] = sql(f"""
+SELECT source, band, count(*) AS paths, {r('avg(mode_hit)')} AS recall, {r('sqrt(avg(snr_error * snr_error))')} AS rmse,
+       {r('avg(snr_error)')} AS bias, {r('avg(abs(snr_error))')} AS mae FROM scored GROUP BY source, band""", "scored")
+ORACLE["band_hour_heatmap"] = sql("SELECT band, " + ", ".join(
+    f"{r(f'avg(CASE WHEN hour = {h} THEN mode_hit END)')} AS h{h:02d}" for h in range(24)) + " FROM scored GROUP BY band", "scored")
+
+_QJ = """(SELECT path_id, band, median_snr, median_snr + ((band * 7 + hour * 3) % 11 - 5) AS model_snr,
+          CAST((path_id * 13) % 40 - 20 AS DOUBLE) AS voacap_snr FROM qt_paths)"""
+_QA = (f"count(*) AS paths, {r('corr(model_snr, median_snr)')} AS r_model_snr, "
+       f"{r('sqrt(avg((model_snr - median_snr) * (model_snr - median_snr)))')} AS rmse_model_snr, "
+       f"{r('corr(voacap_snr, median_snr)')} AS r_voacap_snr, "
+       f"{r('sqrt(avg((voacap_snr - median_snr) * (voacap_snr - median_snr)))')} AS rmse_voacap_snr, "
+       "CASE WHEN corr(model_snr, median_snr) > corr(voacap_snr, median_snr) THEN 'model_snr' ELSE 'voacap_snr' END AS winner")
+ORACLE["quality_test_metrics"] = sql(f"""
+SELECT band, {_QA}, CAST(band IN (102, 103, 104) AS INTEGER) AS low_band FROM {_QJ} GROUP BY band
+UNION ALL SELECT 0 AS band, {_QA}, 0 AS low_band FROM {_QJ}""", "qt_paths")
+
+_VALID = lambda g: f"length({g}) >= 4 AND regexp_matches({g}, '^[A-R]{{2}}[0-9]{{2}}')"
+_FREQH = _FREQ
+ORACLE["step_i_compare"] = sql(f"""
+SELECT mode, year, count(*) AS paths, {r('avg(CAST(band_open = voacap_band_open AS INTEGER))')} AS match_rate,
+       {r('avg(band_open)')} AS open_rate, {r('avg(voacap_band_open)')} AS other_open_rate
+FROM (SELECT *, CAST(ionis_snr >= threshold AS INTEGER) AS band_open, CAST(voacap_snr >= threshold AS INTEGER) AS voacap_band_open
+      FROM (SELECT *, CASE mode WHEN 'CW' THEN -10.0 WHEN 'PH' THEN 5.0 ELSE -5.0 END AS threshold
+            FROM (SELECT *, list_element(['CW', 'PH', 'RY'], (year + month + hour_utc) % 3 + 1) AS mode
+                  FROM (SELECT {_A4('grid')} AS tx_lat, {_L4('grid')} AS tx_lon, {_A4('reporter_grid')} AS rx_lat,
+                               {_L4('reporter_grid')} AS rx_lon, {_FREQH} AS freq_mhz, CAST(year(timestamp) AS INTEGER) AS year,
+                               CAST(month(timestamp) AS INTEGER) AS month, CAST(hour(timestamp) AS INTEGER) AS hour_utc,
+                               avg(snr) AS ionis_snr, avg(power) - 35.0 AS voacap_snr
+                        FROM spots_hist WHERE {_VALID('grid')} AND {_VALID('reporter_grid')}
+                        GROUP BY 1, 2, 3, 4, 5, 6, 7, 8))))
+GROUP BY mode, year""", "spots_hist")
+
+_VERS = """(SELECT p_brand AS component, p_type AS version, make_timestamp((1735689600 + p_partkey * 60) * 1000000) AS installed_at,
+           'user' || CAST(p_partkey % 3 AS VARCHAR) AS installed_by FROM part)"""
+ORACLE["latest_versions"] = f"""
+SELECT component, arg_max(version, installed_at) AS version, max(installed_at) AS latest_installed_at,
+       arg_max(installed_by, installed_at) AS installed_by FROM {_VERS} GROUP BY component"""
+ORACLE["recent_versions"] = f"""
+SELECT component, version, installed_at FROM {_VERS} ORDER BY installed_at DESC, component, version LIMIT 10"""
+ORACLE["latest_config"] = """
+SELECT c_mktsegment AS key, c_name AS value, make_timestamp((1735689600 + c_custkey) * 1000000) AS updated_at FROM customer
+QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey DESC, c_name DESC) = 1"""
+ORACLE["pending_files"] = """
+WITH listing AS (SELECT url AS file_path, CAST(length(html) AS BIGINT) AS file_size FROM pages
+                 UNION ALL SELECT url || '.next', CAST(length(html) AS BIGINT) FROM pages WHERE page_id % 2 = 0),
+     latest AS (SELECT url AS file_path, CAST(length(html) AS BIGINT) AS file_size, length(html) % 500 AS row_count FROM pages
+                QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id DESC) = 1)
+SELECT l.file_path, l.file_size FROM listing l
+WHERE NOT EXISTS (SELECT 1 FROM latest x WHERE x.row_count > 0 AND x.file_path = l.file_path AND x.file_size = l.file_size)"""
+
+from skywave.sources.schemas import WSPR_CONTRACT  # noqa: E402
+
+
+def _conf_row(pos, name, typ, width, rng):
+    rc = "CAST(0 AS BIGINT)"
+    if rng is not None:
+        lo, hi = rng
+        conds = ([f"{name} < {lo}"] if lo is not None else []) + ([f"{name} > {hi}"] if hi is not None else [])
+        rc = f"count(*) FILTER (WHERE {' OR '.join(conds)})"
+    wc = f"count(*) FILTER (WHERE length({name}) > {width})" if width else "CAST(0 AS BIGINT)"
+    ml = f"CAST(max(length({name})) AS BIGINT)" if width else "CAST(NULL AS BIGINT)"
+    return (f"SELECT {pos} AS position, '{name}' AS name, '{typ}' AS expected_type, 1 AS present, "
+            f"count(*) FILTER (WHERE {name} IS NULL) AS null_rows, {rc} AS out_of_range_rows, {wc} AS over_width_rows, "
+            f"{ml} AS max_length FROM spots")
+
+
+ORACLE["conformance_report"] = sql(
+    "SELECT *, CAST(present = 1 AND null_rows = 0 AND out_of_range_rows = 0 AND over_width_rows = 0 AS INTEGER) AS conforms FROM (" +
+    " UNION ALL ".join(_conf_row(i, *c) for i, c in enumerate(WSPR_CONTRACT, start=1)) + ")", "spots")
+ORACLE["width_check"] = sql("SELECT " + ", ".join(
+    f"CAST(max(length({c})) AS BIGINT) AS max_len_{c}" for c in ["reporter", "reporter_grid", "callsign", "grid", "mode", "version"]) +
+    " FROM spots", "spots")
+ORACLE["row_gates"] = sql("""
+SELECT gate, required, seen, CAST(seen >= required AS INTEGER) AS passed FROM (
+  SELECT 'callsign_grid' AS gate, CAST(50 AS BIGINT) AS required, least((SELECT count(*) FROM cg), 51) AS seen
+  UNION ALL SELECT 'balloon_flags_v2', 40, least((SELECT count(*) FROM flags), 41)
+  UNION ALL SELECT 'spots', 1000, least((SELECT count(*) FROM spots), 1001))""", "cg", "flags", "spots")
+ORACLE["table_inventory"] = sql("""
+SELECT 'wspr.bronze' AS dataset, 1 AS present, (SELECT count(*) FROM spots) AS row_count, 17 AS column_count
+UNION ALL SELECT 'solar.bronze', 1, (SELECT count(*) FROM orders), 11
+UNION ALL SELECT 'rbn.bronze', 1, (SELECT count(*) FROM events), 13
+UNION ALL SELECT 'contest.bronze', 1, (SELECT count(*) FROM lineitem), 12
+UNION ALL SELECT 'wspr.callsign_grid', 1, (SELECT count(*) FROM cg), 5
+UNION ALL SELECT 'pskr.bronze', 1, (SELECT count(*) FROM events), 9
+UNION ALL SELECT 'validation.model_results', 0, -1, -1""", "spots", "cg")
+
+import math  # noqa: E402
+
+_TP = 2.0 * math.pi
+_MIDLON = f"(({_L4('tx_grid_4')}) + ({_L4('rx_grid_4')})) / 2.0"
+ORACLE["signature_features"] = sql(f"""
+SELECT tx_grid_4, rx_grid_4, band, hour, month, CAST(avg_distance AS DOUBLE) AS distance, {r(f'log10({_FREQ})')} AS freq_log,
+       {r(f'sin(hour * {_TP / 24!r})')} AS hour_sin, {r(f'cos(hour * {_TP / 24!r})')} AS hour_cos,
+       {r('sin(radians(avg_azimuth))')} AS az_sin, {r('cos(radians(avg_azimuth))')} AS az_cos,
+       {r(f"{_A4('rx_grid_4')} - {_A4('tx_grid_4')}")} AS lat_diff, {r(f"({_A4('tx_grid_4')} + {_A4('rx_grid_4')}) / 2.0")} AS midpoint_lat,
+       {r(f'sin(month * {_TP / 12!r})')} AS season_sin, {r(f'cos(month * {_TP / 12!r})')} AS season_cos,
+       {r(f'cos((hour + {_MIDLON} / 15.0 - 12.0) * {_TP / 24!r})')} AS day_night_est,
+       {r('avg_sfi / 300.0')} AS sfi, {r('1.0 - avg_kp / 9.0')} AS kp_penalty, {r('median_snr')} AS target_snr
+FROM sig_v1""", "sig_v1")
+ORACLE["quality_distribution"] = sql(f"""
+SELECT date_trunc('hour', timestamp) AS hour_start, band, {r('floor(score * 10) / 10.0')} AS quality_bucket, count(*) AS count,
+       CAST(sum(distance) AS BIGINT) AS sum_distance, {r('sum(kp_index)')} AS sum_kp, {r('sum(distance) / count(*)')} AS avg_distance,
+       {r('sum(kp_index) / count(*)')} AS avg_kp
+FROM silver GROUP BY 1, 2, 3""", "silver")
+_LABEL = ("CASE WHEN kp_index >= 7.0 THEN 'Severe Storm' WHEN kp_index >= 5.0 THEN 'Storm' WHEN kp_index >= 4.0 THEN 'Unsettled' "
+          "ELSE 'Quiet' END || CASE WHEN xray_long >= 1e-05 THEN ' + Radio Blackout' ELSE '' END")
+ORACLE["live_conditions"] = sql(f"""
+SELECT {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('observed_flux')} AS solar_flux, {r('xray_short')} AS xray_short,
+       {r('xray_long')} AS xray_long, {_LABEL} AS conditions
+FROM solar_latest ORDER BY time DESC, updated_at DESC LIMIT 1""", "solar_latest")
+ORACLE["live_enrich"] = sql(f"""
+SELECT p.timestamp, p.sender_call, p.receiver_call, p.band, p.snr, {r('c.kp_index')} AS kp_index, {r('c.ap_index')} AS ap_index,
+       {r('c.solar_flux')} AS solar_flux, {r('c.xray_short')} AS xray_short, {r('c.xray_long')} AS xray_long, c.conditions
+FROM pskr p LEFT JOIN (
+  SELECT date, hour(time) // 3 AS bucket, kp_index, ap_index, observed_flux AS solar_flux, xray_short, xray_long, {_LABEL} AS conditions
+  FROM solar_latest QUALIFY row_number() OVER (PARTITION BY date, hour(time) // 3 ORDER BY time DESC, updated_at DESC) = 1) c
+ON CAST(p.timestamp AS DATE) = c.date AND hour(p.timestamp) // 3 = c.bucket""", "pskr", "solar_latest")

@@ -253,10 +253,10 @@ def signature_sql(src: str, min_spots: int) -> str:
     return f"""
 SELECT substr(grid, 1, 4) AS tx_grid_4, substr(reporter_grid, 1, 4) AS rx_grid_4, band,
        CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
-       round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count,
-       round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
-       round(round(CAST(count(*) FILTER (WHERE snr > {K.RELIABLE_SNR_DB}) / count(*) AS DOUBLE), 9), 4) AS reliability,
-       round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
+       quantile_cont(snr, 0.5) AS median_snr, count(*) AS spot_count,
+       stddev_pop(snr) AS snr_std,
+       count(*) FILTER (WHERE snr > {K.RELIABLE_SNR_DB}) / count(*) AS reliability,
+       avg(sfi) AS avg_sfi, avg(kp) AS avg_kp,
        CAST(trunc(avg(distance)) AS BIGINT) AS avg_distance, CAST(trunc(avg(azimuth)) AS BIGINT) AS avg_azimuth
 FROM {src}
 WHERE distance >= {K.MIN_DISTANCE_KM} AND band IN ({BANDS})
@@ -328,15 +328,15 @@ _GEO = (f"{trunc_long(gc_km(lon4('tx_grid_4'), lat4('tx_grid_4'), lon4('rx_grid_
 add_cte("contest_sig", f"""
 SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
   CAST(CASE mode WHEN 'PH' THEN 10.0 WHEN 'RY' THEN 0.0 END AS DOUBLE) AS median_snr, count(*) AS spot_count,
-  CAST(0.0 AS DOUBLE) AS snr_std, CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
+  CAST(0.0 AS DOUBLE) AS snr_std, CAST(1.0 AS DOUBLE) AS reliability, avg(sfi) AS avg_sfi, avg(kp) AS avg_kp,
   {_GEO}
 FROM contest_es GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp), mode
 HAVING count(*) >= {K.CONTEST_MIN_SPOTS}""", ["contest_es"])
 
 add_cte("rbn_sig", f"""
 SELECT tx_grid_4, rx_grid_4, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month,
-  round(round(CAST(quantile_cont(snr, 0.5) AS DOUBLE), 9), 4) AS median_snr, count(*) AS spot_count, round(round(CAST(stddev_pop(snr) AS DOUBLE), 9), 4) AS snr_std,
-  CAST(1.0 AS DOUBLE) AS reliability, round(round(CAST(avg(sfi) AS DOUBLE), 9), 4) AS avg_sfi, round(round(CAST(avg(kp) AS DOUBLE), 9), 4) AS avg_kp,
+  quantile_cont(snr, 0.5) AS median_snr, count(*) AS spot_count, stddev_pop(snr) AS snr_std,
+  CAST(1.0 AS DOUBLE) AS reliability, avg(sfi) AS avg_sfi, avg(kp) AS avg_kp,
   {_GEO}
 FROM rbn_es GROUP BY tx_grid_4, rx_grid_4, band, hour(timestamp), month(timestamp)
 HAVING count(*) >= {K.RBN_MIN_SPOTS}""", ["rbn_es"])
@@ -384,3 +384,67 @@ SELECT callsign, 'reserved_prefix' AS flag_reason, CAST(0 AS BIGINT) AS max_dail
 FROM spots s WHERE (regexp_matches(callsign, '^Q') OR regexp_matches(callsign, '^[0-9]{{2}}'))
   AND NOT EXISTS (SELECT 1 FROM cg WHERE cg.callsign = s.callsign) {ex}
 GROUP BY callsign"""
+
+
+SIG_ROUNDED = ("tx_grid_4, rx_grid_4, band, hour, month, CAST(round(CAST(round(median_snr, 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS median_snr, spot_count, "
+               "CAST(round(CAST(round(snr_std, 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS snr_std, CAST(round(CAST(round(reliability, 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS reliability, "
+               "CAST(round(CAST(round(avg_sfi, 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS avg_sfi, CAST(round(CAST(round(avg_kp, 9) AS DECIMAL(38, 9)), 4) AS DOUBLE) AS avg_kp, avg_distance, avg_azimuth")
+
+add_cte("gold_base", f"""
+SELECT s.*, b.ssn, b.sfi, b.kp FROM spots s JOIN solar_bkt_max b
+  ON CAST(s.timestamp AS DATE) = b.sd AND hour(s.timestamp) // 3 = b.sb
+WHERE {in_window('s.timestamp')} AND s.snr BETWEEN -35 AND 25 AND s.distance BETWEEN 500 AND 18000
+  AND length(s.grid) >= 4 AND length(s.reporter_grid) >= 4""", ["spots", "solar_bkt_max"])
+
+SAMPLE_KEY = "concat_ws('|', CAST(epoch_us(timestamp) AS VARCHAR), callsign, reporter, grid, reporter_grid, CAST(id AS VARCHAR))"
+MIDLAT = ("(((ascii(substr(grid,2,1)) - 65) * 10 + (ascii(substr(grid,4,1)) - 48) + (ascii(substr(reporter_grid,2,1)) - 65) * 10"
+          " + (ascii(substr(reporter_grid,4,1)) - 48)) / CAST(2.0 AS DOUBLE) - 90 + 0.5)")
+
+add_cte("density", f"""
+SELECT CAST(CAST(trunc(ssn) AS BIGINT) // 20 AS INTEGER) AS ssn_bin, CAST(CAST(trunc({MIDLAT}) AS INTEGER) // 10 AS INTEGER) AS lat_bin,
+       count(*) AS cell_count
+FROM (SELECT * FROM gold_base WHERE band = {K.DENSITY_SAMPLE_BAND}
+      ORDER BY {hash_u32(SAMPLE_KEY)}, id LIMIT 2000)
+GROUP BY 1, 2""", ["gold_base"])
+
+add_cte("gold_cont", f"""
+SELECT id, snr, distance, band, CAST(hour(timestamp) AS INTEGER) AS hour, CAST(month(timestamp) AS INTEGER) AS month, azimuth,
+       grid AS tx_grid, reporter_grid AS rx_grid, ssn, sfi, kp, {MIDLAT} AS midpoint_lat, 1.0 / sqrt(cell) AS sampling_weight,
+       sfi * log10(CAST(greatest(distance, 1) AS DOUBLE)) AS sfi_dist_interact
+FROM (SELECT g.*, CAST(greatest(coalesce(d.cell_count, 0), 50) AS DOUBLE) AS cell,
+             ln(1e-18 + {hash_u32("concat_ws('|', CAST(epoch_us(timestamp) AS VARCHAR), grid, reporter_grid, CAST(id AS VARCHAR))")} / 4294967296.0)
+               * sqrt(CAST(greatest(coalesce(d.cell_count, 0), 50) AS DOUBLE)) AS es_key
+      FROM gold_base g LEFT JOIN density d
+        ON d.ssn_bin = CAST(CAST(trunc(g.ssn) AS BIGINT) // 20 AS INTEGER)
+       AND d.lat_bin = CAST(CAST(trunc({MIDLAT.replace('grid', 'g.grid').replace('reporter_g.grid', 'g.reporter_grid')}) AS INTEGER) // 10 AS INTEGER)
+      WHERE g.band IN ({BANDS}))
+QUALIFY row_number() OVER (PARTITION BY band ORDER BY es_key DESC, id) <= 200""", ["gold_base", "density"])
+
+add_cte("sig_pred", """
+SELECT CASE WHEN band % 2 = 0 THEN 'rbn' ELSE 'pskr' END AS source, tx_grid_4, rx_grid_4, band, hour, month,
+       median_snr AS actual_snr,
+       CASE WHEN month = 12 THEN 'DG' ELSE list_element(['FT8', 'CW', 'RTTY', 'SSB'], hour % 4 + 1) END AS actual_mode,
+       CAST(median_snr + ((band * 7 + hour * 3) % 11 - 5) AS DOUBLE) AS predicted_snr, avg_sfi, avg_kp
+FROM sig_v1""", ["sig_v1"])
+
+THRESHOLDS_VALUES = "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m}', '{f}', CAST({t} AS DOUBLE), '{d}')" for m, f, t, d in K.MODE_THRESHOLDS) + \
+    ") AS t(mode, family, threshold_db, description)"
+add_cte("thresholds", THRESHOLDS_VALUES, [])
+
+add_cte("scored", """
+SELECT p.*, 'wspr' AS profile, predicted_snr - actual_snr AS snr_error,
+       CAST(predicted_snr >= -20 AS INTEGER) AS ft8_viable, CAST(predicted_snr >= -10 AS INTEGER) AS cw_viable,
+       CAST(predicted_snr >= -5 AS INTEGER) AS rtty_viable, CAST(predicted_snr >= 5 AS INTEGER) AS ssb_viable,
+       CASE WHEN t.threshold_db IS NULL THEN NULL ELSE CAST(predicted_snr >= t.threshold_db AS INTEGER) END AS mode_hit
+FROM sig_pred p LEFT JOIN thresholds t ON t.mode = CASE p.actual_mode WHEN 'PH' THEN 'SSB' WHEN 'RY' THEN 'RTTY'
+                                                 ELSE p.actual_mode END""", ["sig_pred", "thresholds"])
+
+add_cte("qt_paths", f"""
+SELECT CAST(coalesce(o.off, 0) + q.rn AS BIGINT) AS path_id, q.* FROM (
+  SELECT *, row_number() OVER (PARTITION BY band ORDER BY h, tx_grid_4, rx_grid_4, hour, month) AS rn FROM (
+    SELECT *, {hash_u32("concat_ws('|', 'quality-test', tx_grid_4, rx_grid_4, CAST(band AS VARCHAR), CAST(hour AS VARCHAR), CAST(month AS VARCHAR))")} AS h
+    FROM sig_v1 WHERE spot_count > 8)
+  QUALIFY rn <= 40) q
+LEFT JOIN (SELECT band, sum(c) OVER (ORDER BY band ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS off FROM (
+    SELECT band, least(count(*), 40) AS c FROM sig_v1 WHERE spot_count > 8 GROUP BY band)) o ON o.band = q.band""", ["sig_v1"])

@@ -278,3 +278,38 @@ def pskr_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "click", "FT4").when(F.col("event_type") == "view", "CW").otherwise("FT8").alias("mode"),
         (F.col("value").cast("int") % 50 - 30).alias("snr"),
     )
+
+
+def predictions(sig: DataFrame) -> DataFrame:
+    """Model predictions for signatures: an offset in -5..+5 dB by band and
+    hour; the observed mode follows the hour (FT8, CW, RTTY, SSB) and December
+    paths carry the contest 'DG' mode, which has no threshold."""
+    modes = F.array(*[F.lit(m) for m in ["FT8", "CW", "RTTY", "SSB"]])
+    return sig.select(
+        F.lit("00000000-0000-0000-0000-000000000001").alias("run_id"),
+        F.lit("v1").alias("model_version"),
+        F.when(F.col("band") % 2 == 0, "rbn").otherwise("pskr").alias("source"),
+        "tx_grid_4", "rx_grid_4", "band", "hour", "month",
+        F.col("avg_distance").alias("distance_km"), F.col("avg_azimuth").alias("azimuth"),
+        F.col("median_snr").alias("actual_snr"),
+        F.when(F.col("month") == 12, "DG").otherwise(F.element_at(modes, F.col("hour") % 4 + 1)).alias("actual_mode"),
+        (F.col("median_snr") + ((F.col("band") * 7 + F.col("hour") * 3) % 11 - 5)).cast("double").alias("predicted_snr"),
+        "avg_sfi", "avg_kp")
+
+
+def step_i_paths(spots_df: DataFrame) -> DataFrame:
+    """Contest-style path predictions of two models for the same paths (one row
+    per 8-value path key)."""
+    from skywave.functions.bands import band_freq_mhz
+    from skywave.functions.grid import has_valid_field, maidenhead_lat, maidenhead_lon
+    s = spots_df.where(has_valid_field("grid") & has_valid_field("reporter_grid"))
+    g = s.groupBy(maidenhead_lat("grid").alias("tx_lat"), maidenhead_lon("grid").alias("tx_lon"),
+                  maidenhead_lat("reporter_grid").alias("rx_lat"), maidenhead_lon("reporter_grid").alias("rx_lon"),
+                  band_freq_mhz("band").alias("freq_mhz"), F.year("timestamp").alias("year"),
+                  F.month("timestamp").alias("month"), F.hour("timestamp").alias("hour_utc")).agg(
+        F.avg("snr").alias("ionis_snr"), (F.avg("power") - 35.0).alias("voacap_snr"))
+    mode = F.element_at(F.array(F.lit("CW"), F.lit("PH"), F.lit("RY")), (F.col("year") + F.col("month") + F.col("hour_utc")) % 3 + 1)
+    threshold = F.when(mode == "CW", -10.0).when(mode == "PH", 5.0).otherwise(-5.0)
+    return (g.withColumn("mode", mode).withColumn("threshold", threshold).withColumn("ssn", F.lit(0.0))
+             .withColumn("band_open", (F.col("ionis_snr") >= F.col("threshold")).cast("int"))
+             .withColumn("voacap_band_open", (F.col("voacap_snr") >= F.col("threshold")).cast("int")))
