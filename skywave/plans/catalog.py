@@ -527,3 +527,59 @@ def live_enrich(spark, sf):
     cond = features.conditions_by_bucket(solar.solar_latest(fx.solar_raw(spark, sf)))
     p = fx.pskr_spots(spark, sf).select("timestamp", "sender_call", "receiver_call", "band", "snr")
     return features.enrich_with_conditions(p, cond)
+
+
+# ---------------------------------------------------------------- streaming (each equals its batch twin)
+def _stream_dirs(spark, name):
+    from skywave.session import scratch_path
+    base = scratch_path(spark, name)
+    return {k: f"{base}/{k}" for k in ("src", "out", "log", "ckpt")}
+
+
+@register("pskr_ingest")
+def pskr_ingest(spark, sf):
+    """PSK Reporter spots written as gzip JSONL files, ingested by the file
+    stream (availableNow, one file per micro-batch) into bronze."""
+    from skywave.streaming import ingest
+    d = _stream_dirs(spark, "pskr-ingest")
+    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    ingest.ingest_pskr(spark, d["src"], d["out"], d["log"], d["ckpt"])
+    return ingest.read_bronze(spark, d["out"])
+
+
+@register("stream_ingest_log")
+def stream_ingest_log(spark, sf):
+    """The ingest log of the stream: one row per file, rows loaded."""
+    from skywave.streaming import ingest
+    d = _stream_dirs(spark, "pskr-log")
+    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    ingest.ingest_pskr(spark, d["src"], d["out"], d["log"], d["ckpt"])
+    return ingest.read_log(spark, d["log"]).agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"))
+
+
+@register("stream_quality")
+def stream_quality(spark, sf):
+    """Hourly quality rollup maintained by a stream over silver files arriving
+    in time order (four files)."""
+    from skywave.sources.schemas import SILVER
+    from skywave.streaming import rollups
+    d = _stream_dirs(spark, "quality")
+    sil = fx.silver(spark, sf)
+    hour = F.floor(F.unix_seconds("timestamp") / 3600)
+    lo_hi = sil.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi")).first()
+    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
+    step = max(1, (hi - lo + 4) // 4)
+    for i in range(4):   # files land in event-time order, as a collector writes them
+        part = sil.where((hour >= lo + i * step) & (hour < lo + (i + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(d["src"])
+    rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"])
+    return rollups.read_quality_rollup(spark, d["out"])
+
+
+@register("stream_spots_daily")
+def stream_spots_daily(spark, sf):
+    from skywave.streaming import ingest, rollups
+    d = _stream_dirs(spark, "spots-daily")
+    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"])
+    return rollups.read_spots_daily(spark, d["out"])

@@ -359,3 +359,7 @@ FROM pskr p LEFT JOIN (
   SELECT date, hour(time) // 3 AS bucket, kp_index, ap_index, observed_flux AS solar_flux, xray_short, xray_long, {_LABEL} AS conditions
   FROM solar_latest QUALIFY row_number() OVER (PARTITION BY date, hour(time) // 3 ORDER BY time DESC, updated_at DESC) = 1) c
 ON CAST(p.timestamp AS DATE) = c.date AND hour(p.timestamp) // 3 = c.bucket""", "pskr", "solar_latest")
+
+ORACLE["pskr_ingest"] = sql("SELECT * FROM pskr", "pskr")
+ORACLE["stream_quality"] = ORACLE["quality_distribution"]
+ORACLE["stream_ingest_log"] = "SELECT CAST(4 AS BIGINT) AS files, count(*) AS rows FROM events"
