@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skywave import constants as K
 from skywave.functions.grid import grid4
-from skywave.operators.tables import bounded_broadcast
+from skywave.operators.tables import bounded_broadcast, materialize
 
 FLAG_COLUMNS = ["callsign", "flag_reason", "flag_date", "daily_grids", "total_spots"]
 V1_COLUMNS = ["callsign", "flag_reason", "max_daily_grids", "total_spots", "total_grids", "first_seen", "last_seen"]
@@ -43,7 +43,8 @@ def velocity_day(spots: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) ->
 
 
 def _callsign_set(df: DataFrame, col: str = "callsign", name: str = "callsigns") -> DataFrame:
-    return bounded_broadcast(df.select(F.col(col).alias("__x")).distinct(), MAX_BROADCAST_CALLSIGNS, name)
+    return bounded_broadcast(df.select(F.col(col).alias("__x")).distinct(), MAX_BROADCAST_CALLSIGNS, name,
+                             materialize=False)
 
 
 def type2_telemetry(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
@@ -64,7 +65,7 @@ def type2_telemetry(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None =
 def balloon_flags_v2(spots: DataFrame, cg: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
     """Velocity days, then type-2 telemetry (a later category skips callsigns
     of the earlier one)."""
-    vd = velocity_day(spots, threshold)
+    vd = materialize(velocity_day(spots, threshold))
     t2 = type2_telemetry(spots, cg, flagged=vd)
     return vd.unionByName(t2).select(*FLAG_COLUMNS)
 
@@ -160,8 +161,8 @@ def reserved_prefix_v1(spots: DataFrame, cg: DataFrame, flagged: DataFrame | Non
 
 
 def balloon_flags_v1(spots: DataFrame, cg: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
-    vt = velocity_tier_v1(spots, threshold)
-    t2 = type2_telemetry_v1(spots, cg, flagged=vt)
+    vt = materialize(velocity_tier_v1(spots, threshold))
+    t2 = materialize(type2_telemetry_v1(spots, cg, flagged=vt))
     done = vt.select("callsign").unionByName(t2.select("callsign"))
     rp = reserved_prefix_v1(spots, cg, flagged=done)
     return vt.unionByName(t2).unionByName(rp).select(*V1_COLUMNS)

@@ -5,9 +5,10 @@ Exact top-k per group
 ---------------------
 ``top_k`` keeps the k best rows of each group by an order column.
 
-* k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000): a
-  ``row_number`` filter, which Spark plans with a partial WindowGroupLimit
-  before the shuffle -- every map task forwards at most k rows per group.
+* k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (set to 100K by
+  ``skywave.session``): a ``row_number`` filter, which Spark plans with a
+  partial WindowGroupLimit before the shuffle -- every map task forwards at
+  most k rows per group.
 * larger k (the reference's 200K per cell, 1M per band, 10M density rows):
   1. one aggregation per group: row count and approximate quantiles of the
      order column on a 2^-j grid -> a per-group cut that leaves ~1.1k..2.2k
@@ -41,6 +42,7 @@ _PCTS = [2.0 ** -j for j in range(1, 31)]
 
 
 def _window_limit_threshold(spark) -> int:
+    """k up to which the optimizer adds the partial WindowGroupLimit."""
     return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 

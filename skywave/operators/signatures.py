@@ -19,7 +19,7 @@ from skywave.functions.geo import azimuth_deg, great_circle_km
 from skywave.functions.grid import grid4, maidenhead_lat, maidenhead_lon
 from skywave.operators.callsigns import enrich_endpoints
 from skywave.operators.solar import attach_solar
-from skywave.operators.tables import bounded_broadcast
+from skywave.operators.tables import bounded_broadcast, materialize
 from skywave.sources.schemas import SIGNATURE_COLUMNS
 
 MAX_BROADCAST_FLAGS = 5_000_000
@@ -87,11 +87,12 @@ def exclude_flagged(spots: DataFrame, flags: DataFrame, rx_type2: bool = True, r
     """Drop spots of type-2 telemetry callsigns (TX, and RX when ``rx_type2``)
     and of (callsign, date) velocity flight days (TX; RX with ``rx_velocity``).
     Left-anti joins against broadcast flag sets (the reference's NOT IN)."""
+    flags = materialize(flags.select("callsign", "flag_reason", "flag_date"))
     t2 = flags.where(F.col("flag_reason") == "type2_telemetry").select(F.col("callsign").alias("__fc")).distinct()
     vd = flags.where(F.col("flag_reason") == "velocity_day").select(
         F.col("callsign").alias("__vc"), F.col("flag_date").alias("__vd")).distinct()
-    t2 = bounded_broadcast(t2, max_broadcast_rows, "type2 flags")
-    vd = bounded_broadcast(vd, max_broadcast_rows, "velocity flags")
+    t2 = bounded_broadcast(t2, max_broadcast_rows, "type2 flags", materialize=False)
+    vd = bounded_broadcast(vd, max_broadcast_rows, "velocity flags", materialize=False)
     out = spots.join(t2, F.col("callsign") == F.col("__fc"), "left_anti")
     if rx_type2:
         out = out.join(t2, F.col("reporter") == F.col("__fc"), "left_anti")

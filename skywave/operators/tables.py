@@ -34,12 +34,16 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence, desc
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension") -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension", materialize: bool = True) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The bound is checked with a ``limit(max_rows + 1).count()`` (a cheap job on
-    a dimension).  Above the bound the DataFrame is returned unchanged, so the
-    join stays a shuffle join (sort-merge, with AQE skew splitting)."""
+    The dimension is first written to the shared checkpoint folder (computed
+    once, lineage cut, survives executor loss); the bound is then checked with
+    a ``limit(max_rows + 1).count()`` over that copy.  Above the bound the
+    DataFrame is returned unbroadcast, so the join stays a shuffle join
+    (sort-merge, with AQE skew splitting)."""
+    if materialize:
+        df = df.checkpoint(eager=True)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)
@@ -47,6 +51,13 @@ def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension") ->
     return df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a derived table reused by later steps to the shared checkpoint
+    folder (reliable checkpoint: computed once, lineage cut, survives executor
+    loss).  Used for the reference's intermediate tables (flags, dimensions)."""
+    return df.checkpoint(eager=True)
+
+
 class RowGateError(RuntimeError):
     pass
 

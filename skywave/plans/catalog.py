@@ -41,19 +41,26 @@ def _flags(spark, sf):
     return flags.balloon_flags_v2(s, callsigns.callsign_grid(s))
 
 
-def _contest_sig(spark, sf):
-    return signatures.contest_signatures(fx.contest_raw(spark, sf), _cg(spark, sf), fx.solar_raw(spark, sf),
-                                         window=FIXTURE_WINDOW)
+def _contest_sig(spark, sf, cg=None):
+    cg = _cg(spark, sf) if cg is None else cg
+    return signatures.contest_signatures(fx.contest_raw(spark, sf), cg, fx.solar_raw(spark, sf), window=FIXTURE_WINDOW)
 
 
-def _rbn_sig(spark, sf):
-    return signatures.rbn_signatures(fx.rbn_raw(spark, sf), _cg(spark, sf), fx.solar_raw(spark, sf),
-                                     window=FIXTURE_WINDOW)
+def _rbn_sig(spark, sf, cg=None):
+    cg = _cg(spark, sf) if cg is None else cg
+    return signatures.rbn_signatures(fx.rbn_raw(spark, sf), cg, fx.solar_raw(spark, sf), window=FIXTURE_WINDOW)
 
 
-def _v2(spark, sf):
+def _v2(spark, sf, cg=None):
     s = _spots(spark, sf)
-    return signatures.wspr_signatures_v2(s, fx.solar_raw(spark, sf), flags.balloon_flags_v2(s, callsigns.callsign_grid(s)))
+    cg = callsigns.callsign_grid(s) if cg is None else cg
+    return signatures.wspr_signatures_v2(s, fx.solar_raw(spark, sf), flags.balloon_flags_v2(s, cg))
+
+
+def _union(spark, sf):
+    cg = tables.materialize(_cg(spark, sf))   # the shared dimension, built once
+    return signatures.union_signatures(wspr=_v2(spark, sf, cg), contest=_contest_sig(spark, sf, cg),
+                                       rbn=_rbn_sig(spark, sf, cg))
 
 
 # ---------------------------------------------------------------- scans
@@ -327,12 +334,12 @@ def coverage_metrics(spark, sf):
 
 @register("signature_union")
 def signature_union(spark, sf):
-    return signatures.union_signatures(wspr=_v2(spark, sf), contest=_contest_sig(spark, sf), rbn=_rbn_sig(spark, sf))
+    return _union(spark, sf)
 
 
 @register("rows_by_band")
 def rows_by_band(spark, sf):
-    u = signatures.union_signatures(wspr=_v2(spark, sf), contest=_contest_sig(spark, sf), rbn=_rbn_sig(spark, sf))
+    u = _union(spark, sf)
     return u.groupBy("source", "band").agg(F.count(F.lit(1)).alias("rows"))
 
 

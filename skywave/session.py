@@ -19,6 +19,13 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Exact top-k up to 100K rows per group runs as one window job with a
+    # partial per-task WindowGroupLimit before the shuffle (skywave top_k).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
+    # Exact percentile buffers hold at most a few hundred (value, count) pairs
+    # (SNR is a small integer); keep up to 16K groups per task in the hash map
+    # before the sort-based fallback (~32 MB worst case per task).
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -38,6 +45,7 @@ def get_session(master: str | None = None, app: str = "skywave", shuffle_partiti
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)
+    checkpoint_root(spark)
     return spark
 
 
@@ -53,11 +61,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     storage every executor can reach).  Only when the session has none, as in
     local tests, a fresh scratch folder is created and registered.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="skywave-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root) if not spark.sparkContext.getCheckpointDir() else None
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
