@@ -211,7 +211,7 @@ def coverage_metrics(sig: DataFrame) -> DataFrame:
     """Same-grid signatures and the share with solar data attached."""
     return sig.agg(F.count(F.lit(1)).alias("signatures"),
                    F.count_if(F.col("tx_grid_4") == F.col("rx_grid_4")).alias("same_grid"),
-                   F.round(F.count_if(F.col("avg_sfi") > 0) * 100.0 / F.count(F.lit(1)), 1).alias("solar_pct"))
+                   F.round(F.try_divide(F.count_if(F.col("avg_sfi") > 0) * 100.0, F.count(F.lit(1))), 1).alias("solar_pct"))
 
 
 def signature_delta(v1: DataFrame, v2: DataFrame) -> DataFrame:
@@ -219,7 +219,7 @@ def signature_delta(v1: DataFrame, v2: DataFrame) -> DataFrame:
     u = v1.select(F.lit(1).alias("v")).unionByName(v2.select(F.lit(2).alias("v")))
     return (u.agg(F.count_if(F.col("v") == 1).alias("v1_rows"), F.count_if(F.col("v") == 2).alias("v2_rows"))
              .withColumn("removed", F.col("v1_rows") - F.col("v2_rows"))
-             .withColumn("removed_pct", F.round(F.col("removed") * 100.0 / F.col("v1_rows"), 3)))
+             .withColumn("removed_pct", F.round(F.try_divide(F.col("removed") * 100.0, F.col("v1_rows")), 3)))
 
 
 def rows_by_band(df: DataFrame) -> DataFrame:

@@ -571,14 +571,8 @@ def stream_quality(spark, sf):
     from skywave.sources.schemas import SILVER
     from skywave.streaming import rollups
     d = _stream_dirs(spark, "quality")
-    sil = fx.silver(spark, sf)
-    hour = F.floor(F.unix_seconds("timestamp") / 3600)
-    lo_hi = sil.agg(F.min(hour).alias("lo"), F.max(hour).alias("hi")).first()
-    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
-    step = max(1, (hi - lo + 4) // 4)
-    for i in range(4):   # files land in event-time order, as a collector writes them
-        part = sil.where((hour >= lo + i * step) & (hour < lo + (i + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(d["src"])
+    from skywave.streaming.ingest import write_time_ordered
+    write_time_ordered(fx.silver(spark, sf), d["src"], files=4, fmt="parquet")   # files land in event-time order
     rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"])
     return rollups.read_quality_rollup(spark, d["out"])
 

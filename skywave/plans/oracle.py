@@ -163,7 +163,7 @@ UNION ALL SELECT * FROM ({reserved_sql(['v1_velocity', 'v1_type2'])})""", "spots
 
 ORACLE["signatures_v2"] = sql(f"SELECT {SIG_ROUNDED} FROM sig_v2", "sig_v2")
 ORACLE["signature_delta"] = sql("""
-SELECT a.n AS v1_rows, b.n AS v2_rows, a.n - b.n AS removed, CAST(round(CAST((a.n - b.n) * 100.0 / a.n AS DECIMAL(38, 9)), 3) AS DOUBLE) AS removed_pct
+SELECT a.n AS v1_rows, b.n AS v2_rows, a.n - b.n AS removed, CAST(round(CAST((a.n - b.n) * 100.0 / NULLIF(a.n, 0) AS DECIMAL(38, 9)), 3) AS DOUBLE) AS removed_pct
 FROM (SELECT count(*) AS n FROM sig_v1) a, (SELECT count(*) AS n FROM sig_v2) b""", "sig_v1", "sig_v2")
 ORACLE["enrich_endpoints"] = sql("""
 SELECT c.timestamp, c.band, c.mode, c.call_1, c.call_2, t.grid_4 AS tx_grid_4, x.grid_4 AS rx_grid_4
@@ -187,7 +187,7 @@ SELECT {r('CAST(round(CAST(quantile_cont(median_snr, 0.1) AS DECIMAL(38, 9)), 1)
        {r('CAST(round(CAST(quantile_cont(median_snr, 0.9) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS p90 FROM rbn_sig""", "rbn_sig")
 ORACLE["coverage_metrics"] = sql(f"""
 SELECT count(*) AS signatures, count(*) FILTER (WHERE tx_grid_4 = rx_grid_4) AS same_grid,
-       {r('CAST(round(CAST(count(*) FILTER (WHERE avg_sfi > 0) * 100.0 / count(*) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS solar_pct FROM rbn_sig""", "rbn_sig")
+       {r('CAST(round(CAST(count(*) FILTER (WHERE avg_sfi > 0) * 100.0 / NULLIF(count(*), 0) AS DECIMAL(38, 9)), 1) AS DOUBLE)')} AS solar_pct FROM rbn_sig""", "rbn_sig")
 ORACLE["signature_union"] = sql(f"SELECT {SIG_ROUNDED}, source FROM sig_union", "sig_union")
 ORACLE["rows_by_band"] = sql("SELECT source, band, count(*) AS rows FROM sig_union GROUP BY 1, 2", "sig_union")
 ORACLE["dxpedition_paths"] = sql("SELECT * FROM dx_paths", "dx_paths")

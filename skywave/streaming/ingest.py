@@ -21,10 +21,26 @@ from skywave.sources import schemas
 JSON_TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def write_time_ordered(df: DataFrame, path: str, files: int = 4, fmt: str = "json", ts_col: str = "timestamp") -> None:
+    """Write ``df`` as ``files`` files covering consecutive event-time ranges,
+    one after the other -- the way a collector rotates its output -- so a
+    file stream sees them in event-time order (fixture / export helper)."""
+    sec = F.unix_seconds(F.col(ts_col))
+    lo_hi = df.agg(F.min(sec).alias("lo"), F.max(sec).alias("hi")).first()
+    lo, hi = int(lo_hi["lo"]), int(lo_hi["hi"])
+    step = max(1, (hi - lo) // files + 1)
+    for i in range(files):
+        part = df.where((sec >= lo + i * step) & (sec < lo + (i + 1) * step)).coalesce(1)
+        w = part.write.mode("append")
+        if fmt == "json":
+            w.option("compression", "gzip").option("timestampFormat", JSON_TS_FORMAT).json(path)
+        else:
+            w.parquet(path)
+
+
 def write_jsonl_gz(df: DataFrame, path: str, files: int = 4) -> None:
-    """Write rows as gzip-compressed JSON lines (fixture / export helper)."""
-    (df.repartition(files).write.mode("overwrite").option("compression", "gzip")
-       .option("timestampFormat", JSON_TS_FORMAT).json(path))
+    """Write rows as gzip-compressed JSON lines in event-time order."""
+    write_time_ordered(df, path, files, "json")
 
 
 def pskr_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
