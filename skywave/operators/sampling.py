@@ -17,8 +17,10 @@ Exact top-k per group
      size) are written to the shared checkpoint folder; every group must keep
      min(k, n) rows, a group that falls short (quantile error) loses its cut,
      so the result stays exact;
-  3. exact ``row_number`` over the candidates of each group.
-  No task ever sorts more than ~2.2k rows of a group, whatever the input size.
+  3. exact rank over the candidates: value-range buckets of ~1M rows (at
+     approximate quantiles; ties never straddle a boundary), bucket offsets
+     from a tiny cumulative count, rank = offset + row_number in the bucket.
+  No task sorts more than ~``bucket_rows`` rows, whatever the input or k.
 """
 
 from __future__ import annotations
@@ -51,8 +53,33 @@ def _rank(df: DataFrame, k: int, groups, tie_cols) -> DataFrame:
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
+def _bucketed_rank(cand: DataFrame, k: int, groups, tie_cols, bucket_rows: int, accuracy: int) -> DataFrame:
+    """Exact rank without one task per group: candidates are split into
+    value-range buckets at approximate quantiles of the order column (ties stay
+    in one bucket: bucket = number of boundaries strictly below the value);
+    a bucket's offset is the row count of the group's earlier buckets (a tiny
+    table), rank = offset + row_number inside the bucket."""
+    sizes = cand.groupBy(*groups).agg(F.count(F.lit(1)).alias("__c"))
+    nb = int(max(1, math.ceil(sizes.agg(F.max("__c")).first()[0] / float(bucket_rows))))
+    if nb == 1:
+        return _rank(cand, k, groups, tie_cols)
+    pcts = [i / nb for i in range(1, nb)]
+    bounds = cand.groupBy(*groups).agg(F.percentile_approx("__o", pcts, accuracy).alias("__bounds"))
+    x = cand.join(F.broadcast(bounds), groups, "inner") if groups else \
+        cand.withColumn("__bounds", F.array(*[F.lit(v) for v in bounds.first()["__bounds"]]))
+    x = x.withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__o")))).drop("__bounds")
+    x = x.checkpoint(eager=True)
+    counts = x.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__bc"))
+    wo = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.withColumn("__off", F.coalesce(F.sum("__bc").over(wo), F.lit(0))).where(F.col("__off") < k)
+    y = x.join(F.broadcast(offs.select(*groups, "__b", "__off")), groups + ["__b"], "inner")
+    wr = Window.partitionBy(*groups, "__b").orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
+    y = y.withColumn("sample_rank", F.col("__off") + F.row_number().over(wr)).where(F.col("sample_rank") <= k)
+    return y.drop("__b", "__off")
+
+
 def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group_cols: Sequence[str] = (),
-          tie_cols: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
+          tie_cols: Sequence[str] = (), accuracy: int = 100_000, bucket_rows: int = 1_000_000) -> DataFrame:
     """The k first rows of each group ordered by ``order_col`` (then ``tie_cols``),
     exact, with a ``sample_rank`` column; see the module notes for the plan."""
     groups = list(group_cols)
@@ -66,29 +93,32 @@ def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group
                                    F.percentile_approx("__o", _PCTS, accuracy).alias("__q"))
     j = F.least(F.floor(F.log2(F.col("__n") / F.lit(float(need)))), F.lit(len(_PCTS))).cast("int")
     cuts = stats.select(*groups, "__n", F.when(j >= 1, F.element_at("__q", j)).alias("__cut"))
-    cuts = bounded_broadcast(cuts, MAX_GROUPS, "top-k cuts")
+    if groups:
+        cuts = bounded_broadcast(cuts, MAX_GROUPS, "top-k cuts")
+    else:
+        one = cuts.first()                      # one scalar per query: the cut and the row count
+        cut0, n0 = one["__cut"], one["__n"]
 
     def candidates(c):
-        joined = x.join(c, groups, "inner") if groups else _attach_single(x, c)
-        kept = joined.where(F.col("__cut").isNull() | (F.col("__o") <= F.col("__cut")))
+        if groups:
+            kept = x.join(c, groups, "inner").where(F.col("__cut").isNull() | (F.col("__o") <= F.col("__cut")))
+        else:
+            kept = x.withColumn("__n", F.lit(n0)) if c is None else \
+                x.where(F.col("__o") <= F.lit(c)).withColumn("__n", F.lit(n0))
         return kept.checkpoint(eager=True)   # bounded (~2.2k rows per group); reliable, in the shared folder
 
-    cand = candidates(cuts)
+    cand = candidates(cuts if groups else cut0)
     counts = cand.groupBy(*groups, "__n").agg(F.count(F.lit(1)).alias("__m"))
     short = counts.where(F.col("__m") < F.least(F.col("__n"), F.lit(k))).select(*groups).limit(MAX_GROUPS).collect()
-    if short:
+    if short or (not groups and cand.limit(1).count() == 0 and n0):
         if groups:
             bad = F.struct(*groups).isin([F.struct(*[F.lit(r[g]) for g in groups]) for r in short])
             cuts = cuts.withColumn("__cut", F.when(bad, F.lit(None).cast("double")).otherwise(F.col("__cut")))
+            cand = candidates(cuts)
         else:
-            cuts = cuts.withColumn("__cut", F.lit(None).cast("double"))
-        cand = candidates(cuts)
-    return _rank(cand, k, groups, tie_cols).drop("__o", "__n", "__q", "__cut")
-
-
-def _attach_single(left: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row frame (no group keys) via a constant key."""
-    return left.withColumn("__one", F.lit(1)).join(one_row.withColumn("__one", F.lit(1)), "__one").drop("__one")
+            cand = candidates(None)
+    ranked = _bucketed_rank(cand, k, groups, tie_cols, bucket_rows, accuracy)
+    return ranked.drop("__o", "__n", "__q", "__cut")
 
 
 def sample_key_cols() -> list[Column]:
