@@ -88,11 +88,12 @@ def exclude_flagged(spots: DataFrame, flags: DataFrame, rx_type2: bool = True, r
     and of (callsign, date) velocity flight days (TX; RX with ``rx_velocity``).
     Left-anti joins against broadcast flag sets (the reference's NOT IN)."""
     flags = materialize(flags.select("callsign", "flag_reason", "flag_date"))
+    small = flags.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows   # bounds both subsets
     t2 = flags.where(F.col("flag_reason") == "type2_telemetry").select(F.col("callsign").alias("__fc")).distinct()
     vd = flags.where(F.col("flag_reason") == "velocity_day").select(
         F.col("callsign").alias("__vc"), F.col("flag_date").alias("__vd")).distinct()
-    t2 = bounded_broadcast(t2, max_broadcast_rows, "type2 flags", materialize=False)
-    vd = bounded_broadcast(vd, max_broadcast_rows, "velocity flags", materialize=False)
+    if small:
+        t2, vd = F.broadcast(t2), F.broadcast(vd)
     out = spots.join(t2, F.col("callsign") == F.col("__fc"), "left_anti")
     if rx_type2:
         out = out.join(t2, F.col("reporter") == F.col("__fc"), "left_anti")

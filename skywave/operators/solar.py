@@ -52,7 +52,7 @@ def join_solar_raw(spots: DataFrame, solar: DataFrame, ts_col: str = "timestamp"
     sol = solar_latest(solar).select(
         F.col("date").alias("__sd"), solar_bucket("time").alias("__sb"),
         F.col("observed_flux").alias("sfi"), F.col("kp_index").alias("kp"), F.col("ssn").alias("ssn"))
-    sol = bounded_broadcast(sol, MAX_SOLAR_BUCKET_ROWS * 4, "solar readings")
+    sol = bounded_broadcast(sol, MAX_SOLAR_BUCKET_ROWS * 4, "solar readings", materialize=False)
     j = _spot_keys(spots, ts_col).join(sol, (F.col("__d") == F.col("__sd")) & (F.col("__b") == F.col("__sb")), "left")
     j = j.drop("__d", "__b", "__sd", "__sb")
     if zero_fill:
@@ -65,7 +65,8 @@ def join_solar_bucketed(spots: DataFrame, solar: DataFrame, ts_col: str = "times
     """Join spots to the one-row-per-bucket table (gold builds use ``inner``
     with max; signatures use ``left`` with the bucket average)."""
     b = solar_buckets(solar, agg).withColumnRenamed("date", "__sd").withColumnRenamed("bucket", "__sb")
-    b = bounded_broadcast(b, MAX_SOLAR_BUCKET_ROWS, "solar buckets")
+    # cheap to recompute (one pass over the small solar table): checked, not stored
+    b = bounded_broadcast(b, MAX_SOLAR_BUCKET_ROWS, "solar buckets", materialize=False)
     j = _spot_keys(spots, ts_col).join(b, (F.col("__d") == F.col("__sd")) & (F.col("__b") == F.col("__sb")), how)
     j = j.drop("__d", "__b", "__sd", "__sb")
     if how == "left" and zero_fill:

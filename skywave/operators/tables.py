@@ -3,6 +3,7 @@ schema contract checks and inventories."""
 
 from __future__ import annotations
 
+import contextlib
 import logging
 from collections.abc import Sequence
 
@@ -34,6 +35,38 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence, desc
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+# Within one query build, identical derived tables (same analyzed plan) are
+# written once: e.g. the solar bucket table used by two joins of one query.
+_MEMO: dict | None = None
+
+
+@contextlib.contextmanager
+def memo_scope():
+    global _MEMO
+    outer, _MEMO = _MEMO, ({} if _MEMO is None else _MEMO)
+    try:
+        yield
+    finally:
+        _MEMO = outer
+
+
+def _plan_key(df: DataFrame):
+    try:
+        return int(df._jdf.queryExecution().analyzed().semanticHash())
+    except Exception:  # noqa: BLE001  (e.g. Spark Connect: no memo)
+        return None
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    key = _plan_key(df) if _MEMO is not None else None
+    if key is not None and key in _MEMO:
+        return _MEMO[key]
+    out = df.checkpoint(eager=True)
+    if key is not None:
+        _MEMO[key] = out
+    return out
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension", materialize: bool = True) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
@@ -43,7 +76,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension", mat
     DataFrame is returned unbroadcast, so the join stays a shuffle join
     (sort-merge, with AQE skew splitting)."""
     if materialize:
-        df = df.checkpoint(eager=True)
+        df = _checkpoint(df)
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df)
@@ -55,7 +88,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a derived table reused by later steps to the shared checkpoint
     folder (reliable checkpoint: computed once, lineage cut, survives executor
     loss).  Used for the reference's intermediate tables (flags, dimensions)."""
-    return df.checkpoint(eager=True)
+    return _checkpoint(df)
 
 
 class RowGateError(RuntimeError):

@@ -35,9 +35,11 @@ def register(name: str, rounded: bool = True):
             raise ValueError(f"duplicate query {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from skywave.operators.tables import memo_scope
             from skywave.session import ensure_utc
             ensure_utc(spark)
-            out = fn(spark, sf_dir)
+            with memo_scope():
+                out = fn(spark, sf_dir)
             return finalize(out) if rounded else out
 
         run.__name__ = fn.__name__

@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
-from oracle_check import duck, normalize  # noqa: E402
+from oracle_check import duck, normalize, type_diff  # noqa: E402
 
 QUERIES = E.queries()
 ORACLE = E.oracle_sql()
@@ -34,7 +34,9 @@ def test_entry_runs(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, con, name):
-    sp = QUERIES[name](spark, SF_SMALL).toPandas()
+    sdf = QUERIES[name](spark, SF_SMALL)
+    assert type_diff(sdf, con, ORACLE[name]) == {}
+    sp = sdf.toPandas()
     dk = con.execute(ORACLE[name]).df()
     assert sorted(sp.columns) == sorted(dk.columns)
     a, b = normalize(sp), normalize(dk)
