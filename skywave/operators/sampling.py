@@ -38,6 +38,7 @@ from skywave.functions.hashing import hash_u, hash_u32
 from skywave.functions.solar import kp_penalty, ssn_from_sfi, ssn_quintile
 from skywave.operators.solar import join_solar_bucketed
 from skywave.operators.tables import bounded_broadcast
+from skywave.sources.sinks import window_filter
 
 MAX_GROUPS = 100_000
 _PCTS = [2.0 ** -j for j in range(1, 31)]
@@ -135,15 +136,14 @@ def training_filter(spots: DataFrame, window=K.GOLD_WINDOW, snr_range=K.GOLD_SNR
                     distance_range=K.GOLD_DISTANCE_RANGE) -> DataFrame:
     """Half-open date window, inclusive SNR and distance ranges, both grids
     at least 4 characters."""
-    start, end = window
-    return spots.where((F.col("timestamp") >= F.lit(start).cast("timestamp")) & (F.col("timestamp") < F.lit(end).cast("timestamp"))
-                       & F.col("snr").between(*snr_range) & F.col("distance").between(*distance_range)
-                       & (F.length("grid") >= 4) & (F.length("reporter_grid") >= 4))
+    return window_filter(spots, window).where(
+        F.col("snr").between(*snr_range) & F.col("distance").between(*distance_range)
+        & (F.length("grid") >= 4) & (F.length("reporter_grid") >= 4))
 
 
 def _gold_base(spots: DataFrame, solar: DataFrame, window) -> DataFrame:
-    s = training_filter(spots.select("id", "timestamp", "callsign", "reporter", "grid", "reporter_grid", "snr",
-                                     "distance", "band", "azimuth"), window)
+    s = training_filter(spots, window).select("id", "timestamp", "callsign", "reporter", "grid", "reporter_grid", "snr",
+                                              "distance", "band", "azimuth")
     return join_solar_bucketed(s, solar, how="inner", agg="max")
 
 

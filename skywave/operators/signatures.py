@@ -21,6 +21,7 @@ from skywave.operators.callsigns import enrich_endpoints
 from skywave.operators.solar import attach_solar
 from skywave.operators.tables import bounded_broadcast, materialize
 from skywave.sources.schemas import SIGNATURE_COLUMNS
+from skywave.sources.sinks import window_filter
 
 MAX_BROADCAST_FLAGS = 5_000_000
 
@@ -116,8 +117,8 @@ def contest_signatures(qsos: DataFrame, cg: DataFrame, solar: DataFrame | None,
     """Contest QSOs -> signatures with an anchored SNR per mode (SSB +10 dB,
     RTTY 0 dB), spread 0 and reliability 1.  Mode is a hidden grouping key, so
     one path can have one row per mode."""
-    q = qsos.select("timestamp", "band", "mode", "call_1", "call_2")
-    q = q.where(F.col("mode").isin(list(modes)) & _window("timestamp", window) & F.col("band").isin(list(bands)))
+    q = window_filter(qsos, window).select("timestamp", "band", "mode", "call_1", "call_2")
+    q = q.where(F.col("mode").isin(list(modes)) & F.col("band").isin(list(bands)))
     q = enrich_endpoints(q, cg, "call_1", "call_2")
     q = attach_solar(q, solar, solar_mode) if solar is not None else q.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
     anchor = None
@@ -136,10 +137,9 @@ def rbn_signatures(rbn: DataFrame, cg: DataFrame, solar: DataFrame | None, min_s
                    solar_mode: str = "bucketed") -> DataFrame:
     """RBN skimmer spots -> signatures with the real median SNR.  The spotted
     station (dx_call) is TX, the skimmer (de_call) is RX."""
-    r = rbn.select("timestamp", "band", "dx_call", "de_call", "snr", "tx_mode")
+    r = window_filter(rbn, window).select("timestamp", "band", "dx_call", "de_call", "snr", "tx_mode")
     lo, hi = snr_range
-    r = r.where(F.col("tx_mode").isin(list(modes)) & F.col("snr").between(lo, hi)
-                & _window("timestamp", window) & F.col("band").isin(list(bands)))
+    r = r.where(F.col("tx_mode").isin(list(modes)) & F.col("snr").between(lo, hi) & F.col("band").isin(list(bands)))
     r = enrich_endpoints(r, cg, "dx_call", "de_call")
     r = attach_solar(r, solar, solar_mode) if solar is not None else r.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
     agg = (r.groupBy("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"))

@@ -88,22 +88,37 @@ def quality_test_metrics(paths: DataFrame, preds: DataFrame, models: Sequence[st
 def step_i_compare(paths: DataFrame, other: DataFrame,
                    keys: Sequence[str] = ("tx_lat", "tx_lon", "rx_lat", "rx_lon", "freq_mhz", "year", "month", "hour_utc"),
                    by: Sequence[str] = ("mode", "year")) -> DataFrame:
-    """Join two models' band-open verdicts for the same path (float keys are
-    matched on 1e-3-degree / kHz integers) and report the agreement rate."""
-    def keyed(df, suffix):
-        cols = []
+    """Agreement of two models' band-open verdicts on the same paths.
+
+    The reference joins the two tables on the 8 path values; when a path
+    repeats on both sides that join yields every pair.  Here each side is
+    first reduced to (rows, open rows) per path key, and the pair counts follow
+    arithmetically -- matches = a1*b1 + a0*b0 -- so the result equals the
+    pairwise join's exactly without emitting a single pair.  Float keys are
+    matched on 1e-3-degree / kHz integers."""
+    def kcols(df):
+        out = []
         for k in keys:
             if k in ("tx_lat", "tx_lon", "rx_lat", "rx_lon", "freq_mhz"):
-                cols.append(F.round(F.col(k) * 1000).cast("bigint").alias(f"__k_{k}"))
+                out.append(F.round(F.col(k) * 1000).cast("bigint").alias(f"__k_{k}"))
             else:
-                cols.append(F.col(k).alias(f"__k_{k}"))
-        return df.select(*cols, *[c for c in df.columns])
-    a = keyed(paths, "a")
-    b = keyed(other, "b").select(*[f"__k_{k}" for k in keys], "voacap_band_open")
-    j = a.join(b, [f"__k_{k}" for k in keys], "inner")
-    j = j.withColumn("match", (F.col("band_open") == F.col("voacap_band_open")).cast("int"))
-    return j.groupBy(*by).agg(F.count(F.lit(1)).alias("paths"), F.avg("match").alias("match_rate"),
-                              F.avg("band_open").alias("open_rate"), F.avg("voacap_band_open").alias("other_open_rate"))
+                out.append(F.col(k).alias(f"__k_{k}"))
+        return out
+    kn = [f"__k_{k}" for k in keys]
+    extra = [b for b in by if b not in keys]
+    a = (paths.select(*kcols(paths), *[F.col(b) for b in extra], "band_open")
+              .groupBy(*kn, *extra).agg(F.count(F.lit(1)).alias("na"), F.sum("band_open").alias("a1")))
+    b = (other.select(*kcols(other), "voacap_band_open")
+              .groupBy(*kn).agg(F.count(F.lit(1)).alias("nb"), F.sum("voacap_band_open").alias("b1")))
+    j = a.join(b, kn, "inner")
+    pairs = F.col("na") * F.col("nb")
+    matches = F.col("a1") * F.col("b1") + (F.col("na") - F.col("a1")) * (F.col("nb") - F.col("b1"))
+    grp = [F.col(f"__k_{x}").alias(x) if x in keys else F.col(x) for x in by]
+    return (j.groupBy(*grp).agg(F.sum(pairs).alias("paths"), F.sum(matches).alias("__m"),
+                                F.sum(F.col("a1") * F.col("nb")).alias("__o"), F.sum(F.col("na") * F.col("b1")).alias("__v"))
+             .select(*by, "paths", (F.col("__m") / F.col("paths")).alias("match_rate"),
+                     (F.col("__o") / F.col("paths")).alias("open_rate"),
+                     (F.col("__v") / F.col("paths")).alias("other_open_rate")))
 
 
 def band_open(snr: Column, threshold: Column) -> Column:

@@ -64,19 +64,26 @@ def _union(spark, sf):
 
 
 # ---------------------------------------------------------------- scans
+def _schema_cols(df, schema):
+    return df.select(*[f.name for f in schema.fields])
+
+
 @register("scan_spots")
 def scan_spots(spark, sf):
-    return _spots(spark, sf)
+    from skywave.sources.schemas import WSPR_SPOT
+    return _schema_cols(_spots(spark, sf), WSPR_SPOT)
 
 
 @register("scan_rbn")
 def scan_rbn(spark, sf):
-    return fx.rbn_raw(spark, sf)
+    from skywave.sources.schemas import RBN_SPOT
+    return _schema_cols(fx.rbn_raw(spark, sf), RBN_SPOT)
 
 
 @register("scan_contest")
 def scan_contest(spark, sf):
-    return fx.contest_raw(spark, sf)
+    from skywave.sources.schemas import CONTEST_QSO
+    return _schema_cols(fx.contest_raw(spark, sf), CONTEST_QSO)
 
 
 @register("scan_solar")
@@ -93,7 +100,7 @@ def mode_thresholds(spark, sf):
 def schema_upgrade(spark, sf):
     """Legacy (v1, 15-column) bronze rows upgraded to v2: mode/column_count
     added with their defaults; counted per (mode, column_count)."""
-    legacy = _spots(spark, sf).drop("mode", "column_count").withColumn("band", F.col("band").cast("short"))
+    legacy = _spots(spark, sf).drop("mode", "column_count", "ym").withColumn("band", F.col("band").cast("short"))
     up = tables.upgrade_v1_to_v2(legacy)
     return up.groupBy("mode", "column_count").agg(F.count(F.lit(1)).alias("rows"), F.sum("band").alias("band_sum"))
 
@@ -507,10 +514,14 @@ def row_gates(spark, sf):
 
 @register("table_inventory")
 def table_inventory(spark, sf):
+    from skywave.sources import schemas as S
     s = _spots(spark, sf)
-    return tables.table_inventory({"wspr.bronze": s, "solar.bronze": fx.solar_raw(spark, sf), "rbn.bronze": fx.rbn_raw(spark, sf),
-                                   "contest.bronze": fx.contest_raw(spark, sf), "wspr.callsign_grid": callsigns.callsign_grid(s),
-                                   "pskr.bronze": fx.pskr_spots(spark, sf), "validation.model_results": None})
+    return tables.table_inventory({
+        "wspr.bronze": _schema_cols(s, S.WSPR_SPOT), "solar.bronze": fx.solar_raw(spark, sf),
+        "rbn.bronze": _schema_cols(fx.rbn_raw(spark, sf), S.RBN_SPOT),
+        "contest.bronze": _schema_cols(fx.contest_raw(spark, sf), S.CONTEST_QSO),
+        "wspr.callsign_grid": callsigns.callsign_grid(s), "pskr.bronze": _schema_cols(fx.pskr_spots(spark, sf), S.PSKR_SPOT),
+        "validation.model_results": None})
 
 
 # ---------------------------------------------------------------- features, quality, live state
@@ -543,13 +554,18 @@ def _stream_dirs(spark, name):
     return {k: f"{base}/{k}" for k in ("src", "out", "log", "ckpt")}
 
 
+def _pskr_rows(spark, sf):
+    from skywave.sources.schemas import PSKR_SPOT
+    return _schema_cols(fx.pskr_spots(spark, sf), PSKR_SPOT)
+
+
 @register("pskr_ingest")
 def pskr_ingest(spark, sf):
     """PSK Reporter spots written as gzip JSONL files, ingested by the file
     stream (availableNow, one file per micro-batch) into bronze."""
     from skywave.streaming import ingest
     d = _stream_dirs(spark, "pskr-ingest")
-    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
     ingest.ingest_pskr(spark, d["src"], d["out"], d["log"], d["ckpt"])
     return ingest.read_bronze(spark, d["out"])
 
@@ -559,7 +575,7 @@ def stream_ingest_log(spark, sf):
     """The ingest log of the stream: one row per file, rows loaded."""
     from skywave.streaming import ingest
     d = _stream_dirs(spark, "pskr-log")
-    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
     ingest.ingest_pskr(spark, d["src"], d["out"], d["log"], d["ckpt"])
     return ingest.read_log(spark, d["log"]).agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"))
 
@@ -572,7 +588,8 @@ def stream_quality(spark, sf):
     from skywave.streaming import rollups
     d = _stream_dirs(spark, "quality")
     from skywave.streaming.ingest import write_time_ordered
-    write_time_ordered(fx.silver(spark, sf), d["src"], files=4, fmt="parquet")   # files land in event-time order
+    from skywave.sources.schemas import SILVER as _S
+    write_time_ordered(_schema_cols(fx.silver(spark, sf), _S), d["src"], files=4, fmt="parquet")   # files land in event-time order
     rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"])
     return rollups.read_quality_rollup(spark, d["out"])
 
@@ -581,6 +598,6 @@ def stream_quality(spark, sf):
 def stream_spots_daily(spark, sf):
     from skywave.streaming import ingest, rollups
     d = _stream_dirs(spark, "spots-daily")
-    ingest.write_jsonl_gz(fx.pskr_spots(spark, sf), d["src"], files=4)
+    ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
     rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"])
     return rollups.read_spots_daily(spark, d["out"])

@@ -71,8 +71,8 @@ def _bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
             df.repartition(1).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
         _fs_touch(spark, marker)
     stored = spark.read.parquet(path)
-    cols = build_columns(name)
-    return stored.select(*cols) if cols else stored
+    cols = build_columns(name) + (["ym"] if by_month else [])   # ym: month partition column, for pruning
+    return stored.select(*cols)
 
 
 def _fs(spark: SparkSession, path: str):

@@ -38,3 +38,13 @@ def month_filter(ts_col: str, start: str, end: str) -> F.Column:
     ym_hi = int(end[:4] + end[5:7])
     return ((F.col(ts_col) >= F.lit(start).cast("timestamp")) & (F.col(ts_col) < F.lit(end).cast("timestamp"))
             & (F.col("ym") >= ym_lo) & (F.col("ym") <= ym_hi))
+
+
+def window_filter(df: DataFrame, window, ts_col: str = "timestamp") -> DataFrame:
+    """Half-open time window; on month-partitioned tables (a ``ym`` column) the
+    matching month range is added so only those partitions are listed/read."""
+    start, end = window
+    cond = (F.col(ts_col) >= F.lit(start).cast("timestamp")) & (F.col(ts_col) < F.lit(end).cast("timestamp"))
+    if "ym" in df.columns:
+        cond = cond & F.col("ym").between(int(start[:4] + start[5:7]), int(end[:4] + end[5:7]))
+    return df.where(cond)

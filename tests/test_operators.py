@@ -155,3 +155,16 @@ def test_conform_fills_defaults_and_strips_nul(spark):
     raw = spark.createDataFrame([(1, "K1\u0000\u0000", None)], "id long, callsign string, snr int")
     got = readers.conform_wspr(raw).collect()[0]
     assert got.callsign == "K1" and got.snr == 0 and got.mode == "WSPR" and got.column_count == 15
+
+
+def test_step_i_compare_equals_pairwise_join(spark):
+    rows_a = [(1.0, 2.0, 3.0, 4.0, 14.1, 2000, 1, 5, "CW", o) for o in (1, 1, 0)] + [(9.0, 2.0, 3.0, 4.0, 7.04, 2000, 1, 5, "PH", 1)]
+    rows_b = [(1.0, 2.0, 3.0, 4.0, 14.1, 2000, 1, 5, o) for o in (1, 0)] + [(9.0, 2.0, 3.0, 4.0, 7.04, 2000, 1, 5, 1)]
+    keys = "tx_lat double, tx_lon double, rx_lat double, rx_lon double, freq_mhz double, year int, month int, hour_utc int"
+    a = spark.createDataFrame(rows_a, keys + ", mode string, band_open int")
+    b = spark.createDataFrame(rows_b, keys + ", voacap_band_open int")
+    got = {r.mode: r for r in validation.step_i_compare(a, b).collect()}
+    # CW: 3 x 2 = 6 pairs, matches: opens 2x1 + closed 1x1 = 3
+    assert got["CW"].paths == 6 and got["CW"].match_rate == pytest.approx(0.5)
+    assert got["CW"].open_rate == pytest.approx(4 / 6) and got["CW"].other_open_rate == pytest.approx(0.5)
+    assert got["PH"].paths == 1 and got["PH"].match_rate == 1.0

@@ -46,3 +46,12 @@ def test_scan_prunes_columns(spark):
     scan = [line for line in p.splitlines() if "FileScan parquet" in line or "Scan parquet" in line][0]
     assert "callsign" not in scan.split("ReadSchema")[1] and "snr" in scan.split("ReadSchema")[1]
     assert "PushedFilters: [IsNotNull(distance), GreaterThanOrEqual(distance,500)" in scan
+
+
+def test_time_windows_prune_month_partitions(spark):
+    from skywave.operators import sampling
+    from skywave.sources import fixtures as fx
+    df = sampling.training_filter(fx.spots(spark, SF_SMALL), ("1999-01-01", "1999-03-01"))
+    p = plan_of(df)
+    scan = [line for line in p.splitlines() if "Scan parquet" in line or "FileScan" in line][0]
+    assert "PartitionFilters: [isnotnull(ym" in scan and "199901" in scan and "199903" in scan
