@@ -263,13 +263,13 @@ _FREQH = _FREQ
 ORACLE["step_i_compare"] = sql(f"""
 SELECT mode, year, count(*) AS paths, {r('avg(CAST(band_open = voacap_band_open AS INTEGER))')} AS match_rate,
        {r('avg(band_open)')} AS open_rate, {r('avg(voacap_band_open)')} AS other_open_rate
-FROM (SELECT *, CAST(ionis_snr >= threshold AS INTEGER) AS band_open, CAST(voacap_snr >= threshold AS INTEGER) AS voacap_band_open
+FROM (SELECT *, CAST(model_snr >= threshold AS INTEGER) AS band_open, CAST(voacap_snr >= threshold AS INTEGER) AS voacap_band_open
       FROM (SELECT *, CASE mode WHEN 'CW' THEN -10.0 WHEN 'PH' THEN 5.0 ELSE -5.0 END AS threshold
             FROM (SELECT *, list_element(['CW', 'PH', 'RY'], (year + month + hour_utc) % 3 + 1) AS mode
                   FROM (SELECT {_A4('grid')} AS tx_lat, {_L4('grid')} AS tx_lon, {_A4('reporter_grid')} AS rx_lat,
                                {_L4('reporter_grid')} AS rx_lon, {_FREQH} AS freq_mhz, CAST(year(timestamp) AS INTEGER) AS year,
                                CAST(month(timestamp) AS INTEGER) AS month, CAST(hour(timestamp) AS INTEGER) AS hour_utc,
-                               avg(snr) AS ionis_snr, avg(power) - 35.0 AS voacap_snr
+                               avg(snr) AS model_snr, avg(power) - 35.0 AS voacap_snr
                         FROM spots_hist WHERE {_VALID('grid')} AND {_VALID('reporter_grid')}
                         GROUP BY 1, 2, 3, 4, 5, 6, 7, 8))))
 GROUP BY mode, year""", "spots_hist")

@@ -388,11 +388,11 @@ def step_i_paths(spots_df: DataFrame) -> DataFrame:
                   maidenhead_lat("reporter_grid").alias("rx_lat"), maidenhead_lon("reporter_grid").alias("rx_lon"),
                   band_freq_mhz("band").alias("freq_mhz"), F.year("timestamp").alias("year"),
                   F.month("timestamp").alias("month"), F.hour("timestamp").alias("hour_utc")).agg(
-        F.avg("snr").alias("ionis_snr"), (F.avg("power") - 35.0).alias("voacap_snr"))
+        F.avg("snr").alias("model_snr"), (F.avg("power") - 35.0).alias("voacap_snr"))
     mode = F.element_at(F.array(F.lit("CW"), F.lit("PH"), F.lit("RY")), (F.col("year") + F.col("month") + F.col("hour_utc")) % 3 + 1)
     threshold = F.when(mode == "CW", -10.0).when(mode == "PH", 5.0).otherwise(-5.0)
     return (g.withColumn("mode", mode).withColumn("threshold", threshold).withColumn("ssn", F.lit(0.0))
-             .withColumn("band_open", (F.col("ionis_snr") >= F.col("threshold")).cast("int"))
+             .withColumn("band_open", (F.col("model_snr") >= F.col("threshold")).cast("int"))
              .withColumn("voacap_band_open", (F.col("voacap_snr") >= F.col("threshold")).cast("int")))
 
 

@@ -104,7 +104,7 @@ MODEL_RESULT = _schema(
 
 STEP_I_PATHS = _schema(
     ("tx_lat", D), ("tx_lon", D), ("rx_lat", D), ("rx_lon", D), ("freq_mhz", D), ("year", I),
-    ("month", I), ("hour_utc", I), ("ssn", D), ("mode", S), ("ionis_snr", D), ("threshold", D),
+    ("month", I), ("hour_utc", I), ("ssn", D), ("mode", S), ("model_snr", D), ("threshold", D),
     ("band_open", I),
 )
 
