@@ -1,17 +1,23 @@
 """Median path signatures: WSPR v1/v2, contest, RBN, DXpedition; union and reports.
 
 A signature is one row per (tx_grid_4, rx_grid_4, band, hour, month) with the
-median SNR, count, spread, reliability and average solar/path values.  The
-plan is: pruned scan -> filters pushed to the scan -> broadcast solar join ->
-partial aggregation (map-side) -> one shuffle on the five keys -> final
-aggregation -> HAVING.  The exact median is cheap: SNR is a small integer, so
-the percentile buffer holds at most a few hundred (value, count) entries per
-group whatever the group size, and it merges partially like a sum.
+median SNR, count, spread, reliability and average solar/path values.
+
+Exact median from an SNR histogram (default): SNR is a small integer, so each
+group has at most a few hundred distinct values.  Plan: pruned scan ->
+filters pushed to the scan -> broadcast solar join -> codegen'd partial
+aggregation on (keys, snr) with counts and sums -> shuffle -> final -> one
+shuffle on the five keys -> running count over the group's <= ~256 histogram
+rows -> the median's two order statistics, the sums for spread/averages ->
+HAVING.  Every step is a HashAggregate/Window over bounded rows per group; a
+hot group is reduced map-side to its histogram before it moves.
+``median="percentile"`` uses Spark's exact ``percentile`` (one shuffle,
+object-hash aggregation) instead; both interpolate like quantile_cont.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywave import constants as K
@@ -58,9 +64,43 @@ def _with_centroid_geometry(df: DataFrame) -> DataFrame:
               .withColumn("avg_azimuth", _trunc_long(azimuth_deg(tlon, tlat, rlon, rlat))))
 
 
+KEYS = ["tx_grid_4", "rx_grid_4", "band", "hour", "month"]
+
+
+def histogram_stats(df: DataFrame, keys, value: str = "snr", sums: dict | None = None,
+                    reliable_above: float | None = None) -> DataFrame:
+    """Per group (``keys``: column names present in ``df``): spot_count,
+    median_snr (exact, interpolated), snr_std (population), reliability (share
+    of values > ``reliable_above``) and ``__s_<name>`` sums of ``sums``."""
+    sums = sums or {}
+    h = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"),
+                                     *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
+    run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumn("__cum", F.sum("__c").over(run)).withColumn("__tot", F.sum("__c").over(Window.partitionBy(*keys)))
+    pos = (F.col("__tot") - 1) * 0.5
+    v = F.col(value)
+    aggs = [F.sum("__c").alias("spot_count"),
+            F.min(F.when(F.col("__cum") > F.floor(pos), v)).alias("__lo"),
+            F.min(F.when(F.col("__cum") > F.ceil(pos), v)).alias("__hi"),
+            F.sum(F.col("__c") * v).alias("__sx"), F.sum(F.col("__c") * v * v).alias("__sxx"),
+            *[F.sum(f"__s_{n}").alias(f"__s_{n}") for n in sums]]
+    if reliable_above is not None:
+        aggs.append(F.sum(F.when(v > reliable_above, F.col("__c")).otherwise(0)).alias("__rel"))
+    g = h.groupBy(*keys).agg(*aggs)
+    n = F.col("spot_count")
+    frac = (n - 1) * 0.5 - F.floor((n - 1) * 0.5)
+    dec = "decimal(38,0)"
+    num = n.cast(dec) * F.col("__sxx").cast(dec) - F.col("__sx").cast(dec) * F.col("__sx").cast(dec)   # exact
+    g = (g.withColumn("median_snr", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).cast("double"))
+          .withColumn("snr_std", F.sqrt(F.greatest(num.cast("double"), F.lit(0.0))) / n))
+    if reliable_above is not None:
+        g = g.withColumn("reliability", F.col("__rel") / n)
+    return g.drop("__lo", "__hi", "__sx", "__sxx", "__rel")
+
+
 def wspr_signatures(spots: DataFrame, solar: DataFrame | None, min_spots: int = K.WSPR_MIN_SPOTS,
                     bands=K.HF_BANDS, min_distance: int = K.MIN_DISTANCE_KM, solar_mode: str = "bucketed",
-                    circular_azimuth: bool = False) -> DataFrame:
+                    circular_azimuth: bool = False, median: str = "histogram") -> DataFrame:
     """Signatures v1 from WSPR spots (ground-wave paths under ``min_distance`` dropped)."""
     s = spots.select("timestamp", "grid", "reporter_grid", "band", "snr", "distance", "azimuth")
     s = s.where((F.col("distance") >= min_distance) & F.col("band").isin(list(bands)))
@@ -68,6 +108,20 @@ def wspr_signatures(spots: DataFrame, solar: DataFrame | None, min_spots: int =
         s = attach_solar(s, solar, solar_mode)
     else:
         s = s.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
+    if median == "histogram":
+        s = s.select(grid4("grid").alias("tx_grid_4"), grid4("reporter_grid").alias("rx_grid_4"), "band",
+                     *_key_cols("timestamp"), "snr", "sfi", "kp", "distance", "azimuth")
+        sums = {"sfi": F.col("sfi"), "kp": F.col("kp"), "distance": F.col("distance"), "azimuth": F.col("azimuth")}
+        if circular_azimuth:
+            sums.update(sin=F.sin(F.radians("azimuth")), cos=F.cos(F.radians("azimuth")))
+        g = histogram_stats(s, KEYS, "snr", sums, reliable_above=K.RELIABLE_SNR_DB)
+        n = F.col("spot_count")
+        az = (F.pmod(F.degrees(F.atan2(F.col("__s_sin"), F.col("__s_cos"))) + 360.0, F.lit(360.0)) if circular_azimuth
+              else F.col("__s_azimuth") / n)
+        g = (g.withColumn("avg_sfi", F.col("__s_sfi") / n).withColumn("avg_kp", F.col("__s_kp") / n)
+              .withColumn("avg_distance", (F.col("__s_distance") / n).cast("bigint"))
+              .withColumn("avg_azimuth", az.cast("bigint")))
+        return _finish(g, min_spots)
     if circular_azimuth:
         az = F.pmod(F.degrees(F.atan2(F.avg(F.sin(F.radians("azimuth"))), F.avg(F.cos(F.radians("azimuth"))))) + 360.0, F.lit(360.0))
     else:
@@ -142,11 +196,16 @@ def rbn_signatures(rbn: DataFrame, cg: DataFrame, solar: DataFrame | None, min_s
     r = r.where(F.col("tx_mode").isin(list(modes)) & F.col("snr").between(lo, hi) & F.col("band").isin(list(bands)))
     r = enrich_endpoints(r, cg, "dx_call", "de_call")
     r = attach_solar(r, solar, solar_mode) if solar is not None else r.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
-    agg = (r.groupBy("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"))
-            .agg(F.percentile("snr", 0.5).alias("median_snr"), F.count(F.lit(1)).alias("spot_count"),
-                 F.stddev_pop("snr").alias("snr_std"), *_solar_aggs())
-            .withColumn("reliability", F.lit(1.0)))
-    return _finish(_with_centroid_geometry(agg), min_spots)
+    return _finish(_with_centroid_geometry(_median_snr_agg(r)), min_spots)
+
+
+def _median_snr_agg(df: DataFrame) -> DataFrame:
+    """Median/std/count/solar averages of ``snr`` per signature key, reliability 1."""
+    x = df.select("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"), "snr", "sfi", "kp")
+    g = histogram_stats(x, KEYS, "snr", {"sfi": F.col("sfi"), "kp": F.col("kp")})
+    n = F.col("spot_count")
+    return (g.withColumn("avg_sfi", F.col("__s_sfi") / n).withColumn("avg_kp", F.col("__s_kp") / n)
+             .withColumn("reliability", F.lit(1.0)))
 
 
 def dxpedition_paths(rbn: DataFrame, catalog: DataFrame, cg: DataFrame, max_catalog_rows: int = 100_000) -> DataFrame:
@@ -172,11 +231,7 @@ def dxpedition_signatures(paths: DataFrame, solar: DataFrame | None, min_spots:
     up-samples rare entities by emitting each signature ``replicate`` times."""
     p = paths.withColumn("tx_grid_4", grid4("dx_grid")).withColumn("rx_grid_4", grid4("skimmer_grid"))
     p = attach_solar(p, solar) if solar is not None else p.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
-    agg = (p.groupBy("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"))
-            .agg(F.percentile("snr", 0.5).alias("median_snr"), F.count(F.lit(1)).alias("spot_count"),
-                 F.stddev_pop("snr").alias("snr_std"), *_solar_aggs())
-            .withColumn("reliability", F.lit(1.0)))
-    out = _finish(_with_centroid_geometry(agg), min_spots)
+    out = _finish(_with_centroid_geometry(_median_snr_agg(p)), min_spots)
     if replicate > 1:
         out = out.withColumn("replica", F.explode(F.sequence(F.lit(1), F.lit(replicate)))).drop("replica")
     return out

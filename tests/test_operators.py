@@ -168,3 +168,19 @@ def test_step_i_compare_equals_pairwise_join(spark):
     assert got["CW"].paths == 6 and got["CW"].match_rate == pytest.approx(0.5)
     assert got["CW"].open_rate == pytest.approx(4 / 6) and got["CW"].other_open_rate == pytest.approx(0.5)
     assert got["PH"].paths == 1 and got["PH"].match_rate == 1.0
+
+
+def test_histogram_stats_equal_percentile_and_stddev(spark):
+    import random
+    rnd = random.Random(7)
+    rows = [(g, rnd.randint(-30, 20)) for g in range(60) for _ in range(rnd.randint(1, 40))]
+    df = spark.createDataFrame(rows, "g int, snr int")
+    h = {r.g: r for r in signatures.histogram_stats(df, ["g"], "snr", reliable_above=-20).collect()}
+    ref = {r.g: r for r in df.groupBy("g").agg(F.percentile("snr", 0.5).alias("m"), F.stddev_pop("snr").alias("s"),
+                                               F.count("*").alias("n"), F.avg((F.col("snr") > -20).cast("int")).alias("rel")).collect()}
+    assert set(h) == set(ref)
+    for g, r in ref.items():
+        assert h[g].spot_count == r.n
+        assert h[g].median_snr == r.m
+        assert h[g].snr_std == pytest.approx(r.s, abs=1e-9)
+        assert h[g].reliability == pytest.approx(r.rel)
