@@ -13,23 +13,37 @@ from skywave.operators.tables import bounded_broadcast
 MAX_BROADCAST_CALLSIGNS = 8_000_000
 
 
-def callsign_grid(spots: DataFrame) -> DataFrame:
-    """Every callsign's newest grid.
-
-    Both endpoints of a spot are observations of a (callsign, grid) pair: TX
-    (callsign, grid) and RX (reporter, reporter_grid).  One scan emits both
-    sides, keeps grids with an upper-case field+square prefix, counts spots and
-    the last date per (side, callsign, 6-char grid) with a partial aggregation,
-    then keeps per callsign the pair seen most recently (ties: the RX row, then
-    more spots, then the smaller grid)."""
+def station_days(spots: DataFrame) -> DataFrame:
+    """Compact summary of who was heard where and when: spot counts per
+    (side, callsign, day, 6-char grid, valid_field), side 0 = transmitter
+    (callsign, grid), 1 = receiver (reporter, reporter_grid).
+
+    One scan of the bronze table with map-side aggregation; the callsign
+    dimension, velocity days and type-2 telemetry all derive from it, so the
+    fact table is read once for the whole flagging chain.  Grids without a
+    valid field prefix are collapsed to '' (only their counts matter)."""
     sides = F.array(
         F.struct(F.lit(0).alias("side"), F.col("callsign").alias("cs"), F.col("grid").alias("g")),
         F.struct(F.lit(1).alias("side"), F.col("reporter").alias("cs"), F.col("reporter_grid").alias("g")),
     )
-    pairs = (spots.select(F.to_date("timestamp").alias("d"), F.inline(sides))
-             .where(has_valid_field("g"))
-             .groupBy("side", F.col("cs").alias("callsign"), grid6("g").alias("grid"))
-             .agg(F.count(F.lit(1)).alias("spot_count"), F.max("d").alias("last_seen")))
+    valid = has_valid_field("g")
+    return (spots.select(F.to_date("timestamp").alias("d"), F.inline(sides))
+            .groupBy("side", F.col("cs").alias("callsign"), "d",
+                     F.when(valid, grid6("g")).otherwise(F.lit("")).alias("grid6"), valid.alias("valid_field"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def callsign_grid(spots: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+    """Every callsign's newest grid.
+
+    Both endpoints of a spot are observations of a (callsign, grid) pair.  From
+    the station-day summary (valid grids only): spots and last date per
+    (side, callsign, 6-char grid), then per callsign the pair seen most recently
+    (ties: the RX row, then more spots, then the smaller grid)."""
+    summary = station_days(spots) if summary is None else summary
+    pairs = (summary.where(F.col("valid_field"))
+             .groupBy("side", "callsign", F.col("grid6").alias("grid"))
+             .agg(F.sum("n").alias("spot_count"), F.max("d").alias("last_seen")))
     w = Window.partitionBy("callsign").orderBy(F.col("last_seen").desc(), F.col("side").desc(),
                                                 F.col("spot_count").desc(), F.col("grid").asc())
     return (pairs.withColumn("rn", F.row_number().over(w)).where("rn = 1")

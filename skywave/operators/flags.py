@@ -20,23 +20,28 @@ V1_COLUMNS = ["callsign", "flag_reason", "max_daily_grids", "total_spots", "tota
 MAX_BROADCAST_CALLSIGNS = 8_000_000
 
 
-def _daily_grid_counts(spots: DataFrame) -> DataFrame:
-    """(callsign, d, g4, spots) for spots whose grid has a valid field prefix."""
+def _daily_grid_counts(spots: DataFrame | None, summary: DataFrame | None = None) -> DataFrame:
+    """(callsign, d, g4, n) of transmitted spots whose grid has a valid field
+    prefix -- from the station-day summary when given (no bronze scan)."""
+    if summary is not None:
+        return (summary.where((F.col("side") == 0) & F.col("valid_field"))
+                .groupBy("callsign", "d", grid4("grid6").alias("g4")).agg(F.sum("n").alias("n")))
     return (spots.where(F.col("grid").rlike(K.FIELD_PREFIX_PATTERN))
             .groupBy("callsign", F.to_date("timestamp").alias("d"), grid4("grid").alias("g4"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def daily_grids(spots: DataFrame) -> DataFrame:
+def daily_grids(spots: DataFrame | None, summary: DataFrame | None = None) -> DataFrame:
     """(callsign, d, daily_grids, daily_spots)."""
-    return (_daily_grid_counts(spots).groupBy("callsign", "d")
+    return (_daily_grid_counts(spots, summary).groupBy("callsign", "d")
             .agg(F.count(F.lit(1)).alias("daily_grids"), F.sum("n").alias("daily_spots")))
 
 
-def velocity_day(spots: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
+def velocity_day(spots: DataFrame | None, threshold: int = K.VELOCITY_GRIDS_PER_DAY,
+                 summary: DataFrame | None = None) -> DataFrame:
     """(callsign, date) pairs with at least ``threshold`` distinct 4-char grids:
     only that day is flagged, the callsign's other days stay usable."""
-    return (daily_grids(spots).where(F.col("daily_grids") >= threshold)
+    return (daily_grids(spots, summary).where(F.col("daily_grids") >= threshold)
             .select("callsign", F.lit("velocity_day").alias("flag_reason"), F.col("d").alias("flag_date"),
                     F.col("daily_grids").cast("bigint").alias("daily_grids"),
                     F.col("daily_spots").cast("bigint").alias("total_spots")))
@@ -47,12 +52,16 @@ def _callsign_set(df: DataFrame, col: str = "callsign", name: str = "callsigns")
                              materialize=False)
 
 
-def type2_telemetry(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+def type2_telemetry(spots: DataFrame | None, cg: DataFrame, flagged: DataFrame | None = None,
+                    summary: DataFrame | None = None) -> DataFrame:
     """Transmitters absent from the callsign dimension (never sent a valid
     upper-case grid), minus callsigns already flagged.  Spots are reduced to
     (callsign, count) before the anti joins: the joins see one row per
     callsign, not one per spot."""
-    per_call = spots.groupBy("callsign").agg(F.count(F.lit(1)).alias("total_spots"))
+    if summary is not None:
+        per_call = summary.where(F.col("side") == 0).groupBy("callsign").agg(F.sum("n").alias("total_spots"))
+    else:
+        per_call = spots.groupBy("callsign").agg(F.count(F.lit(1)).alias("total_spots"))
     known = cg.select(F.col("callsign").alias("__k"))
     out = per_call.join(known, F.col("callsign") == F.col("__k"), "left_anti")
     if flagged is not None:
@@ -62,11 +71,15 @@ def type2_telemetry(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None =
                       F.lit(0).cast("bigint").alias("daily_grids"), F.col("total_spots").cast("bigint"))
 
 
-def balloon_flags_v2(spots: DataFrame, cg: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
+def balloon_flags_v2(spots: DataFrame | None, cg: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY,
+                     summary: DataFrame | None = None) -> DataFrame:
     """Velocity days, then type-2 telemetry (a later category skips callsigns
-    of the earlier one)."""
-    vd = materialize(velocity_day(spots, threshold))
-    t2 = type2_telemetry(spots, cg, flagged=vd)
+    of the earlier one).  Both derive from the station-day summary (one bronze
+    scan for the chain); it is built here when not given."""
+    from skywave.operators.callsigns import station_days
+    summary = materialize(station_days(spots)) if summary is None else summary
+    vd = materialize(velocity_day(None, threshold, summary=summary))
+    t2 = type2_telemetry(None, cg, flagged=vd, summary=summary)
     return vd.unionByName(t2).select(*FLAG_COLUMNS)
 
 
@@ -99,9 +112,9 @@ def mobility_tier(grids_per_day) -> F.Column:
             .when(g >= fast_ge, fast).otherwise("Unclassified"))
 
 
-def mobility_profile(spots: DataFrame) -> DataFrame:
+def mobility_profile(spots: DataFrame | None, summary: DataFrame | None = None) -> DataFrame:
     """Callsign-days per mobility tier."""
-    d = daily_grids(spots).withColumn("tier", mobility_tier("daily_grids"))
+    d = daily_grids(spots, summary).withColumn("tier", mobility_tier("daily_grids"))
     return d.groupBy("tier").agg(F.count(F.lit(1)).alias("callsign_days"), F.sum("daily_spots").alias("spots"),
                                  F.countDistinct("callsign").alias("callsigns"))
 

@@ -36,9 +36,17 @@ def _cg(spark, sf):
     return callsigns.callsign_grid(_spots(spark, sf))
 
 
-def _flags(spark, sf):
+def _chain(spark, sf):
+    """The flagging chain's shared inputs: bronze, its station-day summary
+    (one scan, stored), the callsign dimension derived from it."""
     s = _spots(spark, sf)
-    return flags.balloon_flags_v2(s, callsigns.callsign_grid(s))
+    summary = tables.materialize(callsigns.station_days(s))
+    return s, summary, callsigns.callsign_grid(summary=summary)
+
+
+def _flags(spark, sf):
+    s, summary, cg = _chain(spark, sf)
+    return flags.balloon_flags_v2(s, cg, summary=summary)
 
 
 def _contest_sig(spark, sf, cg=None):
@@ -51,15 +59,15 @@ def _rbn_sig(spark, sf, cg=None):
     return signatures.rbn_signatures(fx.rbn_raw(spark, sf), cg, fx.solar_raw(spark, sf), window=FIXTURE_WINDOW)
 
 
-def _v2(spark, sf, cg=None):
-    s = _spots(spark, sf)
-    cg = callsigns.callsign_grid(s) if cg is None else cg
-    return signatures.wspr_signatures_v2(s, fx.solar_raw(spark, sf), flags.balloon_flags_v2(s, cg))
+def _v2(spark, sf, chain=None):
+    s, summary, cg = _chain(spark, sf) if chain is None else chain
+    return signatures.wspr_signatures_v2(s, fx.solar_raw(spark, sf), flags.balloon_flags_v2(s, cg, summary=summary))
 
 
 def _union(spark, sf):
-    cg = tables.materialize(_cg(spark, sf))   # the shared dimension, built once
-    return signatures.union_signatures(wspr=_v2(spark, sf, cg), contest=_contest_sig(spark, sf, cg),
+    chain = _chain(spark, sf)
+    cg = tables.materialize(chain[2])   # the shared dimension, built once
+    return signatures.union_signatures(wspr=_v2(spark, sf, (chain[0], chain[1], cg)), contest=_contest_sig(spark, sf, cg),
                                        rbn=_rbn_sig(spark, sf, cg))
 
 
@@ -225,8 +233,8 @@ def velocity_day(spark, sf):
 
 @register("type2_telemetry")
 def type2_telemetry(spark, sf):
-    s = _spots(spark, sf)
-    return flags.type2_telemetry(s, callsigns.callsign_grid(s), flagged=flags.velocity_day(s))
+    s, summary, cg = _chain(spark, sf)
+    return flags.type2_telemetry(s, cg, flagged=flags.velocity_day(None, summary=summary), summary=summary)
 
 
 @register("balloon_flags_v2")
@@ -236,15 +244,15 @@ def balloon_flags_v2(spark, sf):
 
 @register("flag_summary")
 def flag_summary(spark, sf):
-    s = _spots(spark, sf)
-    return flags.flag_summary(flags.balloon_flags_v2(s, callsigns.callsign_grid(s)), s)
+    s, summary, cg = _chain(spark, sf)
+    return flags.flag_summary(flags.balloon_flags_v2(s, cg, summary=summary), s)
 
 
 @register("exclude_type2")
 def exclude_type2(spark, sf):
     """Spots left per band after removing type-2 telemetry TX and RX."""
-    s = _spots(spark, sf)
-    f = flags.balloon_flags_v2(s, callsigns.callsign_grid(s)).where(F.col("flag_reason") == "type2_telemetry")
+    s, summary, cg = _chain(spark, sf)
+    f = flags.balloon_flags_v2(s, cg, summary=summary).where(F.col("flag_reason") == "type2_telemetry")
     return signatures.exclude_flagged(s, f).groupBy("band").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -505,10 +513,9 @@ FIX_GATES = {"callsign_grid": 50, "balloon_flags_v2": 40, "spots": 1000}
 
 @register("row_gates")
 def row_gates(spark, sf):
-    s = _spots(spark, sf)
-    cg = callsigns.callsign_grid(s)
+    s, summary, cg = _chain(spark, sf)
     return tables.row_gates({"callsign_grid": (cg, FIX_GATES["callsign_grid"]),
-                             "balloon_flags_v2": (flags.balloon_flags_v2(s, cg), FIX_GATES["balloon_flags_v2"]),
+                             "balloon_flags_v2": (flags.balloon_flags_v2(s, cg, summary=summary), FIX_GATES["balloon_flags_v2"]),
                              "spots": (s, FIX_GATES["spots"])})
 
 
