@@ -20,6 +20,21 @@ def seed_mode_thresholds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(K.MODE_THRESHOLDS, schemas.MODE_THRESHOLDS)
 
 
+def observed_mode_thresholds(modes: DataFrame, thresholds: DataFrame, mode_map: dict | None = None) -> DataFrame:
+    """Thresholds of the modes actually observed (``modes``: a ``mode`` column,
+    one row per observation): per observed mode its ADIF mode, family,
+    threshold (NULL when none applies) and the number of observations."""
+    mode_map = K.CONTEST_MODE_TO_ADIF if mode_map is None else mode_map
+    adif = F.col("mode")
+    for src, dst in mode_map.items():
+        adif = F.when(F.col("mode") == src, dst).otherwise(adif)
+    per = modes.groupBy("mode").agg(F.count(F.lit(1)).alias("observations")).withColumn("adif_mode", adif)
+    th = bounded_broadcast(thresholds.select(F.col("mode").alias("adif_mode"), "family", "threshold_db", "description"),
+                           10_000, "mode thresholds", materialize=False)
+    return per.join(th, "adif_mode", "left").select("mode", "adif_mode", "family", "threshold_db", "description",
+                                                    "observations")
+
+
 def station_advantage_db(power_w: float, gain_tx_dbi: float = 0.0, gain_rx_dbi: float = 0.0) -> Column:
     """10*log10(P / 0.2 W) + G_tx + G_rx."""
     return F.lit(10.0) * F.log10(F.lit(float(power_w)) / F.lit(K.WSPR_REFERENCE_POWER_W)) + F.lit(gain_tx_dbi + gain_rx_dbi)

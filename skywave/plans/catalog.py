@@ -101,7 +101,12 @@ def scan_solar(spark, sf):
 
 @register("mode_thresholds")
 def mode_thresholds(spark, sf):
-    return validation.seed_mode_thresholds(spark)
+    """The seeded threshold table resolved for every mode observed in the
+    PSK Reporter, RBN and contest data."""
+    modes = (fx.pskr_spots(spark, sf).select("mode")
+             .unionByName(fx.rbn_raw(spark, sf).select(F.col("tx_mode").alias("mode")))
+             .unionByName(fx.contest_raw(spark, sf).select("mode")))
+    return validation.observed_mode_thresholds(modes, validation.seed_mode_thresholds(spark))
 
 
 @register("schema_upgrade")

@@ -39,9 +39,11 @@ ORACLE["scan_solar"] = sql(f"""
 SELECT date, time, {r('observed_flux')} AS observed_flux, {r('adjusted_flux')} AS adjusted_flux, {r('ssn')} AS ssn,
        {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('xray_short')} AS xray_short,
        {r('xray_long')} AS xray_long, source_file, updated_at FROM solar_raw""", "solar_raw")
-ORACLE["mode_thresholds"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{m}', '{f}', CAST({t} AS DOUBLE), '{d}')" for m, f, t, d in K.MODE_THRESHOLDS) + \
-    ") AS t(mode, family, threshold_db, description)"
+ORACLE["mode_thresholds"] = sql("""
+SELECT o.mode, o.adif_mode, t.family, t.threshold_db, t.description, o.observations FROM (
+  SELECT mode, CASE mode WHEN 'PH' THEN 'SSB' WHEN 'RY' THEN 'RTTY' ELSE mode END AS adif_mode, count(*) AS observations
+  FROM (SELECT mode FROM pskr UNION ALL SELECT tx_mode FROM rbn UNION ALL SELECT mode FROM contest) GROUP BY mode) o
+LEFT JOIN thresholds t ON t.mode = o.adif_mode""", "pskr", "rbn", "contest", "thresholds")
 ORACLE["schema_upgrade"] = sql("""
 SELECT 'WSPR' AS mode, 15 AS column_count, count(*) AS rows, sum(band) AS band_sum FROM spots""", "spots")
 ORACLE["schema_upgrade"] = sql("""

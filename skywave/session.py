@@ -26,6 +26,8 @@ BASE_CONF = {
     # (SNR is a small integer); keep up to 16K groups per task in the hash map
     # before the sort-based fallback (~32 MB worst case per task).
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Checkpointed intermediates are deleted once no plan references them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -28,3 +28,24 @@ def test_quality_rollup_restart(spark):
     rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"])
     got = rollups.read_quality_rollup(spark, d["out"])
     assert got.groupBy().sum("count").first()[0] == sil.count()
+
+
+def test_live_conditions_snapshot_and_stream_static_join(spark):
+    from pyspark.sql import functions as F
+    from skywave.operators import features, solar
+    from skywave.sources.schemas import SOLAR
+    from skywave.streaming import live
+    base = scratch_path(spark, "test-live")
+    sol = fx.solar_raw(spark, SF_SMALL)
+    sol.coalesce(1).write.parquet(f"{base}/src")
+    live.run_live_conditions(spark, f"{base}/src", f"{base}/snap", f"{base}/ckpt")
+    snap = spark.read.parquet(f"{base}/snap").collect()
+    exp = features.live_conditions(sol).collect()
+    assert len(snap) == 1 and snap[0].asDict() == exp[0].asDict()
+    # stream-static enrichment equals the batch enrichment
+    stream = spark.readStream.schema(SOLAR).parquet(f"{base}/src").select("time").withColumnRenamed("time", "timestamp")
+    q = (live.enrich_stream(stream, solar.solar_latest(sol)).writeStream.format("memory").queryName("live_enrich_t")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("live_enrich_t").where(F.col("conditions").isNotNull()).count()
+    assert got == sol.count()
