@@ -6,9 +6,10 @@ Exact top-k per group
 ``top_k`` keeps the k best rows of each group by an order column.
 
 * k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (set to 100K by
-  ``skywave.session``): a ``row_number`` filter, which Spark plans with a
-  partial WindowGroupLimit before the shuffle -- every map task forwards at
-  most k rows per group.
+  ``skywave.session``) and k x input partitions <= 2M: a ``row_number``
+  filter, which Spark plans with a partial WindowGroupLimit before the shuffle
+  -- every map task forwards at most k rows per group, so one group's final
+  sort sees at most 2M rows.
 * larger k (the reference's 200K per cell, 1M per band, 10M density rows):
   1. one aggregation per group: row count and approximate quantiles of the
      order column on a 2^-j grid -> a per-group cut that leaves ~1.1k..2.2k
@@ -49,6 +50,19 @@ def _window_limit_threshold(spark) -> int:
     return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
 
 
+# The partial WindowGroupLimit keeps <= k rows per group in every map task, so
+# the final sort of one group receives up to k x (map tasks) rows; the window
+# path is used only while that stays small, else the quantile-cut path below.
+WINDOW_PATH_MAX_ROWS = 2_000_000
+
+
+def _input_partitions(df: DataFrame) -> int:
+    try:
+        return max(1, df.rdd.getNumPartitions())
+    except Exception:  # noqa: BLE001
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def _rank(df: DataFrame, k: int, groups, tie_cols) -> DataFrame:
     w = Window.partitionBy(*groups).orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
@@ -86,7 +100,7 @@ def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group
     groups = list(group_cols)
     sign = -1.0 if descending else 1.0
     x = df.withColumn("__o", F.col(order_col).cast("double") * F.lit(sign))   # smaller is better
-    if k <= _window_limit_threshold(df.sparkSession):
+    if k <= _window_limit_threshold(df.sparkSession) and k * _input_partitions(df) <= WINDOW_PATH_MAX_ROWS:
         return _rank(x, k, groups, tie_cols).drop("__o")
 
     need = int(math.ceil(1.1 * k)) + 100
