@@ -80,6 +80,8 @@ def _bucketed_rank(cand: DataFrame, k: int, groups, tie_cols, bucket_rows: int,
         return _rank(cand, k, groups, tie_cols)
     pcts = [i / nb for i in range(1, nb)]
     bounds = cand.groupBy(*groups).agg(F.percentile_approx("__o", pcts, accuracy).alias("__bounds"))
+    # bounds: one row per group (groups <= MAX_GROUPS, checked when the cuts were
+    # broadcast); offsets: one row per (group, bucket), buckets = candidates / 1M
     x = cand.join(F.broadcast(bounds), groups, "inner") if groups else \
         cand.withColumn("__bounds", F.array(*[F.lit(v) for v in bounds.first()["__bounds"]]))
     x = x.withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__o")))).drop("__bounds")
@@ -255,7 +257,7 @@ def quality_test_paths(sig: DataFrame, per_band: int = K.QUALITY_TEST_PER_BAND,
     counts = s.groupBy("band").agg(F.count(F.lit(1)).alias("__c"))
     wo = Window.orderBy("band").rowsBetween(Window.unboundedPreceding, -1)   # <= number of bands rows
     counts = counts.withColumn("__off", F.coalesce(F.sum("__c").over(wo), F.lit(0)))
-    s = s.join(F.broadcast(counts), "band")
+    s = s.join(F.broadcast(counts), "band")   # one row per band (the signature bands)
     return s.select(
         (F.col("__off") + F.col("sample_rank")).cast("bigint").alias("path_id"), "tx_grid_4", "rx_grid_4",
         maidenhead_lat("tx_grid_4").alias("tx_lat"), maidenhead_lon("tx_grid_4").alias("tx_lon"),
