@@ -95,5 +95,18 @@ def conform_solar(df: DataFrame) -> DataFrame:
     return df.withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
 
 
+def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, **options):
+    """Raw CSV under an explicit schema: (parsed rows, quarantined raw lines).
+
+    Malformed lines (wrong field count or unparsable values) land in the
+    quarantine frame with their text instead of silently becoming defaults.
+    The frame is cached: Spark requires a materialised input to query the
+    corrupt-record column on its own."""
+    df = _read(spark, path, schema, "csv", **options).cache()
+    good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    bad = df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
+    return good, bad
+
+
 def wspr_bronze_v2_mask() -> F.Column:
     return F.col("column_count") == BRONZE_V2_COLUMNS
