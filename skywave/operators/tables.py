@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import contextlib
 import logging
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -37,17 +38,21 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence, desc
 
 # Within one query build, identical derived tables (same analyzed plan) are
 # written once: e.g. the solar bucket table used by two joins of one query.
-_MEMO: dict | None = None
+_LOCAL = threading.local()     # per thread: concurrent query builds never share a memo
+
+
+def _memo() -> dict | None:
+    return getattr(_LOCAL, "memo", None)
 
 
 @contextlib.contextmanager
 def memo_scope():
-    global _MEMO
-    outer, _MEMO = _MEMO, ({} if _MEMO is None else _MEMO)
+    outer = _memo()
+    _LOCAL.memo = {} if outer is None else outer
     try:
         yield
     finally:
-        _MEMO = outer
+        _LOCAL.memo = outer
 
 
 def _plan_key(df: DataFrame):
@@ -58,12 +63,13 @@ def _plan_key(df: DataFrame):
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    key = _plan_key(df) if _MEMO is not None else None
-    if key is not None and key in _MEMO:
-        return _MEMO[key]
+    memo = _memo()
+    key = _plan_key(df) if memo is not None else None
+    if key is not None and key in memo:
+        return memo[key]
     out = df.checkpoint(eager=True)
     if key is not None:
-        _MEMO[key] = out
+        memo[key] = out
     return out
 
 

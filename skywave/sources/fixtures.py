@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # loaded warehouse do.  The key covers the source files' sizes and mtimes.
 # ---------------------------------------------------------------------------
 MATERIALIZE = os.environ.get("SKYWAVE_MATERIALIZE", "1") != "0"
+BRONZE_LAYOUT_VERSION = 2       # bump when the stored layout changes
+_BUILD_LOCK = threading.Lock()   # one builder per process when queries are built concurrently
 
 _BRONZE_LAYOUT = {   # name -> (sources, partition by month, clustering columns)
     "spots": (["lineitem", "events"], True, ["band", "timestamp"]),
@@ -45,7 +48,7 @@ _BRONZE_LAYOUT = {   # name -> (sources, partition by month, clustering columns)
 
 
 def _source_key(sf_dir: str, sources) -> str:
-    h = hashlib.md5(os.path.abspath(sf_dir).encode())
+    h = hashlib.md5(f"{BRONZE_LAYOUT_VERSION}:{os.path.abspath(sf_dir)}".encode())
     for t in sources:
         p = f"{sf_dir.rstrip('/')}/{t}.parquet"
         if os.path.exists(p):
@@ -61,20 +64,23 @@ def _bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     sources, by_month, cluster = _BRONZE_LAYOUT[name]
     path = f"{checkpoint_root(spark).rstrip('/')}/skywave/bronze/{_source_key(sf_dir, sources)}/{name}"
     marker = f"{path}/_SKYWAVE_COMPLETE"
-    if not _fs_exists(spark, marker):
-        df = build()
-        if by_month:
-            from skywave.sources.sinks import with_month_partition
-            out = with_month_partition(df).repartition("ym").sortWithinPartitions(*cluster)
-            out.write.mode("overwrite").partitionBy("ym").parquet(path)
-        else:
-            df.repartition(1).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
-        _fs_touch(spark, marker)
+    with _BUILD_LOCK:
+        if not _fs_exists(spark, marker):
+            _write_bronze(spark, build(), path, by_month, cluster, marker)
     stored = spark.read.parquet(path)
     cols = build_columns(name) + (["ym"] if by_month else [])   # ym: month partition column, for pruning
     return stored.select(*cols)
 
 
+def _write_bronze(spark: SparkSession, df: DataFrame, path: str, by_month: bool, cluster, marker: str) -> None:
+    from skywave.sources.sinks import write_fact
+    if by_month:
+        write_fact(df, path, sort_cols=cluster, mode="overwrite")
+    else:
+        df.repartition(1).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
+    _fs_touch(spark, marker)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
