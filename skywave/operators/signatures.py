@@ -32,11 +32,6 @@ from skywave.sources.sinks import window_filter
 MAX_BROADCAST_FLAGS = 5_000_000
 
 
-def _window(ts: str, window) -> Column:
-    start, end = window
-    return (F.col(ts) >= F.lit(start).cast("timestamp")) & (F.col(ts) < F.lit(end).cast("timestamp"))
-
-
 def _trunc_long(c: Column) -> Column:
     """double -> unsigned-int style truncation, after rounding away ulp noise."""
     return F.round(c, 6).cast("bigint")

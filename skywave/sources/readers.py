@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skywave.constants import BRONZE_V2_COLUMNS, V1_DEFAULT_COLUMN_COUNT, V1_DEFAULT_MODE
+from skywave.constants import V1_DEFAULT_COLUMN_COUNT, V1_DEFAULT_MODE
 from skywave.functions.grid import clean_fixed
 from skywave.sources import schemas
 
@@ -106,7 +106,3 @@ def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructTyp
     good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
     bad = df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
     return good, bad
-
-
-def wspr_bronze_v2_mask() -> F.Column:
-    return F.col("column_count") == BRONZE_V2_COLUMNS

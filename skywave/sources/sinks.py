@@ -35,15 +35,6 @@ def overwrite_table(df: DataFrame, path: str, partition_cols=None) -> None:
     w.parquet(path)
 
 
-def month_filter(ts_col: str, start: str, end: str) -> F.Column:
-    """Half-open time window plus the matching ``ym`` range, so partition
-    pruning applies on month-partitioned tables."""
-    ym_lo = int(start[:4] + start[5:7])
-    ym_hi = int(end[:4] + end[5:7])
-    return ((F.col(ts_col) >= F.lit(start).cast("timestamp")) & (F.col(ts_col) < F.lit(end).cast("timestamp"))
-            & (F.col("ym") >= ym_lo) & (F.col("ym") <= ym_hi))
-
-
 def window_filter(df: DataFrame, window, ts_col: str = "timestamp") -> DataFrame:
     """Half-open time window; on month-partitioned tables (a ``ym`` column) the
     matching month range is added so only those partitions are listed/read."""
