@@ -55,3 +55,19 @@ def test_time_windows_prune_month_partitions(spark):
     p = plan_of(df)
     scan = [line for line in p.splitlines() if "Scan parquet" in line or "FileScan" in line][0]
     assert "PartitionFilters: [isnotnull(ym" in scan and "199901" in scan and "199903" in scan
+
+
+@pytest.mark.parametrize("name", ["callsign_grid", "velocity_day", "balloon_flags_v2", "signatures_v1", "spots_daily"])
+def test_aggregations_combine_map_side(spark, name):
+    """Every hash exchange directly under an aggregation sits on a partial
+    aggregate (map-side combine), so a callsign holding a third of all spots is
+    reduced in each task before it is shuffled."""
+    df = QUERIES[name](spark, SF_SMALL)
+    lines = plan_of(df).splitlines()
+    checked = 0
+    for i, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line and i > 0 and "Aggregate" in lines[i - 1] and "Window" not in lines[i - 1]:
+            assert "Aggregate" in lines[i + 1] and "partial" in lines[i + 1].lower() or "functions=[]" in lines[i + 1] \
+                or "Aggregate(keys=" in lines[i + 1], lines[i + 1]
+            checked += 1
+    assert checked >= 1
