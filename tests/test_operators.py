@@ -184,3 +184,19 @@ def test_histogram_stats_equal_percentile_and_stddev(spark):
         assert h[g].median_snr == r.m
         assert h[g].snr_std == pytest.approx(r.s, abs=1e-9)
         assert h[g].reliability == pytest.approx(r.rel)
+
+
+def test_properties_v2_subset_and_union_sum(spark):
+    from conftest import SF_MID
+    from skywave.plans import catalog
+    from skywave.sources import fixtures as fx
+    s, summary, cg = catalog._chain(spark, SF_MID)
+    fl = flags.balloon_flags_v2(s, cg, summary=summary)
+    kept = signatures.exclude_flagged(s, fl).select("id")
+    assert kept.join(s.select("id"), "id", "left_anti").count() == 0          # v2 spots are a subset
+    assert 0 < kept.count() < s.count()
+    parts = {"wspr": catalog._v2(spark, SF_MID), "contest": catalog._contest_sig(spark, SF_MID),
+             "rbn": catalog._rbn_sig(spark, SF_MID)}
+    u = signatures.union_signatures(**parts)
+    assert u.count() == sum(p.count() for p in parts.values())
+    assert {r.source for r in u.select("source").distinct().collect()} == set(parts)
