@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # loaded warehouse do.  The key covers the source files' sizes and mtimes.
 # ---------------------------------------------------------------------------
 MATERIALIZE = os.environ.get("SKYWAVE_MATERIALIZE", "1") != "0"
-BRONZE_LAYOUT_VERSION = 2       # bump when the stored layout changes
+BRONZE_LAYOUT_VERSION = 3       # bump when the stored layout changes
 _BUILD_LOCK = threading.Lock()   # one builder per process when queries are built concurrently
 
 _BRONZE_LAYOUT = {   # name -> (sources, partition by month, clustering columns)

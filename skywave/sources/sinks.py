@@ -10,18 +10,17 @@ def with_month_partition(df: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     return df.withColumn("ym", F.date_format(F.col(ts_col), "yyyyMM").cast("int"))
 
 
-def write_fact(df: DataFrame, path: str, ts_col: str = "timestamp", sort_cols=None, mode: str = "append",
-               partitions: int | None = None) -> None:
+def write_fact(df: DataFrame, path: str, ts_col: str = "timestamp", sort_cols=None, mode: str = "append") -> None:
     """Month-partitioned parquet, rows clustered by the sort key inside each
     file so row-group min/max statistics prune range scans.
 
-    Range partitioning on (ym, sort key) gives each task a contiguous slice:
-    a month lands in few files, yet a month holding a third of all rows is
-    split across many tasks instead of one."""
+    ``REBALANCE(ym)``: rows of a month go to the same tasks (few files per
+    month), and AQE splits a month larger than the advisory partition size
+    across several tasks -- a month holding a third of all rows is written by
+    many tasks, not one -- without an extra sampling pass over the input."""
     out = with_month_partition(df, ts_col)
     keys = ["ym"] + list(sort_cols or [ts_col])
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    out = out.hint("rebalance", "ym").sortWithinPartitions(*keys)
     out.write.mode(mode).partitionBy("ym").parquet(path)
 
 
@@ -29,6 +28,8 @@ def overwrite_table(df: DataFrame, path: str, partition_cols=None) -> None:
     """Truncate-and-reload; with partition columns only the partitions present
     in ``df`` are replaced (dynamic partition overwrite), which is how a model
     version is re-scored or dropped."""
+    if partition_cols:   # one writer group per partition value, AQE-split when large
+        df = df.hint("rebalance", *partition_cols)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_cols:
         w = w.partitionBy(*partition_cols)
