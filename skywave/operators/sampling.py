@@ -57,10 +57,16 @@ WINDOW_PATH_MAX_ROWS = 2_000_000
 
 
 def _input_partitions(df: DataFrame) -> int:
+    """Estimated map tasks feeding the window: the optimizer's size estimate of
+    the input over the split size (no job runs; ``df.rdd`` would execute the
+    adaptive plan's stages just to count partitions)."""
+    spark = df.sparkSession
+    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
     try:
-        return max(1, df.rdd.getNumPartitions())
-    except Exception:  # noqa: BLE001
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  (no JVM plan access, e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(1, -(-size // max(1, split)))
 
 
 def _rank(df: DataFrame, k: int, groups, tie_cols) -> DataFrame:

@@ -83,7 +83,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension", mat
     (sort-merge, with AQE skew splitting)."""
     if materialize:
         df = _checkpoint(df)
-    n = df.limit(max_rows + 1).count()
+    memo = _memo()
+    key = ("rows<=", _plan_key(df), max_rows) if memo is not None else None
+    if key is not None and key[1] is not None and key in memo:
+        n = memo[key]
+    else:
+        n = df.limit(max_rows + 1).count()
+        if key is not None and key[1] is not None:
+            memo[key] = n
     if n <= max_rows:
         return F.broadcast(df)
     log.warning("%s has more than %d rows; using a shuffle join", name, max_rows)
