@@ -200,3 +200,15 @@ def test_properties_v2_subset_and_union_sum(spark):
     u = signatures.union_signatures(**parts)
     assert u.count() == sum(p.count() for p in parts.values())
     assert {r.source for r in u.select("source").distinct().collect()} == set(parts)
+
+
+def test_conformance_report_flags_bad_rows(spark):
+    from skywave.operators import tables
+    rows = [dict(snr=-10), dict(snr=200), dict(callsign="K" * 17), dict(reporter_grid="AB12CD34X")]
+    s = spot_rows(spark, rows).withColumn("azimuth", F.when(F.col("id") == 1, F.lit(None)).otherwise(F.col("azimuth")))
+    rep = {r.name: r for r in tables.conformance_report(s, schemas.WSPR_CONTRACT).collect()}
+    assert rep["snr"].out_of_range_rows == 1 and rep["snr"].conforms == 0
+    assert rep["callsign"].over_width_rows == 1 and rep["callsign"].max_length == 17
+    assert rep["reporter_grid"].over_width_rows == 1
+    assert rep["azimuth"].null_rows == 1 and rep["azimuth"].conforms == 0
+    assert rep["band"].conforms == 1 and rep["id"].position == 1 and len(rep) == 17
