@@ -27,20 +27,19 @@ def bits_of(ids: Column, log2: int = BITMAP_LOG2) -> Column:
     return F.pmod(F.xxhash64(ids), F.lit(1 << log2))
 
 
-def bitmap(ids: DataFrame, column: str, log2: int = BITMAP_LOG2):
-    """A broadcast bitmap of the hashed ids.  Its size is fixed (2**log2 bits),
-    so it can be sent to every task at any input size; it only lets more rows
-    pass as it fills, and whoever uses it joins exactly afterwards."""
-    bit = bits_of(F.col(column), log2)
-    rows = (ids.select((bit + 1).alias("bit"))            # the functions count from 1
-               .groupBy(F.bitmap_bucket_number("bit").alias("n"))
-               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+def bitmap(rows: DataFrame, bit: Column, log2: int = BITMAP_LOG2):
+    """A broadcast bitmap of bit numbers below 2**log2.  Its size is fixed, so it
+    can be sent to every task at any input size; it only lets more rows pass as
+    it fills, and whoever uses it joins exactly afterwards."""
+    found = (rows.select((bit + 1).alias("bit"))            # the functions count from 1
+                 .groupBy(F.bitmap_bucket_number("bit").alias("n"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
     whole = np.zeros(1 << (log2 - 3), np.uint8)
-    for r in rows:                                       # at most 2**log2 / 32768 rows of 4 KB
+    for r in found:                                       # at most 2**log2 / 32768 rows of 4 KB
         part = np.frombuffer(bytes(r["bits"]), np.uint8)
         at = (r["n"] - 1) * 4096
         whole[at:at + len(part)] = part
-    return ids.sparkSession.sparkContext.broadcast(whole)
+    return rows.sparkSession.sparkContext.broadcast(whole)
 
 
 def in_bitmap(whole: np.ndarray, bit: np.ndarray) -> np.ndarray:

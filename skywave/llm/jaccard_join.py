@@ -230,7 +230,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, k: int) -> Da
     near = stored(both.mapInArrow(_near, "a long, b long"))
     wanted = stored(known.join(near.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi")
                     .select("v", "doc_id"))
-    bits = bitmap(wanted, "doc_id")
+    bits = bitmap(wanted, bits_of(F.col("doc_id")))
     read = docs.select("doc_id", "text", bits_of(F.col("doc_id")).alias("bit"))
     sets = (read.mapInArrow(_hashes(k, bits), "doc_id long, v long, h binary")
                 .join(wanted, ["doc_id", "v"], "left_semi").dropDuplicates(["v"]).select("v", "h"))

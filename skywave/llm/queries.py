@@ -5,11 +5,54 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skywave.llm import jaccard_join
+from skywave.llm import (chunk_dedup, decontamination, exact_dedup, html_extraction, jaccard_join, kd_sharding, licence_scan,
+                         sentencepiece_dropout, suffix_dedup, toxicity)
 from skywave.llm.common import table
 
-AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+SHARDS = 24
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extracted(table(spark, sf_dir, "pages"))
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (kd_sharding.shards(table(spark, sf_dir, "documents"), SHARDS)
+            .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep_text=False)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_dedup.report(table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_dropout.encoded(table(spark, sf_dir, "documents"), digest=True)
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (licence_scan.scan(table(spark, sf_dir, "documents"))
+            .select("doc_id", "n_matches", F.concat_ws(",", "licences").alias("licences"), "best_licence", "best_dice"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(table(spark, sf_dir, "documents"), keep_text=False).drop("kept")
 
 
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,10 +60,50 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
+    f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_kd_sharding, op5_benchmark_decontamination, op6_chunk_dedup,
+                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join)
 }
 
+AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_TEMPLATES = ",\n  ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licence_scan.TEMPLATES.items())
+
 ORACLE: dict[str, str] = {
+    "op2_exact_dedup": r"""
+WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY t)""",
+    "op5_benchmark_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 8, 2)), lambda i: w[i:i + 9])) AS g FROM b WHERE len(w) > 0),
+n AS (SELECT DISTINCT n FROM p),
+g AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: {{'i': i, 'g': w[i:i + n - 1]}})) AS g FROM d, n WHERE len(w) >= n),
+m AS (SELECT g.doc_id, g.n, g.g.i AS i, p.item FROM g JOIN p ON g.n = p.n AND g.g.g = p.g),
+h AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM m) GROUP BY doc_id),
+x AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN x USING (doc_id)""",
+    "op8_licence_scan": rf"""
+WITH t(name, text) AS (VALUES
+  {_TEMPLATES}),
+tw AS (SELECT name, regexp_extract_all(translate(text, {AZ}), '[a-z0-9]+') AS w FROM t),
+tg AS (SELECT name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM tw),
+f AS (SELECT doc_id, translate(coalesce(text, ''), {AZ}) AS t FROM documents),
+s AS (SELECT doc_id, t AS s FROM f
+      UNION ALL SELECT doc_id, unnest(regexp_split_to_array(t, '\n\s*\n')) FROM f
+      UNION ALL SELECT doc_id, unnest(regexp_split_to_array(t, '\n')) FROM f
+      UNION ALL SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) FROM f),
+w AS (SELECT DISTINCT doc_id, regexp_extract_all(s, '[a-z0-9]+') AS w FROM s),
+g AS (SELECT doc_id, w, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) BETWEEN 2 AND 400),
+m AS (SELECT doc_id, w, name, 2.0::DOUBLE * len(list_intersect(g.g, tg.g)) / (len(g.g) + len(tg.g)) AS dice FROM g, tg
+      WHERE list_has_any(g.g, tg.g) AND len(g.g) * 3 >= len(tg.g) * 2 AND len(g.g) * 2 <= len(tg.g) * 3),
+b AS (SELECT doc_id, w, max(dice) AS dice, arg_min(name, (-dice, name)) AS name FROM m WHERE dice >= 0.8 GROUP BY doc_id, w),
+x AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licences,
+             arg_min(name, (-dice, name)) AS best_licence, max(dice) AS best_dice FROM b GROUP BY doc_id)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licences, '') AS licences, best_licence, best_dice
+FROM documents LEFT JOIN x USING (doc_id)""",
     "op10_ngram_jaccard_join": rf"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
