@@ -6,11 +6,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skywave.functions.grid import grid4, grid6, has_valid_field
-from skywave.operators.tables import bounded_broadcast
-
-# (callsign, grid_4) pairs are ~30 bytes; 8M rows stays well under a few
-# hundred MB of broadcast.  Larger dimensions are joined by shuffle.
-MAX_BROADCAST_CALLSIGNS = 8_000_000
 
 
 def station_days(spots: DataFrame) -> DataFrame:
@@ -56,19 +51,18 @@ def callsign_grid_report(cg: DataFrame) -> DataFrame:
                   F.count_if(F.col("spot_count") > 0).alias("rows_with_spots"))
 
 
-def grid_dimension(cg: DataFrame, max_broadcast_rows: int = MAX_BROADCAST_CALLSIGNS) -> DataFrame:
-    dim = cg.where(F.col("grid_4") != "").select("callsign", "grid_4")
-    return bounded_broadcast(dim, max_broadcast_rows, "callsign_grid")
+def grid_dimension(cg: DataFrame) -> DataFrame:
+    return cg.where(F.col("grid_4") != "").select("callsign", "grid_4")
 
 
-def enrich_endpoints(df: DataFrame, cg: DataFrame, tx_col: str, rx_col: str,
-                     max_broadcast_rows: int = MAX_BROADCAST_CALLSIGNS) -> DataFrame:
+def enrich_endpoints(df: DataFrame, cg: DataFrame, tx_col: str, rx_col: str) -> DataFrame:
     """Inner lookups of both endpoints in the callsign dimension; rows with an
     unresolved endpoint or an empty grid drop out.  Adds tx_grid_4, rx_grid_4.
 
-    The dimension is broadcast when its size is proven small; otherwise both
-    lookups are sort-merge joins and AQE splits a skewed callsign."""
-    dim = grid_dimension(cg, max_broadcast_rows)
+    Plain joins: a stored dimension is broadcast if its files are small, a
+    computed one if AQE finds it small; otherwise both lookups are sort-merge
+    joins and AQE splits a skewed callsign."""
+    dim = grid_dimension(cg)
     tx = dim.select(F.col("callsign").alias("__txc"), F.col("grid_4").alias("tx_grid_4"))
     rx = dim.select(F.col("callsign").alias("__rxc"), F.col("grid_4").alias("rx_grid_4"))
     return (df.join(tx, F.col(tx_col) == F.col("__txc"), "inner")
@@ -76,10 +70,9 @@ def enrich_endpoints(df: DataFrame, cg: DataFrame, tx_col: str, rx_col: str,
               .drop("__txc", "__rxc"))
 
 
-def endpoint_resolution(df: DataFrame, cg: DataFrame, tx_col: str, rx_col: str, by=("band",),
-                        max_broadcast_rows: int = MAX_BROADCAST_CALLSIGNS) -> DataFrame:
+def endpoint_resolution(df: DataFrame, cg: DataFrame, tx_col: str, rx_col: str, by=("band",)) -> DataFrame:
     """Share of rows (percent) whose both endpoints resolve to a grid, per group."""
-    dim = grid_dimension(cg, max_broadcast_rows)
+    dim = grid_dimension(cg)
     tx = dim.select(F.col("callsign").alias("__txc"), F.lit(1).alias("__txok"))
     rx = dim.select(F.col("callsign").alias("__rxc"), F.lit(1).alias("__rxok"))
     j = (df.join(tx, F.col(tx_col) == F.col("__txc"), "left")

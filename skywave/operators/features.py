@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skywave.functions.bands import band_freq_mhz
 from skywave.functions.grid import maidenhead_lat, maidenhead_lon
 from skywave.functions.solar import conditions_label, kp_penalty, solar_bucket
-from skywave.operators.tables import bounded_broadcast, latest_by_key
+from skywave.operators.tables import latest_by_key
 
 TWO_PI = 2.0 * math.pi
 
@@ -63,8 +63,8 @@ def live_conditions(solar: DataFrame) -> DataFrame:
 def enrich_with_conditions(spots: DataFrame, conditions: DataFrame, ts_col: str = "timestamp") -> DataFrame:
     """Match spots to the conditions of their (date, 3-hour bucket); usable as a
     stream-static join with a streaming ``spots``."""
-    c = bounded_broadcast(conditions.withColumnRenamed("date", "__cd").withColumnRenamed("bucket", "__cb"),
-                          8 * 366 * 200, "conditions")
+    # at most 8 rows per calendar day: 200 years of days are 585,600 rows
+    c = F.broadcast(conditions.withColumnRenamed("date", "__cd").withColumnRenamed("bucket", "__cb"))
     j = spots.join(c, (F.to_date(F.col(ts_col)) == F.col("__cd")) & (solar_bucket(F.col(ts_col)) == F.col("__cb")), "left")
     return j.drop("__cd", "__cb")
 

@@ -13,11 +13,9 @@ from pyspark.sql import functions as F
 
 from skywave import constants as K
 from skywave.functions.grid import grid4
-from skywave.operators.tables import bounded_broadcast, materialize
 
 FLAG_COLUMNS = ["callsign", "flag_reason", "flag_date", "daily_grids", "total_spots"]
 V1_COLUMNS = ["callsign", "flag_reason", "max_daily_grids", "total_spots", "total_grids", "first_seen", "last_seen"]
-MAX_BROADCAST_CALLSIGNS = 8_000_000
 
 
 def _daily_grid_counts(spots: DataFrame | None, summary: DataFrame | None = None) -> DataFrame:
@@ -47,9 +45,8 @@ def velocity_day(spots: DataFrame | None, threshold: int = K.VELOCITY_GRIDS_PER_
                     F.col("daily_spots").cast("bigint").alias("total_spots")))
 
 
-def _callsign_set(df: DataFrame, col: str = "callsign", name: str = "callsigns") -> DataFrame:
-    return bounded_broadcast(df.select(F.col(col).alias("__x")).distinct(), MAX_BROADCAST_CALLSIGNS, name,
-                             materialize=False)
+def _callsign_set(df: DataFrame) -> DataFrame:
+    return df.select(F.col("callsign").alias("__x")).distinct()
 
 
 def type2_telemetry(spots: DataFrame | None, cg: DataFrame, flagged: DataFrame | None = None,
@@ -65,7 +62,7 @@ def type2_telemetry(spots: DataFrame | None, cg: DataFrame, flagged: DataFrame |
     known = cg.select(F.col("callsign").alias("__k"))
     out = per_call.join(known, F.col("callsign") == F.col("__k"), "left_anti")
     if flagged is not None:
-        out = out.join(_callsign_set(flagged, name="flagged"), F.col("callsign") == F.col("__x"), "left_anti")
+        out = out.join(_callsign_set(flagged), F.col("callsign") == F.col("__x"), "left_anti")
     return out.select("callsign", F.lit("type2_telemetry").alias("flag_reason"),
                       F.lit(K.EPOCH_FLAG_DATE).cast("date").alias("flag_date"),
                       F.lit(0).cast("bigint").alias("daily_grids"), F.col("total_spots").cast("bigint"))
@@ -77,8 +74,8 @@ def balloon_flags_v2(spots: DataFrame | None, cg: DataFrame, threshold: int = K.
     of the earlier one).  Both derive from the station-day summary (one bronze
     scan for the chain); it is built here when not given."""
     from skywave.operators.callsigns import station_days
-    summary = materialize(station_days(spots)) if summary is None else summary
-    vd = materialize(velocity_day(None, threshold, summary=summary))
+    summary = station_days(spots) if summary is None else summary
+    vd = velocity_day(None, threshold, summary=summary)
     t2 = type2_telemetry(None, cg, flagged=vd, summary=summary)
     return vd.unionByName(t2).select(*FLAG_COLUMNS)
 
@@ -120,62 +117,70 @@ def mobility_profile(spots: DataFrame | None, summary: DataFrame | None = None)
 
 
 # ---------------------------------------------------------------- v1 (deprecated)
-def _per_callsign_totals(spots: DataFrame) -> DataFrame:
-    """total spots, distinct 4-char grids, first/last day per callsign (two levels)."""
-    lvl = (spots.groupBy("callsign", grid4("grid").alias("g4"))
-           .agg(F.count(F.lit(1)).alias("n"), F.min(F.to_date("timestamp")).alias("f"),
-                F.max(F.to_date("timestamp")).alias("l")))
-    return lvl.groupBy("callsign").agg(F.sum("n").alias("total_spots"), F.count(F.lit(1)).alias("total_grids"),
-                                       F.min("f").alias("first_seen"), F.max("l").alias("last_seen"))
+def callsign_days(spots: DataFrame) -> DataFrame:
+    """(callsign, d, g4, valid, n) of transmitted spots: the one reduction of the
+    fact table that all v1 categories derive from."""
+    valid = F.col("grid").rlike(K.FIELD_PREFIX_PATTERN)
+    return (spots.groupBy("callsign", F.to_date("timestamp").alias("d"), grid4("grid").alias("g4"), valid.alias("valid"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def _per_callsign(days: DataFrame) -> DataFrame:
+    """One row per callsign: spots, distinct 4-char grids, first and last day."""
+    per_grid = days.groupBy("callsign", "g4").agg(F.sum("n").alias("n"), F.min("d").alias("f"), F.max("d").alias("l"))
+    return per_grid.groupBy("callsign").agg(F.sum("n").alias("total_spots"), F.count(F.lit(1)).alias("total_grids"),
+                                            F.min("f").alias("first_seen"), F.max("l").alias("last_seen"))
+
+
+def _without(calls: DataFrame, *others: DataFrame | None) -> DataFrame:
+    """Callsigns (one row each) that none of the others has."""
+    for o in others:
+        if o is not None:
+            calls = calls.join(_callsign_set(o), F.col("callsign") == F.col("__x"), "left_anti")
+    return calls
+
 
+def _v1_rows(calls: DataFrame, reason: str) -> DataFrame:
+    return calls.select("callsign", F.lit(reason).alias("flag_reason"), F.lit(0).cast("bigint").alias("max_daily_grids"),
+                        F.col("total_spots").cast("bigint"), F.col("total_grids").cast("bigint"), "first_seen", "last_seen")
 
-def velocity_tier_v1(spots: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
+
+def velocity_tier_v1(spots: DataFrame | None, threshold: int = K.VELOCITY_GRIDS_PER_DAY, days: DataFrame | None = None) -> DataFrame:
     """Whole-callsign flag: peak daily distinct grids >= threshold, with totals.
 
     The reference's distinct-count window becomes (callsign, day, grid) ->
     (callsign, day) -> callsign aggregations."""
-    lvl1 = _daily_grid_counts(spots)
-    per_day = lvl1.groupBy("callsign", "d").agg(F.count(F.lit(1)).alias("dg"), F.sum("n").alias("ds"))
-    per_call = per_day.groupBy("callsign").agg(F.max("dg").alias("max_daily_grids"), F.sum("ds").alias("total_spots"),
-                                               F.min("d").alias("first_seen"), F.max("d").alias("last_seen"))
-    grids = lvl1.groupBy("callsign", "g4").agg(F.lit(1).alias("one")).groupBy("callsign").agg(
-        F.count(F.lit(1)).alias("total_grids"))
-    return (per_call.where(F.col("max_daily_grids") >= threshold).join(grids, "callsign")
+    valid = (callsign_days(spots) if days is None else days).where("valid")
+    per_day = valid.groupBy("callsign", "d").agg(F.count(F.lit(1)).alias("dg"))
+    peak = per_day.groupBy("callsign").agg(F.max("dg").alias("max_daily_grids")).where(F.col("max_daily_grids") >= threshold)
+    return (peak.join(_per_callsign(valid), "callsign")
             .select("callsign", F.lit("velocity_tier").alias("flag_reason"),
                     F.col("max_daily_grids").cast("bigint").alias("max_daily_grids"),
                     F.col("total_spots").cast("bigint").alias("total_spots"),
                     F.col("total_grids").cast("bigint").alias("total_grids"), "first_seen", "last_seen"))
 
 
-def type2_telemetry_v1(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
-    known = cg.select(F.col("callsign").alias("__k"))
-    s = spots.select("callsign", "grid", "timestamp").join(known, F.col("callsign") == F.col("__k"), "left_anti")
-    if flagged is not None:
-        s = s.join(_callsign_set(flagged, name="flagged"), F.col("callsign") == F.col("__x"), "left_anti")
-    t = _per_callsign_totals(s)
-    return t.select("callsign", F.lit("type2_telemetry").alias("flag_reason"), F.lit(0).cast("bigint").alias("max_daily_grids"),
-                    F.col("total_spots").cast("bigint"), F.col("total_grids").cast("bigint"), "first_seen", "last_seen")
+def type2_telemetry_v1(spots: DataFrame | None, cg: DataFrame, flagged: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
+    """Callsigns that are neither in the dimension nor flagged: the anti joins
+    see one row per callsign."""
+    calls = _per_callsign(callsign_days(spots) if days is None else days)
+    return _v1_rows(_without(calls, cg, flagged), "type2_telemetry")
 
 
-def reserved_prefix_v1(spots: DataFrame, cg: DataFrame, flagged: DataFrame | None = None) -> DataFrame:
+def reserved_prefix_v1(spots: DataFrame | None, cg: DataFrame, flagged: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """Callsigns starting with Q or two digits (ITU-reserved), not flagged and
     not known operators."""
     cond = None
     for p in K.RESERVED_PREFIX_PATTERNS:
         cond = F.col("callsign").rlike(p) if cond is None else cond | F.col("callsign").rlike(p)
-    s = spots.select("callsign", "grid", "timestamp").where(cond)
-    if flagged is not None:
-        s = s.join(_callsign_set(flagged, name="flagged"), F.col("callsign") == F.col("__x"), "left_anti")
-    known = cg.select(F.col("callsign").alias("__k"))
-    s = s.join(known, F.col("callsign") == F.col("__k"), "left_anti")
-    t = _per_callsign_totals(s)
-    return t.select("callsign", F.lit("reserved_prefix").alias("flag_reason"), F.lit(0).cast("bigint").alias("max_daily_grids"),
-                    F.col("total_spots").cast("bigint"), F.col("total_grids").cast("bigint"), "first_seen", "last_seen")
+    calls = _per_callsign((callsign_days(spots) if days is None else days).where(cond))
+    return _v1_rows(_without(calls, flagged, cg), "reserved_prefix")
 
 
 def balloon_flags_v1(spots: DataFrame, cg: DataFrame, threshold: int = K.VELOCITY_GRIDS_PER_DAY) -> DataFrame:
-    vt = materialize(velocity_tier_v1(spots, threshold))
-    t2 = materialize(type2_telemetry_v1(spots, cg, flagged=vt))
+    days = callsign_days(spots)
+    vt = velocity_tier_v1(None, threshold, days=days)
+    t2 = type2_telemetry_v1(None, cg, flagged=vt, days=days)
     done = vt.select("callsign").unionByName(t2.select("callsign"))
-    rp = reserved_prefix_v1(spots, cg, flagged=done)
+    rp = reserved_prefix_v1(None, cg, flagged=done, days=days)
     return vt.unionByName(t2).unionByName(rp).select(*V1_COLUMNS)

@@ -25,7 +25,7 @@ def data_integrity(spots: DataFrame) -> DataFrame:
 def spots_daily(spots: DataFrame, exact: bool = True) -> DataFrame:
     """day x band x mode: spots, distinct transmitters and receivers, mean SNR,
     longest path.  ``exact=False`` uses HyperLogLog distinct counts (one
-    aggregation level, mergeable -- also what a streaming rollup can keep)."""
+    aggregation level)."""
     distinct = F.countDistinct if exact else F.approx_count_distinct
     return (spots.groupBy(F.to_date("timestamp").alias("day"), "band", "mode")
             .agg(F.count(F.lit(1)).alias("spot_count"), distinct("callsign").alias("unique_tx"),
@@ -52,15 +52,18 @@ def latest_config(config: DataFrame) -> DataFrame:
     return latest_by_key(config, ["key"], ["updated_at"]).select("key", "value", "updated_at")
 
 
-def pending_files(listing: DataFrame, log: DataFrame) -> DataFrame:
-    """Files in ``listing`` that still need a load: never logged, or whose
-    latest log entry is a primed one (row_count = 0) or was logged with a
-    different size (the file grew after it was loaded; re-load replaces)."""
+def pending_files(listing: DataFrame, log: DataFrame, reload_primed: bool = False, reload_grown: bool = False) -> DataFrame:
+    """Files in ``listing`` that have never been logged.  An entry of 0 rows
+    (primed at bootstrap, or an empty file) counts as loaded, too;
+    ``reload_primed`` loads those again, ``reload_grown`` those whose size has
+    changed since their latest entry."""
     latest = latest_by_key(log, ["file_path"], ["loaded_at"]).select(
         F.col("file_path").alias("__p"), F.col("file_size").alias("__s"), F.col("row_count").alias("__r"))
-    done = latest.where(F.col("__r") > 0)
-    j = listing.join(done, (F.col("file_path") == F.col("__p")) & (F.col("file_size") == F.col("__s")), "left_anti")
-    return j.select("file_path", "file_size")
+    done = latest.where(F.col("__r") > 0) if reload_primed else latest
+    same = F.col("file_path") == F.col("__p")
+    if reload_grown:
+        same = same & (F.col("file_size") == F.col("__s"))
+    return listing.join(done, same, "left_anti").select("file_path", "file_size")
 
 
 def ingest_log_latest(log: DataFrame) -> DataFrame:

@@ -3,30 +3,25 @@
 
 Exact top-k per group
 ---------------------
-``top_k`` keeps the k best rows of each group by an order column.
-
-* k up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (set to 100K by
-  ``skywave.session``) and k x input partitions <= 2M: a ``row_number``
-  filter, which Spark plans with a partial WindowGroupLimit before the shuffle
-  -- every map task forwards at most k rows per group, so one group's final
-  sort sees at most 2M rows.
-* larger k (the reference's 200K per cell, 1M per band, 10M density rows):
-  1. one aggregation per group: row count and approximate quantiles of the
-     order column on a 2^-j grid -> a per-group cut that leaves ~1.1k..2.2k
-     candidates (no cut when k is half the group or more);
-  2. the candidates (bounded by ~2.2k per group, independent of the input
-     size) are written to the shared checkpoint folder; every group must keep
-     min(k, n) rows, a group that falls short (quantile error) loses its cut,
-     so the result stays exact;
-  3. exact rank over the candidates: value-range buckets of ~1M rows (at
-     approximate quantiles; ties never straddle a boundary), bucket offsets
-     from a tiny cumulative count, rank = offset + row_number in the bucket.
-  No task sorts more than ~``bucket_rows`` rows, whatever the input or k.
+``top_k`` keeps the k best rows of each group by an order column, on one path for
+every k and every input size:
+
+1. every row gets a bucket, a monotone function of its order value (64 buckets per
+   power of two, so buckets are finest where the best values of hashes and of
+   Efraimidis-Spirakis keys lie); rows are counted per (group, bucket), combined
+   map-side;
+2. a running sum over each group's buckets (a few thousand rows at most) gives
+   every bucket its offset; buckets that start at k or later are dropped;
+3. rows join their bucket's offset (null-safe on the group) -- which drops all rows
+   that can't be among the k best -- and rank = offset + row_number in the bucket.
+
+No quantile estimate, repair, collect or size switch: the k-th row's bucket is
+found from exact counts, and no task sorts more than one bucket of one group.
+NULL groups are a group like any other; NULL and NaN order values come last.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -38,110 +33,38 @@ from skywave.functions.grid import maidenhead_lat, maidenhead_lon, midpoint_lat_
 from skywave.functions.hashing import hash_u, hash_u32
 from skywave.functions.solar import kp_penalty, ssn_from_sfi, ssn_quintile
 from skywave.operators.solar import join_solar_bucketed
-from skywave.operators.tables import bounded_broadcast
 from skywave.sources.sinks import window_filter
 
-MAX_GROUPS = 100_000
-_PCTS = [2.0 ** -j for j in range(1, 31)]
-
-
-def _window_limit_threshold(spark) -> int:
-    """k up to which the optimizer adds the partial WindowGroupLimit."""
-    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-
-
-# The partial WindowGroupLimit keeps <= k rows per group in every map task, so
-# the final sort of one group receives up to k x (map tasks) rows; the window
-# path is used only while that stays small, else the quantile-cut path below.
-WINDOW_PATH_MAX_ROWS = 2_000_000
-
-
-def _input_partitions(df: DataFrame) -> int:
-    """Estimated map tasks feeding the window: the optimizer's size estimate of
-    the input over the split size (no job runs; ``df.rdd`` would execute the
-    adaptive plan's stages just to count partitions)."""
-    spark = df.sparkSession
-    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001  (no JVM plan access, e.g. Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(1, -(-size // max(1, split)))
-
-
-def _rank(df: DataFrame, k: int, groups, tie_cols) -> DataFrame:
-    w = Window.partitionBy(*groups).orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
-    return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
-
-
-def _bucketed_rank(cand: DataFrame, k: int, groups, tie_cols, bucket_rows: int, accuracy: int) -> DataFrame:
-    """Exact rank without one task per group: candidates are split into
-    value-range buckets at approximate quantiles of the order column (ties stay
-    in one bucket: bucket = number of boundaries strictly below the value);
-    a bucket's offset is the row count of the group's earlier buckets (a tiny
-    table), rank = offset + row_number inside the bucket."""
-    sizes = cand.groupBy(*groups).agg(F.count(F.lit(1)).alias("__c"))
-    nb = int(max(1, math.ceil(sizes.agg(F.max("__c")).first()[0] / float(bucket_rows))))
-    if nb == 1:
-        return _rank(cand, k, groups, tie_cols)
-    pcts = [i / nb for i in range(1, nb)]
-    bounds = cand.groupBy(*groups).agg(F.percentile_approx("__o", pcts, accuracy).alias("__bounds"))
-    # bounds: one row per group (groups <= MAX_GROUPS, checked when the cuts were
-    # broadcast); offsets: one row per (group, bucket), buckets = candidates / 1M
-    x = cand.join(F.broadcast(bounds), groups, "inner") if groups else \
-        cand.withColumn("__bounds", F.array(*[F.lit(v) for v in bounds.first()["__bounds"]]))
-    x = x.withColumn("__b", F.size(F.filter("__bounds", lambda b: b < F.col("__o")))).drop("__bounds")
-    x = x.checkpoint(eager=True)
-    counts = x.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__bc"))
-    wo = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.withColumn("__off", F.coalesce(F.sum("__bc").over(wo), F.lit(0))).where(F.col("__off") < k)
-    y = x.join(F.broadcast(offs.select(*groups, "__b", "__off")), groups + ["__b"], "inner")
-    wr = Window.partitionBy(*groups, "__b").orderBy(F.col("__o").asc(), *[F.col(t).asc() for t in tie_cols])
-    y = y.withColumn("sample_rank", F.col("__off") + F.row_number().over(wr)).where(F.col("sample_rank") <= k)
-    return y.drop("__b", "__off")
+BUCKETS_PER_OCTAVE = 64
+
+
+def order_bucket(v: Column) -> Column:
+    """A monotone integer of a double: 0 for 0, logarithmic on either side, the
+    last bucket for NULL and NaN."""
+    size = F.floor((F.log2(F.abs(v)) + 1100.0) * BUCKETS_PER_OCTAVE) + 1
+    return (F.when(v.isNull() | F.isnan(v), F.lit(1 << 40)).when(v == 0, F.lit(0))
+             .when(v > 0, size).otherwise(-size).cast("bigint"))
 
 
 def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group_cols: Sequence[str] = (),
-          tie_cols: Sequence[str] = (), accuracy: int = 100_000, bucket_rows: int = 1_000_000) -> DataFrame:
+          tie_cols: Sequence[str] = ()) -> DataFrame:
     """The k first rows of each group ordered by ``order_col`` (then ``tie_cols``),
     exact, with a ``sample_rank`` column; see the module notes for the plan."""
     groups = list(group_cols)
     sign = -1.0 if descending else 1.0
     x = df.withColumn("__o", F.col(order_col).cast("double") * F.lit(sign))   # smaller is better
-    if k <= _window_limit_threshold(df.sparkSession) and k * _input_partitions(df) <= WINDOW_PATH_MAX_ROWS:
-        return _rank(x, k, groups, tie_cols).drop("__o")
-
-    need = int(math.ceil(1.1 * k)) + 100
-    stats = x.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"),
-                                   F.percentile_approx("__o", _PCTS, accuracy).alias("__q"))
-    j = F.least(F.floor(F.log2(F.col("__n") / F.lit(float(need)))), F.lit(len(_PCTS))).cast("int")
-    cuts = stats.select(*groups, "__n", F.when(j >= 1, F.element_at("__q", j)).alias("__cut"))
-    if groups:
-        cuts = bounded_broadcast(cuts, MAX_GROUPS, "top-k cuts")
-    else:
-        one = cuts.first()                      # one scalar per query: the cut and the row count
-        cut0, n0 = one["__cut"], one["__n"]
-
-    def candidates(c):
-        if groups:
-            kept = x.join(c, groups, "inner").where(F.col("__cut").isNull() | (F.col("__o") <= F.col("__cut")))
-        else:
-            kept = x.withColumn("__n", F.lit(n0)) if c is None else \
-                x.where(F.col("__o") <= F.lit(c)).withColumn("__n", F.lit(n0))
-        return kept.checkpoint(eager=True)   # bounded (~2.2k rows per group); reliable, in the shared folder
-
-    cand = candidates(cuts if groups else cut0)
-    counts = cand.groupBy(*groups, "__n").agg(F.count(F.lit(1)).alias("__m"))
-    short = counts.where(F.col("__m") < F.least(F.col("__n"), F.lit(k))).select(*groups).limit(MAX_GROUPS).collect()
-    if short or (not groups and cand.limit(1).count() == 0 and n0):
-        if groups:
-            bad = F.struct(*groups).isin([F.struct(*[F.lit(r[g]) for g in groups]) for r in short])
-            cuts = cuts.withColumn("__cut", F.when(bad, F.lit(None).cast("double")).otherwise(F.col("__cut")))
-            cand = candidates(cuts)
-        else:
-            cand = candidates(None)
-    ranked = _bucketed_rank(cand, k, groups, tie_cols, bucket_rows, accuracy)
-    return ranked.drop("__o", "__n", "__q", "__cut")
+    x = x.withColumn("__b", order_bucket(F.col("__o")))
+    counts = x.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (counts.withColumn("__off", F.coalesce(F.sum("__c").over(before), F.lit(0))).where(F.col("__off") < k)
+                     .select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], F.col("__b").alias("__ob"), "__off"))
+    on = F.col("__b") == F.col("__ob")
+    for i, g in enumerate(groups):
+        on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    near = x.join(offsets, on)
+    rank = Window.partitionBy(*groups, "__b").orderBy(F.col("__o").asc_nulls_last(), *[F.col(t).asc() for t in tie_cols])
+    return (near.withColumn("sample_rank", F.col("__off") + F.row_number().over(rank)).where(F.col("sample_rank") <= k)
+                .drop("__o", "__b", "__ob", "__off", *[f"__g{i}" for i in range(len(groups))]))
 
 
 def sample_key_cols() -> list[Column]:
@@ -225,8 +148,8 @@ def gold_continuous(spots: DataFrame, solar: DataFrame, density: DataFrame, per_
     (ssn, latitude) cells are favoured with weight 1/sqrt(cell)."""
     base = _gold_base(spots, solar, window).where(F.col("band").isin(list(bands)))
     base = density_cells(base, floor_bins=floor_bins)
-    dens = bounded_broadcast(density.select("ssn_bin", "lat_bin", "cell_count"), 1_000_000, "density cells")
-    base = base.join(dens, ["ssn_bin", "lat_bin"], "left")
+    # at most (SSN bins) x (latitude bins) rows: a few hundred cells
+    base = base.join(F.broadcast(density.select("ssn_bin", "lat_bin", "cell_count")), ["ssn_bin", "lat_bin"], "left")
     cell = F.greatest(F.coalesce(F.col("cell_count"), F.lit(0)), F.lit(floor)).cast("double")
     u = hash_u(F.unix_micros("timestamp"), "grid", "reporter_grid", "id")
     base = (base.withColumn("es_key", F.log(F.lit(1e-18) + u) * F.sqrt(cell))

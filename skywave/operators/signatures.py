@@ -3,21 +3,15 @@
 A signature is one row per (tx_grid_4, rx_grid_4, band, hour, month) with the
 median SNR, count, spread, reliability and average solar/path values.
 
-Exact median from an SNR histogram (default): SNR is a small integer, so each
-group has at most a few hundred distinct values.  Plan: pruned scan ->
-filters pushed to the scan -> broadcast solar join -> codegen'd partial
-aggregation on (keys, snr) with counts and sums -> shuffle -> final -> one
-shuffle on the five keys -> running count over the group's <= ~256 histogram
-rows -> the median's two order statistics, the sums for spread/averages ->
-HAVING.  Every step is a HashAggregate/Window over bounded rows per group; a
-hot group is reduced map-side to its histogram before it moves.
-``median="percentile"`` uses Spark's exact ``percentile`` (one shuffle,
-object-hash aggregation) instead; both interpolate like quantile_cont.
+Plan: pruned scan -> filters pushed to the scan -> broadcast solar buckets ->
+partial aggregation per task -> one exchange on the five keys -> HAVING.  The
+exact median is ``percentile``, whose buffer holds (SNR, count) pairs: SNR is a
+small integer, so a hot group is reduced to its histogram before it moves.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skywave import constants as K
@@ -25,12 +19,9 @@ from skywave.functions.geo import azimuth_deg, great_circle_km
 from skywave.functions.grid import grid4, maidenhead_lat, maidenhead_lon
 from skywave.operators.callsigns import enrich_endpoints
 from skywave.operators.solar import attach_solar
-from skywave.operators.tables import bounded_broadcast, materialize
 from skywave.sources.schemas import SIGNATURE_COLUMNS
 from skywave.sources.sinks import window_filter
 
-MAX_BROADCAST_FLAGS = 5_000_000
-
 
 def _trunc_long(c: Column) -> Column:
     """double -> unsigned-int style truncation, after rounding away ulp noise."""
@@ -62,40 +53,24 @@ def _with_centroid_geometry(df: DataFrame) -> DataFrame:
 KEYS = ["tx_grid_4", "rx_grid_4", "band", "hour", "month"]
 
 
-def histogram_stats(df: DataFrame, keys, value: str = "snr", sums: dict | None = None,
-                    reliable_above: float | None = None) -> DataFrame:
-    """Per group (``keys``: column names present in ``df``): spot_count,
-    median_snr (exact, interpolated), snr_std (population), reliability (share
-    of values > ``reliable_above``) and ``__s_<name>`` sums of ``sums``."""
-    sums = sums or {}
-    h = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__c"),
-                                     *[F.sum(c).alias(f"__s_{n}") for n, c in sums.items()])
-    run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumn("__cum", F.sum("__c").over(run)).withColumn("__tot", F.sum("__c").over(Window.partitionBy(*keys)))
-    pos = (F.col("__tot") - 1) * 0.5
-    v = F.col(value)
-    aggs = [F.sum("__c").alias("spot_count"),
-            F.min(F.when(F.col("__cum") > F.floor(pos), v)).alias("__lo"),
-            F.min(F.when(F.col("__cum") > F.ceil(pos), v)).alias("__hi"),
-            F.sum(F.col("__c") * v).alias("__sx"), F.sum(F.col("__c") * v * v).alias("__sxx"),
-            *[F.sum(f"__s_{n}").alias(f"__s_{n}") for n in sums]]
-    if reliable_above is not None:
-        aggs.append(F.sum(F.when(v > reliable_above, F.col("__c")).otherwise(0)).alias("__rel"))
-    g = h.groupBy(*keys).agg(*aggs)
-    n = F.col("spot_count")
-    frac = (n - 1) * 0.5 - F.floor((n - 1) * 0.5)
+def _snr_aggs(reliable_above: float | None = None) -> list[Column]:
+    """Median (exact, interpolated), count, population spread and the share of
+    SNR above ``reliable_above``.  ``percentile`` keeps (value, count) pairs, so
+    its map-side buffers are the group's SNR histogram: one exchange moves them.
+    The spread comes from exact integer sums."""
+    n, x = F.count(F.lit(1)), F.col("snr").cast("bigint")
     dec = "decimal(38,0)"
-    num = n.cast(dec) * F.col("__sxx").cast(dec) - F.col("__sx").cast(dec) * F.col("__sx").cast(dec)   # exact
-    g = (g.withColumn("median_snr", (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).cast("double"))
-          .withColumn("snr_std", F.sqrt(F.greatest(num.cast("double"), F.lit(0.0))) / n))
+    spread = n.cast(dec) * F.sum(x * x).cast(dec) - F.sum(x).cast(dec) * F.sum(x).cast(dec)
+    aggs = [F.percentile("snr", 0.5).alias("median_snr"), n.alias("spot_count"),
+            (F.sqrt(F.greatest(spread.cast("double"), F.lit(0.0))) / n).alias("snr_std")]
     if reliable_above is not None:
-        g = g.withColumn("reliability", F.col("__rel") / n)
-    return g.drop("__lo", "__hi", "__sx", "__sxx", "__rel")
+        aggs.append((F.count_if(F.col("snr") > reliable_above) / n).alias("reliability"))
+    return aggs
 
 
 def wspr_signatures(spots: DataFrame, solar: DataFrame | None, min_spots: int = K.WSPR_MIN_SPOTS,
                     bands=K.HF_BANDS, min_distance: int = K.MIN_DISTANCE_KM, solar_mode: str = "bucketed",
-                    circular_azimuth: bool = False, median: str = "histogram") -> DataFrame:
+                    circular_azimuth: bool = False) -> DataFrame:
     """Signatures v1 from WSPR spots (ground-wave paths under ``min_distance`` dropped)."""
     s = spots.select("timestamp", "grid", "reporter_grid", "band", "snr", "distance", "azimuth")
     s = s.where((F.col("distance") >= min_distance) & F.col("band").isin(list(bands)))
@@ -103,55 +78,34 @@ def wspr_signatures(spots: DataFrame, solar: DataFrame | None, min_spots: int =
         s = attach_solar(s, solar, solar_mode)
     else:
         s = s.withColumn("sfi", F.lit(0.0)).withColumn("kp", F.lit(0.0))
-    if median == "histogram":
-        s = s.select(grid4("grid").alias("tx_grid_4"), grid4("reporter_grid").alias("rx_grid_4"), "band",
-                     *_key_cols("timestamp"), "snr", "sfi", "kp", "distance", "azimuth")
-        sums = {"sfi": F.col("sfi"), "kp": F.col("kp"), "distance": F.col("distance"), "azimuth": F.col("azimuth")}
-        if circular_azimuth:
-            sums.update(sin=F.sin(F.radians("azimuth")), cos=F.cos(F.radians("azimuth")))
-        g = histogram_stats(s, KEYS, "snr", sums, reliable_above=K.RELIABLE_SNR_DB)
-        n = F.col("spot_count")
-        az = (F.pmod(F.degrees(F.atan2(F.col("__s_sin"), F.col("__s_cos"))) + 360.0, F.lit(360.0)) if circular_azimuth
-              else F.col("__s_azimuth") / n)
-        g = (g.withColumn("avg_sfi", F.col("__s_sfi") / n).withColumn("avg_kp", F.col("__s_kp") / n)
-              .withColumn("avg_distance", (F.col("__s_distance") / n).cast("bigint"))
-              .withColumn("avg_azimuth", az.cast("bigint")))
-        return _finish(g, min_spots)
     if circular_azimuth:
         az = F.pmod(F.degrees(F.atan2(F.avg(F.sin(F.radians("azimuth"))), F.avg(F.cos(F.radians("azimuth"))))) + 360.0, F.lit(360.0))
     else:
         az = F.avg("azimuth")
     agg = (s.groupBy(grid4("grid").alias("tx_grid_4"), grid4("reporter_grid").alias("rx_grid_4"), "band", *_key_cols("timestamp"))
-            .agg(F.percentile("snr", 0.5).alias("median_snr"),
-                 F.count(F.lit(1)).alias("spot_count"),
-                 F.stddev_pop("snr").alias("snr_std"),
-                 (F.count_if(F.col("snr") > K.RELIABLE_SNR_DB) / F.count(F.lit(1))).alias("reliability"),
-                 *_solar_aggs(),
+            .agg(*_snr_aggs(K.RELIABLE_SNR_DB), *_solar_aggs(),
                  F.avg("distance").cast("bigint").alias("avg_distance"),
                  az.cast("bigint").alias("avg_azimuth")))
     return _finish(agg, min_spots)
 
 
-def exclude_flagged(spots: DataFrame, flags: DataFrame, rx_type2: bool = True, rx_velocity: bool = False,
-                    max_broadcast_rows: int = MAX_BROADCAST_FLAGS) -> DataFrame:
+def exclude_flagged(spots: DataFrame, flags: DataFrame, rx_type2: bool = True, rx_velocity: bool = False) -> DataFrame:
     """Drop spots of type-2 telemetry callsigns (TX, and RX when ``rx_type2``)
     and of (callsign, date) velocity flight days (TX; RX with ``rx_velocity``).
-    Left-anti joins against broadcast flag sets (the reference's NOT IN)."""
-    flags = materialize(flags.select("callsign", "flag_reason", "flag_date"))
-    small = flags.limit(max_broadcast_rows + 1).count() <= max_broadcast_rows   # bounds both subsets
-    t2 = flags.where(F.col("flag_reason") == "type2_telemetry").select(F.col("callsign").alias("__fc")).distinct()
-    vd = flags.where(F.col("flag_reason") == "velocity_day").select(
-        F.col("callsign").alias("__vc"), F.col("flag_date").alias("__vd")).distinct()
-    if small:
-        t2, vd = F.broadcast(t2), F.broadcast(vd)
-    out = spots.join(t2, F.col("callsign") == F.col("__fc"), "left_anti")
-    if rx_type2:
-        out = out.join(t2, F.col("reporter") == F.col("__fc"), "left_anti")
-    d = F.to_date("timestamp")
-    out = out.join(vd, (F.col("callsign") == F.col("__vc")) & (d == F.col("__vd")), "left_anti")
-    if rx_velocity:
-        out = out.join(vd, (F.col("reporter") == F.col("__vc")) & (d == F.col("__vd")), "left_anti")
-    return out
+    One left-anti join per endpoint (the reference's NOT IN): a type-2 entry has
+    no date and matches every day."""
+    kinds = F.col("flag_reason").isin("type2_telemetry", "velocity_day")
+    f = flags.where(kinds).select(F.col("callsign").alias("__fc"), F.col("flag_reason").alias("__fr"),
+                                  F.when(F.col("flag_reason") == "velocity_day", F.col("flag_date")).alias("__fd")).distinct()
+    day = F.to_date("timestamp")
+
+    def drop(df: DataFrame, endpoint: str, entries: DataFrame) -> DataFrame:
+        hit = (F.col(endpoint) == F.col("__fc")) & (F.col("__fd").isNull() | (F.col("__fd") == day))
+        return df.join(entries, hit, "left_anti")
+
+    out = drop(spots, "callsign", f)
+    rx = [r for r, on in (("type2_telemetry", rx_type2), ("velocity_day", rx_velocity)) if on]
+    return drop(out, "reporter", f.where(F.col("__fr").isin(rx))) if rx else out
 
 
 def wspr_signatures_v2(spots: DataFrame, solar: DataFrame | None, flags: DataFrame, **kw) -> DataFrame:
@@ -196,25 +150,20 @@ def rbn_signatures(rbn: DataFrame, cg: DataFrame, solar: DataFrame | None, min_s
 
 def _median_snr_agg(df: DataFrame) -> DataFrame:
     """Median/std/count/solar averages of ``snr`` per signature key, reliability 1."""
-    x = df.select("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"), "snr", "sfi", "kp")
-    g = histogram_stats(x, KEYS, "snr", {"sfi": F.col("sfi"), "kp": F.col("kp")})
-    n = F.col("spot_count")
-    return (g.withColumn("avg_sfi", F.col("__s_sfi") / n).withColumn("avg_kp", F.col("__s_kp") / n)
-             .withColumn("reliability", F.lit(1.0)))
+    return (df.groupBy("tx_grid_4", "rx_grid_4", "band", *_key_cols("timestamp"))
+              .agg(*_snr_aggs(), *_solar_aggs()).withColumn("reliability", F.lit(1.0)))
 
 
-def dxpedition_paths(rbn: DataFrame, catalog: DataFrame, cg: DataFrame, max_catalog_rows: int = 100_000) -> DataFrame:
+def dxpedition_paths(rbn: DataFrame, catalog: DataFrame, cg: DataFrame) -> DataFrame:
     """RBN spots of catalogued DXpedition callsigns inside their operating
     window (inclusive), with the skimmer's grid from the callsign dimension.
 
-    The catalog is tiny (hundreds of expeditions): broadcast-hash join on the
-    callsign with the time range as a residual predicate, no range product."""
+    An equi join on the callsign with the time range as a residual predicate, no
+    range product; a small catalog is broadcast by Catalyst or AQE."""
     cat = catalog.select(F.col("callsign").alias("__cc"), F.col("entity").alias("dx_entity"),
                          F.col("grid").alias("dx_grid"), "start_ts", "end_ts")
-    cat = bounded_broadcast(cat, max_catalog_rows, "dxpedition catalog")
     j = rbn.join(cat, (F.col("dx_call") == F.col("__cc")) & F.col("timestamp").between(F.col("start_ts"), F.col("end_ts")), "inner")
     dim = cg.where(F.col("grid_4") != "").select(F.col("callsign").alias("__sc"), F.col("grid").alias("skimmer_grid"))
-    dim = bounded_broadcast(dim, 8_000_000, "callsign_grid")
     j = j.join(dim, F.col("de_call") == F.col("__sc"), "inner")
     return j.select("timestamp", "dx_call", "dx_entity", "dx_grid", F.col("de_call").alias("skimmer_call"),
                     "skimmer_grid", "band", "frequency", "snr", "tx_mode",

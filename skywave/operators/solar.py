@@ -6,14 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.functions.solar import solar_bucket
-from skywave.operators.tables import bounded_broadcast, latest_by_key
+from skywave.operators.tables import latest_by_key
 
 INDEX_COLUMNS = ["observed_flux", "adjusted_flux", "ssn", "kp_index", "ap_index", "xray_short", "xray_long"]
 
-# A bucket table holds at most 8 rows per calendar day; 200 years of days is a
-# hard upper bound far above any real archive (76K rows for 2000-2026).
-MAX_SOLAR_BUCKET_ROWS = 8 * 366 * 200
-
 
 def solar_latest(solar: DataFrame) -> DataFrame:
     """One row per (date, time): the newest ``updated_at`` wins."""
@@ -52,7 +48,6 @@ def join_solar_raw(spots: DataFrame, solar: DataFrame, ts_col: str = "timestamp"
     sol = solar_latest(solar).select(
         F.col("date").alias("__sd"), solar_bucket("time").alias("__sb"),
         F.col("observed_flux").alias("sfi"), F.col("kp_index").alias("kp"), F.col("ssn").alias("ssn"))
-    sol = bounded_broadcast(sol, MAX_SOLAR_BUCKET_ROWS * 4, "solar readings", materialize=False)
     j = _spot_keys(spots, ts_col).join(sol, (F.col("__d") == F.col("__sd")) & (F.col("__b") == F.col("__sb")), "left")
     j = j.drop("__d", "__b", "__sd", "__sb")
     if zero_fill:
@@ -65,8 +60,8 @@ def join_solar_bucketed(spots: DataFrame, solar: DataFrame, ts_col: str = "times
     """Join spots to the one-row-per-bucket table (gold builds use ``inner``
     with max; signatures use ``left`` with the bucket average)."""
     b = solar_buckets(solar, agg).withColumnRenamed("date", "__sd").withColumnRenamed("bucket", "__sb")
-    # cheap to recompute (one pass over the small solar table): checked, not stored
-    b = bounded_broadcast(b, MAX_SOLAR_BUCKET_ROWS, "solar buckets", materialize=False)
+    # at most 8 rows per calendar day: 200 years of days are 585,600 rows of 40 bytes
+    b = F.broadcast(b)
     j = _spot_keys(spots, ts_col).join(b, (F.col("__d") == F.col("__sd")) & (F.col("__b") == F.col("__sb")), how)
     j = j.drop("__d", "__b", "__sd", "__sb")
     if how == "left" and zero_fill:

@@ -1,20 +1,14 @@
-"""Table-level helpers: latest-version dedup, checked broadcast, row gates,
-schema contract checks and inventories."""
+"""Table-level helpers: latest-version dedup, row gates, schema contract checks
+and inventories."""
 
 from __future__ import annotations
 
-import contextlib
-import logging
-import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-log = logging.getLogger(__name__)
-
-
 def _cols(cols) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cols]
 
@@ -36,74 +30,6 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence, desc
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-# Within one query build, identical derived tables (same analyzed plan) are
-# written once: e.g. the solar bucket table used by two joins of one query.
-_LOCAL = threading.local()     # per thread: concurrent query builds never share a memo
-
-
-def _memo() -> dict | None:
-    return getattr(_LOCAL, "memo", None)
-
-
-@contextlib.contextmanager
-def memo_scope():
-    outer = _memo()
-    _LOCAL.memo = {} if outer is None else outer
-    try:
-        yield
-    finally:
-        _LOCAL.memo = outer
-
-
-def _plan_key(df: DataFrame):
-    try:
-        return int(df._jdf.queryExecution().analyzed().semanticHash())
-    except Exception:  # noqa: BLE001  (e.g. Spark Connect: no memo)
-        return None
-
-
-def _checkpoint(df: DataFrame) -> DataFrame:
-    memo = _memo()
-    key = _plan_key(df) if memo is not None else None
-    if key is not None and key in memo:
-        return memo[key]
-    out = df.checkpoint(eager=True)
-    if key is not None:
-        memo[key] = out
-    return out
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int, name: str = "dimension", materialize: bool = True) -> DataFrame:
-    """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
-
-    The dimension is first written to the shared checkpoint folder (computed
-    once, lineage cut, survives executor loss); the bound is then checked with
-    a ``limit(max_rows + 1).count()`` over that copy.  Above the bound the
-    DataFrame is returned unbroadcast, so the join stays a shuffle join
-    (sort-merge, with AQE skew splitting)."""
-    if materialize:
-        df = _checkpoint(df)
-    memo = _memo()
-    key = ("rows<=", _plan_key(df), max_rows) if memo is not None else None
-    if key is not None and key[1] is not None and key in memo:
-        n = memo[key]
-    else:
-        n = df.limit(max_rows + 1).count()
-        if key is not None and key[1] is not None:
-            memo[key] = n
-    if n <= max_rows:
-        return F.broadcast(df)
-    log.warning("%s has more than %d rows; using a shuffle join", name, max_rows)
-    return df
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write a derived table reused by later steps to the shared checkpoint
-    folder (reliable checkpoint: computed once, lineage cut, survives executor
-    loss).  Used for the reference's intermediate tables (flags, dimensions)."""
-    return _checkpoint(df)
-
-
 class RowGateError(RuntimeError):
     pass
 
@@ -117,17 +43,12 @@ def assert_min_rows(df: DataFrame, n: int, what: str = "table") -> int:
     return got
 
 
-def assert_empty(df: DataFrame, what: str = "table") -> None:
-    if df.limit(1).count() > 0:
-        raise RowGateError(f"{what}: expected to be empty before the load")
-
-
 def row_gates(checks: dict[str, tuple[DataFrame, int]]) -> DataFrame:
-    """One row per gate: name, required rows, rows seen (capped at required+1), passed."""
+    """One row per gate: name, required rows, rows in the table, passed."""
     spark = next(iter(checks.values()))[0].sparkSession
     parts = []
     for name, (df, n) in checks.items():
-        parts.append(df.limit(n + 1).agg(F.count(F.lit(1)).alias("seen"))
+        parts.append(df.agg(F.count(F.lit(1)).alias("seen"))
                      .select(F.lit(name).alias("gate"), F.lit(n).cast("bigint").alias("required"),
                              F.col("seen").cast("bigint").alias("seen")))
     out = parts[0]

@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywave import constants as K
-from skywave.operators.tables import bounded_broadcast
 from skywave.sources import schemas
 
 # Link-budget profiles: (tx power W, tx antenna gain dBi, rx antenna gain dBi).
-# The baseline 'wspr' profile is the reference station (0 dB advantage).
-STATION_PROFILES = {"wspr": (K.WSPR_REFERENCE_POWER_W, 0.0, 0.0)}
+# The baseline 'wspr' profile is the reference station (0 dB advantage); the
+# others are typical stations, given here because the source defines none.
+STATION_PROFILES = {"wspr": (K.WSPR_REFERENCE_POWER_W, 0.0, 0.0), "portable": (5.0, 0.0, 0.0), "contest": (1500.0, 10.0, 10.0)}
 
 
 def seed_mode_thresholds(spark: SparkSession) -> DataFrame:
@@ -29,8 +29,7 @@ def observed_mode_thresholds(modes: DataFrame, thresholds: DataFrame, mode_map:
     for src, dst in mode_map.items():
         adif = F.when(F.col("mode") == src, dst).otherwise(adif)
     per = modes.groupBy("mode").agg(F.count(F.lit(1)).alias("observations")).withColumn("adif_mode", adif)
-    th = bounded_broadcast(thresholds.select(F.col("mode").alias("adif_mode"), "family", "threshold_db", "description"),
-                           10_000, "mode thresholds", materialize=False)
+    th = thresholds.select(F.col("mode").alias("adif_mode"), "family", "threshold_db", "description")
     return per.join(th, "adif_mode", "left").select("mode", "adif_mode", "family", "threshold_db", "description",
                                                     "observations")
 
@@ -56,8 +55,7 @@ def score_paths(pred: DataFrame, thresholds: DataFrame, profile: str = "wspr",
     lookup_mode = F.col("actual_mode")
     for src, dst in mode_map.items():
         lookup_mode = F.when(F.col("actual_mode") == src, dst).otherwise(lookup_mode)
-    th = bounded_broadcast(thresholds.select(F.col("mode").alias("__m"), F.col("threshold_db").alias("__t")), 10_000,
-                           "mode thresholds")
+    th = thresholds.select(F.col("mode").alias("__m"), F.col("threshold_db").alias("__t"))
     adjusted = F.col("predicted_snr") + adv
     out = pred.withColumn("__lm", lookup_mode).join(th, F.col("__lm") == F.col("__m"), "left")
     out = out.withColumn("profile", F.lit(profile)).withColumn("snr_error", F.col("predicted_snr") - F.col("actual_snr"))
@@ -86,18 +84,33 @@ def band_hour_heatmap(results: DataFrame, metric: str = "mode_hit", hours=range(
 def quality_test_metrics(paths: DataFrame, preds: DataFrame, models: Sequence[str] = ("model_snr", "voacap_snr"),
                          low_bands: Sequence[int] = (102, 103, 104)) -> DataFrame:
     """Pearson r and RMSE of each model vs the observed median SNR, per band
-    and overall (band 0); ``winner`` names the model with the higher r."""
+    and overall (band 0).  r is NULL where a model or the SNR is constant;
+    ``winner`` names the model with the higher r (NULL without both)."""
     j = paths.select("path_id", "band", "median_snr").join(preds, "path_id")
     aggs = []
     for m in models:
-        aggs += [F.corr(m, "median_snr").alias(f"r_{m}"),
+        # corr divides by the spreads, which raises for constants under ANSI
+        varies = (F.max(m) > F.min(m)) & (F.max("median_snr") > F.min("median_snr"))
+        r = F.try_divide(F.covar_pop(m, "median_snr"), F.stddev_pop(m) * F.stddev_pop("median_snr"))
+        aggs += [F.when(varies, r).alias(f"r_{m}"),
                  F.sqrt(F.avg((F.col(m) - F.col("median_snr")) ** 2)).alias(f"rmse_{m}")]
     per_band = j.groupBy("band").agg(F.count(F.lit(1)).alias("paths"), *aggs)
     overall = j.agg(F.count(F.lit(1)).alias("paths"), *aggs).withColumn("band", F.lit(0))
     out = per_band.unionByName(overall)
     a, b = models[0], models[1]
-    return out.withColumn("winner", F.when(F.col(f"r_{a}") > F.col(f"r_{b}"), a).otherwise(b)) \
-              .withColumn("low_band", F.col("band").isin(list(low_bands)).cast("int"))
+    higher = F.when(F.col(f"r_{a}") > F.col(f"r_{b}"), a).when(F.col(f"r_{a}") <= F.col(f"r_{b}"), b)
+    return out.withColumn("winner", higher).withColumn("low_band", F.col("band").isin(list(low_bands)).cast("int"))
+
+
+def quality_test_summary(metrics: DataFrame, models: Sequence[str] = ("model_snr", "voacap_snr")) -> DataFrame:
+    """One row over ``quality_test_metrics``: bands won by each model, bands
+    without a winner, and the mean difference of r on the low bands."""
+    a, b = models[0], models[1]
+    bands = metrics.where(F.col("band") != 0)
+    delta = F.when(F.col("low_band") == 1, F.col(f"r_{a}") - F.col(f"r_{b}"))
+    return bands.agg(F.count(F.lit(1)).alias("bands"), F.count_if(F.col("winner") == a).alias(f"wins_{a}"),
+                     F.count_if(F.col("winner") == b).alias(f"wins_{b}"), F.count_if(F.col("winner").isNull()).alias("undecided"),
+                     F.avg(delta).alias("low_band_delta_r"))
 
 
 def step_i_compare(paths: DataFrame, other: DataFrame,

@@ -23,6 +23,12 @@ FIXTURE_WINDOW = ("1990-01-01", "2030-01-01")
 
 
 # ---------------------------------------------------------------- signatures
+@register("signatures_v1_raw")
+def signatures_v1_raw(spark: SparkSession, sf: str) -> DataFrame:
+    """v1 with the source's literal solar join: a spot counts once per reading of its bucket."""
+    return signatures.wspr_signatures(fx.spots(spark, sf), fx.solar_raw(spark, sf), solar_mode="raw")
+
+
 @register("signatures_v1")
 def signatures_v1(spark: SparkSession, sf: str) -> DataFrame:
     return signatures.wspr_signatures(fx.spots(spark, sf), fx.solar_raw(spark, sf))
@@ -38,9 +44,9 @@ def _cg(spark, sf):
 
 def _chain(spark, sf):
     """The flagging chain's shared inputs: bronze, its station-day summary
-    (one scan, stored), the callsign dimension derived from it."""
+    (AQE reuses its exchange), the callsign dimension derived from it."""
     s = _spots(spark, sf)
-    summary = tables.materialize(callsigns.station_days(s))
+    summary = callsigns.station_days(s)
     return s, summary, callsigns.callsign_grid(summary=summary)
 
 
@@ -66,7 +72,7 @@ def _v2(spark, sf, chain=None):
 
 def _union(spark, sf):
     chain = _chain(spark, sf)
-    cg = tables.materialize(chain[2])   # the shared dimension, built once
+    cg = chain[2]
     return signatures.union_signatures(wspr=_v2(spark, sf, (chain[0], chain[1], cg)), contest=_contest_sig(spark, sf, cg),
                                        rbn=_rbn_sig(spark, sf, cg))
 
@@ -465,6 +471,11 @@ def band_hour_heatmap(spark, sf):
     return validation.band_hour_heatmap(_scored(spark, sf))
 
 
+@register("quality_test_summary")
+def quality_test_summary(spark, sf):
+    return validation.quality_test_summary(quality_test_metrics(spark, sf))
+
+
 @register("quality_test_metrics")
 def quality_test_metrics(spark, sf):
     paths = _qt_paths(spark, sf)
@@ -475,7 +486,7 @@ def quality_test_metrics(spark, sf):
 
 @register("step_i_compare")
 def step_i_compare(spark, sf):
-    p = fx.step_i_paths(fx.spots_hist(spark, sf))
+    p = fx.step_i_paths(fx.spots(spark, sf))
     return validation.step_i_compare(p.drop("voacap_band_open"), p.select(
         "tx_lat", "tx_lon", "rx_lat", "rx_lon", "freq_mhz", "year", "month", "hour_utc", "voacap_band_open"))
 
@@ -496,6 +507,12 @@ def latest_config(spark, sf):
     return reports.latest_config(fx.config_table(spark, sf))
 
 
+@register("pending_files_reload")
+def pending_files_reload(spark, sf):
+    """Primed entries and files that have grown are loaded again."""
+    return reports.pending_files(fx.file_listing(spark, sf), fx.ingest_log(spark, sf), reload_primed=True, reload_grown=True)
+
+
 @register("pending_files")
 def pending_files(spark, sf):
     return reports.pending_files(fx.file_listing(spark, sf), fx.ingest_log(spark, sf))
@@ -559,6 +576,29 @@ def live_enrich(spark, sf):
     return features.enrich_with_conditions(p, cond)
 
 
+# ---------------------------------------------------------------- raw files
+def _raw_spots(spark, sf):
+    from skywave.session import scratch_path
+    path = scratch_path(spark, "raw-spots")
+    fx.raw_spot_lines(spark, sf).write.text(path)
+    return path
+
+
+@register("scan_spots_csv")
+def scan_spots_csv(spark, sf):
+    """Spots through the raw-file reader: padding stripped, older lines conformed, bad lines left out."""
+    from skywave.sources import readers
+    return readers.load_wspr(spark, _raw_spots(spark, sf), fmt="csv")
+
+
+@register("scan_quarantine")
+def scan_quarantine(spark, sf):
+    """The lines that the reader leaves out, by reason and number of columns."""
+    from skywave.sources import readers, schemas
+    bad = readers.quarantine(spark, _raw_spots(spark, sf), schemas.WSPR_SPOT, readers.V1_ABSENT)
+    return bad.groupBy("bad", "columns").agg(F.count(F.lit(1)).alias("lines"))
+
+
 # ---------------------------------------------------------------- streaming (each equals its batch twin)
 def _stream_dirs(spark, name):
     from skywave.session import scratch_path
@@ -574,7 +614,7 @@ def _pskr_rows(spark, sf):
 @register("pskr_ingest")
 def pskr_ingest(spark, sf):
     """PSK Reporter spots written as gzip JSONL files, ingested by the file
-    stream (availableNow, one file per micro-batch) into bronze."""
+    stream (availableNow) into bronze."""
     from skywave.streaming import ingest
     d = _stream_dirs(spark, "pskr-ingest")
     ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
@@ -584,32 +624,79 @@ def pskr_ingest(spark, sf):
 
 @register("stream_ingest_log")
 def stream_ingest_log(spark, sf):
-    """The ingest log of the stream: one row per file, rows loaded."""
+    """The ingest log of the stream: files whose log entry differs from what
+    they hold (none), and the rows loaded."""
     from skywave.streaming import ingest
     d = _stream_dirs(spark, "pskr-log")
     ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
     ingest.ingest_pskr(spark, d["src"], d["out"], d["log"], d["ckpt"])
-    return ingest.read_log(spark, d["log"]).agg(F.count(F.lit(1)).alias("files"), F.sum("row_count").alias("rows"))
+    listed = ingest.source_files(spark, d["src"])
+    log = ingest.read_log(spark, d["log"])
+    missing = reports.pending_files(listed, log).agg(F.count(F.lit(1)).alias("pending"))
+    return log.agg(F.sum("row_count").alias("rows"), F.count_if(F.col("file_size") <= 0).alias("without_size")).crossJoin(missing)
 
 
-@register("stream_quality")
-def stream_quality(spark, sf):
-    """Hourly quality rollup maintained by a stream over silver files arriving
-    in time order (four files)."""
+def _stream_quality(spark, sf, newest_first):
     from skywave.sources.schemas import SILVER
-    from skywave.streaming import rollups
+    from skywave.streaming import ingest, rollups
     d = _stream_dirs(spark, "quality")
-    from skywave.streaming.ingest import write_time_ordered
-    from skywave.sources.schemas import SILVER as _S
-    write_time_ordered(_schema_cols(fx.silver(spark, sf), _S), d["src"], files=4, fmt="parquet")   # files land in event-time order
-    rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"])
+    ingest.write_files(_schema_cols(fx.silver(spark, sf), SILVER), d["src"], files=4, fmt="parquet", newest_first=newest_first)
+    rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"], max_files_per_trigger=4)
     return rollups.read_quality_rollup(spark, d["out"])
 
 
-@register("stream_spots_daily")
-def stream_spots_daily(spark, sf):
+@register("stream_quality")
+def stream_quality(spark, sf):
+    """Hourly quality rollup maintained by a stream over silver files."""
+    return _stream_quality(spark, sf, newest_first=False)
+
+
+@register("stream_quality_late")
+def stream_quality_late(spark, sf):
+    """The same with the newest files first: nothing is too late."""
+    return _stream_quality(spark, sf, newest_first=True)
+
+
+def _stream_daily(spark, sf, newest_first):
+    from skywave.sources.schemas import WSPR_SPOT
     from skywave.streaming import ingest, rollups
     d = _stream_dirs(spark, "spots-daily")
-    ingest.write_jsonl_gz(_pskr_rows(spark, sf), d["src"], files=4)
-    rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"])
+    ingest.write_files(_schema_cols(fx.spots(spark, sf), WSPR_SPOT), d["src"], files=4, fmt="parquet", newest_first=newest_first)
+    rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"], max_files_per_trigger=8)
     return rollups.read_spots_daily(spark, d["out"])
+
+
+@register("stream_spots_daily")
+def stream_spots_daily(spark, sf):
+    """Daily spots, exact distinct stations and longest path kept by a stream."""
+    return _stream_daily(spark, sf, newest_first=False)
+
+
+@register("stream_spots_daily_late")
+def stream_spots_daily_late(spark, sf):
+    return _stream_daily(spark, sf, newest_first=True)
+
+
+@register("stream_live_conditions")
+def stream_live_conditions(spark, sf):
+    """The live snapshot of a stream that meets its oldest readings last."""
+    from skywave.sources.schemas import SOLAR
+    from skywave.streaming import ingest, live
+    d = _stream_dirs(spark, "live")
+    ingest.write_files(_schema_cols(fx.solar_raw(spark, sf), SOLAR), d["src"], files=3, fmt="parquet", newest_first=True, ts_col="time")
+    live.run_live_conditions(spark, d["src"], d["out"], d["ckpt"], max_files_per_trigger=1)
+    return live.read_live_conditions(spark, d["out"])
+
+
+@register("stream_live_enrich")
+def stream_live_enrich(spark, sf):
+    """Streamed spots, newest files first, with the conditions of their bucket."""
+    from skywave.sources.schemas import PSKR_SPOT
+    from skywave.streaming import ingest, live
+    d = _stream_dirs(spark, "live-enrich")
+    ingest.write_files(_pskr_rows(spark, sf), d["src"], files=3, fmt="parquet", newest_first=True)
+    stream = spark.readStream.schema(PSKR_SPOT).parquet(d["src"]).select("timestamp", "sender_call", "receiver_call", "band", "snr")
+    q = (live.enrich_stream(stream, solar.solar_latest(fx.solar_raw(spark, sf))).writeStream.format("parquet")
+         .option("path", d["out"]).option("checkpointLocation", d["ckpt"]).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(d["out"])

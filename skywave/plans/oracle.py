@@ -37,16 +37,14 @@ FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST((l_orderkey + l_li
       FROM lineitem)""")
 ORACLE["scan_solar"] = sql(f"""
 SELECT date, time, {r('observed_flux')} AS observed_flux, {r('adjusted_flux')} AS adjusted_flux, {r('ssn')} AS ssn,
-       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('xray_short')} AS xray_short,
-       {r('xray_long')} AS xray_long, source_file, updated_at FROM solar_raw""", "solar_raw")
+       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, xray_short,
+       xray_long, source_file, updated_at FROM solar_raw""", "solar_raw")
 ORACLE["mode_thresholds"] = sql("""
 SELECT o.mode, o.adif_mode, t.family, t.threshold_db, t.description, o.observations FROM (
   SELECT mode, CASE mode WHEN 'PH' THEN 'SSB' WHEN 'RY' THEN 'RTTY' ELSE mode END AS adif_mode, count(*) AS observations
   FROM (SELECT mode FROM pskr UNION ALL SELECT tx_mode FROM rbn UNION ALL SELECT mode FROM contest) GROUP BY mode) o
 LEFT JOIN thresholds t ON t.mode = o.adif_mode""", "pskr", "rbn", "contest", "thresholds")
 ORACLE["schema_upgrade"] = sql("""
-SELECT 'WSPR' AS mode, 15 AS column_count, count(*) AS rows, sum(band) AS band_sum FROM spots""", "spots")
-ORACLE["schema_upgrade"] = sql("""
 SELECT 'WSPR' AS mode, 15 AS column_count, count(*) AS rows, CAST(sum(band) AS BIGINT) AS band_sum FROM spots""", "spots")
 
 ORACLE["clean_callsign"] = sql("""
@@ -106,15 +104,15 @@ FROM spots GROUP BY 1, 2, 3""", "spots")
 
 ORACLE["solar_daily"] = sql(f"""
 SELECT date, {r('max(observed_flux)')} AS sfi, {r('max(ssn)')} AS ssn, {r('max(kp_index)')} AS kp, {r('max(ap_index)')} AS ap,
-       {r('max(xray_short)')} AS xray_short, {r('max(xray_long)')} AS xray_long, min(source_file) AS primary_source
+       max(xray_short) AS xray_short, max(xray_long) AS xray_long, min(source_file) AS primary_source
 FROM solar_latest GROUP BY date""", "solar_latest")
 ORACLE["solar_buckets"] = sql(f"""
 SELECT sd AS date, CAST(sb AS INTEGER) AS bucket, {r('ssn')} AS ssn, {r('sfi')} AS sfi, {r('kp')} AS kp FROM solar_bkt_max""",
                               "solar_bkt_max")
 ORACLE["latest_by_key"] = sql(f"""
 SELECT date, time, {r('observed_flux')} AS observed_flux, {r('adjusted_flux')} AS adjusted_flux, {r('ssn')} AS ssn,
-       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('xray_short')} AS xray_short,
-       {r('xray_long')} AS xray_long, source_file, updated_at FROM solar_latest""", "solar_latest")
+       {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, xray_short,
+       xray_long, source_file, updated_at FROM solar_latest""", "solar_latest")
 ORACLE["solar_join_raw"] = sql(f"""
 SELECT s.id, s.timestamp, {r('coalesce(l.observed_flux, 0.0)')} AS sfi, {r('coalesce(l.kp_index, 0.0)')} AS kp,
        {r('coalesce(l.ssn, 0.0)')} AS ssn
@@ -255,11 +253,19 @@ _QA = (f"count(*) AS paths, {r('corr(model_snr, median_snr)')} AS r_model_snr, "
        f"{r('sqrt(avg((model_snr - median_snr) * (model_snr - median_snr)))')} AS rmse_model_snr, "
        f"{r('corr(voacap_snr, median_snr)')} AS r_voacap_snr, "
        f"{r('sqrt(avg((voacap_snr - median_snr) * (voacap_snr - median_snr)))')} AS rmse_voacap_snr, "
-       "CASE WHEN corr(model_snr, median_snr) > corr(voacap_snr, median_snr) THEN 'model_snr' ELSE 'voacap_snr' END AS winner")
+       "CASE WHEN corr(model_snr, median_snr) > corr(voacap_snr, median_snr) THEN 'model_snr' WHEN corr(model_snr, median_snr) <= corr(voacap_snr, median_snr) THEN 'voacap_snr' END AS winner")
 ORACLE["quality_test_metrics"] = sql(f"""
 SELECT band, {_QA}, CAST(band IN (102, 103, 104) AS INTEGER) AS low_band FROM {_QJ} GROUP BY band
 UNION ALL SELECT 0 AS band, {_QA}, 0 AS low_band FROM {_QJ}""", "qt_paths")
 
+ORACLE["quality_test_summary"] = sql(f"""
+SELECT count(*) AS bands, count(*) FILTER (WHERE winner = 'model_snr') AS wins_model_snr,
+       count(*) FILTER (WHERE winner = 'voacap_snr') AS wins_voacap_snr, count(*) FILTER (WHERE winner IS NULL) AS undecided,
+       {r('avg(CASE WHEN band IN (102, 103, 104) THEN r_m - r_v END)')} AS low_band_delta_r
+FROM (SELECT band, corr(model_snr, median_snr) AS r_m, corr(voacap_snr, median_snr) AS r_v,
+             CASE WHEN corr(model_snr, median_snr) > corr(voacap_snr, median_snr) THEN 'model_snr' WHEN corr(model_snr, median_snr) <= corr(voacap_snr, median_snr) THEN 'voacap_snr' END AS winner
+      FROM {_QJ} GROUP BY band)""", "qt_paths")
+
 _VALID = lambda g: f"length({g}) >= 4 AND regexp_matches({g}, '^[A-R]{{2}}[0-9]{{2}}')"
 _FREQH = _FREQ
 ORACLE["step_i_compare"] = sql(f"""
@@ -272,9 +278,9 @@ FROM (SELECT *, CAST(model_snr >= threshold AS INTEGER) AS band_open, CAST(voaca
                                {_L4('reporter_grid')} AS rx_lon, {_FREQH} AS freq_mhz, CAST(year(timestamp) AS INTEGER) AS year,
                                CAST(month(timestamp) AS INTEGER) AS month, CAST(hour(timestamp) AS INTEGER) AS hour_utc,
                                avg(snr) AS model_snr, avg(power) - 35.0 AS voacap_snr
-                        FROM spots_hist WHERE {_VALID('grid')} AND {_VALID('reporter_grid')}
+                        FROM spots WHERE {_VALID('grid')} AND {_VALID('reporter_grid')}
                         GROUP BY 1, 2, 3, 4, 5, 6, 7, 8))))
-GROUP BY mode, year""", "spots_hist")
+GROUP BY mode, year""", "spots")
 
 _VERS = """(SELECT p_brand AS component, p_type AS version, make_timestamp((1735689600 + p_partkey * 60) * 1000000) AS installed_at,
            'user' || CAST(p_partkey % 3 AS VARCHAR) AS installed_by FROM part)"""
@@ -287,6 +293,10 @@ ORACLE["latest_config"] = """
 SELECT c_mktsegment AS key, c_name AS value, make_timestamp((1735689600 + c_custkey) * 1000000) AS updated_at FROM customer
 QUALIFY row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey DESC, c_name DESC) = 1"""
 ORACLE["pending_files"] = """
+WITH listing AS (SELECT url AS file_path, CAST(length(html) AS BIGINT) AS file_size FROM pages
+                 UNION ALL SELECT url || '.next', CAST(length(html) AS BIGINT) FROM pages WHERE page_id % 2 = 0)
+SELECT l.file_path, l.file_size FROM listing l WHERE NOT EXISTS (SELECT 1 FROM pages p WHERE p.url = l.file_path)"""
+ORACLE["pending_files_reload"] = """
 WITH listing AS (SELECT url AS file_path, CAST(length(html) AS BIGINT) AS file_size FROM pages
                  UNION ALL SELECT url || '.next', CAST(length(html) AS BIGINT) FROM pages WHERE page_id % 2 = 0),
      latest AS (SELECT url AS file_path, CAST(length(html) AS BIGINT) AS file_size, length(html) % 500 AS row_count FROM pages
@@ -318,9 +328,9 @@ ORACLE["width_check"] = sql("SELECT " + ", ".join(
     " FROM spots", "spots")
 ORACLE["row_gates"] = sql("""
 SELECT gate, required, seen, CAST(seen >= required AS INTEGER) AS passed FROM (
-  SELECT 'callsign_grid' AS gate, CAST(50 AS BIGINT) AS required, least((SELECT count(*) FROM cg), 51) AS seen
-  UNION ALL SELECT 'balloon_flags_v2', 40, least((SELECT count(*) FROM flags), 41)
-  UNION ALL SELECT 'spots', 1000, least((SELECT count(*) FROM spots), 1001))""", "cg", "flags", "spots")
+  SELECT 'callsign_grid' AS gate, CAST(50 AS BIGINT) AS required, (SELECT count(*) FROM cg) AS seen
+  UNION ALL SELECT 'balloon_flags_v2', 40, (SELECT count(*) FROM flags)
+  UNION ALL SELECT 'spots', 1000, (SELECT count(*) FROM spots))""", "cg", "flags", "spots")
 ORACLE["table_inventory"] = sql("""
 SELECT 'wspr.bronze' AS dataset, 1 AS present, (SELECT count(*) FROM spots) AS row_count, 17 AS column_count
 UNION ALL SELECT 'solar.bronze', 1, (SELECT count(*) FROM orders), 11
@@ -351,12 +361,12 @@ FROM silver GROUP BY 1, 2, 3""", "silver")
 _LABEL = ("CASE WHEN kp_index >= 7.0 THEN 'Severe Storm' WHEN kp_index >= 5.0 THEN 'Storm' WHEN kp_index >= 4.0 THEN 'Unsettled' "
           "ELSE 'Quiet' END || CASE WHEN xray_long >= 1e-05 THEN ' + Radio Blackout' ELSE '' END")
 ORACLE["live_conditions"] = sql(f"""
-SELECT {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('observed_flux')} AS solar_flux, {r('xray_short')} AS xray_short,
-       {r('xray_long')} AS xray_long, {_LABEL} AS conditions
+SELECT {r('kp_index')} AS kp_index, {r('ap_index')} AS ap_index, {r('observed_flux')} AS solar_flux, xray_short,
+       xray_long, {_LABEL} AS conditions
 FROM solar_latest ORDER BY time DESC, updated_at DESC LIMIT 1""", "solar_latest")
 ORACLE["live_enrich"] = sql(f"""
 SELECT p.timestamp, p.sender_call, p.receiver_call, p.band, p.snr, {r('c.kp_index')} AS kp_index, {r('c.ap_index')} AS ap_index,
-       {r('c.solar_flux')} AS solar_flux, {r('c.xray_short')} AS xray_short, {r('c.xray_long')} AS xray_long, c.conditions
+       {r('c.solar_flux')} AS solar_flux, c.xray_short, c.xray_long, c.conditions
 FROM pskr p LEFT JOIN (
   SELECT date, hour(time) // 3 AS bucket, kp_index, ap_index, observed_flux AS solar_flux, xray_short, xray_long, {_LABEL} AS conditions
   FROM solar_latest QUALIFY row_number() OVER (PARTITION BY date, hour(time) // 3 ORDER BY time DESC, updated_at DESC) = 1) c
@@ -364,4 +374,16 @@ ON CAST(p.timestamp AS DATE) = c.date AND hour(p.timestamp) // 3 = c.bucket""",
 
 ORACLE["pskr_ingest"] = sql("SELECT * FROM pskr", "pskr")
 ORACLE["stream_quality"] = ORACLE["quality_distribution"]
-ORACLE["stream_ingest_log"] = "SELECT CAST(4 AS BIGINT) AS files, count(*) AS rows FROM events"
+ORACLE["stream_quality_late"] = ORACLE["quality_distribution"]
+ORACLE["stream_spots_daily"] = ORACLE["stream_spots_daily_late"] = ORACLE["spots_daily"]
+ORACLE["stream_live_conditions"] = ORACLE["live_conditions"]
+ORACLE["stream_live_enrich"] = ORACLE["live_enrich"]
+ORACLE["stream_ingest_log"] = ("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_size, CAST(0 AS BIGINT) AS pending FROM events")
+ORACLE["signatures_v1_raw"] = sql(f"SELECT {SIG_ROUNDED} FROM (" + signature_sql("""(
+  SELECT s.*, coalesce(l.observed_flux, 0.0) AS sfi, coalesce(l.kp_index, 0.0) AS kp FROM spots s LEFT JOIN solar_latest l
+  ON CAST(s.timestamp AS DATE) = l.date AND hour(s.timestamp) // 3 = hour(l.time) // 3)""", K.WSPR_MIN_SPOTS) + ")", "spots", "solar_latest")
+_CSV = ", ".join("CASE WHEN column_count = 15 THEN 'WSPR' ELSE mode END AS mode" if c.strip() == "mode" else c.strip() for c in SPOT_COLS.split(","))
+ORACLE["scan_spots_csv"] = sql(f"SELECT {_CSV} FROM spots WHERE id % 103 <> 0 AND id % 101 <> 0", "spots")
+ORACLE["scan_quarantine"] = sql("""
+SELECT CASE WHEN id % 103 = 0 THEN 'columns' ELSE 'value' END AS bad, CAST(CASE WHEN id % 103 = 0 THEN 5 ELSE column_count END AS INTEGER) AS columns,
+       count(*) AS lines FROM spots WHERE id % 103 = 0 OR id % 101 = 0 GROUP BY ALL""", "spots")

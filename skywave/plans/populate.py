@@ -92,9 +92,12 @@ def _spots(wh: Warehouse) -> DataFrame:
     return wh.read("wspr.bronze")
 
 
+def populate_station_days(wh: Warehouse) -> int:
+    return wh.write(callsigns.station_days(_spots(wh)), "wspr.station_days")
+
+
 def populate_callsign_grid(wh: Warehouse) -> int:
-    summary = tables.materialize(callsigns.station_days(_spots(wh)))
-    n = wh.write(callsigns.callsign_grid(summary=summary), "wspr.callsign_grid")
+    n = wh.write(callsigns.callsign_grid(summary=wh.read("wspr.station_days")), "wspr.callsign_grid")
     tables.assert_min_rows(wh.read("wspr.callsign_grid"), wh.gates["callsign_grid"], "wspr.callsign_grid")
     return n
 
@@ -102,8 +105,7 @@ def populate_callsign_grid(wh: Warehouse) -> int:
 def populate_balloon_flags(wh: Warehouse) -> int:
     cg = wh.read("wspr.callsign_grid")
     tables.assert_min_rows(cg, wh.gates["callsign_grid"], "wspr.callsign_grid (before type-2 flagging)")
-    summary = tables.materialize(callsigns.station_days(_spots(wh)))
-    return wh.write(flags.balloon_flags_v2(None, cg, summary=summary), "wspr.balloon_callsigns_v2")
+    return wh.write(flags.balloon_flags_v2(None, cg, summary=wh.read("wspr.station_days")), "wspr.balloon_callsigns_v2")
 
 
 def populate_signatures_v1(wh: Warehouse) -> int:
@@ -137,7 +139,7 @@ def populate_gold_stratified(wh: Warehouse, per_cell: int = K.STRATIFIED_PER_CEL
 def populate_gold_continuous(wh: Warehouse, per_band: int = K.CONTINUOUS_PER_BAND,
                              density_limit: int = K.DENSITY_SAMPLE_LIMIT) -> int:
     s, sol = _spots(wh), wh.read("solar.bronze")
-    density = tables.materialize(sampling.ifw_density(s, sol, sample_limit=density_limit, window=wh.windows["gold"]))
+    density = sampling.ifw_density(s, sol, sample_limit=density_limit, window=wh.windows["gold"])
     g = sampling.gold_continuous(s, sol, density, per_band=per_band, window=wh.windows["gold"])
     return wh.write(g, "wspr.gold_continuous", ["band"])
 
@@ -156,8 +158,9 @@ def populate_quality_test_paths(wh: Warehouse, per_band: int = K.QUALITY_TEST_PE
 
 # name -> (prerequisite steps, function); insertion order is a valid build order
 STEPS: dict[str, tuple[tuple[str, ...], Callable[..., int]]] = {
-    "callsign_grid": ((), populate_callsign_grid),
-    "balloon_flags": (("callsign_grid",), populate_balloon_flags),
+    "station_days": ((), populate_station_days),
+    "callsign_grid": (("station_days",), populate_callsign_grid),
+    "balloon_flags": (("station_days", "callsign_grid"), populate_balloon_flags),
     "signatures_v1": ((), populate_signatures_v1),
     "signatures_v2": (("balloon_flags",), populate_signatures_v2),
     "contest_signatures": (("callsign_grid",), populate_contest_signatures),
@@ -189,8 +192,7 @@ def run(wh: Warehouse, steps=None, options: dict | None = None) -> DataFrame:
     report = []
     for name in build_order(steps):
         t0 = time.perf_counter()
-        with tables.memo_scope():
-            rows = STEPS[name][1](wh, **options.get(name, {}))
+        rows = STEPS[name][1](wh, **options.get(name, {}))
         report.append((name, int(rows), round(time.perf_counter() - t0, 3)))
     return wh.spark.createDataFrame(report, "step string, rows bigint, seconds double")
 

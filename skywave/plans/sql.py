@@ -108,7 +108,7 @@ SELECT
   CAST(CAST(floor(o_totalprice) AS BIGINT) % 200 AS DOUBLE) AS ssn,
   CAST(o_custkey % 28 AS DOUBLE) / 3.0 AS kp_index,
   CAST(o_custkey % 28 * 2 AS DOUBLE) AS ap_index,
-  0.0 AS xray_short,
+  CAST(0.0 AS DOUBLE) AS xray_short,
   CAST(o_orderkey % 20 AS DOUBLE) * 1e-6 AS xray_long,
   'orders_' || o_orderstatus || '.txt' AS source_file,
   make_timestamp(1767225600000000 + o_custkey * 10000000 + o_orderkey) AS updated_at
@@ -156,15 +156,15 @@ FROM lineitem"""
 
 CTES["catalog"] = """
 SELECT
-  'K' || CAST(c_custkey AS VARCHAR) AS callsign,
+  'K' || CAST(c_custkey % 60 AS VARCHAR) AS callsign,
   c_mktsegment AS entity,
   chr(CAST(65 + c_custkey % 18 AS INTEGER)) || chr(CAST(65 + (c_custkey // 18) % 18 AS INTEGER))
     || CAST(c_custkey % 10 AS VARCHAR) || CAST((c_custkey // 10) % 10 AS VARCHAR) AS grid,
   1999 AS year,
   CAST(abs(floor(c_acctbal)) AS BIGINT) AS qsos,
-  TIMESTAMP '1999-01-01 00:00:00' + to_days(CAST(c_custkey % 20 AS INTEGER)) AS start_ts,
-  TIMESTAMP '1999-01-01 00:00:00' + to_days(CAST(c_custkey % 20 AS INTEGER)) + to_days(5) AS end_ts
-FROM customer WHERE c_custkey < 60"""
+  TIMESTAMP '1999-01-01 00:00:00' + to_days(CAST((c_custkey // 60) % 20 + c_custkey % 20 AS INTEGER)) AS start_ts,
+  TIMESTAMP '1999-01-01 00:00:00' + to_days(CAST((c_custkey // 60) % 20 + c_custkey % 20 AS INTEGER)) + to_days(5) AS end_ts
+FROM customer"""
 
 CTES["silver"] = f"""
 SELECT

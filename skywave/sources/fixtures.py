@@ -3,8 +3,8 @@
 The driver ships TPC-H-like tables; these projections turn them into spots,
 solar indices, RBN spots, contest QSOs, a DXpedition catalog and silver rows
 with the shapes of the reference's bronze tables.  Each is a narrow projection
-(column-pruned scan, no shuffle) and goes through the same ``conform`` step as
-real input.
+(column-pruned scan, no shuffle) of typed values; ``raw_spot_lines`` writes spots
+as the raw CSV that the readers conform.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skywave.constants import BAND_CENTRE_MHZ
 from skywave.sources import readers, schemas
@@ -47,13 +48,15 @@ _BRONZE_LAYOUT = {   # name -> (sources, partition by month, clustering columns)
 }
 
 
-def _source_key(sf_dir: str, sources) -> str:
-    h = hashlib.md5(f"{BRONZE_LAYOUT_VERSION}:{os.path.abspath(sf_dir)}".encode())
+def _source_key(spark: SparkSession, sf_dir: str, sources) -> str:
+    """Names, sizes and times of the source files, listed through the file
+    system that holds them; a source that can't be listed raises."""
+    h = hashlib.md5(f"{BRONZE_LAYOUT_VERSION}:{sf_dir.rstrip('/')}".encode())
     for t in sources:
-        p = f"{sf_dir.rstrip('/')}/{t}.parquet"
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        p, fs = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        files = fs.listStatus(p)
+        for st in sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files):
+            h.update(f"{t}:{st}".encode())
     return h.hexdigest()[:16]
 
 
@@ -62,14 +65,14 @@ def _bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         return build()
     from skywave.session import checkpoint_root
     sources, by_month, cluster = _BRONZE_LAYOUT[name]
-    path = f"{checkpoint_root(spark).rstrip('/')}/skywave/bronze/{_source_key(sf_dir, sources)}/{name}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/skywave/bronze/{_source_key(spark, sf_dir, sources)}/{name}"
     marker = f"{path}/_SKYWAVE_COMPLETE"
     with _BUILD_LOCK:
         if not _fs_exists(spark, marker):
             _write_bronze(spark, build(), path, by_month, cluster, marker)
-    stored = spark.read.parquet(path)
-    cols = build_columns(name) + (["ym"] if by_month else [])   # ym: month partition column, for pruning
-    return stored.select(*cols)
+    # the layout is known: no footers are read to plan; ym is the month partition, for pruning
+    fields = [*build_schema(name).fields, *([T.StructField("ym", T.IntegerType())] if by_month else [])]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def _write_bronze(spark: SparkSession, df: DataFrame, path: str, by_month: bool, cluster, marker: str) -> None:
@@ -77,7 +80,7 @@ def _write_bronze(spark: SparkSession, df: DataFrame, path: str, by_month: bool,
     if by_month:
         write_fact(df, path, sort_cols=cluster, mode="overwrite")
     else:
-        df.repartition(1).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
+        df.repartitionByRange(*cluster).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
     _fs_touch(spark, marker)
 
 
@@ -97,10 +100,9 @@ def _fs_touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def build_columns(name: str):
-    return {"spots": [f.name for f in schemas.WSPR_SPOT.fields], "solar": [f.name for f in schemas.SOLAR.fields],
-            "rbn": [f.name for f in schemas.RBN_SPOT.fields], "contest": [f.name for f in schemas.CONTEST_QSO.fields],
-            "pskr": [f.name for f in schemas.PSKR_SPOT.fields], "silver": [f.name for f in schemas.SILVER.fields]}[name]
+def build_schema(name: str) -> T.StructType:
+    return {"spots": schemas.WSPR_SPOT, "solar": schemas.SOLAR, "rbn": schemas.RBN_SPOT, "contest": schemas.CONTEST_QSO,
+            "pskr": schemas.PSKR_SPOT, "silver": schemas.SILVER}[name]
 
 
 def _ts(c: str) -> Column:
@@ -270,11 +272,13 @@ def _build_contest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dxpedition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where(F.col("c_custkey") < 60)
+    """An expedition per customer: callsigns K0..K59 repeat, each with other
+    windows and grids."""
+    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    start = F.lit("1999-01-01 00:00:00").cast("timestamp") + _days(k % 20)
+    start = F.lit("1999-01-01 00:00:00").cast("timestamp") + _days(F.floor(k / 60) % 20 + k % 20)
     return c.select(
-        F.concat(F.lit("K"), _s(k)).alias("callsign"),
+        F.concat(F.lit("K"), _s(k % 60)).alias("callsign"),
         F.col("c_mktsegment").alias("entity"),
         F.concat(F.char(65 + k % 18), F.char(65 + F.floor(k / 18) % 18), _s(k % 10), _s(F.floor(k / 10) % 10)).alias("grid"),
         F.lit(1999).alias("year"),
@@ -426,6 +430,23 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(spark, sf_dir, "silver", lambda: _build_silver(spark, sf_dir))
 
 
-def spots_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The historical part of the bronze spots (ids end in 1..7)."""
-    return spots(spark, sf_dir).where(F.col("id") % 10 != 0)
+def raw_spot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spots as lines of raw CSV: fixed-width strings padded with NULs, older
+    15-column lines as they are marked, lines cut short (id % 103 = 0) and lines
+    with a letter in the SNR (id % 101 = 0)."""
+    s = spots(spark, sf_dir)
+    names = schemas.WSPR_SPOT.fieldNames()
+
+    def text(name: str) -> Column:
+        if name == "timestamp":
+            return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        if name == "snr":
+            return F.when(F.col("id") % 101 == 0, F.lit("x7")).otherwise(_s(F.col(name)))
+        if name in ("reporter", "callsign"):
+            return F.rpad(F.col(name), 16, "\0")
+        return _s(F.col(name))
+
+    line = F.concat_ws(",", *[text(n) for n in names])
+    old = F.concat_ws(",", *[text(n) for n in names if n not in readers.V1_ABSENT])
+    return s.select(F.when(F.col("id") % 103 == 0, F.concat_ws(",", *[text(n) for n in names[:5]]))
+                    .when(F.col("column_count") == 15, old).otherwise(line).alias("value"))

@@ -7,7 +7,7 @@ fixed-width strings once at ingest, and fills the reference's type defaults
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +22,6 @@ CONTEST_STRINGS = ["mode", "call_1", "call_2", "rst_sent", "exch_sent", "rst_rcv
 
 def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, **options) -> DataFrame:
     reader = spark.read.format(fmt)
-    if fmt == "csv":
-        schema = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.schema(schema).load(path)
@@ -38,7 +35,7 @@ def conform(df: DataFrame, schema: T.StructType, strings=(), defaults: dict | No
     present = set(df.columns)
     for f in schema.fields:
         if f.name in present:
-            c = F.col(f.name).cast(f.dataType)
+            c = F.col(f.name).try_cast(f.dataType)
         else:
             c = F.lit(defaults.get(f.name)).cast(f.dataType)
         if f.name in strings:
@@ -59,50 +56,89 @@ def conform_wspr(df: DataFrame) -> DataFrame:
                    {"mode": V1_DEFAULT_MODE, "column_count": V1_DEFAULT_COLUMN_COUNT})
 
 
+#: Columns that the older 15-column spot files lack.
+V1_ABSENT = ("mode", "column_count")
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType, absent=(), sep: str = ",") -> DataFrame:
+    """Raw CSV lines with their parsed rows: value, columns (the line's own
+    count), row (a struct of ``schema``; lines without the ``absent`` columns
+    have NULL there) and bad (why a line can't be used, else NULL).  Nothing is
+    inferred, and nothing that fails to parse becomes a default."""
+    full = schema.fieldNames()
+    old = [n for n in full if n not in absent]
+    text = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumn("columns", F.size(F.split("value", sep)))
+    tokens = F.split("value", sep)
+
+    def field(f: T.StructField, names) -> Column:
+        raw = clean_fixed(F.get(tokens, names.index(f.name))) if f.name in names else F.lit(None).cast("string")
+        return (raw if isinstance(f.dataType, T.StringType) else F.trim(raw).try_cast(f.dataType)).alias(f.name)
+
+    def row(names) -> Column:
+        return F.struct(*[field(f, names) for f in schema.fields])
+
+    def unread(names) -> Column:
+        """A field with text in the line and nothing in the row."""
+        bad = F.lit(False)
+        for f in schema.fields:
+            if f.name in names and not isinstance(f.dataType, T.StringType):
+                raw = F.trim(clean_fixed(F.get(tokens, names.index(f.name))))
+                bad = bad | ((raw != "") & raw.try_cast(f.dataType).isNull())
+        return bad
+
+    n = F.col("columns")
+    is_old = n == len(old) if absent else F.lit(False)
+    reason = (F.when((n != len(full)) & ~is_old, F.lit("columns"))
+               .when(F.when(is_old, unread(old)).otherwise(unread(full)), F.lit("value")))
+    return text.withColumn("row", F.when(is_old, row(old)).otherwise(row(full))).withColumn("bad", reason)
+
+
+def quarantine(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:
+    """Lines of raw CSV that ``load_*`` leaves out: value, columns, bad."""
+    return _lines(spark, path, schema, absent).where(F.col("bad").isNotNull()).select("value", "columns", "bad")
+
+
+def _good(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:
+    good = _lines(spark, path, schema, absent).where(F.col("bad").isNull())
+    rows = good.select("row.*", F.col("columns").alias("__n"))
+    if "column_count" in schema.fieldNames():            # the line's own count
+        rows = rows.withColumn("column_count", F.col("__n").cast(schema["column_count"].dataType))
+    return rows.drop("__n")
+
+
 def load_wspr(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool | None = None, **options) -> DataFrame:
-    """Typed bronze spots.  Raw files (CSV, or ``ingest=True``) go through
-    ``conform_wspr``; a conformed Parquet table is read as is, so filters on
-    its plain columns reach the scan (PushedFilters) and month partitions prune."""
+    """Typed bronze spots.  Raw CSV (15 or 17 columns, NUL padding; bad lines are
+    in ``quarantine``) and ``ingest=True`` go through ``conform_wspr``; a
+    conformed Parquet table is read as is, so filters on its plain columns reach
+    the scan (PushedFilters) and month partitions prune."""
+    if fmt == "csv":
+        return conform_wspr(_good(spark, path, schemas.WSPR_SPOT, V1_ABSENT))
     df = _read(spark, path, schemas.WSPR_SPOT, fmt, **options)
-    if ingest if ingest is not None else fmt != "parquet":
-        return conform_wspr(df)
-    return df.select(*[f.name for f in schemas.WSPR_SPOT.fields])
+    return conform_wspr(df) if ingest else df.select(*schemas.WSPR_SPOT.fieldNames())
 
 
 def load_rbn(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """RBN archive: the CSV ``mode`` column is ``spot_type``; ``tx_mode`` is absent
-    (empty) in the oldest files."""
-    raw = spark.read.format(fmt).options(**options).load(path)
-    if "mode" in raw.columns and "spot_type" not in raw.columns:
-        raw = raw.withColumnRenamed("mode", "spot_type")
+    """RBN archive under its explicit schema: the files' ``mode`` column is
+    ``spot_type``, and ``tx_mode`` is absent (empty) in the oldest files."""
+    if fmt == "csv":
+        return conform(_good(spark, path, schemas.RBN_SPOT, ("tx_mode",)), schemas.RBN_SPOT, RBN_STRINGS)
+    variant = T.StructType([*schemas.RBN_SPOT.fields, T.StructField("mode", T.StringType())])
+    raw = _read(spark, path, variant, fmt, **options)    # a name that a file lacks reads as NULL
+    raw = raw.withColumn("spot_type", F.coalesce("spot_type", "mode")).drop("mode")
     return conform(raw, schemas.RBN_SPOT, RBN_STRINGS)
 
 
 def load_contest(spark: SparkSession, path: str, fmt: str = "parquet", ingest: bool | None = None, **options) -> DataFrame:
+    if fmt == "csv":
+        return conform(_good(spark, path, schemas.CONTEST_QSO), schemas.CONTEST_QSO, CONTEST_STRINGS)
     df = _read(spark, path, schemas.CONTEST_QSO, fmt, **options)
-    if ingest if ingest is not None else fmt != "parquet":
-        return conform(df, schemas.CONTEST_QSO, CONTEST_STRINGS)
-    return df.select(*[f.name for f in schemas.CONTEST_QSO.fields])
+    return conform(df, schemas.CONTEST_QSO, CONTEST_STRINGS) if ingest else df.select(*schemas.CONTEST_QSO.fieldNames())
 
 
 def load_solar(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    df = _read(spark, path, schemas.SOLAR, fmt, **options)
-    return conform_solar(df)
+    return conform_solar(_good(spark, path, schemas.SOLAR) if fmt == "csv" else _read(spark, path, schemas.SOLAR, fmt, **options))
 
 
 def conform_solar(df: DataFrame) -> DataFrame:
     df = conform(df, schemas.SOLAR, ["source_file"])
     return df.withColumn("updated_at", F.coalesce("updated_at", F.current_timestamp()))
-
-
-def read_csv_with_quarantine(spark: SparkSession, path: str, schema: T.StructType, **options):
-    """Raw CSV under an explicit schema: (parsed rows, quarantined raw lines).
-
-    Malformed lines (wrong field count or unparsable values) land in the
-    quarantine frame with their text instead of silently becoming defaults.
-    The frame is cached: Spark requires a materialised input to query the
-    corrupt-record column on its own."""
-    df = _read(spark, path, schema, "csv", **options).cache()
-    good = df.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = df.where(F.col("_corrupt_record").isNotNull()).select("_corrupt_record")
-    return good, bad

@@ -24,13 +24,17 @@ def write_fact(df: DataFrame, path: str, ts_col: str = "timestamp", sort_cols=No
     out.write.mode(mode).partitionBy("ym").parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_cols=None) -> None:
-    """Truncate-and-reload; with partition columns only the partitions present
-    in ``df`` are replaced (dynamic partition overwrite), which is how a model
-    version is re-scored or dropped."""
+def overwrite_table(df: DataFrame, path: str, partition_cols=None, replace: str = "table") -> None:
+    """Truncate-and-reload: the whole table is replaced, partitions that ``df``
+    does not have included.  ``replace="partitions"`` replaces only the
+    partitions present in ``df``, which is how one model version is re-scored
+    or dropped beside the others."""
+    if replace not in ("table", "partitions"):
+        raise ValueError(replace)
     if partition_cols:   # one writer group per partition value, AQE-split when large
         df = df.hint("rebalance", *partition_cols)
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    mode = "dynamic" if replace == "partitions" else "static"
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.parquet(path)

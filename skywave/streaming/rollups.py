@@ -1,32 +1,35 @@
-"""Incremental rollups kept by Structured Streaming.
-
-State holds mergeable partials (counts and sums); averages are derived on
-read, never summed.  Windows are event-time tumbling windows with a
-watermark, so state for closed windows is dropped.  Each micro-batch writes
-the updated rows under its batch id (idempotent on replay); the current value
-of a key is the row of its latest batch.
+"""Incremental rollups kept by Structured Streaming, lossless for any file order.
+
+Like the source's insert-triggered views, a rollup counts every row whenever it
+arrives: there is no watermark, so no row is ever too late.  Each micro-batch is
+reduced to mergeable partials (counts and sums per key; for distinct stations
+the distinct stations themselves) which are written under its batch id, so a
+replayed batch replaces its own output.  Reading sums the partials of all
+batches; ``compact`` merges batches that are done into one.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skywave.operators.features import with_quality_bucket
+from skywave.sources import schemas
 
-DEFAULT_WATERMARK = "2 hours"
+QUALITY_KEYS = ["hour_start", "band", "quality_bucket"]
+DAILY_KEYS = ["day", "band", "mode"]
 
 
-def _sink(path: str):
+def _run(stream: DataFrame, partials, checkpoint: str, available_now: bool):
+    """partials: {path: function of a micro-batch}, each written under the batch id."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-              .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-    return write
-
+        batch.persist()                       # read once for all partials of the batch
+        for path, reduce in partials.items():
+            (reduce(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        batch.unpersist()
 
-def _run(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool):
-    w = (agg.writeStream.outputMode("update").foreachBatch(_sink(out_path))
-         .option("checkpointLocation", checkpoint))
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     q = w.start()
     if available_now:
@@ -34,49 +37,64 @@ def _run(agg: DataFrame, out_path: str, checkpoint: str, available_now: bool):
     return q
 
 
-def current_state(spark: SparkSession, path: str, keys) -> DataFrame:
-    """Latest row per key across batches (one small window per key group)."""
-    df = spark.read.parquet(path)
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", "batch_id")
+def quality_partials(silver: DataFrame) -> DataFrame:
+    return (with_quality_bucket(silver)
+            .groupBy(F.date_trunc("hour", "timestamp").alias("hour_start"), "band", "quality_bucket")
+            .agg(F.count(F.lit(1)).alias("count"), F.sum("distance").alias("sum_distance"), F.sum("kp_index").alias("sum_kp")))
 
 
-def quality_rollup_stream(silver_stream: DataFrame, watermark: str = DEFAULT_WATERMARK) -> DataFrame:
-    s = with_quality_bucket(silver_stream).withWatermark("timestamp", watermark)
-    return (s.groupBy(F.window("timestamp", "1 hour").alias("w"), "band", "quality_bucket")
-             .agg(F.count(F.lit(1)).alias("count"), F.sum("distance").alias("sum_distance"), F.sum("kp_index").alias("sum_kp")))
+def merge_quality(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*QUALITY_KEYS).agg(*[F.sum(c).alias(c) for c in ("count", "sum_distance", "sum_kp")])
 
 
 def run_quality_rollup(spark: SparkSession, silver_dir: str, schema, out_path: str, checkpoint: str,
-                       watermark: str = DEFAULT_WATERMARK, available_now: bool = True, max_files_per_trigger: int = 1):
+                       available_now: bool = True, max_files_per_trigger: int = 1000):
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(silver_dir)
-    return _run(quality_rollup_stream(src, watermark), out_path, checkpoint, available_now)
+    return _run(src, {out_path: quality_partials}, checkpoint, available_now)
 
 
 def read_quality_rollup(spark: SparkSession, out_path: str) -> DataFrame:
-    st = current_state(spark, out_path, ["w", "band", "quality_bucket"])
-    return st.select(F.col("w.start").alias("hour_start"), "band", "quality_bucket", "count", "sum_distance", "sum_kp",
-                     (F.col("sum_distance") / F.col("count")).alias("avg_distance"),
-                     (F.col("sum_kp") / F.col("count")).alias("avg_kp"))
+    return (merge_quality(spark.read.parquet(out_path).drop("batch_id"))
+            .withColumn("avg_distance", F.col("sum_distance") / F.col("count"))
+            .withColumn("avg_kp", F.col("sum_kp") / F.col("count")))
+
+
+def daily_partials(spots: DataFrame) -> DataFrame:
+    """Per day, band and mode: spots, sum of SNR, longest path."""
+    return (spots.groupBy(F.to_date("timestamp").alias("day"), "band", "mode")
+            .agg(F.count(F.lit(1)).alias("spot_count"), F.sum("snr").alias("sum_snr"), F.max("distance").alias("max_distance")))
 
 
-def spots_daily_stream(spots_stream: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Daily rollup per band and mode; distinct stations via HyperLogLog
-    sketches (exact distinct is not supported on streams)."""
-    s = spots_stream.withWatermark("timestamp", watermark)
-    return (s.groupBy(F.window("timestamp", "1 day").alias("w"), "band", "mode")
-             .agg(F.count(F.lit(1)).alias("spot_count"), F.approx_count_distinct("sender_call").alias("unique_tx"),
-                  F.approx_count_distinct("receiver_call").alias("unique_rx"), F.sum("snr").alias("sum_snr"),
-                  F.max("frequency").alias("max_frequency")))
+def daily_stations(spots: DataFrame) -> DataFrame:
+    """The distinct stations of each day, band and mode, by side."""
+    sides = F.array(F.struct(F.lit("tx").alias("side"), F.col("callsign").alias("call")),
+                    F.struct(F.lit("rx").alias("side"), F.col("reporter").alias("call")))
+    return (spots.select(F.to_date("timestamp").alias("day"), "band", "mode", F.explode(sides).alias("s"))
+            .select(*DAILY_KEYS, "s.*").distinct())
 
 
-def run_spots_daily(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, available_now: bool = True):
-    from skywave.streaming.ingest import pskr_stream
-    src = pskr_stream(spark, source_dir).drop("file_path", "file_size")
-    return _run(spots_daily_stream(src), out_path, checkpoint, available_now)
+def run_spots_daily(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, available_now: bool = True,
+                    max_files_per_trigger: int = 1000):
+    """Daily rollup of spots: counts and distinct stations, as partials under out_path."""
+    src = spark.readStream.schema(schemas.WSPR_SPOT).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
+    return _run(src, {f"{out_path}/counts": daily_partials, f"{out_path}/stations": daily_stations}, checkpoint, available_now)
 
 
 def read_spots_daily(spark: SparkSession, out_path: str) -> DataFrame:
-    st = current_state(spark, out_path, ["w", "band", "mode"])
-    return st.select(F.to_date(F.col("w.start")).alias("day"), "band", "mode", "spot_count", "unique_tx", "unique_rx",
-                     (F.col("sum_snr") / F.col("spot_count")).alias("avg_snr"), "max_frequency")
+    """Same columns as ``reports.spots_daily``; distinct counts are exact."""
+    counts = (spark.read.parquet(f"{out_path}/counts").groupBy(*DAILY_KEYS)
+              .agg(F.sum("spot_count").alias("spot_count"), F.sum("sum_snr").alias("sum_snr"), F.max("max_distance").alias("max_distance")))
+    stations = spark.read.parquet(f"{out_path}/stations").select(*DAILY_KEYS, "side", "call").distinct()
+    unique = stations.groupBy(*DAILY_KEYS).agg(F.count_if(F.col("side") == "tx").alias("unique_tx"),
+                                               F.count_if(F.col("side") == "rx").alias("unique_rx"))
+    on = [counts[k].eqNullSafe(unique[k]) for k in DAILY_KEYS]
+    return counts.join(unique, on).select(
+        *[counts[k] for k in DAILY_KEYS], "spot_count", "unique_tx", "unique_rx",
+        (F.col("sum_snr") / F.col("spot_count")).alias("avg_snr"), "max_distance")
+
+
+def compact(spark: SparkSession, out_path: str, merge, new_path: str) -> None:
+    """Merges all partials under ``out_path`` into one batch at ``new_path``
+    (``merge`` as in ``merge_quality``, or ``DataFrame.distinct`` for stations); the
+    caller switches readers and the next stream over."""
+    merge(spark.read.parquet(out_path).drop("batch_id")).withColumn("batch_id", F.lit(-1)).write.partitionBy("batch_id").parquet(new_path)

@@ -128,8 +128,8 @@ def test_score_threshold_boundaries(spark):
                                  ("SSB", 4.99), ("DG", 30.0), ("PH", 5.0)]]
     pred = spark.createDataFrame([(m, p, 0.0) for m, p in rows], "actual_mode string, predicted_snr double, actual_snr double")
     got = [(r.actual_mode, r.predicted_snr, r.mode_hit) for r in validation.score_paths(pred, th).collect()]
-    assert got == [("FT8", -20.0, 1), ("FT8", -20.01, 0), ("CW", -10.0, 1), ("RTTY", -5.0, 1), ("SSB", 5.0, 1),
-                   ("SSB", 4.99, 0), ("DG", 30.0, None), ("PH", 5.0, 1)]
+    assert sorted(got, key=str) == sorted([("FT8", -20.0, 1), ("FT8", -20.01, 0), ("CW", -10.0, 1), ("RTTY", -5.0, 1), ("SSB", 5.0, 1),
+                                           ("SSB", 4.99, 0), ("DG", 30.0, None), ("PH", 5.0, 1)], key=str)
 
 
 def test_dxpedition_window_inclusive(spark):
@@ -170,13 +170,13 @@ def test_step_i_compare_equals_pairwise_join(spark):
     assert got["PH"].paths == 1 and got["PH"].match_rate == 1.0
 
 
-def test_histogram_stats_equal_percentile_and_stddev(spark):
+def test_snr_aggregates_equal_plain_ones(spark):
     import random
     rnd = random.Random(7)
     rows = [(g, rnd.randint(-30, 20)) for g in range(60) for _ in range(rnd.randint(1, 40))]
     df = spark.createDataFrame(rows, "g int, snr int")
-    h = {r.g: r for r in signatures.histogram_stats(df, ["g"], "snr", reliable_above=-20).collect()}
-    ref = {r.g: r for r in df.groupBy("g").agg(F.percentile("snr", 0.5).alias("m"), F.stddev_pop("snr").alias("s"),
+    h = {r.g: r for r in df.groupBy("g").agg(*signatures._snr_aggs(-20)).collect()}
+    ref = {r.g: r for r in df.groupBy("g").agg(F.median("snr").alias("m"), F.stddev_pop("snr").alias("s"),
                                                F.count("*").alias("n"), F.avg((F.col("snr") > -20).cast("int")).alias("rel")).collect()}
     assert set(h) == set(ref)
     for g, r in ref.items():
@@ -186,6 +186,35 @@ def test_histogram_stats_equal_percentile_and_stddev(spark):
         assert h[g].reliability == pytest.approx(r.rel)
 
 
+def test_quality_metrics_of_a_constant_model(spark):
+    paths = spark.createDataFrame([(i, 102 + i % 2, float(i % 7)) for i in range(40)], "path_id long, band int, median_snr double")
+    preds = spark.createDataFrame([(i, 5.0 if i % 2 else float(i), float(-i)) for i in range(40)], "path_id long, model_snr double, voacap_snr double")
+    m = validation.quality_test_metrics(paths, preds)
+    got = {r.band: r for r in m.collect()}
+    assert got[103].r_model_snr is None and got[103].winner is None and got[102].r_model_snr is not None
+    s = validation.quality_test_summary(m).first()
+    assert s.bands == 2 and s.undecided == 1 and s.wins_model_snr + s.wins_voacap_snr == 1 and s.low_band_delta_r is not None
+
+
+def test_station_profiles(spark):
+    pred = spark.createDataFrame([("FT8", -25.0, -20.0)], "actual_mode string, predicted_snr double, actual_snr double")
+    th = validation.seed_mode_thresholds(spark)
+    assert th.count() == 15
+    base = validation.score_paths(pred, th).first()
+    portable = validation.score_paths(pred, th, profile="portable").first()
+    assert base.ft8_viable == 0 and portable.ft8_viable == 1 and portable.profile == "portable"
+
+
+def test_pending_files(spark):
+    from skywave.operators import reports
+    listing = spark.createDataFrame([("new", 5), ("done", 5), ("primed", 5), ("grown", 9)], "file_path string, file_size long")
+    log = spark.createDataFrame([("done", 5, 10, 1), ("primed", 5, 0, 1), ("grown", 5, 10, 1)], "file_path string, file_size long, row_count long, loaded_at int")
+    names = lambda df: sorted(r.file_path for r in df.collect())
+    assert names(reports.pending_files(listing, log)) == ["new"]
+    assert names(reports.pending_files(listing, log, reload_primed=True)) == ["new", "primed"]
+    assert names(reports.pending_files(listing, log, reload_grown=True)) == ["grown", "new"]
+
+
 def test_properties_v2_subset_and_union_sum(spark):
     from conftest import SF_MID
     from skywave.plans import catalog

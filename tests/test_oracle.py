@@ -9,10 +9,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as E  # noqa: E402
 from conftest import SF_SMALL  # noqa: E402
+from skywave.plans.oracle import ORACLE  # noqa: E402
+from skywave.plans.registry import all_queries  # noqa: E402
 from oracle_check import duck, normalize, type_diff  # noqa: E402
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = all_queries()
 
 
 @pytest.fixture(scope="module")
@@ -21,9 +22,8 @@ def con():
 
 
 def test_every_query_is_registered_with_sql_or_documented():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only <= {"stream_spots_daily"}, rows_only
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -44,11 +44,7 @@ def test_matches_oracle(spark, con, name):
     assert a.equals(b)
 
 
-def test_stream_spots_daily_equals_batch_counts(spark):
-    from pyspark.sql import functions as F
-    from skywave.sources import fixtures as fx
-    got = QUERIES["stream_spots_daily"](spark, SF_SMALL)
-    batch = fx.pskr_spots(spark, SF_SMALL).groupBy(F.to_date("timestamp").alias("day"), "band", "mode").count()
-    a = {(r.day, r.band, r.mode): r.spot_count for r in got.collect()}
-    b = {(r.day, r.band, r.mode): r["count"] for r in batch.collect()}
-    assert a == b
+def test_flux_is_not_rounded_away(spark):
+    for name in ("scan_solar", "solar_daily", "latest_by_key", "live_conditions", "live_enrich"):
+        top = QUERIES[name](spark, SF_SMALL).agg({"xray_long": "max"}).first()[0]
+        assert 0 < top < 1e-4, name

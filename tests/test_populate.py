@@ -25,7 +25,7 @@ def _warehouse(spark, gates=None):
 
 
 def test_build_order_adds_prerequisites():
-    assert populate.build_order(["signatures_v2"]) == ["callsign_grid", "balloon_flags", "signatures_v2"]
+    assert populate.build_order(["signatures_v2"]) == ["station_days", "callsign_grid", "balloon_flags", "signatures_v2"]
     assert populate.build_order(["gold_v6", "quality_test_paths"]) == ["signatures_v1", "gold_continuous", "gold_v6",
                                                                       "quality_test_paths"]
 

@@ -12,12 +12,18 @@ def test_csv_quarantine_and_conform(spark):
     base = scratch_path(spark, "test-csv")
     lines = ["1,2021-03-01 12:00:00,W1,FN42,-10,14097100,K1,DM79,23,0,1000,90,107,WSPR,2.0,0,17",
              "2,2021-03-01 12:02:00,W1\u0000\u0000,FN42,-12,14097100,K2,EN52,23,0,900,80,107,WSPR,2.0,0,17",
-             "3,not-a-time,W1,FN42,xx,14097100,K3,DM79,23,0,1000,90,107,WSPR,2.0,0,17"]
+             "3,not-a-time,W1,FN42,xx,14097100,K3,DM79,23,0,1000,90,107,WSPR,2.0,0,17",
+             "4,2021-03-01 12:04:00,W1,FN42,-9,14097100,K4,DM79,23,0,1000,90,107,2.0,0",     # 15 columns
+             "5,2021-03-01 12:06:00,W1,FN42", "",
+             "6,2021-03-01 12:08:00,W1,FN42,,14097100,K6,DM79,23,0,1000,90,107,WSPR,2.0,0,17"]
     spark.createDataFrame([(l,) for l in lines], "value string").coalesce(1).write.text(base)
-    good, bad = readers.read_csv_with_quarantine(spark, base, schemas.WSPR_SPOT)
-    assert good.count() == 2 and bad.count() == 1
-    conformed = readers.conform_wspr(good)
-    assert sorted(r.reporter for r in conformed.collect()) == ["W1", "W1"]      # NUL padding stripped
+    good = {r.id: r for r in readers.load_wspr(spark, base, fmt="csv").collect()}
+    assert sorted(good) == [1, 2, 4, 6]
+    assert {r.reporter for r in good.values()} == {"W1"}                        # NUL padding stripped
+    assert good[4].column_count == 15 and good[4].mode == "WSPR" and good[4].version == "2.0" and good[1].column_count == 17
+    assert good[6].snr == 0                                                     # an empty field is the type's default
+    bad = readers.quarantine(spark, base, schemas.WSPR_SPOT, readers.V1_ABSENT).collect()
+    assert sorted((r.bad, r.columns) for r in bad) == [("columns", 4), ("value", 17)]
 
 
 def test_write_fact_month_partitions_and_overwrite(spark):
@@ -31,13 +37,13 @@ def test_write_fact_month_partitions_and_overwrite(spark):
     feb = sinks.window_filter(back, ("2021-02-01", "2021-03-01"))
     plan = feb._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and feb.count() == 2
-    # dynamic partition overwrite: re-writing February replaces only February
-    out = scratch_path(spark, "test-overwrite")
-    sinks.overwrite_table(sinks.with_month_partition(df), out, ["ym"])
+    # a reload replaces the table; replace="partitions" only the partitions that the new rows have
     again = spark.createDataFrame([(9, dt.datetime(2021, 2, 9), 110)], "id long, timestamp timestamp, band int")
-    sinks.overwrite_table(sinks.with_month_partition(again), out, ["ym"])
-    got = sorted(r.id for r in spark.read.parquet(out).collect())
-    assert got == [1, 9]
+    for replace, expected in (("partitions", [1, 9]), ("table", [9])):
+        out = scratch_path(spark, "test-overwrite")
+        sinks.overwrite_table(sinks.with_month_partition(df), out, ["ym"])
+        sinks.overwrite_table(sinks.with_month_partition(again), out, ["ym"], replace=replace)
+        assert sorted(r.id for r in spark.read.parquet(out).collect()) == expected
 
 
 def test_rbn_reader_renames_mode_and_fills_tx_mode(spark):
