@@ -68,11 +68,10 @@ def groups(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the rows that an equal text makes superfluous."""
     kept = groups(docs).filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-    digest = F.sha2(normalised(F.col("text")), 256)
-    many = docs.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("m_id"))
-    rows = docs.withColumn("k_digest", digest)
-    on = (F.col("doc_id").eqNullSafe(F.col("k_id"))) & (F.col("k_digest") == F.col("k_sha"))
+    rows = docs.withColumn("k_digest", F.sha2(normalised(F.col("text")), 256))
+    on = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("k_digest") == F.col("k_sha"))
     rows = rows.join(kept, on, "left_semi")
-    single = rows.join(many, F.col("doc_id").eqNullSafe(F.col("m_id")), "left_anti")
-    repeated = rows.join(many, F.col("doc_id").eqNullSafe(F.col("m_id")), "left_semi").dropDuplicates(["doc_id", "k_digest"])
-    return single.unionByName(repeated).select(*docs.columns)
+    again = docs.groupBy("doc_id").count().filter("count > 1")
+    if not again.isEmpty():                               # rows that repeat a doc_id: of those with its text, too, one stays
+        rows = rows.dropDuplicates(["doc_id", "k_digest"])
+    return rows.select(*docs.columns)
