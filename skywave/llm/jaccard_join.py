@@ -13,7 +13,7 @@ kept as the XOR of a random word per set bit, which is its parity sketch in
 eight bytes.
 
 *Pigeonhole.*  Pieces without a set bit would match everywhere, so only set
-pieces count: a document emits its first d + 1 set pieces, in piece order, as
+pieces count: a document emits its first d + 1 set pieces, in a common order, as
 join keys.  Of two similar documents, the one whose emitted pieces end first
 has an agreeing piece among them, and the other one has emitted it, too.  A
 document with fewer set pieces than that (rare: the piece count has a margin)
@@ -41,12 +41,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm import kernel as K
-from skywave.llm.common import bitmap, bits_of, components, in_bitmap, stored
+from skywave.llm.common import BITMAP_LOG2, bitmap, bits_of, components, in_bitmap, stored
 
 PERCENT = 80
 WORDS = 5
 #: The sizes of a band's largest and smallest set differ by about this factor.
 BAND = 2.44
+#: A shingle is looked at as common if a task meets it so often among CHUNK shingles,
+#: and is common if it adds up to COMMON, or one in COMMON_SHARE documents.
+REPEATED, CHUNK, COMMON, COMMON_SHARE = 3, 1 << 21, 8, 20_000
 
 
 def bands(limit: int = 1 << 40) -> list[int]:
@@ -105,9 +108,9 @@ def hamming(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def keys(h: np.ndarray) -> np.ndarray:
+def keys(h: np.ndarray, common: np.ndarray) -> np.ndarray:
     """Join keys of a set, in its own band and in the next one if sets there
-    can be similar to it."""
+    can be similar to it.  common: which of the shingles are."""
     n, out = len(h), []
     own = int(np.searchsorted(EDGES, n, "right")) - 1
     for band in (own, own + 1):
@@ -122,7 +125,8 @@ def keys(h: np.ndarray) -> np.ndarray:
         parity = np.bitwise_xor.reduceat(word, start)
         kept = np.flatnonzero(parity)
         few = len(kept) < need
-        kept = kept[:need]
+        last = np.logical_and.reduceat(common, start)[kept]
+        kept = np.concatenate((kept[~last], kept[last]))[:need]
         out.append(K.mix(parity[kept] ^ K.mix(piece[start][kept] + np.uint64((band + 1) << 50))))
         if few:
             out.append(np.array([K.mix1((band + 1) * 7919)], np.uint64))
@@ -130,21 +134,42 @@ def keys(h: np.ndarray) -> np.ndarray:
 
 
 def _vertices(k: int):
+    """A row per document, and rows with a negative n for shingles that this task met often."""
     def run(batches):
+        met, size, kind = [], 0, None
         for b in batches:
             ids, v, n, sk = [], [], [], []
+            kind = b.column(0).type
             for row, h in shingle_sets(b.column(1), k):
                 ids.append(row)
                 n.append(len(h))
                 v.append(vertex(h) if len(h) else 0)
                 sk.append(sketch(h) if len(h) else b"")
+                met.append(h)
+                size += len(h)
+                if size >= CHUNK:
+                    yield _often(met, kind)
+                    met, size = [], 0
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(ids, pa.int64())), pa.array(K.signed(np.array(v, np.uint64))),
                  pa.array(n, pa.int64()), pa.array(sk, pa.binary())], ["doc_id", "v", "n", "sketch"])
+        if met:
+            yield _often(met, kind)
     return run
 
 
-def _records(k: int):
+def _often(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+    h, n = np.unique(np.concatenate(sets), return_counts=True)
+    h, n = h[n >= REPEATED], n[n >= REPEATED]
+    return pa.RecordBatch.from_arrays([pa.nulls(len(h), kind), pa.array(K.signed(h)), pa.array(-n.astype(np.int64)), pa.nulls(len(h), pa.binary())],
+                                      ["doc_id", "v", "n", "sketch"])
+
+
+def _bit(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64((1 << BITMAP_LOG2) - 1)).astype(np.int64)
+
+
+def _records(k: int, common):
     def run(batches):
         seen: set[int] = set()                            # of this task's rows
         for b in batches:
@@ -152,7 +177,7 @@ def _records(k: int):
             for _, h in shingle_sets(b.column(0), k):
                 if len(h) and (v := vertex(h)) not in seen:
                     seen.add(v)
-                    ks.append(keys(h))
+                    ks.append(keys(h, in_bitmap(common.value, _bit(h))))
                     vs.append(np.full(len(ks[-1]), v, np.uint64))
             if ks:
                 key, v = np.concatenate(ks), np.concatenate(vs)
@@ -244,8 +269,12 @@ def links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataFr
     that connect the vertices as all links of PERCENT similarity do."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = stored(docs.mapInArrow(_vertices(k), "doc_id long, v long, n long, sketch binary"))
+    often, rows = rows.filter("n < 0"), rows.filter("n >= 0")
+    least = max(COMMON, rows.count() // COMMON_SHARE)
+    common = bitmap(often.groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") <= -least),
+                    F.col("v").bitwiseAND((1 << BITMAP_LOG2) - 1))
     known = stored(rows.filter("n > 0").groupBy("v", "n").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")))
-    member = stored(docs.select("text").mapInArrow(_records(k), "key long, o long")
+    member = stored(docs.select("text").mapInArrow(_records(k, common), "key long, o long")
                     .repartition("key").sortWithinPartitions("key", "o")
                     .mapInArrow(_members, "key long, rep long, v long"))
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
