@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm import kernel as K
-from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, stored
+from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, mapped, stored
 
 WINDOW = 32
 LEAST = 32
@@ -120,10 +120,10 @@ def repeated(docs: DataFrame) -> DataFrame:
     docs: doc (long), crc (long), text."""
     kind = "digest binary, doc long, place long, size int"
     rows = docs.select("doc", "crc", "text")
-    first = stored(rows.mapInArrow(_records(), kind).groupBy("digest").agg(F.min(F.struct("doc", "place")).alias("m"), F.count("*").alias("n"))
+    first = stored(rows.transform(mapped, _records(), kind).groupBy("digest").agg(F.min(F.struct("doc", "place")).alias("m"), F.count("*").alias("n"))
                    .filter("n > 1").select("digest", "m"))
-    bits = bitmap(first.select("digest").mapInArrow(_bits, "bit long"), F.col("bit"))
-    again = (rows.mapInArrow(_records(bits), kind).join(first, "digest").filter("doc <> m.doc or place <> m.place")
+    bits = bitmap(first.select("digest").transform(mapped, _bits, "bit long"), F.col("bit"))
+    again = (rows.transform(mapped, _records(bits), kind).join(first, "digest").filter("doc <> m.doc or place <> m.place")
                  .select("doc", F.shiftrightunsigned("place", 32).alias("crc"),
                          F.col("place").bitwiseAND(0xFFFFFFFF).alias("start"), F.col("size")).distinct())
     found = again.groupBy("doc", "crc").agg(F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("c"))
@@ -173,4 +173,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     cut splits goes."""
     keyed = _keyed(docs)
     rows = keyed.join(repeated(keyed).select("doc", "crc", F.col("ranges").alias("spans")), ["doc", "crc"], "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(_without, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.select("doc_id", "text", "spans").transform(mapped, _without, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string")

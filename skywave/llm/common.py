@@ -10,6 +10,8 @@ from skywave.session import checkpoint_root
 
 #: Bits of a bitmap filter: 4 MB, whatever the input.
 BITMAP_LOG2 = 25
+#: Bytes of an Arrow batch that a task works on.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def mapped(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes: a task's memory then doesn't
+    depend on how long the texts are."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(function, schema)
+
+
 def bits_of(ids: Column, log2: int = BITMAP_LOG2) -> Column:
     return F.pmod(F.xxhash64(ids), F.lit(1 << log2))
 
@@ -49,24 +58,24 @@ def in_bitmap(whole: np.ndarray, bit: np.ndarray) -> np.ndarray:
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of undirected links by alternating large-star and
-    small-star steps: (v, root), root the smallest vertex of v's component.
+    small-star steps: (v, root), root the smallest vertex of v's component, for
+    every vertex but the roots themselves.
 
     Each step aggregates per vertex (combined map-side) and joins the minimum
     back; the work of a round is linear in the links, a hub's rows can be split
     by AQE, and only two numbers a round reach the driver."""
     a_, b_ = F.col("a"), F.col("b")
     e = stored(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-               .select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b")).distinct())
+               .select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b")))
     before = None
     while True:
-        now = e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if tuple(now) == before or not now[0]:
-            break
-        before = tuple(now)
         both = e.unionByName(e.select(b_.alias("a"), a_.alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(low, "a").filter("b > a").select(b_.alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").filter("b > a").select(b_.alias("a"), F.col("m").alias("b"))
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a").select(b_.alias("a"), F.col("m").alias("b"))
         e = stored(small.unionByName(low2.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-    return e.select(a_.alias("v"), b_.alias("root")).unionByName(e.select(b_.alias("v"), b_.alias("root")).distinct())
+        now = tuple(e.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+        if now == before or not now[0]:
+            return e.select(a_.alias("v"), b_.alias("root"))
+        before = now

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm import kernel as K
+from skywave.llm.common import mapped
 
 WINDOW = 10
 MAX_BYTES = 64 << 20
@@ -194,7 +195,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep_te
     shared = docs.sparkSession.sparkContext.broadcast(automaton(benchmark, window))
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                .mapInArrow(_scan(shared, keep_text), f"doc_id {kind}, n_words long, n_hit long, items array<string>, "
+                .transform(mapped, _scan(shared, keep_text), f"doc_id {kind}, n_words long, n_hit long, items array<string>, "
                             "spans array<struct<start: long, end: long>>, kept string"))
 
 
@@ -205,7 +206,7 @@ def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_cov
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("others"), F.col("text").cast("string").alias("text"))
     kind = rows.schema["others"].dataType.simpleString()
-    found = rows.mapInArrow(_scan(shared, True), f"others {kind}, n_words long, n_hit long, items array<string>, "
+    found = rows.transform(mapped, _scan(shared, True), f"others {kind}, n_words long, n_hit long, items array<string>, "
                             "spans array<struct<start: long, end: long>>, kept string")
     out = found.filter(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words")).select("others.*", F.col("kept").alias("text"), "n_hit")
     if "n_chars" in others:

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skywave.llm.common import stored
+from skywave.llm.common import mapped, stored
 
 #: Pages of a host that a class must occur in.
 SUPPORT = 0.5
@@ -57,64 +57,63 @@ CONTENT = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|story|main)(?:$
 
 
 class Page:
-    """A page as blocks: (path of the element, text, in a boilerplate element, in a link, order)."""
+    """A page's tags with their counts, and its blocks of text outside boilerplate
+    elements: (path of the element, text, in a link)."""
 
     def __init__(self, text: str):
-        self.blocks: list[tuple[tuple[str, ...], str, bool, bool]] = []
+        self.blocks: list[tuple[tuple[str, ...], str, bool]] = []
         self.tags: Counter[str] = Counter()
         self._run: list[str] = []
-        stack: list[tuple[str, str, bool]] = []          # name, label, boilerplate
-        path: tuple[str, ...] = ()
-        skip = linked = False
-        at = 0
-        size = len(text)
+        # open elements: name, path of the non-inline ones, in boilerplate, in a link
+        stack: list[tuple[str, tuple[str, ...], bool, bool]] = [("", (), False, False)]
+        at, size, search, run = 0, len(text), _TAG.search, self._run
         while at < size:
-            m = _TAG.search(text, at)
+            m = search(text, at)
             end = m.start() if m else size
-            if end > at:
-                self._run.append(text[at:end])
+            if end > at and not stack[-1][2]:
+                run.append(text[at:end])
             if not m:
                 break
             at = m.end()
-            if m[1] is not None:
-                self._run.append(html.escape(m[1]))
-            if m[3] is None:
+            cdata, closing, name, attributes = m.groups()
+            if cdata is not None and not stack[-1][2]:
+                run.append(html.escape(cdata))
+            if name is None:
                 continue
-            name = m[3].lower()
-            if name not in INLINE:
-                self._close(path, skip, linked)
-            if m[2]:                                      # a closing tag
-                for i in range(len(stack) - 1, -1, -1):
+            name = name.lower()
+            inline = name in INLINE
+            if run and not inline:
+                self._close(stack[-1])
+            if closing:
+                for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == name:
-                        if name in INLINE:
-                            self._keep_open(stack, i)
+                        if inline and i < len(stack) - 1:      # inline elements end alone; what is open inside stays open
+                            inner, own = stack[i + 1:], stack[i][2] and not stack[i - 1][2]
+                            del stack[i:]
+                            for n, path, skip, _ in inner:
+                                up = stack[-1]
+                                stack.append((n, up[1] if n in INLINE else up[1] + path[-1:], up[2] or (n in SKIPPED if own else skip), up[3] or n == "a"))
                         else:
                             del stack[i:]
                         break
-            else:
-                if name in CLOSES_P:
-                    for i in range(len(stack) - 1, -1, -1):
-                        if stack[i][0] == "p":
-                            del stack[i:]
-                            break
-                        if stack[i][0] not in INLINE:
-                            break
-                label, boiler = self._label(name, m[4])
-                self.tags["/".join((*path, label))] += 1
-                if name in RAW and not m[4].rstrip().endswith("/"):
-                    close = re.compile(f"</{re.escape(name)}[\\s>/]", re.I).search(text, at)
-                    at = text.find(">", close.start()) + 1 or size if close else size
-                elif name not in VOID:
-                    stack.append((name, label, boiler))
-            path = tuple(s[1] for s in stack if s[0] not in INLINE)
-            skip = any(s[2] for s in stack)
-            linked = any(s[0] == "a" for s in stack)
-        self._close(path, skip, linked)
-
-    @staticmethod
-    def _keep_open(stack: list, i: int) -> None:
-        """Inline elements end alone; what is open inside them stays open."""
-        del stack[i]
+                continue
+            if name in CLOSES_P:
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == "p":
+                        del stack[i:]
+                        break
+                    if stack[i][0] not in INLINE:
+                        break
+            _, path, skip, linked = stack[-1]
+            label, boiler = self._label(name, attributes) if attributes else (name, name in SKIPPED)
+            self.tags["/".join((*path, label))] += 1
+            if name in RAW and not attributes.rstrip().endswith("/"):
+                close = re.compile(f"</{re.escape(name)}[\\s>/]", re.I).search(text, at)
+                at = text.find(">", close.start()) + 1 or size if close else size
+            elif name not in VOID:
+                stack.append((name, path if inline else (*path, label), skip or boiler, linked or name == "a"))
+        if run:
+            self._close(stack[-1])
 
     @staticmethod
     def _label(name: str, attributes: str) -> tuple[str, bool]:
@@ -134,12 +133,11 @@ class Page:
                 label = "article"
         return label, boiler
 
-    def _close(self, path, skip, linked) -> None:
-        if self._run:
-            words = " ".join(html.unescape("".join(self._run)).split())
-            if words:
-                self.blocks.append((path, words, skip, linked))
-            self._run.clear()
+    def _close(self, element) -> None:
+        words = " ".join(html.unescape("".join(self._run)).split())
+        if words:
+            self.blocks.append((element[1], words, element[3]))
+        self._run.clear()
 
 
 def _kind(path: tuple[str, ...]) -> str | None:
@@ -168,8 +166,8 @@ def _tokens(batches):
             found: list[tuple[str, str, int, int]] = [("", "p", 1, 0)]
             chars: Counter[str] = Counter()
             texts: Counter[str] = Counter()
-            for path, words, skip, linked in page.blocks:
-                if not skip and not linked:
+            for path, words, linked in page.blocks:
+                if not linked:
                     for i in range(len(path)):
                         chars["/".join(path[:i + 1])] += len(words)
                 if _kind(path) is None:
@@ -236,19 +234,18 @@ def _deduced(batches):
 
 def templates(pages: DataFrame) -> DataFrame:
     """(host, element, constant) from the pages (host, page_id, html)."""
-    sums = (pages.select("host", "page_id", "html").mapInArrow(_tokens, "host string, token string, kind string, pages long, print long, chars long")
+    sums = (pages.select("host", "page_id", "html").transform(mapped, _tokens, "host string, token string, kind string, pages long, print long, chars long")
                  .groupBy("host", "token", "kind").agg(F.sum("pages").alias("pages"), F.sum("print").alias("print"), F.sum("chars").alias("chars")))
     whole = sums.filter("kind = 'p'").select("host", F.col("pages").alias("all"))
     # frequent tokens of a host: at most twice as many as a page has
     frequent = sums.join(whole, "host").filter(F.col("pages") >= SUPPORT * F.col("all"))
     return (frequent.groupBy("host").agg(F.collect_list(F.struct("token", "kind", "pages", "print", "chars")).alias("tokens"))
-                    .mapInArrow(_deduced, "host string, element string, constant array<string>"))
+                    .transform(mapped, _deduced, "host string, element string, constant array<string>"))
 
 
 def extract(text: str | None, element: str | None = None, constant: frozenset[str] = frozenset()) -> str:
     """The main text of a page under its host's template."""
-    blocks = Page(text or "").blocks
-    free = [(path, words, linked) for path, words, skip, linked in blocks if not skip]
+    free = Page(text or "").blocks
     root = tuple(element.split("/")) if element else ()
     inside = [b for b in free if b[0][:len(root)] == root] if root else []
     if not inside or _kind(root) is None:
@@ -280,4 +277,4 @@ def extracted(pages: DataFrame) -> DataFrame:
     size = known.agg(F.sum(F.length(F.coalesce("element", F.lit(""))) + F.length("host") + 20 * F.size("constant"))).first()[0] or 0
     joined = rows.join(F.broadcast(known) if size <= BROADCAST else known, "host", "left")
     kind = rows.schema["page_id"].dataType.simpleString()
-    return joined.select("page_id", "url", "html", "element", "constant").mapInArrow(_extracted, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "element", "constant").transform(mapped, _extracted, f"page_id {kind}, url string, text string, n_chars long")

@@ -35,6 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from skywave.llm.common import mapped
+
 FIT_ROWS = 20_000
 STEMS = (4, 5, 6, 7)
 #: Least log-likelihood ratio of a feature (one in some 1e4 reaches it by chance) and least log odds.
@@ -235,7 +237,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     spark = docs.sparkSession
     known = sample(docs, labels, rows)
     n = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)]
-    counted = known.mapInArrow(_counts, "feature string, kind int, n long").groupBy("feature").agg(*n)
+    counted = known.transform(mapped, _counts, "feature string, kind int, n long").groupBy("feature").agg(*n)
     totals = [0] * 4
     lexicon = []
     # features of the bounded sample that toxic rows have more often
@@ -249,7 +251,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     whole = Lexicon(_weights(lexicon, totals, (0, 1)))
     halves = [Lexicon(_weights(lexicon, totals, (1,))), Lexicon(_weights(lexicon, totals, (0,)))]   # of the other half
     shared = spark.sparkContext.broadcast(halves)
-    got = known.mapInArrow(_figures(shared), "a double, b double, c double, toxic int").collect()       # rows at most
+    got = known.transform(mapped, _figures(shared), "a double, b double, c double, toxic int").collect()       # rows at most
     x = np.array([[r["a"], r["b"], r["c"]] for r in got])
     y = np.array([float(r["toxic"] > 0) for r in got])
     order = np.lexsort((y, *x.T))
@@ -270,7 +272,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(_slim(_score(shared)), f"doc_id {kind}, score double")
+    out = rows.transform(mapped, _slim(_score(shared)), f"doc_id {kind}, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
@@ -286,5 +288,5 @@ def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.struct(*others).alias("others"), F.col("text").cast("string").alias("text"))
-    out = rows.mapInArrow(_score(shared), StructType([*rows.schema.fields, StructField("score", DoubleType())]))
+    out = rows.transform(mapped, _score(shared), StructType([*rows.schema.fields, StructField("score", DoubleType())]))
     return out.filter(F.col("score") < threshold).select("others.*", "text").select(*docs.columns)
