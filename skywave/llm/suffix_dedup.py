@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm import kernel as K
-from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, stored
+from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, mapped, stored
 
 LENGTH = 100
 GRAM = 32
@@ -103,7 +103,8 @@ def _records(splitters: np.ndarray, shares: np.ndarray):
                 left = np.searchsorted(splitters, lead, "left")
                 edge = left < np.searchsorted(splitters, lead, "right")
                 share = shares[np.minimum(left, len(shares) - 1)] if len(shares) else np.ones(len(lead), np.int64)
-                bucket = left + np.where(edge & (share > 1), crc[row].astype(np.int64) % np.maximum(share, 1), 0)
+                spread = (K.mix(ids[row].view(np.uint64)) >> np.uint64(1)).astype(np.int64)    # by document: copies have one crc
+                bucket = left + np.where(edge & (share > 1), spread % np.maximum(share, 1), 0)
                 place = (crc[row] << np.uint64(32)) | (at - bounds[doc]).astype(np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(bucket.astype(np.int32)), pa.array(lead), pa.array(K.signed(context)), pa.array(ids[row]),
@@ -244,7 +245,7 @@ def _splitters(docs: DataFrame, buckets: int):
     """Quantiles of the leading tokens of about SAMPLE documents, chosen by a hash."""
     share = F.pmod(F.xxhash64("crc", "doc"), F.lit(1 << 30)) < F.lit((SAMPLE << 30) // max(SAMPLE, docs.count()))
     sample = docs.filter(share).select("text")
-    tokens = sample.mapInArrow(_sampled, "lead long").filter("lead is not null")
+    tokens = sample.transform(mapped, _sampled, "lead long").filter("lead is not null")
     cut = tokens.agg(F.percentile_approx("lead", [i / buckets for i in range(1, buckets)], 10_000)).first()[0] if buckets > 1 else []
     cut, count = np.unique(np.array(cut or [], np.int64), return_counts=True)
     return np.repeat(cut, count), np.repeat(count, count)
@@ -272,9 +273,9 @@ def repeated(docs: DataFrame) -> DataFrame:
     splitters, shares = _splitters(docs, buckets)
     names = _NAMES
     # a token that is no splitter lies in one bucket; the others are compared across the boundaries below
-    rows = docs.select("doc", "crc", "text").mapInArrow(_records(splitters, shares), _RECORD)
+    rows = docs.select("doc", "crc", "text").transform(mapped, _records(splitters, shares), _RECORD)
     local = stored(rows.repartitionById(buckets, "bucket").sortWithinPartitions("lead", "context", "doc", "place")
-                   .mapInArrow(_local, "lead long, context long, doc long, place long, around int, repeat boolean, edge boolean"))
+                   .transform(mapped, _local, "lead long, context long, doc long, place long, around int, repeat boolean, edge boolean"))
     edge = local.filter("edge").select(*names).distinct()
     least = edge.groupBy("lead", "context").agg(F.min(F.struct("doc", "place", "around")).alias("m"))
     repeat = (edge.join(least, ["lead", "context"])
@@ -284,15 +285,15 @@ def repeated(docs: DataFrame) -> DataFrame:
               .unionByName(local.filter("not edge and not repeat").select("lead", "doc", "place")))
     whole = _intervals(local.filter("not edge and repeat").select(*names).unionByName(repeat))
     firsts = stored(firsts)
-    bits = bitmap(firsts.select("lead").mapInArrow(_token_bits, "bit long"), F.col("bit"))
+    bits = bitmap(firsts.select("lead").transform(mapped, _token_bits, "bit long"), F.col("bit"))
     count = firsts.groupBy("lead").agg(F.count("*").alias("n"))
     parts = F.least(F.lit(LEFT + 1), F.floor(F.col("n") / HEAVY) + 1).cast("int")
-    around = (docs.select("doc", "crc", "text").mapInArrow(_contexts(bits), "lead long, doc long, place long, before int, bytes binary")
+    around = (docs.select("doc", "crc", "text").transform(mapped, _contexts(bits), "lead long, doc long, place long, before int, bytes binary")
                   .dropDuplicates(["lead", "doc", "place"]))
     dealt = (firsts.join(count.select("lead", parts.alias("parts")), "lead").join(around, ["lead", "doc", "place"])
                    .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
                    .repartition("lead", "salt").sortWithinPartitions("lead", "salt", "doc", "place"))
-    near = dealt.mapInArrow(_compare, "doc long, crc long, start long, end long")
+    near = dealt.transform(mapped, _compare, "doc long, crc long, start long, end long")
     return whole.unionByName(near)
 
 
@@ -337,4 +338,4 @@ def deduplicated(docs: DataFrame, keep_text: bool = True) -> DataFrame:
     ranges = (repeated(named).groupBy("doc", "crc")
               .agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("ranges")))
     return (named.join(ranges, ["doc", "crc"], "left").select("doc_id", "text", "ranges")
-                 .mapInArrow(_results(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
+                 .transform(mapped, _results(keep_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
