@@ -37,11 +37,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm import kernel as K
-from skywave.llm.common import BITMAP_LOG2, bitmap, bits_of, components, in_bitmap, stored
+from skywave.llm.common import BITMAP_LOG2, bitmap, bits_of, components, in_bitmap, mapped, stored
 
 PERCENT = 80
 WORDS = 5
@@ -49,7 +49,7 @@ WORDS = 5
 BAND = 2.44
 #: A shingle is looked at as common if a task meets it so often among CHUNK shingles,
 #: and is common if it adds up to COMMON, or one in COMMON_SHARE documents.
-REPEATED, CHUNK, COMMON, COMMON_SHARE = 3, 1 << 21, 8, 20_000
+REPEATED, CHUNK, COMMON, COMMON_SHARE = 3, 1 << 20, 8, 20_000
 
 
 def bands(limit: int = 1 << 40) -> list[int]:
@@ -91,21 +91,24 @@ def vertex(h: np.ndarray) -> int:
         return K.mix1(int(np.add.reduce(h)) ^ K.mix1(int(np.bitwise_xor.reduce(K.mix(h))) + len(h)))
 
 
-def sketch(h: np.ndarray) -> bytes:
+def sketch(h: np.ndarray) -> np.ndarray:
     """Parity sketch of as many bits as the set has shingles, or up to twice as
     many (a power of two, 64 at least); halves XORed give the shorter sketch."""
     size = max(64, 1 << int(len(h)).bit_length())
     odd = np.bincount((h >> np.uint64(7)).astype(np.int64) & (size - 1), minlength=size) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def hamming(x: bytes, y: bytes) -> int:
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    while len(a) > len(b):
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
-    while len(b) > len(a):
-        b = b[:len(b) // 2] ^ b[len(b) // 2:]
-    return int(np.bitwise_count(a ^ b).sum())
+def close(n: str, m: str, x: str, y: str) -> Column:
+    """Sizes n and m, and sketches x and y, of sets that can be similar (sketches
+    of similar sets differ in size by a factor of two at most)."""
+    def folded(bits, other):
+        half = (F.size(bits) / 2).cast("int")
+        return F.when(F.size(bits) > F.size(other), F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(bits)
+
+    x, y, n, m = F.col(x), F.col(y), F.col(n), F.col(m)
+    far = F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
+    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * far <= (100 - PERCENT) * (n + m))
 
 
 def keys(h: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -144,7 +147,7 @@ def _vertices(k: int):
                 ids.append(row)
                 n.append(len(h))
                 v.append(vertex(h) if len(h) else 0)
-                sk.append(sketch(h) if len(h) else b"")
+                sk.append(sketch(h) if len(h) else None)
                 met.append(h)
                 size += len(h)
                 if size >= CHUNK:
@@ -152,7 +155,7 @@ def _vertices(k: int):
                     met, size = [], 0
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(ids, pa.int64())), pa.array(K.signed(np.array(v, np.uint64))),
-                 pa.array(n, pa.int64()), pa.array(sk, pa.binary())], ["doc_id", "v", "n", "sketch"])
+                 pa.array(n, pa.int64()), pa.array(sk, pa.list_(pa.int64()))], ["doc_id", "v", "n", "sketch"])
         if met:
             yield _often(met, kind)
     return run
@@ -161,7 +164,7 @@ def _vertices(k: int):
 def _often(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
     h, n = np.unique(np.concatenate(sets), return_counts=True)
     h, n = h[n >= REPEATED], n[n >= REPEATED]
-    return pa.RecordBatch.from_arrays([pa.nulls(len(h), kind), pa.array(K.signed(h)), pa.array(-n.astype(np.int64)), pa.nulls(len(h), pa.binary())],
+    return pa.RecordBatch.from_arrays([pa.nulls(len(h), kind), pa.array(K.signed(h)), pa.array(-n.astype(np.int64)), pa.nulls(len(h), pa.list_(pa.int64()))],
                                       ["doc_id", "v", "n", "sketch"])
 
 
@@ -211,14 +214,6 @@ def _members(batches):
         last = key[keep], o[keep]
 
 
-def _near(batches):
-    """Pairs whose sketches are close enough."""
-    for b in batches:
-        x, y, n, m = (b.column(c).to_pylist() for c in ("sketch", "sketch_b", "n", "n_b"))
-        ok = [(100 + PERCENT) * hamming(p, q) <= (100 - PERCENT) * (i + j) for p, q, i, j in zip(x, y, n, m)]
-        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
 def _hashes(k: int, bits):
     def run(batches):
         for b in batches:
@@ -249,63 +244,81 @@ def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, k: int) -> Da
     """Of pairs (a, b) of vertices, the linked ones."""
     spark = docs.sparkSession
     meta = known.select("v", "n", "sketch")
-    both = (pairs.join(meta.withColumnRenamed("v", "a"), "a")
-                 .join(meta.toDF("b", "n_b", "sketch_b"), "b")
-                 .filter(f"100 * least(n, n_b) >= {PERCENT} * greatest(n, n_b)"))
-    near = stored(both.mapInArrow(_near, "a long, b long"))
+    near = stored(pairs.join(meta.withColumnRenamed("v", "a"), "a").join(meta.toDF("b", "n_b", "sketch_b"), "b")
+                  .filter(close("n", "n_b", "sketch", "sketch_b")).select("a", "b"))
     wanted = stored(known.join(near.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi")
                     .select("v", "doc_id"))
     bits = bitmap(wanted, bits_of(F.col("doc_id")))
     read = docs.select("doc_id", "text", bits_of(F.col("doc_id")).alias("bit"))
-    sets = (read.mapInArrow(_hashes(k, bits), "doc_id long, v long, h binary")
+    sets = (read.transform(mapped, _hashes(k, bits), "doc_id long, v long, h binary")
                 .join(wanted, ["doc_id", "v"], "left_semi").dropDuplicates(["v"]).select("v", "h"))
     full = near.join(sets.toDF("b", "h_b"), "b").join(sets.withColumnRenamed("v", "a"), "a")
-    return stored(full.mapInArrow(_similar, "a long, b long"))
+    return stored(full.transform(mapped, _similar, "a long, b long"))
 
 
-def links(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, vertices, links): documents (doc_id, n, v), one row each;
-    vertices (v, n, sketch, doc_id: the smallest of its documents); links (a, b)
-    that connect the vertices as all links of PERCENT similarity do."""
+def groups(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, vertices, roots): documents (doc_id, n, v), one row each;
+    vertices (v, doc_id: the smallest of its documents); roots (v, root) of the
+    vertices that links of PERCENT similarity connect to a smaller one."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = stored(docs.mapInArrow(_vertices(k), "doc_id long, v long, n long, sketch binary"))
+    rows = stored(docs.transform(mapped, _vertices(k), "doc_id long, v long, n long, sketch array<long>"))
     often, rows = rows.filter("n < 0"), rows.filter("n >= 0")
     least = max(COMMON, rows.count() // COMMON_SHARE)
     common = bitmap(often.groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") <= -least),
                     F.col("v").bitwiseAND((1 << BITMAP_LOG2) - 1))
     known = stored(rows.filter("n > 0").groupBy("v", "n").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")))
-    member = stored(docs.select("text").mapInArrow(_records(k, common), "key long, o long")
+    member = stored(docs.select("text").transform(mapped, _records(k, common), "key long, o long")
                     .repartition("key").sortWithinPartitions("key", "o")
-                    .mapInArrow(_members, "key long, rep long, v long"))
+                    .transform(mapped, _members, "key long, rep long, v long"))
     pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
     first = stored(member.select(*pair("rep", "v")).distinct())
     linked = _verified(first, docs, known, k)
     root = components(linked)
     # what a bucket still holds of other components than its first member's
     of = lambda name: root.select(F.col("v").alias(name), F.col("root").alias(f"root_{name}"))
-    apart = (first.join(of("a"), "a", "left").join(of("b"), "b", "left")
-                  .select("a", "b", F.coalesce("root_a", "a").alias("ra"), F.coalesce("root_b", "b").alias("rb"))
-                  .filter("ra <> rb"))
-    out = stored(member.select("key", "v", *pair("rep", "v")).join(apart.select("a", "b"), ["a", "b"], "left_semi").select("key", "v"))
-    full = member.join(out.select("key").distinct(), "key", "left_semi").select("key", "v")
-    open_ = full.groupBy("key").count().filter("count > 1").select("key")
-    left = out.join(open_, "key", "left_semi").join(of("v"), "v", "left").select("key", F.col("v").alias("x"), F.coalesce("root_v", "v").alias("rx"))
-    right = full.join(of("v"), "v", "left").select("key", F.col("v").alias("y"), F.coalesce("root_v", "v").alias("ry"))
-    across = stored(left.join(right, "key").filter("rx <> ry").select(*pair("x", "y")).distinct()
-                    .join(first, ["a", "b"], "left_anti"))
-    if not across.isEmpty():
-        linked = linked.unionByName(_verified(across, docs, known, k))
-    return rows.select("doc_id", "n", "v"), known, linked
+    apart = (first.join(linked, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+                  .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
+    out = stored(member.select("key", "v", *pair("rep", "v")).join(apart, ["a", "b"], "left_semi").select("key", "v"))
+    many = member.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    open_ = stored(out.select("key").distinct().join(many, "key", "left_semi"))
+    if not open_.isEmpty():
+        across = stored(_across(member.join(open_, "key", "left_semi").select("key", "v"), out.join(open_, "key", "left_semi"), known, of("v"))
+                        .join(first, ["a", "b"], "left_anti"))
+        if not across.isEmpty():
+            root = components(root.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(_verified(across, docs, known, k)))
+    return rows.select("doc_id", "n", "v"), known.select("v", "doc_id"), root
+
+
+def _across(members: DataFrame, apart: DataFrame, known: DataFrame, root: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a bucket and whose
+    sketches are close enough: the bounds are part of the join's condition.
+    apart: the members (key, v) that their bucket's first member is not
+    connected with; one of each pair is such a one."""
+    marked = members.withColumn("apart", F.lit(0)).unionByName(apart.withColumn("apart", F.lit(1)))
+    own = marked.groupBy("key", "v").agg(F.max("apart").alias("apart")).groupBy("v").agg(F.collect_list(F.struct("key", "apart")).alias("keys"))
+    rows = (own.join(known.select("v", "n", "sketch"), "v").join(root, "v", "left")
+               .select("v", "n", "sketch", F.coalesce("root_v", "v").alias("r"), F.inline("keys")))
+    x = rows.filter("apart = 1").select("key", *[F.col(c).alias(f"x_{c}") for c in ("v", "n", "sketch", "r")])
+    y = rows.select("key", *[F.col(c).alias(f"y_{c}") for c in ("v", "n", "sketch", "r", "apart")])
+    near = F.expr("x_r <> y_r and (y_apart = 0 or x_v < y_v)") & close("x_n", "y_n", "x_sketch", "y_sketch")
+    return x.join(y, "key").filter(near).select(F.least("x_v", "y_v").alias("a"), F.greatest("x_v", "y_v").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id): component_id is the smallest doc_id
     that links reach, the document's own included."""
-    rows, known, linked = links(docs, k)
-    root = components(linked)
-    named = (known.select("v", "doc_id").join(root, "v", "left").withColumn("root", F.coalesce("root", "v")))
+    rows, known, root = groups(docs, k)
+    named = known.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = named.join(least, "root").select("v", "component_id")
     return (rows.join(of, "v", "left")
                 .select("doc_id", F.col("n").alias("n_shingles"),
                         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """docs with one document of each component: the one whose doc_id names it.
+    Rows with a null doc_id belong to no component and stay."""
+    found = near_duplicates(docs, k)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
