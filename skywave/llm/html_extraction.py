@@ -46,9 +46,10 @@ BROADCAST = 16 << 20
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe svg math object select".split())
-SKIPPED = frozenset("nav header footer aside form button menu dialog head figcaption".split()) | RAW
+SKIPPED = frozenset("nav header footer aside form button menu dialog head".split()) | RAW
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strong sub sup time tt u var wbr img".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 BOILERPLATE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|"
@@ -120,7 +121,7 @@ class Page:
         boiler, label = name in SKIPPED, name
         if "=" in attributes or "hidden" in attributes:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
-            names = f"{found.get('class', '')} {found.get('id', '')}".strip()
+            names = _CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}".strip())
             if names and name not in INLINE:
                 label = f"{name}.{' '.join(sorted(found.get('class', '').split()))}" if found.get("class") else name
             role = found.get("role", "").lower()
