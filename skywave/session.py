@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,9 +18,6 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
-    # Exact top-k up to 100K rows per group runs as one window job with a
-    # partial per-task WindowGroupLimit before the shuffle (skywave top_k).
-    "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     # Exact percentile buffers hold at most a few hundred (value, count) pairs
     # (SNR is a small integer); keep up to 16K groups per task in the hash map
     # before the sort-based fallback (~32 MB worst case per task).
@@ -79,12 +75,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique location under the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/skywave/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

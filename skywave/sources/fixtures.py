@@ -393,6 +393,7 @@ def step_i_paths(spots_df: DataFrame) -> DataFrame:
     per 8-value path key)."""
     from skywave.functions.bands import band_freq_mhz
     from skywave.functions.grid import has_valid_field, maidenhead_lat, maidenhead_lon
+    from skywave.operators.validation import band_open
     s = spots_df.where(has_valid_field("grid") & has_valid_field("reporter_grid"))
     g = s.groupBy(maidenhead_lat("grid").alias("tx_lat"), maidenhead_lon("grid").alias("tx_lon"),
                   maidenhead_lat("reporter_grid").alias("rx_lat"), maidenhead_lon("reporter_grid").alias("rx_lon"),
@@ -402,8 +403,8 @@ def step_i_paths(spots_df: DataFrame) -> DataFrame:
     mode = F.element_at(F.array(F.lit("CW"), F.lit("PH"), F.lit("RY")), (F.col("year") + F.col("month") + F.col("hour_utc")) % 3 + 1)
     threshold = F.when(mode == "CW", -10.0).when(mode == "PH", 5.0).otherwise(-5.0)
     return (g.withColumn("mode", mode).withColumn("threshold", threshold).withColumn("ssn", F.lit(0.0))
-             .withColumn("band_open", (F.col("model_snr") >= F.col("threshold")).cast("int"))
-             .withColumn("voacap_band_open", (F.col("voacap_snr") >= F.col("threshold")).cast("int")))
+             .withColumn("band_open", band_open(F.col("model_snr"), F.col("threshold")))
+             .withColumn("voacap_band_open", band_open(F.col("voacap_snr"), F.col("threshold"))))
 
 
 def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
