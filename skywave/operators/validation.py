@@ -34,6 +34,18 @@ def observed_mode_thresholds(modes: DataFrame, thresholds: DataFrame, mode_map:
                                                     "observations")
 
 
+def threshold_usage(modes: DataFrame, thresholds: DataFrame, mode_map: dict | None = None) -> DataFrame:
+    """The whole threshold table with the number of observations of each mode
+    (``modes``: a ``mode`` column, one row per observation), 0 where there is none."""
+    mode_map = K.CONTEST_MODE_TO_ADIF if mode_map is None else mode_map
+    adif = F.col("mode")
+    for src, dst in mode_map.items():
+        adif = F.when(F.col("mode") == src, dst).otherwise(adif)
+    per = modes.groupBy(adif.alias("__m")).agg(F.count(F.lit(1)).alias("__n"))
+    return (thresholds.join(per, F.col("mode") == F.col("__m"), "left")
+            .select("mode", "family", "threshold_db", "description", F.coalesce("__n", F.lit(0)).cast("bigint").alias("observations")))
+
+
 def station_advantage_db(power_w: float, gain_tx_dbi: float = 0.0, gain_rx_dbi: float = 0.0) -> Column:
     """10*log10(P / 0.2 W) + G_tx + G_rx."""
     return F.lit(10.0) * F.log10(F.lit(float(power_w)) / F.lit(K.WSPR_REFERENCE_POWER_W)) + F.lit(gain_tx_dbi + gain_rx_dbi)

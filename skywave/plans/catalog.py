@@ -105,14 +105,23 @@ def scan_solar(spark, sf):
     return fx.solar_raw(spark, sf)
 
 
+def _modes(spark, sf):
+    return (fx.pskr_spots(spark, sf).select("mode")
+            .unionByName(fx.rbn_raw(spark, sf).select(F.col("tx_mode").alias("mode")))
+            .unionByName(fx.contest_raw(spark, sf).select("mode")))
+
+
 @register("mode_thresholds")
 def mode_thresholds(spark, sf):
     """The seeded threshold table resolved for every mode observed in the
     PSK Reporter, RBN and contest data."""
-    modes = (fx.pskr_spots(spark, sf).select("mode")
-             .unionByName(fx.rbn_raw(spark, sf).select(F.col("tx_mode").alias("mode")))
-             .unionByName(fx.contest_raw(spark, sf).select("mode")))
-    return validation.observed_mode_thresholds(modes, validation.seed_mode_thresholds(spark))
+    return validation.observed_mode_thresholds(_modes(spark, sf), validation.seed_mode_thresholds(spark))
+
+
+@register("threshold_usage")
+def threshold_usage(spark, sf):
+    """All 15 thresholds with the observations of their mode in the three sources."""
+    return validation.threshold_usage(_modes(spark, sf), validation.seed_mode_thresholds(spark))
 
 
 @register("schema_upgrade")
@@ -449,16 +458,24 @@ def quality_test_paths(spark, sf):
 
 
 # ---------------------------------------------------------------- validation
-def _scored(spark, sf):
+def _scored(spark, sf, profile="wspr"):
     pred = fx.predictions(signatures_v1(spark, sf))
-    return validation.score_paths(pred, validation.seed_mode_thresholds(spark))
+    return validation.score_paths(pred, validation.seed_mode_thresholds(spark), profile=profile)
+
+
+SCORE_COLUMNS = ["source", "tx_grid_4", "rx_grid_4", "band", "hour", "month", "actual_snr", "actual_mode", "predicted_snr", "snr_error",
+                 "ft8_viable", "cw_viable", "rtty_viable", "ssb_viable", "mode_hit", "profile"]
 
 
 @register("score_paths")
 def score_paths(spark, sf):
-    return _scored(spark, sf).select("source", "tx_grid_4", "rx_grid_4", "band", "hour", "month", "actual_snr",
-                                     "actual_mode", "predicted_snr", "snr_error", "ft8_viable", "cw_viable",
-                                     "rtty_viable", "ssb_viable", "mode_hit", "profile")
+    return _scored(spark, sf).select(*SCORE_COLUMNS)
+
+
+@register("score_paths_portable")
+def score_paths_portable(spark, sf):
+    """The same paths for a 5 W station: 14 dB over the reference."""
+    return _scored(spark, sf, "portable").select(*SCORE_COLUMNS)
 
 
 @register("model_metrics")

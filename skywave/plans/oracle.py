@@ -241,6 +241,15 @@ ORACLE["score_paths"] = sql(f"""
 SELECT source, tx_grid_4, rx_grid_4, band, hour, month, {r('actual_snr')} AS actual_snr, actual_mode,
        {r('predicted_snr')} AS predicted_snr, {r('snr_error')} AS snr_error, ft8_viable, cw_viable, rtty_viable, ssb_viable,
        mode_hit, profile FROM scored""", "scored")
+ORACLE["score_paths_portable"] = sql(f"""
+SELECT source, tx_grid_4, rx_grid_4, band, hour, month, {r('actual_snr')} AS actual_snr, actual_mode,
+       {r('predicted_snr')} AS predicted_snr, {r('snr_error')} AS snr_error, ft8_viable, cw_viable, rtty_viable, ssb_viable,
+       mode_hit, profile FROM scored_portable""", "scored_portable")
+ORACLE["threshold_usage"] = sql("""
+SELECT t.mode, t.family, t.threshold_db, t.description, count(o.mode) AS observations FROM thresholds t LEFT JOIN (
+  SELECT CASE mode WHEN 'PH' THEN 'SSB' WHEN 'RY' THEN 'RTTY' ELSE mode END AS mode
+  FROM (SELECT mode FROM pskr UNION ALL SELECT tx_mode FROM rbn UNION ALL SELECT mode FROM contest)) o ON o.mode = t.mode
+GROUP BY ALL""", "pskr", "rbn", "contest", "thresholds")
 ORACLE["model_metrics"] = sql(f"""
 SELECT source, band, count(*) AS paths, {r('avg(mode_hit)')} AS recall, {r('sqrt(avg(snr_error * snr_error))')} AS rmse,
        {r('avg(snr_error)')} AS bias, {r('avg(abs(snr_error))')} AS mae FROM scored GROUP BY source, band""", "scored")

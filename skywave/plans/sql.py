@@ -432,13 +432,20 @@ THRESHOLDS_VALUES = "SELECT * FROM (VALUES " + ", ".join(
     ") AS t(mode, family, threshold_db, description)"
 add_cte("thresholds", THRESHOLDS_VALUES, [])
 
-add_cte("scored", """
-SELECT p.*, 'wspr' AS profile, predicted_snr - actual_snr AS snr_error,
-       CAST(predicted_snr >= -20 AS INTEGER) AS ft8_viable, CAST(predicted_snr >= -10 AS INTEGER) AS cw_viable,
-       CAST(predicted_snr >= -5 AS INTEGER) AS rtty_viable, CAST(predicted_snr >= 5 AS INTEGER) AS ssb_viable,
-       CASE WHEN t.threshold_db IS NULL THEN NULL ELSE CAST(predicted_snr >= t.threshold_db AS INTEGER) END AS mode_hit
+
+
+def scored_sql(profile: str, advantage: str) -> str:
+    return f"""
+SELECT p.*, '{profile}' AS profile, predicted_snr - actual_snr AS snr_error,
+       CAST(predicted_snr + {advantage} >= -20 AS INTEGER) AS ft8_viable, CAST(predicted_snr + {advantage} >= -10 AS INTEGER) AS cw_viable,
+       CAST(predicted_snr + {advantage} >= -5 AS INTEGER) AS rtty_viable, CAST(predicted_snr + {advantage} >= 5 AS INTEGER) AS ssb_viable,
+       CASE WHEN t.threshold_db IS NULL THEN NULL ELSE CAST(predicted_snr + {advantage} >= t.threshold_db AS INTEGER) END AS mode_hit
 FROM sig_pred p LEFT JOIN thresholds t ON t.mode = CASE p.actual_mode WHEN 'PH' THEN 'SSB' WHEN 'RY' THEN 'RTTY'
-                                                 ELSE p.actual_mode END""", ["sig_pred", "thresholds"])
+                                                 ELSE p.actual_mode END"""
+
+
+add_cte("scored", scored_sql("wspr", "0"), ["sig_pred", "thresholds"])
+add_cte("scored_portable", scored_sql("portable", "10.0::DOUBLE * log10(5.0::DOUBLE / 0.2::DOUBLE)"), ["sig_pred", "thresholds"])
 
 add_cte("qt_paths", f"""
 SELECT CAST(coalesce(o.off, 0) + q.rn AS BIGINT) AS path_id, q.* FROM (
