@@ -47,6 +47,8 @@ PERCENT = 80
 WORDS = 5
 #: The sizes of a band's largest and smallest set differ by about this factor.
 BAND = 2.44
+#: Own buckets by which a pair that shares several is told to come from another one.
+FIRST = 8
 #: A shingle is looked at as common if a task meets it so often among CHUNK shingles,
 #: and is common if it adds up to COMMON, or one in COMMON_SHARE documents.
 REPEATED, CHUNK, COMMON, COMMON_SHARE = 3, 1 << 20, 8, 20_000
@@ -291,16 +293,18 @@ def groups(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataF
 
 def _across(members: DataFrame, apart: DataFrame, known: DataFrame, root: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a bucket and whose
-    sketches are close enough: the bounds are part of the join's condition.
-    apart: the members (key, v) that their bucket's first member is not
+    sketches are close enough: the bounds are part of the join's condition, and
+    no pair comes from a bucket if both share one before it among their FIRST own
+    buckets.  apart: the members (key, v) that their bucket's first member is not
     connected with; one of each pair is such a one."""
     marked = members.withColumn("apart", F.lit(0)).unionByName(apart.withColumn("apart", F.lit(1)))
-    own = marked.groupBy("key", "v").agg(F.max("apart").alias("apart")).groupBy("v").agg(F.collect_list(F.struct("key", "apart")).alias("keys"))
+    own = marked.groupBy("key", "v").agg(F.max("apart").alias("apart")).groupBy("v").agg(F.sort_array(F.collect_list(F.struct("key", "apart"))).alias("keys"))
     rows = (own.join(known.select("v", "n", "sketch"), "v").join(root, "v", "left")
-               .select("v", "n", "sketch", F.coalesce("root_v", "v").alias("r"), F.inline("keys")))
-    x = rows.filter("apart = 1").select("key", *[F.col(c).alias(f"x_{c}") for c in ("v", "n", "sketch", "r")])
-    y = rows.select("key", *[F.col(c).alias(f"y_{c}") for c in ("v", "n", "sketch", "r", "apart")])
-    near = F.expr("x_r <> y_r and (y_apart = 0 or x_v < y_v)") & close("x_n", "y_n", "x_sketch", "y_sketch")
+               .select("v", "n", "sketch", F.coalesce("root_v", "v").alias("r"), "keys", F.posexplode("keys").alias("at", "k"))
+               .select("v", "n", "sketch", "r", "k.*", F.expr(f"transform(slice(keys, 1, least(at, {FIRST})), x -> x.key)").alias("before")))
+    x = rows.filter("apart = 1").select("key", *[F.col(c).alias(f"x_{c}") for c in ("v", "n", "sketch", "r", "before")])
+    y = rows.select("key", *[F.col(c).alias(f"y_{c}") for c in ("v", "n", "sketch", "r", "before", "apart")])
+    near = F.expr("x_r <> y_r and (y_apart = 0 or x_v < y_v) and not arrays_overlap(x_before, y_before)") & close("x_n", "y_n", "x_sketch", "y_sketch")
     return x.join(y, "key").filter(near).select(F.least("x_v", "y_v").alias("a"), F.greatest("x_v", "y_v").alias("b")).distinct()
 
 
