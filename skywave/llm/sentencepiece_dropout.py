@@ -3,15 +3,15 @@
 Texts are written as a SentencePiece model of merge type (BPE) reads them: a
 dummy space in front, spaces as U+2581.  An agenda holds the adjacent symbol pairs
 that form a piece, best score first and leftmost of equals.  When a pair comes
-up, a keyed hash of (seed, variant, part, piece, place in the part) decides
+up, a keyed hash of (seed, variant, unit, piece, place in the unit) decides
 whether this merge is skipped, with probability ``dropout``; with 0 the result is
 the model's own segmentation.  Characters without a piece become byte pieces, and
 so does U+2581 itself, which makes decoding lossless.
 
 A text is cut into units before each run of spaces; no piece reaches across such
-a cut (checked when the vocabulary is read), nor across two adjacent characters
-that no piece has, so the agenda runs per part between such cuts, and a unit's
-segmentation under a variant is remembered by the task.  A document's variant is a
+a cut (checked when the vocabulary is read), so the agenda runs per unit, and a
+unit's segmentation under a variant is remembered by the task.  Units that a
+batch needs anew are segmented together, round by round.  A document's variant is a
 hash of its doc_id modulo ``variants``: the same word is segmented differently in
 different documents, and the same document always alike, whatever executor
 encodes it.
@@ -36,29 +36,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skywave.llm.common import mapped
+from skywave.llm.kernel import mix
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 VARIANTS = 4
 SEED = 17
 #: Units that a task remembers; when it has more, it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
+#: Rows that are segmented together, and the longest units of that way.
+ROWS, WIDE = 1000, 32
+TABLE = 19
+NONE = np.iinfo(np.int64).max
 SPACE = "▁"
 
-_M = (1 << 64) - 1
-_NONE = float("inf")
-
 
 class Vocabulary:
-    """Pieces of a model file: ids, scores, byte pieces."""
+    """Pieces of a model file: ids, costs of merges, byte pieces.  Symbols are
+    pieces, then single characters of pieces that are none themselves, then one
+    symbol for all other characters, which never merges."""
 
     def __init__(self, path: str = MODEL):
         import sentencepiece
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.piece: dict[str, int] = {}
-        self.cost: dict[str, float] = {}                 # of a merge that makes the piece; less is better
+        self.size = sp.get_piece_size()
         self.byte: list[int] = [0] * 256
         self.raw: list[bytes] = []                       # bytes that a piece stands for
-        for i in range(sp.get_piece_size()):
+        self.symbol: dict[str, int] = {}
+        score = {}
+        for i in range(self.size):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.byte[int(piece[1:-1], 16)] = i
@@ -66,143 +73,232 @@ class Vocabulary:
             elif sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i):
                 self.raw.append(b"")
             else:
-                self.piece[piece] = i
-                self.cost[piece] = -sp.get_score(i)
+                self.symbol[piece] = i
+                score[piece] = sp.get_score(i)
                 self.raw.append(piece.replace(SPACE, " ").encode())
-        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.piece):
+        self.length = np.array([len(r) for r in self.raw], np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in score):
             raise ValueError("a piece reaches across a space: this model can't be cut into units")
         if len(set(self.byte)) < 256:
             raise ValueError("the model has no byte pieces: decoding could lose characters")
-        self.pairs = frozenset(p[i:i + 2].replace(SPACE, " ") for p in self.piece for i in range(len(p) - 1))
+        for c in sorted({c for p in score for c in p} - self.symbol.keys()):
+            self.symbol[c] = len(self.symbol.keys() - score.keys()) + self.size
+        self.other = self.size + len(self.symbol.keys() - score.keys())
+        # a merge (left, right) -> (rank, piece): rank 0 is the best score
+        ranks = {x: i for i, x in enumerate(sorted(set(score.values()), reverse=True))}
+        merges = {(self.symbol[p[:i]], self.symbol[p[i:]]): (ranks[score[p]], self.symbol[p])
+                  for p in score for i in range(1, len(p)) if p[:i] in self.symbol and p[i:] in self.symbol}
+        self.merges = merges
+        keys = np.array([left << 32 | right for left, right in merges], np.int64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        self.values = np.array([rank << 32 | piece for rank, piece in merges.values()], np.int64)[order]
+        self.points = np.full(0x110000, self.other, np.int32)          # of a character
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.points[ord(c)] = i
+        self.points[ord(" ")], self.points[ord(SPACE)] = self.symbol[SPACE], self.other
+        # a table of 2**TABLE places, by a multiplied hash and linear probing
+        self.table = np.full(1 << TABLE, -1, np.int32)
+        todo, at = np.arange(len(self.keys)), _slot(self.keys)
+        while len(todo):
+            free = self.table[at] < 0
+            self.table[at[free][::-1]] = todo[free][::-1]
+            left = self.table[at] != todo
+            todo, at = todo[left], at[left] + 1 & (1 << TABLE) - 1
+
+    def offers(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """rank << 32 | piece of each merge, or NONE."""
+        key = left.astype(np.int64) << 32 | right
+        out = np.full(len(key), NONE, np.int64)
+        todo, at = np.arange(len(key)), _slot(key)
+        while len(todo):
+            found = self.table[at]
+            hit = (found >= 0) & (self.keys[found] == key[todo])
+            out[todo[hit]] = self.values[found[hit]]
+            left_ = (found >= 0) & ~hit
+            todo, at = todo[left_], at[left_] + 1 & (1 << TABLE) - 1
+        return out
 
     def decode(self, ids) -> str:
         """The text of ids, without the dummy space in front."""
-        return b"".join(map(self.raw.__getitem__, ids))[1:].decode()
+        ids = np.asarray(ids, np.int64)
+        size = self.length[ids]
+        shift = self.start[ids] - (np.cumsum(size) - size)
+        return self.flat[np.repeat(shift, size) + np.arange(size.sum())].tobytes()[1:].decode()
+
+
+def _slot(key: np.ndarray) -> np.ndarray:
+    return (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - TABLE)).astype(np.int64)
 
 
 _UNIT = re.compile(" *[^ ]+| +")
 
 
 class Encoder:
+    """Encodes texts; remembers the units of each variant, as packed ids."""
+
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
         self.v, self.limit, self.seed = vocabulary, int(dropout * (1 << 32)), seed
-        self.known: dict[tuple[int, str], list[int]] = {}
+        self.known: dict[int, dict[str, bytes]] = {}
 
     def encode(self, text: str, variant: int = 0) -> list[int]:
-        if not text:
-            return []
-        out: list[int] = []
-        known = self.known
-        for u in _UNIT.findall(" " + text):
-            ids = known.get((variant, u))
-            out.extend(self.unit(u, variant) if ids is None else ids)
+        return np.frombuffer(self.batch([(text, variant)])[0], np.int32).tolist()
+
+    def batch(self, texts: list[tuple[str, int]]) -> list[bytes]:
+        """Ids (int32) of (text, variant) pairs; what they need anew is segmented together."""
+        if sum(map(len, self.known.values())) >= REMEMBERED:
+            self.known.clear()
+        cut = [(_UNIT.findall(" " + text) if text else [], variant) for text, variant in texts]
+        missing: dict[int, set[str]] = {}
+        for units, variant in cut:
+            missing.setdefault(variant, set()).update(set(units).difference(self.known.setdefault(variant, {})))
+        for variant, units in missing.items():
+            short = sorted((u for u in units if len(u) <= WIDE), key=len)
+            for i in range(0, len(short), 8192):          # of like lengths
+                part = short[i:i + 8192]
+                self.known[variant].update(zip(part, self.together(part, variant)))
+            for u in units:
+                if len(u) > WIDE:
+                    self.known[variant][u] = self.agenda(u, variant)
+        out = [b"".join(map(self.known[variant].__getitem__, units)) for units, variant in cut]
+        for variant, units in missing.items():
+            for u in units:
+                if len(u) > 4 * WIDE:                      # not worth remembering
+                    del self.known[variant][u]
         return out
 
-    def unit(self, unit: str, variant: int = 0) -> list[int]:
-        """Segments a unit part by part: no piece has two adjacent characters that
-        the vocabulary's ``pairs`` lack, so parts end there."""
-        known, pairs = self.known, self.v.pairs
-        if len(known) >= REMEMBERED:
-            known.clear()
-        out: list[int] = []
-        start = 0
-        for i in range(1, len(unit) + 1):
-            if i == len(unit) or unit[i - 1:i + 1] not in pairs:
-                part = unit[start:i]
-                ids = known.get((variant, part))
-                if ids is None:
-                    ids = self.agenda(part, variant)
-                    if len(part) <= 64:
-                        known[variant, part] = ids
-                out += ids
-                start = i
-        if len(unit) <= 64:
-            known[variant, unit] = out
-        return out
+    def key(self, unit: str, variant: int) -> int:
+        return zlib.crc32(unit.encode(), self.seed) << 32 | variant
 
-    def agenda(self, part: str, variant: int) -> list[int]:
-        """Merges adjacent symbols, best score first and leftmost of equals; offers
-        that the keyed hash picks are dropped.  A part of some characters keeps its
-        offers in a list, a longer one in a heap; both take the same decisions."""
-        key = (zlib.crc32(part.encode(), self.seed) << 32 | variant) * 0x9E3779B97F4A7C15 + 1
-        symbols = list(part.replace(" ", SPACE)) if SPACE not in part else [SPACE if c == " " else "" if c == SPACE else c for c in part]
-        symbols = self.heap(symbols, key) if len(symbols) > 48 else self.list(symbols, key)
-        piece, byte = self.v.piece, self.v.byte
-        out: list[int] = []
-        for s in symbols:
-            i = piece.get(s)
-            if i is None:                                # no piece; "" stands for a U+2581 of the text
-                out.extend(byte[x] for x in (SPACE if s == "" else s.replace(SPACE, " ")).encode())
+    def together(self, units: list[str], variant: int) -> list[bytes]:
+        """The agendas of many short units at once: each round takes the best
+        offer of every unit that has one."""
+        v, n = self.v, len(units)
+        if not n:
+            return []
+        size = np.array([len(u) for u in units])
+        wide = int(size.max())
+        inside = np.arange(wide)[None, :] < size[:, None]
+        symbol = np.full((n, wide), v.other, np.int32)
+        symbol[inside] = v.points[np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        after = np.tile(np.arange(1, wide + 1), (n, 1))
+        before = after - 2
+        offer = np.full((n, wide), NONE, np.int64)
+        row, at = np.nonzero(inside[:, 1:])
+        offer[row, at] = v.offers(symbol[row, at], symbol[row, at + 1])
+        key = np.array([self.key(u, variant) for u in units], np.uint64)
+        alive = inside.copy()
+        rows = np.arange(n)
+        while len(rows):
+            i = offer[rows].argmin(axis=1)
+            best = offer[rows, i]
+            more = best != NONE
+            rows, i, best = rows[more], i[more], best[more]
+            if self.limit:
+                skipped = _skips(key[rows], best, i, self.limit)
+                offer[rows[skipped], i[skipped]] = NONE
+                r, i, best = rows[~skipped], i[~skipped], best[~skipped]
             else:
-                out.append(i)
+                r = rows
+            j = after[r, i]
+            symbol[r, i] = best & 0xFFFFFFFF
+            alive[r, j] = False
+            offer[r, j] = NONE
+            k = after[r, i] = after[r, j]
+            offer[r, i] = NONE
+            inner = k < size[r]
+            a, b, c = r[inner], i[inner], k[inner]
+            before[a, c] = b
+            offer[a, b] = v.offers(symbol[a, b], symbol[a, c])
+            h = before[r, i]
+            first = h >= 0
+            a, b, c = r[first], i[first], h[first]
+            offer[a, c] = v.offers(symbol[a, c], symbol[a, b])
+        packed = symbol[alive].tobytes()
+        ends = np.cumsum(alive.sum(axis=1) * 4).tolist()
+        out = [packed[p:q] for p, q in zip([0, *ends], ends)]
+        for x in np.flatnonzero((alive & (symbol >= v.size)).any(axis=1)).tolist():
+            out[x] = self._bytes(units[x], zip(np.flatnonzero(alive[x]).tolist(), symbol[x][alive[x]].tolist()))
         return out
 
-    def skips(self, key: int, cost: float, place: int) -> bool:
-        return ((key ^ int(cost) * 0xD6E8FEB86659FD93 ^ place * 0xC2B2AE3D27D4EB4F) * 0xBF58476D1CE4E5B9 & _M) >> 32 < self.limit
-
-    def list(self, s: list[str], key: int) -> list[str]:
-        cost, limit, skips = self.v.cost, self.limit, self.skips
-        at = list(range(len(s)))
-        offers = [cost.get(a + b, _NONE) if a and b else _NONE for a, b in zip(s, s[1:])]
-        offers.append(_NONE)
-        while (best := min(offers)) != _NONE:
-            i = offers.index(best)
-            if limit and skips(key, best, at[i]):
-                offers[i] = _NONE
-                continue
-            s[i] += s[i + 1]
-            del s[i + 1], at[i + 1], offers[i]
-            if i + 1 < len(s):
-                offers[i] = cost.get(s[i] + s[i + 1], _NONE) if s[i + 1] else _NONE
-            if i:
-                offers[i - 1] = cost.get(s[i - 1] + s[i], _NONE) if s[i - 1] else _NONE
-        return s
-
-    def heap(self, s: list[str | None], key: int) -> list[str]:
-        cost, n = self.v.cost, len(s)
+    def _bytes(self, unit: str, symbols) -> bytes:
+        """Byte pieces for symbols that are no pieces; each is one character."""
+        out: list[int] = []
+        for at, s in symbols:
+            out.extend([s] if s < self.v.size else [self.v.byte[x] for x in unit[at].encode()])
+        return np.array(out, np.int32).tobytes()
+
+    def agenda(self, unit: str, variant: int) -> bytes:
+        """One unit of any length, by a heap."""
+        v, n = self.v, len(unit)
+        symbol: list[int | None] = v.points[np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)].tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda: list[tuple[float, int, str, int]] = []
+        key = np.array([self.key(unit, variant)], np.uint64)
+        heap: list[tuple[int, int, int, int, int]] = []
 
         def offer(i: int) -> None:
             j = after[i]
-            if j < n and s[i] and s[j] and (c := cost.get(s[i] + s[j])) is not None:
-                heapq.heappush(agenda, (c, i, s[i] + s[j], j))
+            if j < n and (m := v.merges.get((symbol[i], symbol[j]))):
+                heapq.heappush(heap, (m[0], i, m[1], symbol[i], symbol[j]))
 
         for i in range(n - 1):
             offer(i)
-        while agenda:
-            c, i, piece, j = heapq.heappop(agenda)
-            if s[i] is None or s[j] is None or after[i] != j or len(s[i]) + len(s[j]) != len(piece):
+        while heap:
+            rank, i, piece, left, right = heapq.heappop(heap)
+            j = after[i]
+            if symbol[i] != left or j >= n or symbol[j] != right:
                 continue                                 # one of them has merged meanwhile
-            if self.limit and self.skips(key, c, i):
+            if self.limit and _skips(key, np.array([rank << 32 | piece]), np.array([i]), self.limit)[0]:
                 continue
-            s[i], s[j] = piece, None
+            symbol[i], symbol[j] = piece, None
             after[i] = after[j]
             if after[i] < n:
                 before[after[i]] = i
                 offer(i)
             if before[i] >= 0:
                 offer(before[i])
-        return [x for x in s if x is not None]
+        return self._bytes(unit, [(i, s) for i, s in enumerate(symbol) if s is not None])
+
+
+def _skips(key: np.ndarray, offer: np.ndarray, place: np.ndarray, limit: int) -> np.ndarray:
+    """The keyed decision on a merge."""
+    x = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ mix((offer & 0xFFFFFFFF).astype(np.uint64) << np.uint64(24) | place.astype(np.uint64)))
+    return (x >> np.uint64(32)) < np.uint64(limit)
+
+
+#: The encoder of this Python worker, which Spark uses for one task after another.
+_own: dict[tuple, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary, *options) -> Encoder:
+    key = (len(vocabulary.raw), zlib.crc32(b"".join(vocabulary.raw)), *options)
+    if key not in _own:
+        _own.clear()
+        _own[key] = Encoder(vocabulary, *options)
+    return _own[key]
 
 
 def _encode(vocabulary, dropout: float, seed: int, digest: bool):
     def run(batches):
-        encoder = Encoder(vocabulary.value, dropout, seed)
-        for b in batches:
-            n, sha, same, ids_ = [], [], [], []
-            for text, variant in zip(b.column("text").to_pylist(), b.column("variant").to_pylist()):
-                ids = encoder.encode(text or "", variant)
-                same.append(encoder.v.decode(ids) == (text or ""))
-                n.append(len(ids))
-                packed = np.array(ids, np.int32)
-                if digest:
-                    sha.append(hashlib.sha256(packed.tobytes()).hexdigest())
-                else:
-                    ids_.append(packed)
-            last = pa.array(sha, pa.string()) if digest else pa.array(ids_, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("variant"), pa.array(n, pa.int64()), pa.array(same, pa.bool_()), last],
-                                             ["doc_id", "variant", "n_pieces", "lossless", "ids_sha256" if digest else "ids"])
+        encoder = _encoder(vocabulary.value, dropout, seed)
+        for whole in batches:
+            for b in (whole.slice(i, ROWS) for i in range(0, len(whole), ROWS)):
+                n, sha, same, ids_ = [], [], [], []
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                for text, packed in zip(texts, encoder.batch(list(zip(texts, b.column("variant").to_pylist())))):
+                    ids = np.frombuffer(packed, np.int32)
+                    same.append(encoder.v.decode(ids) == text)
+                    n.append(len(ids))
+                    if digest:
+                        sha.append(hashlib.sha256(packed).hexdigest())
+                    else:
+                        ids_.append(ids)
+                last = pa.array(sha, pa.string()) if digest else pa.array(ids_, pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("variant"), pa.array(n, pa.int64()), pa.array(same, pa.bool_()), last],
+                                                 ["doc_id", "variant", "n_pieces", "lossless", "ids_sha256" if digest else "ids"])
     return run
 
 
@@ -214,7 +310,7 @@ def encoded(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed:
     variant = F.coalesce(F.pmod(F.xxhash64(F.when(F.col("doc_id").isNotNull(), F.col("doc_id").cast("string"))), F.lit(variants)), F.lit(0))
     rows = docs.select("doc_id", F.when(F.col("doc_id").isNull(), 0).otherwise(variant).cast("int").alias("variant"), F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_encode(shared, dropout, seed, digest),
+    return rows.transform(mapped, _encode(shared, dropout, seed, digest),
                            f"doc_id {kind}, variant int, n_pieces long, lossless boolean, " + ("ids_sha256 string" if digest else "ids array<int>"))
 
 
@@ -229,4 +325,4 @@ def _decode(vocabulary):
 def decoded(ids: DataFrame, path: str = MODEL) -> DataFrame:
     """(doc_id, text) of (doc_id, ids)."""
     shared = ids.sparkSession.sparkContext.broadcast(Vocabulary(path))
-    return ids.select("doc_id", "ids").mapInArrow(_decode(shared), f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, text string")
+    return ids.select("doc_id", "ids").transform(mapped, _decode(shared), f"doc_id {ids.schema['doc_id'].dataType.simpleString()}, text string")
