@@ -2,8 +2,9 @@
 
 A gear hash rolls over the bytes: h = (h << 1) + G[byte], of which the lowest
 WINDOW bits depend on the last WINDOW bytes only.  A chunk ends where the mask bits
-are zero, not before LEAST bytes and after MOST at the latest, so boundaries
-follow the content and come back in step after an insertion.  Chunks are equal
+are zero, not before LEAST bytes (WINDOW, for a document's first) and after MOST
+at the latest, so boundaries follow the content and come back in step after an
+insertion.  Chunks are equal
 by their 128-bit digest; the first occurrence (smallest doc_id, then place) of
 a digest stays.  Single short chunks repeat by accident or by custom, so only
 runs of repeated chunks of RUN bytes or more are removed.
@@ -34,10 +35,10 @@ from skywave.llm import kernel as K
 from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, mapped, stored
 
 WINDOW = 32
-LEAST = 32
+LEAST = 16
 MOST = 1024
-MASK_BITS = 5
-RUN = 150
+MASK_BITS = 4
+RUN = 100
 
 _GEAR = np.random.Generator(np.random.PCG64(7)).integers(0, 1 << 32, 256, dtype=np.uint64)
 _MASK = np.uint64(((1 << MASK_BITS) - 1) << (WINDOW - MASK_BITS))
@@ -74,10 +75,11 @@ def cuts(marks: np.ndarray, start: int, end: int) -> list[int]:
 def chunks(buf: np.ndarray, bounds: np.ndarray):
     """(document, start, end) of each chunk of a slice; places count from the slice's start."""
     marks = np.flatnonzero((gear(buf) & _MASK) == 0) + 1 if len(buf) else np.zeros(0, np.int64)
-    at = np.searchsorted(marks, bounds, "right")
+    # before its first WINDOW bytes are read, a document's hash would hold the one before it
+    low, high = np.searchsorted(marks, bounds[:-1] + WINDOW, "left"), np.searchsorted(marks, bounds[1:], "right")
     for d in range(len(bounds) - 1):
         start = int(bounds[d])
-        for end in cuts(marks[at[d]:at[d + 1]], start, int(bounds[d + 1])):
+        for end in cuts(marks[low[d]:high[d]], start, int(bounds[d + 1])):
             yield d, start, end
             start = end
 
