@@ -13,7 +13,7 @@ SF_TINY = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
     from skywave.session import BASE_CONF, checkpoint_root, ensure_utc
-    b = SparkSession.builder.master("local[2]").appName("skywave-llm-tests").config("spark.sql.shuffle.partitions", "6")
+    b = SparkSession.builder.master("local[4]").appName("skywave-llm-tests").config("spark.sql.shuffle.partitions", "6")
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
