@@ -14,7 +14,9 @@ share of toxic documents clearly exceeds that of clean ones.  They are fitted on
 a sample of FIT_ROWS labelled rows at most (chosen by a hash of doc_id), never
 on held-out ones (crc32 of doc_id mod 5 = 0).  The logistic curve over the three
 figures is fitted on the same rows, each scored with the weights of the other
-half.  Every document is scored over its whole text.
+half.  The sample thins the commoner kind more; a row counts in the curve as one
+over its kind's share, so a score means the same whatever was thinned.  Every
+document is scored over its whole text.
 
 Cases: null and empty texts match nothing and get the score of a clean text;
 without labels of both kinds nothing is learned and the threats alone score;
@@ -145,19 +147,22 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % 5 == 0
 
 
-def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
-    """(text, toxic, half) of labelled rows that are not held out, about so many at most."""
+def sample(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, float]]:
+    """(text, toxic, half) of labelled rows that are not held out, about so many
+    at most, and how many rows one of each kind stands for."""
     y = (labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id")))
-               .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+               .groupBy("doc_id").agg(F.max((F.col("toxic").cast("int") > 0).cast("int")).alias("toxic")))
     # as many of the rarer kind as of the other one at most: each has half of the rows
     counts = {r["toxic"]: r["n"] for r in y.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = F.coalesce(*(F.when(F.col("toxic") == k, F.lit(min(1.0, rows / 2 / n))) for k, n in counts.items()), F.lit(0.0))
+    shares = {k: min(1.0, rows / 2 / n) for k, n in counts.items()}
+    share = F.coalesce(*(F.when(F.col("toxic") == k, F.lit(x)) for k, x in shares.items()), F.lit(0.0))
     y = y.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     # rows ids at most, so this side has a bound: 16 bytes each
     y = F.broadcast(y.select(F.col("doc_id").alias("y_id"), "toxic"))
-    return (docs.select("doc_id", "text").join(y, F.col("doc_id") == F.col("y_id"))
-                .select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic").cast("int").alias("toxic"),
-                        F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half")))
+    known = (docs.select("doc_id", "text").join(y, F.col("doc_id") == F.col("y_id"))
+                 .select(F.coalesce("text", F.lit("")).alias("text"), "toxic",
+                         F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).cast("int").alias("half")))
+    return known, {k: 1 / shares.get(k, 1.0) for k in (0, 1)}
 
 
 def _counts(batches):
@@ -208,15 +213,16 @@ def _figures(model):
     return run
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
-    """Coefficients, the last one for the constant, by Newton steps."""
+def logistic(x: np.ndarray, y: np.ndarray, count: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
+    """Coefficients, the last one for the constant, by Newton steps; each row
+    counts as so many."""
     x = np.column_stack((x, np.ones(len(x))))
     w = np.zeros(x.shape[1])
     penalty = ridge * np.eye(len(w))
     penalty[-1, -1] = 1e-3
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ w)
+        step = np.linalg.solve(x.T @ (x * (count * p * (1 - p))[:, None]) + penalty, x.T @ (count * (y - p)) - penalty @ w)
         w += np.clip(step, -5, 5)
     return w
 
@@ -235,13 +241,14 @@ class Model:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     spark = docs.sparkSession
-    known = sample(docs, labels, rows)
+    known, stands = sample(docs, labels, rows)
     n = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in range(4)]
     counted = known.transform(mapped, _counts, "feature string, kind int, n long").groupBy("feature").agg(*n)
     totals = [0] * 4
     lexicon = []
-    # features of the bounded sample that toxic rows have more often
-    for r in counted.filter("feature = '' or n1 + n3 >= 4 and n1 + n3 > n0 + n2").collect():
+    # features of the bounded sample that toxic rows have more often, as many as each stands for
+    more = (F.col("n1") + F.col("n3")) * stands[1] > (F.col("n0") + F.col("n2")) * stands[0]
+    for r in counted.filter((F.col("feature") == "") | (F.col("n1") + F.col("n3") >= 4) & more).collect():
         if r["feature"]:
             lexicon.append((r["feature"], [r[f"n{k}"] for k in range(4)]))
         else:
@@ -255,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     x = np.array([[r["a"], r["b"], r["c"]] for r in got])
     y = np.array([float(r["toxic"] > 0) for r in got])
     order = np.lexsort((y, *x.T))
-    return Model(whole, logistic(x[order], y[order]))
+    return Model(whole, logistic(x[order], y[order], np.where(y > 0, stands[1], stands[0])[order]))
 
 
 def _score(model):

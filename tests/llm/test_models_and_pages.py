@@ -54,6 +54,25 @@ def test_toxicity_learns_and_scores(spark, edges, empty):
     assert not any(x.predicted for x in toxicity.scored(docs, untaught).collect())
 
 
+def test_thinned_sample_keeps_the_prior(spark):
+    """One toxic row in ten, some clean rows with one of its words: a sample of equal parts fits the curve of all rows."""
+    import random
+    r = random.Random(2)
+    rows = []
+    for i in range(6000):
+        bad = i % 10 == 0
+        words = [r.choice("alpha beta gamma delta".split()) for _ in range(30)]
+        for _ in range(r.choice([1, 1, 2, 3]) if bad else r.random() < 0.08):
+            words[r.randrange(30)] = r.choice(["grunkel", "blorfix"])
+        rows.append((i, " ".join(words) + ".", int(bad)))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string").persist()
+    labels = spark.createDataFrame([(x[0], x[2]) for x in rows], "doc_id long, toxic int").persist()
+    full, thin = toxicity.fit(docs, labels), toxicity.fit(docs, labels, rows=900)
+    assert abs(full.curve_at((0.0, 0.0, 0.0)) - thin.curve_at((0.0, 0.0, 0.0))) < 0.02
+    one = "alpha grunkel beta."
+    assert full.score(one) >= 0.3 and abs(thin.score(one) - full.score(one)) < 0.15
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs = spark.read.parquet(f"{SF_TINY}/documents.parquet")
     labels = spark.read.parquet(f"{SF_TINY}/labels.parquet")
