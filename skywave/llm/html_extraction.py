@@ -1,7 +1,7 @@
 """Main text of web pages by template deduction from token equivalence classes.
 
 A page's tokens are its tags, each with the path of elements around it, and its
-text runs outside an article.  A token's occurrence vector over the pages of a
+text runs.  A token's occurrence vector over the pages of a
 host says how often it occurs in each.  Vectors are never held: they are added up as
 a fingerprint (the sum of a hash of page and count), combined map-side, so a host
 that holds a third of all pages costs no more per task than any other.  Tokens of a
@@ -14,8 +14,10 @@ Of the template the extractor keeps the element whose slots hold the main text
 (an article, else the main element, else the element under which most
 of the host's free text lies) and the texts that are the same on all pages.  A page's text
 is what its slots in that element hold, without menus, headers, footers, asides,
-notices, adverts, forms, comments, scripts and styles, nor template texts.  A page
-that lacks its host's element is read by the same rules on its own.
+notices, adverts, forms, comments, scripts and styles, nor template texts.  Inside an
+article or main element a text is the template's only if FEW pages or more have it,
+so hosts with few pages are read by tag names there; a page of nothing but template
+texts there keeps them.  A page that lacks its host's element is read by the same rules on its own.
 
 Templates are sent to all tasks if they are small (their size is checked), and
 joined by host otherwise.
@@ -41,6 +43,8 @@ from skywave.llm.common import mapped, stored
 
 #: Pages of a host that a class must occur in.
 SUPPORT = 0.5
+#: Pages that a text must occur in to count as the template's inside an article or main.
+FEW = 10
 #: Bytes of templates that may be broadcast.
 BROADCAST = 16 << 20
 
@@ -159,22 +163,21 @@ def host(url: Column) -> Column:
 
 
 def _tokens(batches):
-    """(host, token, kind, pages, print, chars) summed over this batch; kind t: tag, x: text run, p: the page itself."""
+    """(host, token, kind, pages, print, chars) summed over this batch; kind t: tag, x: text run, y: one in an article or main, p: the page itself."""
     for b in batches:
         sums: dict[tuple[str, str, str], list[int]] = {}
         for h, page_id, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             page = Page(text or "")
             found: list[tuple[str, str, int, int]] = [("", "p", 1, 0)]
             chars: Counter[str] = Counter()
-            texts: Counter[str] = Counter()
+            texts: Counter[tuple[str, str]] = Counter()
             for path, words, linked in page.blocks:
                 if not linked:
                     for i in range(len(path)):
                         chars["/".join(path[:i + 1])] += len(words)
-                if _kind(path) is None:
-                    texts[format(_hash("/".join(path), words), "x")] += 1
+                texts[format(_hash("/".join(path), words), "x"), "y" if _kind(path) else "x"] += 1
             found += [(t, "t", n, chars[t]) for t, n in page.tags.items()]
-            found += [(t, "x", n, 0) for t, n in texts.items()]
+            found += [(t, k, n, 0) for (t, k), n in texts.items()]
             for token, kind, n, size in found:
                 s = sums.setdefault((h, token, kind), [0, 0, 0])
                 s[0] += 1
@@ -221,7 +224,8 @@ def deduce(tokens: list[dict]) -> dict:
             if template[inner]["chars"] < 0.7 * template[root]["chars"] or inner.rpartition("/")[2].split(".")[0] in ("p", "h1", "li"):
                 break
             root = inner
-    constant = [t["token"] for t in tokens if t["kind"] == "x" and pages > 2 and (t["pages"], t["print"]) == (pages, page_print)]
+    least = {"x": 3, "y": FEW}
+    constant = [t["token"] for t in tokens if t["pages"] >= least.get(t["kind"], pages + 1) and (t["pages"], t["print"]) == (pages, page_print)]
     return {"element": root, "constant": constant}
 
 
@@ -258,10 +262,10 @@ def extract(text: str | None, element: str | None = None, constant: frozenset[st
         inside = [b for b in free if _kind(b[0]) == "article"]
     if not inside:
         inside = [b for b in free if any(CONTENT.search(p.partition(".")[2]) for p in b[0])] or free
+    own = [b for b in inside if format(_hash("/".join(b[0]), b[1]), "x") not in constant] if constant else inside
     if any(_kind(b[0]) for b in inside):
-        return "\n".join(words for _, words, _ in inside)
-    return "\n".join(words for path, words, linked in inside
-                     if not linked and format(_hash("/".join(path), words), "x") not in constant)
+        return "\n".join(words for _, words, _ in own or inside)
+    return "\n".join(words for _, words, linked in own if not linked)
 
 
 def _extracted(batches):

@@ -154,6 +154,21 @@ def test_template_without_article(spark, empty):
     assert html_extraction.extracted(none).count() == 0
 
 
+def _texts(spark, pages: list, host: str = "h") -> list[str]:
+    rows = [(i, f"http://{host}.example/{i}", p) for i, p in enumerate(pages)]
+    got = html_extraction.extracted(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    return [r.text for r in sorted(got, key=lambda r: r.page_id)]
+
+
+def test_template_inside_article(spark):
+    """What all pages of a host have inside the article is the template's; a host with few pages is read by tag names."""
+    page = lambda i: (f"<body><article><h1>Title {i}</h1><p>Story {i}.</p><div class='author-box'><p>Written by our staff</p></div>"
+                      "<div class='sharebar'><a href='/s'>Send it on</a></div></article></body>")
+    assert _texts(spark, [page(i) for i in range(20)]) == [f"Title {i}\nStory {i}." for i in range(20)]
+    assert _texts(spark, [page(i) for i in range(4)]) == [f"Title {i}\nStory {i}.\nWritten by our staff\nSend it on" for i in range(4)]
+    assert _texts(spark, [page(1)] * 12) == ["Title 1\nStory 1.\nWritten by our staff\nSend it on"] * 12
+
+
 def test_pages_of_the_table(spark):
     pages = spark.read.parquet(f"{SF_TINY}/pages.parquet").toPandas()
     got = {r.page_id: r.text for r in queries.op1_html_extraction(spark, SF_TINY).collect()}
