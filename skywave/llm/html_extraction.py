@@ -7,12 +7,13 @@ a fingerprint (the sum of a hash of page and count), combined map-side, so a hos
 that holds a third of all pages costs no more per task than any other.  Tokens of a
 host with equal fingerprints form an equivalence class.  A class is valid if it
 occurs in enough of the host's pages and has a tag; a text run belongs to the
-template if its class is one of all pages.  Valid classes nest by the paths of their
+template if its class is valid, or if nearly all pages that have the text's element
+have the text (some may be cut off).  Valid classes nest by the paths of their
 tags into the host's template, and what lies between template tokens is a slot.
 
 Of the template the extractor keeps the element whose slots hold the main text
 (an article, else the main element, else the element under which most
-of the host's free text lies) and the texts that are the same on all pages.  A page's text
+of the host's free text lies) and the texts of the template.  A page's text
 is what its slots in that element hold, without menus, headers, footers, asides,
 notices, adverts, forms, comments, scripts and styles, nor template texts.  Inside an
 article or main element a text is the template's only if FEW pages or more have it,
@@ -22,7 +23,7 @@ texts there keeps them.  A page that lacks its host's element is read by the sam
 Templates are sent to all tasks if they are small (their size is checked), and
 joined by host otherwise.
 
-Cases: null and empty pages have no text; markup that is cut off or badly nested
+Cases: null and empty pages have no text and count in no vector; markup that is cut off or badly nested
 is read as far as it goes; a null url's host is the empty one; repeated rows each
 get their text (they count as one page in the vectors if page_id is equal);
 extra columns don't matter; an empty table gives an empty result.
@@ -43,6 +44,8 @@ from skywave.llm.common import mapped, stored
 
 #: Pages of a host that a class must occur in.
 SUPPORT = 0.5
+#: Share of an element's pages that a text must occur in to be the template's whatever its class.
+NEARLY = 0.9
 #: Pages that a text must occur in to count as the template's inside an article or main.
 FEW = 10
 #: Bytes of templates that may be broadcast.
@@ -168,6 +171,8 @@ def _tokens(batches):
         sums: dict[tuple[str, str, str], list[int]] = {}
         for h, page_id, text in zip(*(b.column(i).to_pylist() for i in range(3))):
             page = Page(text or "")
+            if not page.blocks and not page.tags:
+                continue
             found: list[tuple[str, str, int, int]] = [("", "p", 1, 0)]
             chars: Counter[str] = Counter()
             texts: Counter[tuple[str, str]] = Counter()
@@ -175,7 +180,7 @@ def _tokens(batches):
                 if not linked:
                     for i in range(len(path)):
                         chars["/".join(path[:i + 1])] += len(words)
-                texts[format(_hash("/".join(path), words), "x"), "y" if _kind(path) else "x"] += 1
+                texts[f"{_hash('/'.join(path), words):x} {_hash('/'.join(path)):x}", "y" if _kind(path) else "x"] += 1
             found += [(t, "t", n, chars[t]) for t, n in page.tags.items()]
             found += [(t, k, n, 0) for (t, k), n in texts.items()]
             for token, kind, n, size in found:
@@ -191,9 +196,8 @@ def _tokens(batches):
 
 def deduce(tokens: list[dict]) -> dict:
     """The template of a host from its frequent tokens: the path of the element
-    that holds the main text, and the texts that all pages share."""
+    that holds the main text, and the texts that are its own."""
     pages = max((t["pages"] for t in tokens if t["kind"] == "p"), default=0)
-    page_print = next((t["print"] for t in tokens if t["kind"] == "p"), None)
     classes: dict[tuple[int, int], list[dict]] = {}
     for t in tokens:
         classes.setdefault((t["pages"], t["print"]), []).append(t)
@@ -225,7 +229,14 @@ def deduce(tokens: list[dict]) -> dict:
                 break
             root = inner
     least = {"x": 3, "y": FEW}
-    constant = [t["token"] for t in tokens if t["pages"] >= least.get(t["kind"], pages + 1) and (t["pages"], t["print"]) == (pages, page_print)]
+    of_tags = {(t["pages"], t["print"]) for t in template.values()}
+    holders = {format(_hash(path), "x"): t["pages"] for path, t in template.items()}
+    constant = []
+    for t in tokens:
+        if t["kind"] in least and t["pages"] >= max(least[t["kind"]], SUPPORT * pages):
+            text, _, holder = t["token"].partition(" ")
+            if (t["pages"], t["print"]) in of_tags or t["pages"] >= NEARLY * holders.get(holder, pages):
+                constant.append(text)
     return {"element": root, "constant": constant}
 
 

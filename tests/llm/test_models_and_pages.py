@@ -169,6 +169,19 @@ def test_template_inside_article(spark):
     assert _texts(spark, [page(1)] * 12) == ["Title 1\nStory 1.\nWritten by our staff\nSend it on"] * 12
 
 
+def test_template_despite_odd_pages(spark):
+    """Null, empty, cut off and error pages of the host and a second template leave the template's texts known."""
+    page = lambda i: (f"<html><body><div class='top'><p>Welcome to us</p></div><div class='box'><p>Always here</p><p>Story {i} tells of many things.</p></div>"
+                      "<div class='foot'><p>Contact</p></div></body></html>")
+    odd = [None, "", "<html><body><h2>Error</h2></body></html>", page(0)[:page(0).index("Always")]]
+    good = [page(i) for i in range(40)]
+    want = [f"Story {i} tells of many things." for i in range(40)]
+    assert _texts(spark, good + odd)[:40] == want
+    assert _texts(spark, good + odd)[40:42] == ["", ""]
+    other = [f"<html><body><div class='new'><p>Fact {i}.</p></div></body></html>" for i in range(26)]
+    assert _texts(spark, good + other)[:40] == want and _texts(spark, good + other)[40:] == [f"Fact {i}." for i in range(26)]
+
+
 def test_pages_of_the_table(spark):
     pages = spark.read.parquet(f"{SF_TINY}/pages.parquet").toPandas()
     got = {r.page_id: r.text for r in queries.op1_html_extraction(spark, SF_TINY).collect()}
