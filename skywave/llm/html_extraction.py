@@ -61,19 +61,27 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kb
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 BOILERPLATE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|nav\w*|menu|breadcrumbs?|sidebar|footer|header|masthead|cookies?|consent|notice|"
                          r"popup|modal|newsletter|subscribe|share|social|related|comments?|replies|disqus|pagination|pager|widget)(?:$|[\s_-])", re.I)
+#: Names of layouts ('has-sidebar'), and boilerplate that never holds a page's main text.
+LAYOUT = re.compile(r"(?:has|with|without|no)[_-]", re.I)
+ASIDE = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|promo\w*|sponsor\w*|cookies?|consent|popup|modal|newsletter|subscribe|share|social|related|comments?|replies|disqus|widget)(?:$|[\s_-])", re.I)
 CONTENT = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|story|main)(?:$|[\s_-])", re.I)
 
 
 class Page:
     """A page's tags with their counts, and its blocks of text outside boilerplate
-    elements: (path of the element, text, in a link)."""
+    elements: (path of the element, text, in a link).  An element that only its class
+    or id names boilerplate isn't skipped if it holds the page's article or main or
+    more than half of its text."""
 
     def __init__(self, text: str):
         self.blocks: list[tuple[tuple[str, ...], str, bool]] = []
         self.tags: Counter[str] = Counter()
         self._run: list[str] = []
-        # open elements: name, path of the non-inline ones, in boilerplate, in a link
-        stack: list[tuple[str, tuple[str, ...], bool, bool]] = [("", (), False, False)]
+        self._found: list[tuple[tuple[str, ...], str, bool, tuple[int, ...]]] = []
+        self._kinds: list[tuple[int, ...]] = []               # of each article or main, the elements around it that are boilerplate by name
+        self._aside: list[bool] = []                          # of each such element
+        # open elements: name, path of the non-inline ones, in boilerplate, in a link, elements around that are boilerplate by name
+        stack: list[tuple[str, tuple[str, ...], bool, bool, tuple[int, ...]]] = [("", (), False, False, ())]
         at, size, search, run = 0, len(text), _TAG.search, self._run
         while at < size:
             m = search(text, at)
@@ -98,9 +106,9 @@ class Page:
                         if inline and i < len(stack) - 1:      # inline elements end alone; what is open inside stays open
                             inner, own = stack[i + 1:], stack[i][2] and not stack[i - 1][2]
                             del stack[i:]
-                            for n, path, skip, _ in inner:
+                            for n, path, skip, _, named in inner:
                                 up = stack[-1]
-                                stack.append((n, up[1] if n in INLINE else up[1] + path[-1:], up[2] or (n in SKIPPED if own else skip), up[3] or n == "a"))
+                                stack.append((n, up[1] if n in INLINE else up[1] + path[-1:], up[2] or (n in SKIPPED if own else skip), up[3] or n == "a", named))
                         else:
                             del stack[i:]
                         break
@@ -112,39 +120,67 @@ class Page:
                         break
                     if stack[i][0] not in INLINE:
                         break
-            _, path, skip, linked = stack[-1]
-            label, boiler = self._label(name, attributes) if attributes else (name, name in SKIPPED)
+            _, path, skip, linked, named = stack[-1]
+            label, boiler, names = self._label(name, attributes) if attributes else (name, name in SKIPPED, "")
+            if names and inline:
+                boiler = True
+            elif names and not boiler and not skip and name not in VOID:
+                named = (*named, len(self._aside))
+                self._aside.append(bool(ASIDE.search(names)))
+            if not skip and not boiler and _kind((label,)):
+                self._kinds.append(named)
             self.tags["/".join((*path, label))] += 1
             if name in RAW and not attributes.rstrip().endswith("/"):
                 close = re.compile(f"</{re.escape(name)}[\\s>/]", re.I).search(text, at)
                 at = text.find(">", close.start()) + 1 or size if close else size
             elif name not in VOID:
-                stack.append((name, path if inline else (*path, label), skip or boiler, linked or name == "a"))
+                stack.append((name, path if inline else (*path, label), skip or boiler, linked or name == "a", named))
         if run:
             self._close(stack[-1])
+        free = self._freed() if self._aside else set()
+        self.blocks = [b[:3] for b in self._found if free.issuperset(b[3])]
+
+    def _freed(self) -> set[int]:
+        """Elements that are boilerplate by name and hold the main text nevertheless, outermost first."""
+        free: set[int] = set()
+        first = lambda named: next((x for x in named if x not in free), None)
+        size = sum(len(b[1]) for b in self._found if not b[2])
+        while True:
+            kinds = [first(k) for k in self._kinds]
+            more = set() if None in kinds else set(kinds)
+            chars: Counter[int | None] = Counter()
+            for _, words, linked, named in self._found:
+                chars[first(named)] += 0 if linked else len(words)
+            more |= {x for x, n in chars.items() if x is not None and 2 * n > size}
+            more = {x for x in more if not self._aside[x]}
+            if not more:
+                return free
+            free |= more
 
     @staticmethod
-    def _label(name: str, attributes: str) -> tuple[str, bool]:
-        boiler, label = name in SKIPPED, name
+    def _label(name: str, attributes: str) -> tuple[str, bool, str]:
+        """The label, whether the element is boilerplate, and its class names and id if they say so."""
+        boiler, label, named = name in SKIPPED, name, ""
         if "=" in attributes or "hidden" in attributes:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTRIBUTE.findall(attributes)}
             names = _CAMEL.sub("-", f"{found.get('class', '')} {found.get('id', '')}".strip())
             if names and name not in INLINE:
                 label = f"{name}.{' '.join(sorted(found.get('class', '').split()))}" if found.get("class") else name
             role = found.get("role", "").lower()
-            boiler = boiler or bool(names and name not in ("html", "body", "article", "main") and BOILERPLATE.search(names))
+            if names and name not in ("html", "body", "article", "main"):
+                named = " ".join(x for x in names.split() if BOILERPLATE.search(x) and not LAYOUT.match(x))
             boiler = boiler or role in ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert")
             boiler = boiler or bool(re.search(r"(?:^|\s)hidden(?:\s|$|=)", attributes)) or "display:none" in found.get("style", "").replace(" ", "")
             if role == "main":
                 label = "main"
             elif role == "article" or found.get("itemprop") == "articleBody":
                 label = "article"
-        return label, boiler
+        return label, boiler, named
 
     def _close(self, element) -> None:
         words = " ".join(html.unescape("".join(self._run)).split())
         if words:
-            self.blocks.append((element[1], words, element[3]))
+            self._found.append((element[1], words, element[3], element[4]))
         self._run.clear()
 
 

@@ -182,6 +182,17 @@ def test_template_despite_odd_pages(spark):
     assert _texts(spark, good + other)[:40] == want and _texts(spark, good + other)[40:] == [f"Fact {i}." for i in range(26)]
 
 
+def test_wrappers_are_not_boilerplate():
+    """Class names of layouts skip nothing, and no element with the article or most of the text is skipped."""
+    inner = "<article><p>The story.</p></article><div class='comments'><article><p>A reader says a lot about the story.</p></article></div><div class='sidebar'><p>Aside</p></div>"
+    for name in ("layout with-sidebar", "has-sidebar", "content no-sidebar", "content-sidebar-wrap", "sidebar", "siteHeader"):
+        assert html_extraction.extract(f"<body><div class='{name}'>{inner}</div></body>") == "The story.", name
+    plain = "<body><div class='content-sidebar-wrap'><p>A story without any article element.</p><div class='comments'><p>Reader</p></div></div><div class='menu'><p>Go</p></div></body>"
+    assert html_extraction.extract(plain) == "A story without any article element."
+    assert html_extraction.extract("<body><div id='x'><p>Short.</p></div><div class='comments'><p>Much longer than the story itself.</p></div></body>") == "Short."
+    assert html_extraction.extract("<p>a <span class='ad'>buy</span> b</p>") == "a b"
+
+
 def test_pages_of_the_table(spark):
     pages = spark.read.parquet(f"{SF_TINY}/pages.parquet").toPandas()
     got = {r.page_id: r.text for r in queries.op1_html_extraction(spark, SF_TINY).collect()}
