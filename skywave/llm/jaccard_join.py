@@ -37,8 +37,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from skywave.llm import kernel as K
 from skywave.llm.common import BITMAP_LOG2, bitmap, bits_of, components, in_bitmap, mapped, stored
@@ -308,21 +309,50 @@ def _across(members: DataFrame, apart: DataFrame, known: DataFrame, root: DataFr
     return x.join(y, "key").filter(near).select(F.least("x_v", "y_v").alias("a"), F.greatest("x_v", "y_v").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id
-    that links reach, the document's own included."""
+def _named(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, v, n, component_id), a row per row of docs."""
     rows, known, root = groups(docs, k)
     named = known.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of = named.join(least, "root").select("v", "component_id")
     return (rows.join(of, "v", "left")
-                .select("doc_id", F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                .select("doc_id", "v", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+
+
+def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id): component_id is the smallest doc_id
+    that links reach, the document's own included."""
+    return _named(docs, k).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _with_vertex(k: int):
+    def run(batches):
+        for b in batches:
+            v = np.zeros(len(b), np.uint64)
+            for row, h in shingle_sets(b.column("text"), k):
+                v[row] = vertex(h) if len(h) else 0
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(K.signed(v))], [*b.schema.names, "v"])
+    return run
 
 
 def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """docs with one document of each component: the one whose doc_id names it.
-    Rows with a null doc_id belong to no component and stay."""
-    found = near_duplicates(docs, k)
+    """docs with one row of each component: of the doc_id that names it, the one
+    whose text has the least vertex and hash.  Rows with a null doc_id belong to no
+    component and stay, as do rows without words."""
+    found = stored(_named(docs, k))
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    repeated = stored(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("many_id")))
+    if repeated.isEmpty():
+        return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    # ids with several rows: each row is judged by its own text
+    single = docs.join(repeated, F.col("doc_id") == F.col("many_id"), "left_anti").join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    several = docs.join(repeated, F.col("doc_id") == F.col("many_id"), "left_semi")
+    rows = several.select(F.col("doc_id").cast("long").alias("id"), F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("others"), "text")
+    rows = rows.transform(mapped, _with_vertex(k), StructType([*rows.schema.fields, StructField("v", LongType())]))
+    of = (found.filter("n > 0").join(repeated, F.col("doc_id") == F.col("many_id"), "left_semi")
+               .select(F.col("doc_id").alias("of_id"), F.col("v").alias("of_v"), "component_id").distinct())
+    judged = rows.join(of, (F.col("id") == F.col("of_id")) & (F.col("v") == F.col("of_v")), "left")
+    wordless = judged.filter("component_id is null")
+    first = Window.partitionBy("component_id").orderBy("v", F.xxhash64("text"))
+    kept = judged.filter("component_id = id").withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place")
+    return single.unionByName(kept.unionByName(wordless).select("others.*", "text").select(*docs.columns))

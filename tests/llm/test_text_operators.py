@@ -194,6 +194,16 @@ def test_jaccard_edges(spark, edges, empty):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c} | {None}
 
 
+def test_jaccard_repeated_ids(spark):
+    """An id with two texts, one a near copy: the other one stays, and one row of each component."""
+    base, other = prose(21, 100), prose(22, 100)
+    near = base.replace(base.split()[50], "changed", 1)
+    rows = [(1, base), (2, near), (2, other), (3, other.replace(other.split()[50], "changed", 1)), (4, prose(23, 80)), (4, prose(23, 80)),
+            (5, None), (5, ""), (6, prose(24, 90)), (6, prose(24, 90) + " more")]
+    got = [(r.doc_id, r.text) for r in jaccard_join.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()]
+    assert sorted(i for i, _ in got) == [1, 2, 4, 5, 5, 6] and (2, other) in got and (1, base) in got
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_jaccard_random(spark, seed):
     """Copies with some words changed, around the threshold, of every size, that share a passage."""
