@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skywave.llm import (chunk_dedup, decontamination, exact_dedup, html_extraction, jaccard_join, kd_sharding, licence_scan,
+from skywave.llm import (chunk_dedup, conversation_trie, decontamination, exact_dedup, html_extraction, jaccard_join, kd_sharding, licence_scan,
                          sentencepiece_dropout, suffix_dedup, toxicity)
 from skywave.llm.common import table
 
@@ -59,9 +59,14 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(conversation_trie.shared_heads(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_kd_sharding, op5_benchmark_decontamination, op6_chunk_dedup,
-                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join)
+                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join, op13_conversation_trie)
 }
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -116,4 +121,24 @@ l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)""",
+    # CRC-32 bit by bit, as DuckDB has none
+    "op13_conversation_trie": r"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT conv_id, turn, sha256(length(r) || ':' || r || x) AS d, length(x) AS n FROM t),
+s AS (SELECT conv_id, list({'d': d, 'n': n} ORDER BY turn NULLS FIRST, d) AS t,
+             xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+                 lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda u, v: xor(u >> 1, CASE WHEN u & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END))),
+                 4294967295::BIGINT) % 6 AS h FROM d GROUP BY conv_id),
+c AS (SELECT a.conv_id, list_concat(coalesce(b.t[1:a.h], []), a.t[a.h + 1:]) AS s FROM s a LEFT JOIN s b ON b.conv_id = a.conv_id - a.conv_id % 100),
+p AS (SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM c),
+n AS (SELECT list_transform(s[1:depth], lambda x: x.d) AS k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(coalesce(s[depth].n, 0)) AS n,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(s) = depth), '')) AS ends_sha256
+      FROM p GROUP BY ALL),
+k AS (SELECT k[1:depth - 1] AS k, count(*) AS kids FROM n WHERE depth > 0 GROUP BY ALL),
+m AS (SELECT n.*, coalesce(kids, 0) AS n_children FROM n LEFT JOIN k USING (k)),
+u AS (SELECT k[1:j] AS k, sum(CAST(n_children = 0 AS BIGINT)) AS leaves, sum(CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * n END) AS saved
+      FROM (SELECT *, unnest(range(0, depth + 1)) AS j FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.depth, o.conv_id AS parent_conv_id, m.n_convs, m.n_children, CAST(u.leaves AS BIGINT) AS n_leaves,
+       CAST(u.saved AS BIGINT) AS saved_tokens, m.ends_sha256
+FROM m JOIN u USING (k) LEFT JOIN n o ON o.k = m.k[1:m.depth - 1] AND m.depth > 0""",
 }
