@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skywave.llm import (chunk_dedup, conversation_trie, decontamination, exact_dedup, html_extraction, jaccard_join, kd_sharding, licence_scan,
+from skywave.llm import (chunk_dedup, conversation_trie, decontamination, exact_dedup, hard_negatives, html_extraction, jaccard_join, kd_sharding, licence_scan,
                          sentencepiece_dropout, suffix_dedup, toxicity)
 from skywave.llm.common import table
 
@@ -59,6 +59,10 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
     return conversation_trie.trie(conversation_trie.shared_heads(turns))
@@ -66,7 +70,7 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_kd_sharding, op5_benchmark_decontamination, op6_chunk_dedup,
-                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join, op13_conversation_trie)
+                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op13_conversation_trie)
 }
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
@@ -121,6 +125,21 @@ l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)""",
+    "op11_hard_negatives": r"""
+WITH e AS (SELECT row_number() OVER () AS row_id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.row_id AS anchor, a.vec_id AS anchor_id, b.row_id, b.vec_id, a.label = b.label AS same,
+             coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0) AS score
+      FROM e a JOIN e b ON a.row_id <> b.row_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor, row_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row_id) <= 5),
+n AS (SELECT s.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor, p.row_id ORDER BY s.score DESC, s.vec_id, s.row_id) AS rank,
+             s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+      FROM p JOIN s USING (anchor) WHERE NOT s.same AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score,
+       CAST(negative_score AS BIGINT) AS negative_score FROM n WHERE rank <= 10""",
     # CRC-32 bit by bit, as DuckDB has none
     "op13_conversation_trie": r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL),
