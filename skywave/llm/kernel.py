@@ -7,6 +7,7 @@ a task's working memory does not depend on the Arrow batch size.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,10 +22,13 @@ _VALUE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _GRAM = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * _U(2) + _U(1)
 _powers: dict[str, np.ndarray] = {}
 
-#: values of bytes with A-Z read as a-z
-FOLDED = _VALUE.copy()
-FOLDED[65:91] = _VALUE[97:123]
 RAW = _VALUE
+#: Words of more bytes are named by a digest.
+LONG = 64
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Masks of the first 0 to 8 bytes.
+_BYTES = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 #: every byte but space and \x09-\x0D
 NOT_SPACE = np.ones(256, bool)
@@ -107,10 +111,29 @@ def word_bounds(buf: np.ndarray, bounds: np.ndarray, member: np.ndarray) -> tupl
     return np.flatnonzero(begin), np.flatnonzero(stop) + 1
 
 
-def words(buf: np.ndarray, bounds: np.ndarray, member: np.ndarray, values: np.ndarray = FOLDED):
-    """(hash of each word, first word of each document and the end, starts, ends)."""
+def words(buf: np.ndarray, bounds: np.ndarray, member: np.ndarray):
+    """(hash of each word with A-Z read as a-z, first word of each document and the end,
+    starts, ends)."""
     s, e = word_bounds(buf, bounds, member)
-    return spans(prefix(buf, values), s, e), np.searchsorted(s, bounds), s, e
+    return word_hashes(_LOWER[buf], s, e), np.searchsorted(s, bounds), s, e
+
+
+def word_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges [s, e): eight bytes at a time are mixed in, so
+    that words of up to eight bytes never collide; a word over LONG bytes is named by
+    a cryptographic digest."""
+    size = e - s
+    eight = np.ndarray((len(buf) + 1,), "<u8", np.concatenate((buf, np.zeros(8, np.uint8))).tobytes(), strides=(1,))
+    h = mix(size.astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    todo, at = np.flatnonzero(size <= LONG), 0
+    while len(todo):
+        left = np.minimum(size[todo] - at, 8)
+        h[todo] = mix((h[todo] ^ (eight[s[todo] + at] & _BYTES[left])) * _U(0x9E3779B97F4A7C15) + _U(at))
+        at += 8
+        todo = todo[size[todo] > at]
+    for i in np.flatnonzero(size > LONG).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(buf[s[i]:e[i]], digest_size=8).digest(), "little")
+    return h
 
 
 def grams(w: np.ndarray, k: int) -> np.ndarray:
