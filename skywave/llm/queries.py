@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skywave.llm import (chunk_dedup, conversation_trie, decontamination, exact_dedup, hard_negatives, html_extraction, jaccard_join, kd_sharding, licence_scan,
+from skywave.llm import (chunk_dedup, conversation_trie, decontamination, exact_dedup, hard_negatives, html_extraction, hyperminhash, jaccard_join, kd_sharding, licence_scan,
                          sentencepiece_dropout, suffix_dedup, toxicity)
 from skywave.llm.common import table
 
@@ -63,6 +63,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mined(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
 
 
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = conversation_trie.sequences(table(spark, sf_dir, "conversations"))
     return conversation_trie.trie(conversation_trie.shared_heads(turns))
@@ -70,13 +74,32 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extraction, op2_exact_dedup, op3_toxicity, op4_kd_sharding, op5_benchmark_decontamination, op6_chunk_dedup,
-                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op13_conversation_trie)
+                            op7_sentencepiece_dropout, op8_licence_scan, op9_suffix_dedup, op10_ngram_jaccard_join, op11_hard_negatives, op12_hyperminhash, op13_conversation_trie)
 }
 
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _TEMPLATES = ",\n  ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licence_scan.TEMPLATES.items())
 
+
+
+def _components(k: int, result: str) -> str:
+    """Components of links by k-word shingles, all pairs."""
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [w]
+         ELSE list_transform(range(1, len(w) - {k - 2}), lambda i: w[i:i + {k - 1}]) END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id
+      FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id))
+{result}"""
+
+
 ORACLE: dict[str, str] = {
     "op2_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
@@ -113,18 +136,8 @@ x AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT name, ',' ORDER
              arg_min(name, (-dice, name)) AS best_licence, max(dice) AS best_dice FROM b GROUP BY doc_id)
 SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licences, '') AS licences, best_licence, best_dice
 FROM documents LEFT JOIN x USING (doc_id)""",
-    "op10_ngram_jaccard_join": rf"""
-WITH RECURSIVE w AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {AZ}), '[^\x20\x09-\x0D]+') AS w FROM documents),
-g AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-         ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS g FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
-l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
-r AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
-SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id
-FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM r GROUP BY a) m USING (doc_id)""",
+    "op10_ngram_jaccard_join": _components(5, "SELECT doc_id, n_shingles, component_id FROM c"),
+    "op12_hyperminhash": _components(4, "SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM c"),
     "op11_hard_negatives": r"""
 WITH e AS (SELECT row_number() OVER () AS row_id, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
