@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,17 +57,50 @@ def in_bitmap(whole: np.ndarray, bit: np.ndarray) -> np.ndarray:
     return (whole[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """Connected components of undirected links by alternating large-star and
-    small-star steps: (v, root), root the smallest vertex of v's component, for
-    every vertex but the roots themselves.
+#: Links that one task joins by union-find (16 bytes each, and a dictionary of their vertices).
+TOGETHER = 1 << 17
+
+
+def components(links: DataFrame, a: str = "a", b: str = "b", together: int = TOGETHER) -> DataFrame:
+    """Connected components of undirected links: (v, root), root the smallest vertex
+    of v's component, for every vertex but the roots themselves.
+
+    Up to ``together`` links are joined in one task; of more, star contraction
+    finds the components in as many tasks as there are partitions."""
+    a_, b_ = F.col("a"), F.col("b")
+    e = stored(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
+               .select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b")))
+    if e.count() <= together:
+        return stored(e.repartition(1).transform(mapped, _joined, "v long, root long"))
+    return _stars(e)
+
+
+def _joined(batches):
+    up: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while up.get(top, top) != top:
+            top = up[top]
+        while up.get(x, x) != top:
+            up[x], x = top, up[x]
+        return top
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(x), find(y)
+            up[max(x, y)] = up[min(x, y)] = min(x, y)
+    v = [x for x in up if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array([find(x) for x in v], pa.int64())], ["v", "root"])
+
+
+def _stars(e: DataFrame) -> DataFrame:
+    """Components of links (a > b) by alternating large-star and small-star steps.
 
     Each step aggregates per vertex (combined map-side) and joins the minimum
     back; the work of a round is linear in the links, a hub's rows can be split
     by AQE, and only two numbers a round reach the driver."""
     a_, b_ = F.col("a"), F.col("b")
-    e = stored(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
-               .select(F.greatest(a_, b_).alias("a"), F.least(a_, b_).alias("b")))
     before = None
     while True:
         both = e.unionByName(e.select(b_.alias("a"), a_.alias("b")))

@@ -7,6 +7,7 @@ import pytest
 
 from skywave.llm import hyperminhash as H
 from skywave.llm import jaccard_join, shingles
+from skywave.llm.common import components
 from .conftest import WORDS, edge_rows, prose
 
 
@@ -141,3 +142,12 @@ def test_long_words_that_a_polynomial_hash_confuses(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for module in (jaccard_join, H):
         assert result(module.near_duplicates(df)) == brute(rows, module.WORDS)
+
+
+def test_components_in_one_task_or_many(spark):
+    r = random.Random(8)
+    links = [(r.randrange(-400, 400), r.randrange(-400, 400)) for _ in range(500)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 5)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    one, many = ({x.v: x.root for x in components(df, together=n).collect()} for n in (1 << 17, 0))
+    assert one == many and {one[1000 + i] for i in range(1, 61)} == {1000}
+    assert components(df.limit(0)).count() == 0
