@@ -23,10 +23,9 @@ pair is lost between bands.
 
 *Verify.*  Candidates pass the size bound, then the Hamming distance of the
 whole (folded) sketches, then the exact comparison of the shingle sets.  Rows
-of equal sets are one vertex, which holds groups of exact copies together.  In
-each bucket every member is compared with the bucket's first one; what remains
-in different components after that is compared across, so a group of n near
-copies takes about n comparisons rather than n * n, and no link is missed.
+of equal sets are one vertex, which holds groups of exact copies together.  The
+module ``shingles`` says which members of a bucket are compared, so that a group
+of near copies takes a few comparisons per member and no link is missed.
 
 Shingles are compared by 64-bit hashes.  Cases: null or empty texts have no
 shingles, link with nothing and are their own component; repeated rows are the
@@ -37,19 +36,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from skywave.llm import kernel as K
-from skywave.llm.common import BITMAP_LOG2, bitmap, bits_of, components, in_bitmap, mapped, stored
+from skywave.llm.common import BITMAP_LOG2, bitmap, in_bitmap, mapped, stored
+from skywave.llm.shingles import PERCENT, connect, members, shingle_sets, turn, vertex, vertices
 
-PERCENT = 80
 WORDS = 5
 #: The sizes of a band's largest and smallest set differ by about this factor.
 BAND = 2.44
-#: Own buckets by which a pair that shares several is told to come from another one.
-FIRST = 8
 #: A shingle is looked at as common if a task meets it so often among CHUNK shingles,
 #: and is common if it adds up to COMMON, or one in COMMON_SHARE documents.
 REPEATED, CHUNK, COMMON, COMMON_SHARE = 3, 1 << 20, 8, 20_000
@@ -73,27 +70,6 @@ def pieces(band: int) -> int:
     return 1 if top * 2 * (100 - PERCENT) < 100 + PERCENT else int(np.ceil(top / 4 + 0.8 * np.sqrt(top)))
 
 
-def shingle_sets(column, k: int):
-    """(row, distinct shingle hashes in ascending order) of each text."""
-    for first, _, buf, bounds in K.texts(column):
-        w, at, _, _ = K.words(buf, bounds, K.NOT_SPACE)
-        g = K.grams(w, k)
-        for i in range(len(bounds) - 1):
-            a, b = int(at[i]), int(at[i + 1])
-            if b - a >= k:
-                yield first + i, np.unique(g[a:b - k + 1])
-            elif b > a:
-                yield first + i, K.grams(w[a:b], b - a)
-            else:
-                yield first + i, w[:0]
-
-
-def vertex(h: np.ndarray) -> int:
-    """A 64-bit name of a set."""
-    with np.errstate(over="ignore"):
-        return K.mix1(int(np.add.reduce(h)) ^ K.mix1(int(np.bitwise_xor.reduce(K.mix(h))) + len(h)))
-
-
 def sketch(h: np.ndarray) -> np.ndarray:
     """Parity sketch of as many bits as the set has shingles, or up to twice as
     many (a power of two, 64 at least); halves XORed give the shorter sketch."""
@@ -102,16 +78,16 @@ def sketch(h: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
-def close(n: str, m: str, x: str, y: str) -> Column:
-    """Sizes n and m, and sketches x and y, of sets that can be similar (sketches
-    of similar sets differ in size by a factor of two at most)."""
+def close(pairs: DataFrame) -> DataFrame:
+    """Of pairs with the sizes n and n_b, and the sketches, of two sets, those that can
+    be similar (sketches of similar sets differ in size by a factor of two at most)."""
     def folded(bits, other):
         half = (F.size(bits) / 2).cast("int")
         return F.when(F.size(bits) > F.size(other), F.zip_with(F.slice(bits, 1, half), F.slice(bits, half + 1, half), lambda p, q: p.bitwiseXOR(q))).otherwise(bits)
 
-    x, y, n, m = F.col(x), F.col(y), F.col(n), F.col(m)
+    x, y, n, m = (F.col(c) for c in ("sketch", "sketch_b", "n", "n_b"))
     far = F.aggregate(F.zip_with(folded(x, y), folded(y, x), lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda s, c: s + c)
-    return (100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * far <= (100 - PERCENT) * (n + m))
+    return pairs.filter((100 * F.least(n, m) >= PERCENT * F.greatest(n, m)) & ((100 + PERCENT) * far <= (100 - PERCENT) * (n + m)))
 
 
 def keys(h: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -191,74 +167,6 @@ def _records(k: int, common):
     return run
 
 
-def turn(key: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Order of a bucket's members; buckets of odd keys have the reverse one, so
-    a group's members meet two of them rather than one.  Its own inverse."""
-    return v ^ (np.uint64(0) - (key & np.uint64(1)))
-
-
-def _members(batches):
-    """Of rows sorted by key and o: each but the first of a key, with the first."""
-    last = np.zeros(0, np.int64), np.zeros(0, np.int64)   # the first row of the key that is open, and the last row
-    for b in batches:
-        key, o = (np.concatenate((x, b.column(i).to_numpy(zero_copy_only=False))) for i, x in enumerate(last))
-        if not len(key):
-            continue
-        start = np.concatenate(([True], key[1:] != key[:-1]))
-        head = np.maximum.accumulate(np.where(start, np.arange(len(key)), 0))
-        new = ~start & (o != np.concatenate((o[:1], o[:-1])))
-        new[:len(last[0])] = False
-        at = np.flatnonzero(new)
-        u = key[at].view(np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(key[at]), pa.array(K.signed(turn(u, o[head[at]].view(np.uint64)))),
-             pa.array(K.signed(turn(u, o[at].view(np.uint64))))], ["key", "rep", "v"])
-        keep = [head[-1], len(key) - 1] if head[-1] < len(key) - 1 else [head[-1]]
-        last = key[keep], o[keep]
-
-
-def _hashes(k: int, bits):
-    def run(batches):
-        for b in batches:
-            b = b.filter(pa.array(in_bitmap(bits.value, b.column("bit").to_numpy())))
-            rows, v, hs = [], [], []
-            for row, h in shingle_sets(b.column("text"), k):
-                if len(h):
-                    rows.append(row)
-                    v.append(vertex(h))
-                    hs.append(h.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").take(pa.array(rows, pa.int64())), pa.array(K.signed(np.array(v, np.uint64))),
-                 pa.array(hs, pa.binary())], ["doc_id", "v", "h"])
-    return run
-
-
-def _similar(batches):
-    for b in batches:
-        ok = []
-        for x, y in zip(b.column("h"), b.column("h_b")):
-            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            ok.append(100 * both >= PERCENT * (len(p) + len(q) - both))
-        yield b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, known: DataFrame, k: int) -> DataFrame:
-    """Of pairs (a, b) of vertices, the linked ones."""
-    spark = docs.sparkSession
-    meta = known.select("v", "n", "sketch")
-    near = stored(pairs.join(meta.withColumnRenamed("v", "a"), "a").join(meta.toDF("b", "n_b", "sketch_b"), "b")
-                  .filter(close("n", "n_b", "sketch", "sketch_b")).select("a", "b"))
-    wanted = stored(known.join(near.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_semi")
-                    .select("v", "doc_id"))
-    bits = bitmap(wanted, bits_of(F.col("doc_id")))
-    read = docs.select("doc_id", "text", bits_of(F.col("doc_id")).alias("bit"))
-    sets = (read.transform(mapped, _hashes(k, bits), "doc_id long, v long, h binary")
-                .join(wanted, ["doc_id", "v"], "left_semi").dropDuplicates(["v"]).select("v", "h"))
-    full = near.join(sets.toDF("b", "h_b"), "b").join(sets.withColumnRenamed("v", "a"), "a")
-    return stored(full.transform(mapped, _similar, "a long, b long"))
-
-
 def groups(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(documents, vertices, roots): documents (doc_id, n, v), one row each;
     vertices (v, doc_id: the smallest of its documents); roots (v, root) of the
@@ -270,53 +178,13 @@ def groups(docs: DataFrame, k: int = WORDS) -> tuple[DataFrame, DataFrame, DataF
     common = bitmap(often.groupBy("v").agg(F.sum("n").alias("n")).filter(F.col("n") <= -least),
                     F.col("v").bitwiseAND((1 << BITMAP_LOG2) - 1))
     known = stored(rows.filter("n > 0").groupBy("v", "n").agg(F.min("doc_id").alias("doc_id"), F.first("sketch").alias("sketch")))
-    member = stored(docs.select("text").transform(mapped, _records(k, common), "key long, o long")
-                    .repartition("key").sortWithinPartitions("key", "o")
-                    .transform(mapped, _members, "key long, rep long, v long"))
-    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-    first = stored(member.select(*pair("rep", "v")).distinct())
-    linked = _verified(first, docs, known, k)
-    root = components(linked)
-    # what a bucket still holds of other components than its first member's
-    of = lambda name: root.select(F.col("v").alias(name), F.col("root").alias(f"root_{name}"))
-    apart = (first.join(linked, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
-                  .filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
-    out = stored(member.select("key", "v", *pair("rep", "v")).join(apart, ["a", "b"], "left_semi").select("key", "v"))
-    many = member.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    open_ = stored(out.select("key").distinct().join(many, "key", "left_semi"))
-    if not open_.isEmpty():
-        across = stored(_across(member.join(open_, "key", "left_semi").select("key", "v"), out.join(open_, "key", "left_semi"), known, of("v"))
-                        .join(first, ["a", "b"], "left_anti"))
-        if not across.isEmpty():
-            root = components(root.select(F.col("v").alias("a"), F.col("root").alias("b")).unionByName(_verified(across, docs, known, k)))
-    return rows.select("doc_id", "n", "v"), known.select("v", "doc_id"), root
-
-
-def _across(members: DataFrame, apart: DataFrame, known: DataFrame, root: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and whose
-    sketches are close enough: the bounds are part of the join's condition, and
-    no pair comes from a bucket if both share one before it among their FIRST own
-    buckets.  apart: the members (key, v) that their bucket's first member is not
-    connected with; one of each pair is such a one."""
-    marked = members.withColumn("apart", F.lit(0)).unionByName(apart.withColumn("apart", F.lit(1)))
-    own = marked.groupBy("key", "v").agg(F.max("apart").alias("apart")).groupBy("v").agg(F.sort_array(F.collect_list(F.struct("key", "apart"))).alias("keys"))
-    rows = (own.join(known.select("v", "n", "sketch"), "v").join(root, "v", "left")
-               .select("v", "n", "sketch", F.coalesce("root_v", "v").alias("r"), "keys", F.posexplode("keys").alias("at", "k"))
-               .select("v", "n", "sketch", "r", "k.*", F.expr(f"transform(slice(keys, 1, least(at, {FIRST})), x -> x.key)").alias("before")))
-    x = rows.filter("apart = 1").select("key", *[F.col(c).alias(f"x_{c}") for c in ("v", "n", "sketch", "r", "before")])
-    y = rows.select("key", *[F.col(c).alias(f"y_{c}") for c in ("v", "n", "sketch", "r", "before", "apart")])
-    near = F.expr("x_r <> y_r and (y_apart = 0 or x_v < y_v) and not arrays_overlap(x_before, y_before)") & close("x_n", "y_n", "x_sketch", "y_sketch")
-    return x.join(y, "key").filter(near).select(F.least("x_v", "y_v").alias("a"), F.greatest("x_v", "y_v").alias("b")).distinct()
+    member = members(docs.select("text").transform(mapped, _records(k, common), "key long, o long"))
+    return rows.select("doc_id", "n", "v"), known.select("v", "doc_id"), connect(docs, known, member, close, k)
 
 
 def _named(docs: DataFrame, k: int) -> DataFrame:
     """(doc_id, v, n, component_id), a row per row of docs."""
-    rows, known, root = groups(docs, k)
-    named = known.join(root, "v", "left").withColumn("root", F.coalesce("root", "v"))
-    least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    of = named.join(least, "root").select("v", "component_id")
-    return (rows.join(of, "v", "left")
-                .select("doc_id", "v", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+    return vertices(*groups(docs, k))
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS) -> DataFrame:
