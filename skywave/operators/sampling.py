@@ -3,8 +3,11 @@
 
 Exact top-k per group
 ---------------------
-``top_k`` keeps the k best rows of each group by an order column, on one path for
-every k and every input size:
+``top_k`` keeps the k best rows of each group by an order column.  Up to the k for
+which Spark plans a rank limit before the exchange
+(``spark.sql.optimizer.windowGroupLimitThreshold``) the input is read once: each
+task keeps its own k best rows of every group, and those are ranked.  For more, a
+task's k best would be most of its rows, and exact counts say which rows to keep:
 
 1. every row gets a bucket, a monotone function of its order value (64 buckets per
    power of two, so buckets are finest where the best values of hashes and of
@@ -15,9 +18,9 @@ every k and every input size:
 3. rows join their bucket's offset (null-safe on the group) -- which drops all rows
    that can't be among the k best -- and rank = offset + row_number in the bucket.
 
-No quantile estimate, repair, collect or size switch: the k-th row's bucket is
-found from exact counts, and no task sorts more than one bucket of one group.
-NULL groups are a group like any other; NULL and NaN order values come last.
+No quantile estimate, repair or collect: the k-th row's bucket is found from exact
+counts, and no task ranks more than one bucket of one group.  Both ways give the
+same rows (a test compares them); k alone decides, not the input.  NULL groups are a group like any other; NULL and NaN order values come last.
 """
 
 from __future__ import annotations
@@ -47,12 +50,19 @@ def order_bucket(v: Column) -> Column:
 
 
 def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group_cols: Sequence[str] = (),
-          tie_cols: Sequence[str] = ()) -> DataFrame:
+          tie_cols: Sequence[str] = (), by_counts: bool | None = None) -> DataFrame:
     """The k first rows of each group ordered by ``order_col`` (then ``tie_cols``),
-    exact, with a ``sample_rank`` column; see the module notes for the plan."""
+    exact, with a ``sample_rank`` column; see the module notes for the plan.
+    ``by_counts`` chooses the way, which k does by default."""
     groups = list(group_cols)
     sign = -1.0 if descending else 1.0
     x = df.withColumn("__o", F.col(order_col).cast("double") * F.lit(sign))   # smaller is better
+    order = [F.col("__o").asc_nulls_last(), *[F.col(t).asc() for t in tie_cols]]
+    if by_counts is None:
+        by_counts = k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if not by_counts:
+        within = Window.partitionBy(*groups).orderBy(*order)
+        return x.withColumn("sample_rank", F.row_number().over(within)).where(F.col("sample_rank") <= k).drop("__o")
     x = x.withColumn("__b", order_bucket(F.col("__o")))
     counts = x.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*groups).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
@@ -62,7 +72,7 @@ def top_k(df: DataFrame, k: int, order_col: str, descending: bool = False, group
     for i, g in enumerate(groups):
         on = on & F.col(g).eqNullSafe(F.col(f"__g{i}"))
     near = x.join(offsets, on)
-    rank = Window.partitionBy(*groups, "__b").orderBy(F.col("__o").asc_nulls_last(), *[F.col(t).asc() for t in tie_cols])
+    rank = Window.partitionBy(*groups, "__b").orderBy(*order)
     return (near.withColumn("sample_rank", F.col("__off") + F.row_number().over(rank)).where(F.col("sample_rank") <= k)
                 .drop("__o", "__b", "__ob", "__off", *[f"__g{i}" for i in range(len(groups))]))
 

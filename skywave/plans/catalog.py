@@ -639,6 +639,54 @@ def pskr_ingest(spark, sf):
     return ingest.read_bronze(spark, d["out"])
 
 
+@register("pskr_reload")
+def pskr_reload(spark, sf):
+    """Five collector files loaded; then one has grown and one has shrunk under its
+    name, and the next load replaces their rows: the last contents of all files."""
+    from skywave.streaming import loads
+    d = _stream_dirs(spark, "pskr-reload")
+    rows = _pskr_rows(spark, sf)
+    file = F.pmod(F.xxhash64("sender_call", "receiver_call", "timestamp"), F.lit(5))
+    named = rows.withColumn("__f", file).withColumn("file", F.concat(F.lit("spots-"), F.col("__f")))
+    half = F.pmod(F.xxhash64("receiver_call", "timestamp"), F.lit(2)) == 0
+    first = named.where((F.col("__f") != 0) | half).unionByName(named.where((F.col("__f") == 1) & half).withColumn("snr", F.lit(99).cast(rows.schema["snr"].dataType)))
+    loads.write_named_files(first.drop("__f"), d["src"])
+    loads.load_pending(spark, d["src"], d["out"], d["log"])
+    loads.write_named_files(named.where("__f < 2").drop("__f"), d["src"])
+    loads.load_pending(spark, d["src"], d["out"], d["log"])
+    return loads.read_current(spark, d["out"], d["log"])
+
+
+@register("signatures_incremental")
+def signatures_incremental(spark, sf):
+    """Signatures v1 kept by months: all months but the last two, then one by one, the
+    last one replayed; each step reads the spots of its own months only."""
+    from skywave.operators import incremental
+    from skywave.session import scratch_path
+    from skywave.sources.sinks import window_filter
+    s, solar_rows = fx.spots(spark, sf), fx.solar_raw(spark, sf)
+    path = scratch_path(spark, "signature-partials")
+    last = s.agg(F.date_trunc("month", F.max("timestamp")).alias("m")).select(
+        *[F.date_format(F.add_months("m", i), "yyyy-MM-dd").alias(f"m{i + 1}") for i in (-1, 0, 1)]).first()
+    for window in (("1900-01-01", last.m0), (last.m0, last.m1), (last.m1, last.m2), (last.m1, last.m2)):
+        incremental.add_months(window_filter(s, window), solar_rows, path)
+    return incremental.signatures_of(spark.read.parquet(path))
+
+
+@register("callsign_grid_incremental")
+def callsign_grid_incremental(spark, sf):
+    """The callsign dimension kept by days: older days, then the last month's, replayed."""
+    from skywave.operators import incremental
+    from skywave.session import scratch_path
+    from skywave.sources.sinks import window_filter
+    s = fx.spots(spark, sf)
+    path = scratch_path(spark, "station-days")
+    last = s.agg(F.date_format(F.date_trunc("month", F.max("timestamp")), "yyyy-MM-dd").alias("m")).first().m
+    for load, window in enumerate([("1900-01-01", last), (last, "2100-01-01"), (last, "2100-01-01")]):
+        incremental.add_days(window_filter(s, window), path, load)
+    return callsigns.callsign_grid(summary=incremental.station_days_of(spark, path))
+
+
 @register("stream_ingest_log")
 def stream_ingest_log(spark, sf):
     """The ingest log of the stream: files whose log entry differs from what
@@ -674,6 +722,19 @@ def stream_quality_late(spark, sf):
     return _stream_quality(spark, sf, newest_first=True)
 
 
+@register("stream_quality_compacted")
+def stream_quality_compacted(spark, sf):
+    """The rollup over 50 batches of a file each, compacted by the stream after every
+    ten: the result is read from one set and the batches after it."""
+    from skywave.sources.schemas import SILVER
+    from skywave.streaming import rollups
+    d = _stream_dirs(spark, "quality-compacted")
+    silver = _schema_cols(fx.silver(spark, sf), SILVER)
+    silver.repartition(50, F.xxhash64(*silver.columns)).write.parquet(d["src"])
+    rollups.run_quality_rollup(spark, d["src"], SILVER, d["out"], d["ckpt"], max_files_per_trigger=1, compact_every=10)
+    return rollups.read_quality_rollup(spark, d["out"])
+
+
 def _stream_daily(spark, sf, newest_first):
     from skywave.sources.schemas import WSPR_SPOT
     from skywave.streaming import ingest, rollups

@@ -396,3 +396,9 @@ ORACLE["scan_spots_csv"] = sql(f"SELECT {_CSV} FROM spots WHERE id % 103 <> 0 AN
 ORACLE["scan_quarantine"] = sql("""
 SELECT CASE WHEN id % 103 = 0 THEN 'columns' ELSE 'value' END AS bad, CAST(CASE WHEN id % 103 = 0 THEN 5 ELSE column_count END AS INTEGER) AS columns,
        count(*) AS lines FROM spots WHERE id % 103 = 0 OR id % 101 = 0 GROUP BY ALL""", "spots")
+
+# What is kept incrementally equals what is built from all rows.
+ORACLE["pskr_reload"] = ORACLE["pskr_ingest"]
+ORACLE["signatures_incremental"] = ORACLE["signatures_v1"]
+ORACLE["callsign_grid_incremental"] = ORACLE["callsign_grid"]
+ORACLE["stream_quality_compacted"] = ORACLE["stream_quality"]

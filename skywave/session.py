@@ -22,6 +22,9 @@ BASE_CONF = {
     # (SNR is a small integer); keep up to 16K groups per task in the hash map
     # before the sort-based fallback (~32 MB worst case per task).
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
+    # Top-k: each task keeps its own k best rows of a group before the exchange, up
+    # to this k (sampling.top_k finds the rows of larger samples by counts).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "4096",
     # Checkpointed intermediates are deleted once no plan references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",

@@ -4,12 +4,22 @@ Like the source's insert-triggered views, a rollup counts every row whenever it
 arrives: there is no watermark, so no row is ever too late.  Each micro-batch is
 reduced to mergeable partials (counts and sums per key; for distinct stations
 the distinct stations themselves) which are written under its batch id, so a
-replayed batch replaces its own output.  Reading sums the partials of all
-batches; ``compact`` merges batches that are done into one.
+replayed batch replaces its own output.
+
+Reading sums the partials.  So that a reader doesn't meet every batch ever run, the
+stream itself compacts: at the start of batch b, a multiple of ``compact_every``, it
+merges the last compacted set and the batches since into the set ``upto = b - 1``.
+Those batches are done (b runs only then), so none of them is replayed later.  A
+one-row manifest file of the set is written after the set, and readers take the
+set of the newest manifest and the batches after it (pruned as partitions): the
+switch is atomic, a set without a manifest is as if it weren't there, and a
+replayed compaction writes the same set again.  A reader meets one set and fewer
+than 2 ``compact_every`` batches.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,13 +30,20 @@ QUALITY_KEYS = ["hour_start", "band", "quality_bucket"]
 DAILY_KEYS = ["day", "band", "mode"]
 
 
-def _run(stream: DataFrame, partials, checkpoint: str, available_now: bool):
-    """partials: {path: function of a micro-batch}, each written under the batch id."""
+COMPACT_EVERY = 100
+
+
+def _run(stream: DataFrame, partials, checkpoint: str, available_now: bool, compact_every: int = COMPACT_EVERY):
+    """partials: {path: (function of a micro-batch, function that merges partials)},
+    each batch's written under its id."""
     def write(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % compact_every == 0:
+            for path, (_, merge) in partials.items():
+                compact(batch.sparkSession, path, merge, batch_id - 1)
         batch.persist()                       # read once for all partials of the batch
-        for path, reduce in partials.items():
+        for path, (reduce, _) in partials.items():
             (reduce(batch).withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+                .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/batches"))
         batch.unpersist()
 
     w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -37,6 +54,39 @@ def _run(stream: DataFrame, partials, checkpoint: str, available_now: bool):
     return q
 
 
+def compacted_upto(spark: SparkSession, path: str) -> int:
+    """The last batch of the newest compacted set that readers see, -1 if none."""
+    try:
+        return spark.read.schema("upto long").parquet(f"{path}/manifest").agg(F.max("upto")).first()[0]
+    except AnalysisException as missing:      # nothing has been compacted yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return -1
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    """The newest compacted set and the batches after it."""
+    upto = compacted_upto(spark, path)
+    new = spark.read.parquet(f"{path}/batches").where(F.col("batch_id") > upto).drop("batch_id")
+    return new if upto < 0 else new.unionByName(spark.read.parquet(f"{path}/compacted/upto={upto}"))
+
+
+def compact(spark: SparkSession, path: str, merge, upto: int) -> None:
+    """Merges what readers see, batches up to ``upto``, into one set and switches to it."""
+    old = compacted_upto(spark, path)
+    if old >= upto:                           # done already: a replay
+        return
+    batches = spark.read.parquet(f"{path}/batches").where((F.col("batch_id") > old) & (F.col("batch_id") <= upto)).drop("batch_id")
+    if old >= 0:
+        batches = batches.unionByName(spark.read.parquet(f"{path}/compacted/upto={old}"))
+    merge(batches).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/compacted/upto={upto}")
+    switch(spark, path, upto)
+
+
+def switch(spark: SparkSession, path: str, upto: int) -> None:
+    spark.range(1).select(F.lit(upto).cast("long").alias("upto")).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+
+
 def quality_partials(silver: DataFrame) -> DataFrame:
     return (with_quality_bucket(silver)
             .groupBy(F.date_trunc("hour", "timestamp").alias("hour_start"), "band", "quality_bucket")
@@ -48,13 +98,13 @@ def merge_quality(partials: DataFrame) -> DataFrame:
 
 
 def run_quality_rollup(spark: SparkSession, silver_dir: str, schema, out_path: str, checkpoint: str,
-                       available_now: bool = True, max_files_per_trigger: int = 1000):
+                       available_now: bool = True, max_files_per_trigger: int = 1000, compact_every: int = COMPACT_EVERY):
     src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(silver_dir)
-    return _run(src, {out_path: quality_partials}, checkpoint, available_now)
+    return _run(src, {out_path: (quality_partials, merge_quality)}, checkpoint, available_now, compact_every)
 
 
 def read_quality_rollup(spark: SparkSession, out_path: str) -> DataFrame:
-    return (merge_quality(spark.read.parquet(out_path).drop("batch_id"))
+    return (merge_quality(read_partials(spark, out_path))
             .withColumn("avg_distance", F.col("sum_distance") / F.col("count"))
             .withColumn("avg_kp", F.col("sum_kp") / F.col("count")))
 
@@ -74,27 +124,25 @@ def daily_stations(spots: DataFrame) -> DataFrame:
 
 
 def run_spots_daily(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, available_now: bool = True,
-                    max_files_per_trigger: int = 1000):
+                    max_files_per_trigger: int = 1000, compact_every: int = COMPACT_EVERY):
     """Daily rollup of spots: counts and distinct stations, as partials under out_path."""
     src = spark.readStream.schema(schemas.WSPR_SPOT).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
-    return _run(src, {f"{out_path}/counts": daily_partials, f"{out_path}/stations": daily_stations}, checkpoint, available_now)
+    partials = {f"{out_path}/counts": (daily_partials, merge_daily), f"{out_path}/stations": (daily_stations, DataFrame.distinct)}
+    return _run(src, partials, checkpoint, available_now, compact_every)
+
+
+def merge_daily(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*DAILY_KEYS).agg(F.sum("spot_count").alias("spot_count"), F.sum("sum_snr").alias("sum_snr"),
+                                             F.max("max_distance").alias("max_distance"))
 
 
 def read_spots_daily(spark: SparkSession, out_path: str) -> DataFrame:
     """Same columns as ``reports.spots_daily``; distinct counts are exact."""
-    counts = (spark.read.parquet(f"{out_path}/counts").groupBy(*DAILY_KEYS)
-              .agg(F.sum("spot_count").alias("spot_count"), F.sum("sum_snr").alias("sum_snr"), F.max("max_distance").alias("max_distance")))
-    stations = spark.read.parquet(f"{out_path}/stations").select(*DAILY_KEYS, "side", "call").distinct()
+    counts = merge_daily(read_partials(spark, f"{out_path}/counts"))
+    stations = read_partials(spark, f"{out_path}/stations").select(*DAILY_KEYS, "side", "call").distinct()
     unique = stations.groupBy(*DAILY_KEYS).agg(F.count_if(F.col("side") == "tx").alias("unique_tx"),
                                                F.count_if(F.col("side") == "rx").alias("unique_rx"))
     on = [counts[k].eqNullSafe(unique[k]) for k in DAILY_KEYS]
     return counts.join(unique, on).select(
         *[counts[k] for k in DAILY_KEYS], "spot_count", "unique_tx", "unique_rx",
         (F.col("sum_snr") / F.col("spot_count")).alias("avg_snr"), "max_distance")
-
-
-def compact(spark: SparkSession, out_path: str, merge, new_path: str) -> None:
-    """Merges all partials under ``out_path`` into one batch at ``new_path``
-    (``merge`` as in ``merge_quality``, or ``DataFrame.distinct`` for stations); the
-    caller switches readers and the next stream over."""
-    merge(spark.read.parquet(out_path).drop("batch_id")).withColumn("batch_id", F.lit(-1)).write.partitionBy("batch_id").parquet(new_path)
