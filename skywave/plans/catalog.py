@@ -88,21 +88,34 @@ def scan_spots(spark, sf):
     return _schema_cols(_spots(spark, sf), WSPR_SPOT)
 
 
+def _quoted_csv(spark, df, schema, name):
+    """A source's rows as raw CSV files, every field in quotes."""
+    from skywave.session import scratch_path
+    path = scratch_path(spark, f"raw-{name}")
+    fields = F.struct(*[F.col(f.name).cast("string").alias(f.name) for f in schema.fields])
+    df.select(F.to_csv(fields, {"quoteAll": "true", "escape": '"'})).write.option("compression", "gzip").text(path)
+    return path
+
+
 @register("scan_rbn")
 def scan_rbn(spark, sf):
-    from skywave.sources.schemas import RBN_SPOT
-    return _schema_cols(fx.rbn_raw(spark, sf), RBN_SPOT)
+    """RBN spots through the raw-file reader."""
+    from skywave.sources import readers, schemas
+    return readers.load_rbn(spark, _quoted_csv(spark, fx.rbn_raw(spark, sf), schemas.RBN_SPOT, "rbn"), fmt="csv")
 
 
 @register("scan_contest")
 def scan_contest(spark, sf):
-    from skywave.sources.schemas import CONTEST_QSO
-    return _schema_cols(fx.contest_raw(spark, sf), CONTEST_QSO)
+    """Contest QSOs through the raw-file reader."""
+    from skywave.sources import readers, schemas
+    return readers.load_contest(spark, _quoted_csv(spark, fx.contest_raw(spark, sf), schemas.CONTEST_QSO, "contest"), fmt="csv")
 
 
 @register("scan_solar")
 def scan_solar(spark, sf):
-    return fx.solar_raw(spark, sf)
+    """Solar readings through the raw-file reader."""
+    from skywave.sources import readers, schemas
+    return readers.load_solar(spark, _quoted_csv(spark, fx.solar_raw(spark, sf), schemas.SOLAR, "solar"), fmt="csv")
 
 
 def _modes(spark, sf):

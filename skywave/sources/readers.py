@@ -60,37 +60,53 @@ def conform_wspr(df: DataFrame) -> DataFrame:
 V1_ABSENT = ("mode", "column_count")
 
 
-def _lines(spark: SparkSession, path: str, schema: T.StructType, absent=(), sep: str = ",") -> DataFrame:
+#: How the archives write CSV: fields may be quoted, and quotes in them are doubled.
+CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
+
+
+def _lines(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:
     """Raw CSV lines with their parsed rows: value, columns (the line's own
     count), row (a struct of ``schema``; lines without the ``absent`` columns
-    have NULL there) and bad (why a line can't be used, else NULL).  Nothing is
-    inferred, and nothing that fails to parse becomes a default."""
+    have NULL there) and bad (why a line can't be used, else NULL).  A line is
+    parsed as one record, with quoted fields, doubled quotes and commas inside
+    them; its fields are text first, so nothing is inferred, and nothing that
+    fails to parse becomes a default."""
     full = schema.fieldNames()
     old = [n for n in full if n not in absent]
-    text = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumn("columns", F.size(F.split("value", sep)))
-    tokens = F.split("value", sep)
+    # what is outside quotes tells the number of columns
+    columns = F.size(F.split(F.regexp_replace("value", '"([^"]|"")*"', ""), ","))
+    text = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumn("columns", columns)
+
+    def parsed(names) -> Column:
+        return F.from_csv("value", ", ".join(f"`{n}` string" for n in [*names, "__bad"]), CSV)
+
+    text = text.withColumn("__full", parsed(full)).withColumn("__old", parsed(old) if absent else F.lit(None))
 
-    def field(f: T.StructField, names) -> Column:
-        raw = clean_fixed(F.get(tokens, names.index(f.name))) if f.name in names else F.lit(None).cast("string")
-        return (raw if isinstance(f.dataType, T.StringType) else F.trim(raw).try_cast(f.dataType)).alias(f.name)
+    def raw(f: T.StructField, line: str) -> Column:
+        return F.coalesce(clean_fixed(F.col(line)[f.name]), F.lit(""))
 
-    def row(names) -> Column:
-        return F.struct(*[field(f, names) for f in schema.fields])
+    def row(names, line: str) -> Column:
+        fields = [F.lit(None).cast(f.dataType) if f.name not in names else raw(f, line) if isinstance(f.dataType, T.StringType)
+                  else F.trim(raw(f, line)).try_cast(f.dataType) for f in schema.fields]
+        return F.struct(*[c.alias(f.name) for c, f in zip(fields, schema.fields)])
 
-    def unread(names) -> Column:
+    def unread(names, line: str) -> Column:
         """A field with text in the line and nothing in the row."""
         bad = F.lit(False)
         for f in schema.fields:
             if f.name in names and not isinstance(f.dataType, T.StringType):
-                raw = F.trim(clean_fixed(F.get(tokens, names.index(f.name))))
-                bad = bad | ((raw != "") & raw.try_cast(f.dataType).isNull())
+                field = F.trim(raw(f, line))
+                bad = bad | ((field != "") & field.try_cast(f.dataType).isNull())
         return bad
 
     n = F.col("columns")
     is_old = n == len(old) if absent else F.lit(False)
+    whole = F.when(is_old, F.col("__old")["__bad"].isNull()) if absent else F.when(F.lit(False), F.lit(True))
     reason = (F.when((n != len(full)) & ~is_old, F.lit("columns"))
-               .when(F.when(is_old, unread(old)).otherwise(unread(full)), F.lit("value")))
-    return text.withColumn("row", F.when(is_old, row(old)).otherwise(row(full))).withColumn("bad", reason)
+               .when(~whole.otherwise(F.col("__full")["__bad"].isNull()), F.lit("record"))
+               .when(F.when(is_old, unread(old, "__old") if absent else F.lit(False)).otherwise(unread(full, "__full")), F.lit("value")))
+    rows = F.when(is_old, row(old, "__old")).otherwise(row(full, "__full")) if absent else row(full, "__full")
+    return text.withColumn("row", rows).withColumn("bad", reason).drop("__full", "__old")
 
 
 def quarantine(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:

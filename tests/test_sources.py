@@ -54,3 +54,31 @@ def test_rbn_reader_renames_mode_and_fills_tx_mode(spark):
     raw.write.parquet(base)
     r = readers.load_rbn(spark, base).collect()[0]
     assert r.spot_type == "CQ" and r.tx_mode == "" and r.de_pfx == ""
+
+
+def test_quoted_csv_of_all_sources(spark):
+    """Quoted fields, commas and doubled quotes inside them; bad lines go to the quarantine with a reason."""
+    from skywave.session import scratch_path
+    from skywave.sources import readers, schemas
+    path = scratch_path(spark, "test-csv")
+    good = ['2024-01-02 03:04:05,14025000,107,CW,K1ABC,DL1XYZ,599,"05, ""zone""",599,14,CQ-WW,cq-ww/2024',
+            '"2024-01-02 03:04:06","14025000","107","PH","K1ABC","DL1XYZ","59","a,b,c","59","","CQ-WW","x"']
+    bad = ["2024-01-02 03:04:05,14025000,107,CW,K1ABC", '2024-01-02 03:04:05,many,107,CW,K1ABC,DL1XYZ,599,"05, 06",599,14,CQ-WW,x']
+    spark.createDataFrame([(x,) for x in [*good, *bad, "  "]], "value string").coalesce(1).write.text(path)
+    got = readers.load_contest(spark, path, fmt="csv").orderBy("timestamp").collect()
+    assert [(r.mode, r.exch_sent, r.exch_rcvd, r.frequency) for r in got] == [("CW", '05, "zone"', "14", 14025000), ("PH", "a,b,c", "", 14025000)]
+    left = {r.value: (r.columns, r.bad) for r in readers.quarantine(spark, path, schemas.CONTEST_QSO).collect()}
+    assert left == {bad[0]: (5, "columns"), bad[1]: (12, "value")}
+
+
+def test_overwrite_with_fewer_partitions(spark):
+    """Truncate and reload: partitions that the new rows don't have go; replacing keeps them."""
+    from skywave.session import scratch_path
+    from skywave.sources.sinks import overwrite_table
+    path = scratch_path(spark, "test-overwrite-parts")
+    rows = spark.range(90).selectExpr("id", "id % 3 as part")
+    overwrite_table(rows, path, ["part"])
+    overwrite_table(rows.where("part = 1").selectExpr("id + 1000 as id", "part"), path, ["part"], replace="partitions")
+    assert sorted((r.part, r["count"]) for r in spark.read.parquet(path).groupBy("part").count().collect()) == [(0, 30), (1, 30), (2, 30)]
+    overwrite_table(rows.where("part < 2"), path, ["part"])
+    assert sorted((r.part, r["count"]) for r in spark.read.parquet(path).groupBy("part").count().collect()) == [(0, 30), (1, 30)]
