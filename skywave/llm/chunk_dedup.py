@@ -129,13 +129,26 @@ def repeated(docs: DataFrame) -> DataFrame:
                  .select("doc", F.shiftrightunsigned("place", 32).alias("crc"),
                          F.col("place").bitwiseAND(0xFFFFFFFF).alias("start"), F.col("size")).distinct())
     found = again.groupBy("doc", "crc").agg(F.sort_array(F.collect_list(F.struct("start", (F.col("start") + F.col("size")).alias("end")))).alias("c"))
-    # chunks that touch are one run
-    empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    runs = F.aggregate("c", empty, lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] == x["start"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["start"].alias("start"), x["end"].alias("end")))))
-        .otherwise(F.concat(acc, F.array(x))))
-    return (found.select("doc", "crc", F.size("c").cast("long").alias("n_repeated"), F.filter(runs, lambda r: r["end"] - r["start"] >= RUN).alias("ranges")))
+    return found.transform(mapped, _merged, "doc long, crc long, n_repeated long, ranges array<struct<start: bigint, end: bigint>>")
+
+
+def _merged(batches):
+    """Chunks that touch are one run; runs of RUN bytes or more are kept."""
+    for b in batches:
+        if not len(b):
+            continue
+        c = b.column("c")
+        at = c.offsets.to_numpy() - c.offsets[0].as_py()
+        start, end = (c.flatten().field(i).to_numpy() for i in (0, 1))
+        new = np.concatenate(([True], start[1:] != end[:-1]))[:len(start)]
+        new[at[:-1]] = True                               # no document here is without a chunk
+        first = np.flatnonzero(new)
+        begin, stop = start[first], end[np.concatenate((first[1:] - 1, [len(start) - 1]))]
+        keep = stop - begin >= RUN
+        row = np.searchsorted(at, first[keep], "right") - 1
+        runs = pa.StructArray.from_arrays([pa.array(begin[keep]), pa.array(stop[keep])], ["start", "end"])
+        ranges = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(b) + 1)), pa.int32()), runs)
+        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("crc"), pa.array(np.diff(at).astype(np.int64)), ranges], ["doc", "crc", "n_repeated", "ranges"])
 
 
 def _keyed(docs: DataFrame, *more: str) -> DataFrame:

@@ -51,7 +51,8 @@ FEW = 10
 #: Bytes of templates that may be broadcast.
 BROADCAST = 16 << 20
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+#: A tag that isn't closed ends where the next one begins, so that no place is looked at again and again.
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -83,14 +84,17 @@ class Page:
         # open elements: name, path of the non-inline ones, in boilerplate, in a link, elements around that are boilerplate by name
         stack: list[tuple[str, tuple[str, ...], bool, bool, tuple[int, ...]]] = [("", (), False, False, ())]
         at, size, search, run = 0, len(text), _TAG.search, self._run
+        last = text.rfind(">") + 1                             # behind it are no tags, but a comment may begin there
+        if (comment := text.find("<!--", last)) >= 0:
+            size = comment
         while at < size:
-            m = search(text, at)
+            m = search(text, at, last)
             end = m.start() if m else size
             if end > at and not stack[-1][2]:
                 run.append(text[at:end])
             if not m:
                 break
-            at = m.end()
+            at = size if m.group().startswith("<!--") and not m.group().endswith("-->") else m.end()
             cdata, closing, name, attributes = m.groups()
             if cdata is not None and not stack[-1][2]:
                 run.append(html.escape(cdata))

@@ -240,7 +240,7 @@ def test_pipeline_keeps_columns(spark, empty, edges):
 def test_queries_match_their_sql(spark, name):
     import duckdb
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_TINY}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF_TINY)
     want = con.execute(queries.ORACLE[name])
