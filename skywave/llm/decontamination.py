@@ -1,9 +1,13 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
 The words of all benchmark items (A-Z as a-z, runs of digits, letters and
-non-ASCII bytes) go into one suffix automaton, which is sent to the tasks: the
-benchmark is a bounded set, and MAX_BYTES is its checked bound.  A document's
-words stream through it; the automaton keeps the longest suffix read so far that
+non-ASCII bytes) go into one suffix automaton, which is sent to the tasks.  A
+benchmark of more than GROUP_WORDS words is dealt by a hash into groups of about
+half as many, each with an automaton of its own, and the documents stream through one
+after another: what a task or the driver holds is bounded by a group, whatever
+the benchmark's size, and the hits and items of all groups are united.  Items of
+more than PIECE words are cut into pieces that overlap by a window less one
+word, so that every window lies in a piece.  A document's words stream through; the automaton keeps the longest suffix read so far that
 occurs in some item.  Where that length reaches the window (WINDOW words, or a
 whole item that is shorter), the words of the window are hit, and the state's
 suffix links name the items.  ``cleaned`` cuts the hit spans out and drops
@@ -25,12 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
 from skywave.llm import kernel as K
-from skywave.llm.common import mapped
+from skywave.llm.common import mapped, stored
 
 WINDOW = 10
-MAX_BYTES = 64 << 20
+#: Words that one automaton is built of at most, but for the hash's spread.
+GROUP_WORDS = 1 << 19
+#: Words of an item that stay together.
+PIECE = 1 << 14
 PAIR_BITS = 23
 
 
@@ -126,18 +134,38 @@ def _pair_bit(pairs: np.ndarray) -> np.ndarray:
     return (pairs & np.uint64((1 << PAIR_BITS) - 1)).astype(np.int64)
 
 
-def _words(text: str) -> np.ndarray:
-    for _, _, buf, bounds in K.texts(pa.array([text], pa.string())):
-        return K.words(buf, bounds, K.ALNUM)[0]
-    return np.zeros(0, np.uint64)
+def _cut(window: int):
+    size = max(PIECE, 2 * window)
 
+    def run(batches):
+        for b in batches:
+            names, words = [], []
+            for first, _, buf, bounds in K.texts(b.column(1)):
+                w, at, _, _ = K.words(buf, bounds, K.ALNUM)
+                for d in range(len(bounds) - 1):
+                    own = K.signed(w[at[d]:at[d + 1]])
+                    for x in range(0, max(len(own) - window + 1, 1) if len(own) else 0, size - window + 1):
+                        names.append(b.column(0)[first + d].as_py())
+                        words.append(own[x:x + size])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(words, pa.list_(pa.int64()))], ["item_id", "words"])
+    return run
+
+
+def groups(benchmark: DataFrame, window: int = WINDOW) -> list[DataFrame]:
+    """(item_id, words: hashes of a piece's words) of each group of items."""
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
+    pieces = rows.transform(mapped, _cut(window), "item_id string, words array<long>").dropDuplicates(["item_id", "words"])
+    total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
+    if total <= GROUP_WORDS:
+        return [pieces]
+    n = -(-2 * total // GROUP_WORDS)
+    pieces = stored(pieces.withColumn("part", F.pmod(F.xxhash64("item_id", "words"), F.lit(n))))
+    return [pieces.filter(F.col("part") == i).select("item_id", "words") for i in range(n)]
 
-def automaton(benchmark: DataFrame, window: int = WINDOW) -> Automaton:
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_BYTES:
-        raise ValueError(f"the benchmark has {size} bytes; the automaton holds {MAX_BYTES}: pass it in parts")
-    rows = benchmark.select(F.col("item_id").cast("string"), F.coalesce("text", F.lit(""))).collect()
-    return Automaton([(r[0], _words(r[1])) for r in sorted(rows, key=lambda r: (r[0] is None, r[0] or ""))], window)
+
+def automaton(group: DataFrame, window: int = WINDOW) -> Automaton:
+    rows = sorted(((r[0], r[1]) for r in group.collect()), key=lambda r: (r[0] is None, r[0] or "", r[1]))
+    return Automaton([(name, np.array(words, np.int64).view(np.uint64)) for name, words in rows], window)
 
 
 def _runs(good: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -148,11 +176,17 @@ def _runs(good: np.ndarray, least: int) -> list[tuple[int, int]]:
     return list(zip(start[long].tolist(), end[long].tolist()))
 
 
-def _scan(automaton, keep_text: bool):
+RUNS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _scan(automaton, last: bool, keep_text: bool):
+    """Reads (any column, text[, hits, items: of the groups before]); gives the same
+    columns with this group's hits, as runs of words, or after the last group the result."""
     def run(batches):
         a: Automaton = automaton.value
         for b in batches:
-            n_words, n_hit, items, spans, kept = [], [], [], [], []
+            n_words, n_hit, hits, items, spans, kept = [], [], [], [], [], []
+            hits_before, items_before = (b.column(i).to_pylist() if b.num_columns > 2 else [()] * len(b) for i in (2, 3))
             for first, _, buf, bounds in K.texts(b.column(1)):
                 w, at, s, e = K.words(buf, bounds, K.ALNUM)
                 hit = np.zeros(len(w), bool)
@@ -167,48 +201,65 @@ def _scan(automaton, keep_text: bool):
                 if len(a.single):
                     for x in np.flatnonzero(np.isin(w, a.single)).tolist():
                         a.read([int(w[x])], hit[x:x + 1], found.setdefault(int(np.searchsorted(at, x, "right")) - 1, set()))
-                total = np.concatenate(([0], np.cumsum(hit)))
                 for d in range(len(bounds) - 1):
                     x, y = int(at[d]), int(at[d + 1])
+                    for r in hits_before[first + d]:
+                        hit[x + r["start"]:x + r["end"]] = True
+                    items.append(sorted({a.names[i] for i in found.get(d, ())} - {None} | set(items_before[first + d])))
+                    runs = _runs(hit[x:y], 1)
+                    if not last:
+                        hits.append([{"start": i, "end": j} for i, j in runs])
+                        continue
                     n_words.append(y - x)
-                    n_hit.append(int(total[y] - total[x]))
-                    items.append(sorted({a.names[i] for i in found[d]} - {None}) if d in found else [])
-                    cut = [(int(s[x + i]), int(e[x + j - 1])) for i, j in _runs(hit[x:y], 1)] if n_hit[-1] else []
+                    n_hit.append(sum(j - i for i, j in runs))
+                    cut = [(int(s[x + i]), int(e[x + j - 1])) for i, j in runs]
                     spans.append([{"start": i - int(bounds[d]), "end": j - int(bounds[d])} for i, j in cut])
                     if keep_text:
-                        rest, last = [], int(bounds[d])
+                        rest, end = [], int(bounds[d])
                         for i, j in cut:
-                            rest.append(buf[last:i].tobytes())
-                            last = j
-                        rest.append(buf[last:bounds[d + 1]].tobytes())
+                            rest.append(buf[end:i].tobytes())
+                            end = j
+                        rest.append(buf[end:bounds[d + 1]].tobytes())
                         kept.append(b"".join(rest).decode() if b.column(1)[first + d].is_valid else None)
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(i) for i in range(b.num_columns) if i != 1), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-                 pa.array(items, pa.list_(pa.string())), pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(kept if keep_text else [None] * len(n_words), pa.string())],
-                [*(n for i, n in enumerate(b.schema.names) if i != 1), "n_words", "n_hit", "items", "spans", "kept"])
+            names = pa.array(items, pa.list_(pa.string()))
+            if last:
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), names, pa.array(spans, RUNS),
+                     pa.array(kept if keep_text else [None] * len(n_words), pa.string())],
+                    [b.schema.names[0], "n_words", "n_hit", "items", "spans", "kept"])
+            else:
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hits, RUNS), names], [*b.schema.names[:2], "hits", "items"])
     return run
 
 
+def _found(rows: DataFrame, benchmark: DataFrame, window: int, keep_text: bool) -> DataFrame:
+    """rows: any column and text; (that column, n_words, n_hit, items, spans, kept)."""
+    context = rows.sparkSession.sparkContext
+    own = rows.schema.fields[0]
+    runs = ArrayType(StructType().add("start", LongType()).add("end", LongType()))
+    state = StructType([own]).add("text", StringType()).add("hits", runs).add("items", ArrayType(StringType()))
+    result = StructType([own]).add("n_words", LongType()).add("n_hit", LongType()).add("items", ArrayType(StringType())).add("spans", runs).add("kept", StringType())
+    *before, last = groups(benchmark, window)
+    for group in before:                                  # written after each, so that a worker holds one automaton at a time
+        shared = context.broadcast(automaton(group, window))
+        rows = stored(rows.transform(mapped, _scan(shared, False, False), state))
+        shared.unpersist()
+    shared = context.broadcast(automaton(last, window))
+    return rows.transform(mapped, _scan(shared, True, keep_text), result)
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keep_text: bool = True) -> DataFrame:
     """(doc_id, n_words, n_hit, items, spans in bytes, kept: the text without the spans)."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton(benchmark, window))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", F.col("text").cast("string").alias("text"))
-                .transform(mapped, _scan(shared, keep_text), f"doc_id {kind}, n_words long, n_hit long, items array<string>, "
-                            "spans array<struct<start: long, end: long>>, kept string"))
+    return _found(docs.select("doc_id", F.col("text").cast("string").alias("text")), benchmark, window, keep_text)
 
 
 def cleaned(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = 0.5) -> DataFrame:
     """docs with the hit spans cut out of text (and n_chars, if there, counted
     anew), without the documents of which more than max_coverage is hit."""
-    shared = docs.sparkSession.sparkContext.broadcast(automaton(benchmark, window))
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*others).alias("others"), F.col("text").cast("string").alias("text"))
-    kind = rows.schema["others"].dataType.simpleString()
-    found = rows.transform(mapped, _scan(shared, True), f"others {kind}, n_words long, n_hit long, items array<string>, "
-                            "spans array<struct<start: long, end: long>>, kept string")
-    out = found.filter(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words")).select("others.*", F.col("kept").alias("text"), "n_hit")
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.when(F.col("n_hit") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    found = _found(docs.select(F.struct(*others).alias("others"), F.col("text").cast("string").alias("text")), benchmark, window, True)
+    left = found.filter(F.col("n_hit") <= F.lit(max_coverage) * F.col("n_words"))
+    value = {c: F.col(f"others.`{c}`") for c in docs.columns if c != "text"} | {"text": F.col("kept")}
+    if "n_chars" in value:
+        value["n_chars"] = F.when(F.col("n_hit") > 0, F.length("kept")).otherwise(value["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return left.select(*(value[c].alias(c) for c in docs.columns))

@@ -68,10 +68,10 @@ def groups(docs: DataFrame) -> DataFrame:
 def deduplicated(docs: DataFrame) -> DataFrame:
     """docs without the rows that an equal text makes superfluous."""
     kept = groups(docs).filter("kept").select(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-    rows = docs.withColumn("k_digest", F.sha2(normalised(F.col("text")), 256))
-    on = F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("k_digest") == F.col("k_sha"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("all"), F.sha2(normalised(F.col("text")), 256).alias("digest"))
+    on = F.col("all.doc_id").eqNullSafe(F.col("k_id")) & (F.col("digest") == F.col("k_sha"))
     rows = rows.join(kept, on, "left_semi")
     again = docs.groupBy("doc_id").count().filter("count > 1")
     if not again.isEmpty():                               # rows that repeat a doc_id: of those with its text, too, one stays
-        rows = rows.dropDuplicates(["doc_id", "k_digest"])
-    return rows.select(*docs.columns)
+        rows = rows.withColumn("id", F.col("all.doc_id")).dropDuplicates(["id", "digest"])
+    return rows.select("all.*")

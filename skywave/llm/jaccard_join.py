@@ -210,12 +210,15 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     found = stored(_named(docs, k))
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     repeated = stored(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("many_id")))
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    whole = docs.select(F.col("doc_id").cast("long").alias("id"), F.struct(*columns).alias("others"), "text")
+    out = [F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns]
+    stays = lambda rows: rows.join(gone, F.col("id") == F.col("gone_id"), "left_anti")
     if repeated.isEmpty():
-        return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+        return stays(whole).select(*out)
     # ids with several rows: each row is judged by its own text
-    single = docs.join(repeated, F.col("doc_id") == F.col("many_id"), "left_anti").join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
-    several = docs.join(repeated, F.col("doc_id") == F.col("many_id"), "left_semi")
-    rows = several.select(F.col("doc_id").cast("long").alias("id"), F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("others"), "text")
+    single = stays(whole.join(repeated, F.col("id") == F.col("many_id"), "left_anti"))
+    rows = whole.join(repeated, F.col("id") == F.col("many_id"), "left_semi")
     rows = rows.transform(mapped, _with_vertex(k), StructType([*rows.schema.fields, StructField("v", LongType())]))
     of = (found.filter("n > 0").join(repeated, F.col("doc_id") == F.col("many_id"), "left_semi")
                .select(F.col("doc_id").alias("of_id"), F.col("v").alias("of_v"), "component_id").distinct())
@@ -223,4 +226,4 @@ def deduplicated(docs: DataFrame, k: int = WORDS) -> DataFrame:
     wordless = judged.filter("component_id is null")
     first = Window.partitionBy("component_id").orderBy("v", F.xxhash64("text"))
     kept = judged.filter("component_id = id").withColumn("place", F.row_number().over(first)).filter("place = 1").drop("place")
-    return single.unionByName(kept.unionByName(wordless).select("others.*", "text").select(*docs.columns))
+    return single.select(*out).unionByName(kept.unionByName(wordless).select(*out))

@@ -294,6 +294,6 @@ def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """docs without those that score threshold or more."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(F.struct(*others).alias("others"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in others)).alias("others"), F.col("text").cast("string").alias("text"))
     out = rows.transform(mapped, _score(shared), StructType([*rows.schema.fields, StructField("score", DoubleType())]))
-    return out.filter(F.col("score") < threshold).select("others.*", "text").select(*docs.columns)
+    return out.filter(F.col("score") < threshold).select(*(F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns))

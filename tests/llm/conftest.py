@@ -57,7 +57,9 @@ def edges(spark):
     """The edge rows with extra columns whose names the operators use inside."""
     df = spark.createDataFrame(edge_rows(), SCHEMA).repartition(3)
     from pyspark.sql import functions as F
-    return df.withColumns({c: F.lit(7) for c in ("v", "n", "key", "doc", "crc", "score", "digest", "run", "size", "shard", "variant", "kept")}).persist()
+    return df.withColumns({c: F.lit(7) for c in ("v", "n", "key", "doc", "crc", "score", "digest", "run", "size", "shard", "variant", "kept",
+                                              "n_hit", "n_words", "hits", "items", "others", "all", "id", "k_id", "k_sha", "k_digest",
+                                              "gone_id", "many_id", "of_id", "component_id", "row", "a.b")}).persist()
 
 
 @pytest.fixture(scope="session")

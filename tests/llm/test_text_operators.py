@@ -102,6 +102,22 @@ def test_decontamination_random(spark, seed):
     assert key((x.doc_id, x.n_words, x.n_hit, x["items"]) for x in got.collect()) == key((i, *brute_hits(t, items)) for i, t in docs)
 
 
+def test_decontamination_in_groups(spark, monkeypatch):
+    """A benchmark of many groups, an item in many pieces, another table's column names."""
+    monkeypatch.setattr(decontamination, "GROUP_WORDS", 300)
+    monkeypatch.setattr(decontamination, "PIECE", 24)
+    rows = [(i, t) for i, t, *_ in edge_rows()]
+    items = [*ITEMS, ("late", prose(2, 9000)[400:3000]), ("late", prose(2, 9000)[400:3000]), (None, prose(15, 30))]
+    docs = spark.createDataFrame(rows + [(21, prose(15, 50))], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    assert len(decontamination.groups(bench)) > 2
+    got = decontamination.matches(docs, bench).collect()
+    want = [(i, n, hit, [x for x in names if x]) for i, t in [*rows, (21, prose(15, 50))]
+            for n, hit, names in [brute_hits(t, [(x or "", y) for x, y in items])]]
+    assert key((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in got) == key(want)
+    assert max(hit for _, _, hit, _ in want) > 300
+
+
 # ---------------------------------------------------------------- substrings
 def brute_suffix(rows):
     seen, out = set(), {}
