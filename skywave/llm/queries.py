@@ -43,7 +43,7 @@ def op6_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_dropout.encoded(table(spark, sf_dir, "documents"), digest=True)
+    return sentencepiece_dropout.encoded(table(spark, sf_dir, "documents"))
 
 
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

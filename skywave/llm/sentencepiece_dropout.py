@@ -3,33 +3,34 @@
 Texts are written as a SentencePiece model of merge type (BPE) reads them: a
 dummy space in front, spaces as U+2581.  An agenda holds the adjacent symbol pairs
 that form a piece, best score first and leftmost of equals.  When a pair comes
-up, a keyed hash of (seed, variant, unit, piece, place in the unit) decides
-whether this merge is skipped, with probability ``dropout``; with 0 the result is
-the model's own segmentation.  Characters without a piece become byte pieces, and
+up, a keyed hash of (seed, doc_id, number of the unit in the text, piece, place in
+the unit) decides whether this merge is skipped, with probability ``dropout``; with
+0 the result is the model's own segmentation.  So the same word is segmented anew at
+each place of each document, and a document always alike, whatever executor
+encodes it.  Characters without a piece become byte pieces, and
 so does U+2581 itself, which makes decoding lossless.
 
 A text is cut into units before each run of spaces; no piece reaches across such
-a cut (checked when the vocabulary is read), so the agenda runs per unit, and a
-unit's segmentation under a variant is remembered by the task.  Units that a
-batch needs anew are segmented together, round by round.  A document's variant is a
-hash of its doc_id modulo ``variants``: the same word is segmented differently in
-different documents, and the same document always alike, whatever executor
-encodes it.
+a cut (checked when the vocabulary is read), so the agenda runs per unit.  A task
+remembers of a unit the agenda without skips: its result and its offers.  Where the
+keyed hash skips none of these offers, which one vectorised pass over all units of a
+batch decides, the result is the remembered one; all other units run the agenda
+with their skips, many at once, round by round.
 
 The vocabulary (a bounded file, never trained here) is read on the driver from a
 path that is a parameter, and broadcast.
 
 Cases: null and empty texts have no pieces and decode to the empty text; a null
-doc_id has variant 0; repeated rows get the same result; extra columns don't
+doc_id has key 0; repeated rows get the same result; extra columns don't
 matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 import re
 import zlib
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skywave.llm.common import mapped
-from skywave.llm.kernel import mix
+from skywave.llm.kernel import mix, mix1
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
-VARIANTS = 4
 SEED = 17
 #: Units that a task remembers; when it has more, it starts anew.
 REMEMBERED = 300_000
-#: Rows that are segmented together, and the longest units of that way.
-ROWS, WIDE = 1000, 32
+#: Rows that are segmented together, the longest units of that way, units whose offers are looked at together.
+ROWS, WIDE, PART = 1000, 32, 1 << 17
 TABLE = 19
 NONE = np.iinfo(np.int64).max
 SPACE = "▁"
@@ -138,44 +138,77 @@ _UNIT = re.compile(" *[^ ]+| +")
 
 
 class Encoder:
-    """Encodes texts; remembers the units of each variant, as packed ids."""
+    """Encodes texts; remembers of units the agenda without skips."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
-        self.v, self.limit, self.seed = vocabulary, int(dropout * (1 << 32)), seed
-        self.known: dict[int, dict[str, bytes]] = {}
+        self.v, self.limit, self.seed = vocabulary, int(dropout * (1 << 32)), np.uint64(mix1(seed))
+        self._forget()
 
-    def encode(self, text: str, variant: int = 0) -> list[int]:
-        return np.frombuffer(self.batch([(text, variant)])[0], np.int32).tolist()
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}                   # a unit's number
+        self.plain: list[bytes] = []                      # its ids without skips
+        self.size = self.start = np.zeros(0, np.int64)    # its offers
+        self.offered = np.zeros(0, np.uint64)
+
+    def encode(self, text: str, key: int = 0) -> list[int]:
+        return np.frombuffer(self.batch([(text, key)])[0], np.int32).tolist()
 
     def batch(self, texts: list[tuple[str, int]]) -> list[bytes]:
-        """Ids (int32) of (text, variant) pairs; what they need anew is segmented together."""
-        if sum(map(len, self.known.values())) >= REMEMBERED:
-            self.known.clear()
-        cut = [(_UNIT.findall(" " + text) if text else [], variant) for text, variant in texts]
-        missing: dict[int, set[str]] = {}
-        for units, variant in cut:
-            missing.setdefault(variant, set()).update(set(units).difference(self.known.setdefault(variant, {})))
-        for variant, units in missing.items():
-            short = sorted((u for u in units if len(u) <= WIDE), key=len)
-            for i in range(0, len(short), 8192):          # of like lengths
-                part = short[i:i + 8192]
-                self.known[variant].update(zip(part, self.together(part, variant)))
-            for u in units:
-                if len(u) > WIDE:
-                    self.known[variant][u] = self.agenda(u, variant)
-        out = [b"".join(map(self.known[variant].__getitem__, units)) for units, variant in cut]
-        for variant, units in missing.items():
-            for u in units:
-                if len(u) > 4 * WIDE:                      # not worth remembering
-                    del self.known[variant][u]
+        """Ids (int32) of (text, key of the document) pairs."""
+        if len(self.known) >= REMEMBERED:
+            self._forget()
+        cut = [_UNIT.findall(" " + text) if text else [] for text, _ in texts]
+        units = [u for c in cut for u in c]
+        n = np.array([len(c) for c in cut], np.int64)
+        end = np.cumsum(n)
+        keys = self.keys(np.repeat(np.array([key & 0xFFFFFFFFFFFFFFFF for _, key in texts], np.uint64), n),
+                         np.arange(len(units)) - np.repeat(end - n, n))
+        self._learn(sorted((u for u in set(units).difference(self.known) if len(u) <= WIDE), key=len))
+        at = np.fromiter(map(self.known.get, units, repeat(-1)), np.int64, len(units))
+        out = [self.plain[i] if i >= 0 else b"" for i in at.tolist()]
+        if self.limit:
+            todo = np.flatnonzero(self._any_skip(at, keys))
+            todo = todo[np.argsort([len(units[i]) for i in todo.tolist()], kind="stable")]
+            for i in range(0, len(todo), 8192):           # of like lengths
+                part = todo[i:i + 8192]
+                for j, packed in zip(part.tolist(), self.together([units[j] for j in part.tolist()], keys[part])):
+                    out[j] = packed
+        for j in np.flatnonzero(at < 0).tolist():
+            out[j] = self.agenda(units[j], keys[j])
+        return [b"".join(out[j - i:j]) for i, j in zip(n.tolist(), end.tolist())]
+
+    def keys(self, doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """The key of each unit: of its document and its number in the text."""
+        return mix((mix(doc ^ self.seed) + place.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15))
+
+    def _learn(self, units: list[str]) -> None:
+        for i in range(0, len(units), 8192):              # of like lengths
+            part, steps = units[i:i + 8192], []
+            self.known.update(zip(part, range(len(self.plain), len(self.plain) + len(part))))
+            self.plain.extend(self.together(part, None, steps))
+            row = np.concatenate([r for r, _ in steps] or [np.zeros(0, np.int64)])
+            offers = np.concatenate([o for _, o in steps] or [np.zeros(0, np.uint64)])
+            size = np.bincount(row, minlength=len(part))
+            self.start = np.concatenate((self.start, len(self.offered) + np.cumsum(size) - size))
+            self.size = np.concatenate((self.size, size))
+            self.offered = np.concatenate((self.offered, offers[np.argsort(row, kind="stable")]))
+
+    def _any_skip(self, at: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Whether any offer of the agenda without skips is skipped: until the first
+        skip both agendas take the same steps."""
+        out = np.zeros(len(at), bool)
+        for x in range(0, len(at), PART):
+            a = at[x:x + PART]
+            size = np.where(a >= 0, self.size[a], 0) if len(self.size) else np.zeros(len(a), np.int64)
+            row = np.repeat(np.arange(len(a)), size)
+            offer = np.repeat(self.start[a] - (np.cumsum(size) - size), size) + np.arange(size.sum()) if len(row) else row
+            out[x + row[_skips(keys[x + row], self.offered[offer], self.limit)]] = True
         return out
 
-    def key(self, unit: str, variant: int) -> int:
-        return zlib.crc32(unit.encode(), self.seed) << 32 | variant
-
-    def together(self, units: list[str], variant: int) -> list[bytes]:
-        """The agendas of many short units at once: each round takes the best
-        offer of every unit that has one."""
+    def together(self, units: list[str], keys: np.ndarray | None, steps: list | None = None) -> list[bytes]:
+        """The agendas of many short units at once: each round takes the best offer
+        of every unit that has one.  Without keys nothing is skipped; steps then
+        takes the offers of each round."""
         v, n = self.v, len(units)
         if not n:
             return []
@@ -189,7 +222,6 @@ class Encoder:
         offer = np.full((n, wide), NONE, np.int64)
         row, at = np.nonzero(inside[:, 1:])
         offer[row, at] = v.offers(symbol[row, at], symbol[row, at + 1])
-        key = np.array([self.key(u, variant) for u in units], np.uint64)
         alive = inside.copy()
         rows = np.arange(n)
         while len(rows):
@@ -197,12 +229,14 @@ class Encoder:
             best = offer[rows, i]
             more = best != NONE
             rows, i, best = rows[more], i[more], best[more]
-            if self.limit:
-                skipped = _skips(key[rows], best, i, self.limit)
+            if keys is not None:
+                skipped = _skips(keys[rows], _offered(best, i), self.limit)
                 offer[rows[skipped], i[skipped]] = NONE
                 r, i, best = rows[~skipped], i[~skipped], best[~skipped]
             else:
                 r = rows
+                if steps is not None:
+                    steps.append((r, _offered(best, i)))
             j = after[r, i]
             symbol[r, i] = best & 0xFFFFFFFF
             alive[r, j] = False
@@ -231,12 +265,12 @@ class Encoder:
             out.extend([s] if s < self.v.size else [self.v.byte[x] for x in unit[at].encode()])
         return np.array(out, np.int32).tobytes()
 
-    def agenda(self, unit: str, variant: int) -> bytes:
+    def agenda(self, unit: str, key: int) -> bytes:
         """One unit of any length, by a heap."""
         v, n = self.v, len(unit)
         symbol: list[int | None] = v.points[np.frombuffer(unit.encode("utf-32-le", "surrogatepass"), np.uint32)].tolist()
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        key = np.array([self.key(unit, variant)], np.uint64)
+        key = np.array([key], np.uint64)
         heap: list[tuple[int, int, int, int, int]] = []
 
         def offer(i: int) -> None:
@@ -251,7 +285,7 @@ class Encoder:
             j = after[i]
             if symbol[i] != left or j >= n or symbol[j] != right:
                 continue                                 # one of them has merged meanwhile
-            if self.limit and _skips(key, np.array([rank << 32 | piece]), np.array([i]), self.limit)[0]:
+            if self.limit and _skips(key, _offered(np.array([piece]), np.array([i])), self.limit)[0]:
                 continue
             symbol[i], symbol[j] = piece, None
             after[i] = after[j]
@@ -263,10 +297,13 @@ class Encoder:
         return self._bytes(unit, [(i, s) for i, s in enumerate(symbol) if s is not None])
 
 
-def _skips(key: np.ndarray, offer: np.ndarray, place: np.ndarray, limit: int) -> np.ndarray:
+def _offered(offer: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix((offer & 0xFFFFFFFF).astype(np.uint64) << np.uint64(24) | place.astype(np.uint64))
+
+
+def _skips(key: np.ndarray, offered: np.ndarray, limit: int) -> np.ndarray:
     """The keyed decision on a merge."""
-    x = mix(key * np.uint64(0x9E3779B97F4A7C15) ^ mix((offer & 0xFFFFFFFF).astype(np.uint64) << np.uint64(24) | place.astype(np.uint64)))
-    return (x >> np.uint64(32)) < np.uint64(limit)
+    return (mix(key ^ offered) >> np.uint64(32)) < np.uint64(limit)
 
 
 #: The encoder of this Python worker, which Spark uses for one task after another.
@@ -281,37 +318,26 @@ def _encoder(vocabulary: Vocabulary, *options) -> Encoder:
     return _own[key]
 
 
-def _encode(vocabulary, dropout: float, seed: int, digest: bool):
+def _encode(vocabulary, dropout: float, seed: int):
     def run(batches):
         encoder = _encoder(vocabulary.value, dropout, seed)
         for whole in batches:
             for b in (whole.slice(i, ROWS) for i in range(0, len(whole), ROWS)):
-                n, sha, same, ids_ = [], [], [], []
                 texts = [t or "" for t in b.column("text").to_pylist()]
-                for text, packed in zip(texts, encoder.batch(list(zip(texts, b.column("variant").to_pylist())))):
-                    ids = np.frombuffer(packed, np.int32)
-                    same.append(encoder.v.decode(ids) == text)
-                    n.append(len(ids))
-                    if digest:
-                        sha.append(hashlib.sha256(packed).hexdigest())
-                    else:
-                        ids_.append(ids)
-                last = pa.array(sha, pa.string()) if digest else pa.array(ids_, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("variant"), pa.array(n, pa.int64()), pa.array(same, pa.bool_()), last],
-                                                 ["doc_id", "variant", "n_pieces", "lossless", "ids_sha256" if digest else "ids"])
+                ids = [np.frombuffer(packed, np.int32) for packed in encoder.batch(list(zip(texts, b.column("key").to_pylist())))]
+                same = [encoder.v.decode(x) == text for x, text in zip(ids, texts)]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(map(len, ids), pa.int64()), pa.array(same, pa.bool_()),
+                                                  pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "n_pieces", "lossless", "ids"])
     return run
 
 
-def encoded(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
-            digest: bool = False) -> DataFrame:
-    """(doc_id, variant, n_pieces, lossless: the ids decode to the text, ids), or
-    with digest the SHA-256 of the ids (four bytes each, little-endian)."""
+def encoded(docs: DataFrame, path: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """(doc_id, n_pieces, lossless: the ids decode to the text, ids)."""
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(path))
-    variant = F.coalesce(F.pmod(F.xxhash64(F.when(F.col("doc_id").isNotNull(), F.col("doc_id").cast("string"))), F.lit(variants)), F.lit(0))
-    rows = docs.select("doc_id", F.when(F.col("doc_id").isNull(), 0).otherwise(variant).cast("int").alias("variant"), F.col("text").cast("string").alias("text"))
+    key = F.when(F.col("doc_id").isNull(), 0).otherwise(F.xxhash64(F.col("doc_id").cast("string")))
+    rows = docs.select("doc_id", key.cast("long").alias("key"), F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.transform(mapped, _encode(shared, dropout, seed, digest),
-                           f"doc_id {kind}, variant int, n_pieces long, lossless boolean, " + ("ids_sha256 string" if digest else "ids array<int>"))
+    return rows.transform(mapped, _encode(shared, dropout, seed), f"doc_id {kind}, n_pieces long, lossless boolean, ids array<int>")
 
 
 def _decode(vocabulary):

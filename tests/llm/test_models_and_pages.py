@@ -97,19 +97,32 @@ def test_round_trip(dropout):
     v = sentencepiece_dropout.Vocabulary()
     e = sentencepiece_dropout.Encoder(v, dropout)
     for t in [t or "" for _, t, *_ in edge_rows()] + ["▁", " ▁ ▁▁ a▁b", " x�"]:
-        for variant in (0, 3):
-            assert v.decode(e.encode(t, variant)) == t
+        for key in (0, -3):
+            assert v.decode(e.encode(t, key)) == t
 
 
 def test_dropout_varies_and_repeats():
     v = sentencepiece_dropout.Vocabulary()
-    t = "segmentation varies with the seeded variant of tokenization " * 5
+    t = "segmentation varies with the key of tokenization " * 5
     a, b = sentencepiece_dropout.Encoder(v, 0.3), sentencepiece_dropout.Encoder(v, 0.3)
     assert a.encode(t, 1) == b.encode(t, 1) != a.encode(t, 2)
     assert sentencepiece_dropout.Encoder(v, 0.3, seed=5).encode(t, 1) != a.encode(t, 1)
-    units = [" internationalization", "x", " ", "    ", "héé漢字", "▁ab", "segmentation,", "aaaaaaaaaaaaaaaa"]
-    for e in (a, sentencepiece_dropout.Encoder(v, 0.0)):          # both agendas take the same decisions
-        assert e.together(units, 2) == [e.agenda(u, 2) for u in units]
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6])
+def test_units_are_cut_anew_at_each_place(dropout):
+    """The remembered agendas and those of many units at once against one unit's heap."""
+    import numpy as np
+    v = sentencepiece_dropout.Vocabulary()
+    texts = [(t or "", (i or 0) * 77 - 5) for i, t, *_ in edge_rows()] + [("héé漢字 ▁ab segmentation, aaaaaaaaaaaaaaaa     x ", 3), ("internationalization " * 400, 4)]
+    e = sentencepiece_dropout.Encoder(v, dropout)
+    for _ in range(2):                                    # with units anew, then remembered
+        for (t, key), got in zip(texts, e.batch(texts)):
+            units = sentencepiece_dropout._UNIT.findall(" " + t) if t else []
+            keys = e.keys(np.full(len(units), key & 0xFFFFFFFFFFFFFFFF, np.uint64), np.arange(len(units)))
+            assert got == b"".join(e.agenda(u, k) for u, k in zip(units, keys))
+    cuts = {e.agenda(" internationalization", k) for k in e.keys(np.full(400, 4, np.uint64), np.arange(400))}
+    assert len(cuts) == 1 if not dropout else len(cuts) > 8
 
 
 def test_encoding_edges(spark, edges, empty):
