@@ -18,6 +18,7 @@ from skywave import constants as K
 from skywave.functions.geo import azimuth_deg, great_circle_km
 from skywave.functions.grid import grid4, maidenhead_lat, maidenhead_lon
 from skywave.operators.callsigns import enrich_endpoints
+from skywave.operators.intervals import interval_join
 from skywave.operators.solar import attach_solar
 from skywave.sources.schemas import SIGNATURE_COLUMNS
 from skywave.sources.sinks import window_filter
@@ -154,15 +155,21 @@ def _median_snr_agg(df: DataFrame) -> DataFrame:
               .agg(*_snr_aggs(), *_solar_aggs()).withColumn("reliability", F.lit(1.0)))
 
 
-def dxpedition_paths(rbn: DataFrame, catalog: DataFrame, cg: DataFrame) -> DataFrame:
+def dxpedition_paths(rbn: DataFrame, catalog: DataFrame, cg: DataFrame, cell_days: float | None = None) -> DataFrame:
     """RBN spots of catalogued DXpedition callsigns inside their operating
     window (inclusive), with the skimmer's grid from the callsign dimension.
 
     An equi join on the callsign with the time range as a residual predicate, no
-    range product; a small catalog is broadcast by Catalyst or AQE."""
+    range product; a small catalog is broadcast by Catalyst or AQE.  Where a callsign
+    has many windows, ``cell_days`` (about a short window's length) joins on callsign
+    and time cell instead, so that a spot meets only windows near it."""
     cat = catalog.select(F.col("callsign").alias("__cc"), F.col("entity").alias("dx_entity"),
                          F.col("grid").alias("dx_grid"), "start_ts", "end_ts")
-    j = rbn.join(cat, (F.col("dx_call") == F.col("__cc")) & F.col("timestamp").between(F.col("start_ts"), F.col("end_ts")), "inner")
+    if cell_days is None:
+        j = rbn.join(cat, (F.col("dx_call") == F.col("__cc")) & F.col("timestamp").between(F.col("start_ts"), F.col("end_ts")), "inner")
+    else:
+        cat = cat.withColumns({"__lo": F.unix_micros("start_ts"), "__hi": F.unix_micros("end_ts")})
+        j = interval_join(rbn, cat, F.unix_micros("timestamp"), "__lo", "__hi", cell_days * 86_400e6, on=[("dx_call", "__cc")])
     dim = cg.where(F.col("grid_4") != "").select(F.col("callsign").alias("__sc"), F.col("grid").alias("skimmer_grid"))
     j = j.join(dim, F.col("de_call") == F.col("__sc"), "inner")
     return j.select("timestamp", "dx_call", "dx_entity", "dx_grid", F.col("de_call").alias("skimmer_call"),

@@ -86,6 +86,23 @@ def model_metrics(results: DataFrame, dims: Sequence[str] = ("source", "band"))
         F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(e).alias("bias"), F.avg(F.abs(e)).alias("mae")))
 
 
+def model_metrics_sets(results: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """``model_metrics`` for several sets of dimensions in one pass over the results:
+    rows are reduced to sums at the finest grain first (map-side), and only these
+    sums are added up per grouping set.  A dimension outside a row's set is NULL;
+    ``set_id`` has a bit for each of them, the first dimension's the highest."""
+    dims = list(dict.fromkeys(d for s in sets for d in s))
+    e = F.col("snr_error")
+    fine = results.groupBy(*dims).agg(
+        F.count(F.lit(1)).alias("__n"), F.count("mode_hit").alias("__scored"), F.sum("mode_hit").alias("__hits"),
+        F.count(e).alias("__e"), F.sum(e * e).alias("__e2"), F.sum(e).alias("__e1"), F.sum(F.abs(e)).alias("__ea"))
+    total = fine.groupingSets([[F.col(d) for d in s] for s in sets], *[F.col(d) for d in dims]).agg(
+        F.grouping_id(*dims).cast("bigint").alias("set_id"), *[F.sum(c).alias(c) for c in fine.columns if c not in dims])
+    mean = lambda x, n: F.try_divide(F.col(x), F.col(n))
+    return total.select(*dims, "set_id", F.col("__n").alias("paths"), mean("__hits", "__scored").alias("recall"),
+                        F.sqrt(mean("__e2", "__e")).alias("rmse"), mean("__e1", "__e").alias("bias"), mean("__ea", "__e").alias("mae"))
+
+
 def band_hour_heatmap(results: DataFrame, metric: str = "mode_hit", hours=range(24)) -> DataFrame:
     """band x hour matrix of mean ``metric`` (pivot on a fixed hour list, so
     no extra job is needed to discover pivot values)."""

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skywave import constants as K
 from skywave import functions
-from skywave.operators import callsigns, features, flags, reports, sampling, signatures, solar, tables, validation
+from skywave.operators import callsigns, features, flags, intervals, reports, sampling, signatures, solar, tables, validation
 from skywave.plans.registry import register
 from skywave.sources import fixtures as fx
 
@@ -201,6 +201,14 @@ def freq_to_band(spark, sf):
         F.count(F.lit(1)).alias("rows"))
 
 
+@register("freq_to_band_edges")
+def freq_to_band_edges(spark, sf):
+    """The band lookup by an edge table of any size, as an interval join."""
+    from skywave.functions.bands import band_edges_df
+    p = intervals.lookup_band(fx.pskr_spots(spark, sf).select("band", "frequency"), band_edges_df(spark))
+    return p.groupBy("band", "resolved_band").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("training_filter")
 def training_filter_q(spark, sf):
     return sampling.training_filter(_spots(spark, sf), FIXTURE_WINDOW).groupBy("band").agg(F.count(F.lit(1)).alias("rows"))
@@ -396,6 +404,12 @@ def dxpedition_paths(spark, sf):
     return signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
 
 
+@register("dxpedition_paths_binned")
+def dxpedition_paths_binned(spark, sf):
+    """The same paths by callsign and time cell."""
+    return signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf), cell_days=2)
+
+
 @register("dxpedition_signatures")
 def dxpedition_signatures(spark, sf):
     p = signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
@@ -496,6 +510,15 @@ def model_metrics(spark, sf):
     return validation.model_metrics(_scored(spark, sf), ["source", "band"])
 
 
+METRIC_SETS = [("source", "band", "hour"), ("source", "band"), ("source", "hour"), ("band",), ()]
+
+
+@register("model_metrics_sets")
+def model_metrics_sets(spark, sf):
+    """Metrics over five sets of dimensions from one pass."""
+    return validation.model_metrics_sets(_scored(spark, sf), METRIC_SETS)
+
+
 @register("band_hour_heatmap")
 def band_hour_heatmap(spark, sf):
     return validation.band_hour_heatmap(_scored(spark, sf))
@@ -748,13 +771,13 @@ def stream_quality_compacted(spark, sf):
     return rollups.read_quality_rollup(spark, d["out"])
 
 
-def _stream_daily(spark, sf, newest_first):
+def _stream_daily(spark, sf, newest_first, sketches=False):
     from skywave.sources.schemas import WSPR_SPOT
     from skywave.streaming import ingest, rollups
     d = _stream_dirs(spark, "spots-daily")
     ingest.write_files(_schema_cols(fx.spots(spark, sf), WSPR_SPOT), d["src"], files=4, fmt="parquet", newest_first=newest_first)
-    rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"], max_files_per_trigger=8)
-    return rollups.read_spots_daily(spark, d["out"])
+    rollups.run_spots_daily(spark, d["src"], d["out"], d["ckpt"], max_files_per_trigger=8, sketches=sketches)
+    return rollups.read_spots_daily(spark, d["out"], sketches)
 
 
 @register("stream_spots_daily")
@@ -768,6 +791,30 @@ def stream_spots_daily_late(spark, sf):
     return _stream_daily(spark, sf, newest_first=True)
 
 
+@register("stream_spots_daily_sketch")
+def stream_spots_daily_sketch(spark, sf):
+    """Daily spots with sketched distinct stations: counts, and whether each estimate is
+    within 8 % (five standard errors) of the exact count."""
+    got = _stream_daily(spark, sf, newest_first=True, sketches=True)
+    exact = reports.spots_daily(fx.spots(spark, sf)).select("day", "band", "mode", F.col("unique_tx").alias("tx"), F.col("unique_rx").alias("rx"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= 0.08 * F.col(b)
+    return got.join(exact, ["day", "band", "mode"]).select(
+        "day", "band", "mode", "spot_count", "avg_snr", "max_distance", near("unique_tx", "tx").alias("tx_near"), near("unique_rx", "rx").alias("rx_near"))
+
+
+@register("overwrite_table")
+def overwrite_table(spark, sf):
+    """A table by band, reloaded with fewer bands, then one band replaced beside the others."""
+    from skywave.session import scratch_path
+    from skywave.sources.sinks import overwrite_table as overwrite
+    path = scratch_path(spark, "overwrite")
+    s = _spots(spark, sf).select("id", "snr", "band")
+    overwrite(s, path, ["band"])
+    overwrite(s.where("band < 108"), path, ["band"])
+    overwrite(s.where("band = 105 and snr > -10"), path, ["band"], replace="partitions")
+    return spark.read.parquet(path).groupBy("band").agg(F.count(F.lit(1)).alias("rows"), F.sum("snr").alias("sum_snr"), F.sum("id").alias("sum_id"))
+
+
 @register("stream_live_conditions")
 def stream_live_conditions(spark, sf):
     """The live snapshot of a stream that meets its oldest readings last."""

@@ -86,6 +86,7 @@ _EDGES = [(102, 1.800, 2.000), (103, 3.500, 4.000), (104, 5.060, 5.450), (105, 7
 _F2B = "CASE " + " ".join(f"WHEN frequency * 1e-6 >= {lo} AND frequency * 1e-6 <= {hi} THEN {b}" for b, lo, hi in _EDGES) + " ELSE 0 END"
 ORACLE["freq_to_band"] = sql(f"""
 SELECT band, CAST({_F2B} AS INTEGER) AS resolved_band, count(*) AS rows FROM pskr GROUP BY 1, 2""", "pskr")
+ORACLE["freq_to_band_edges"] = ORACLE["freq_to_band"]
 ORACLE["training_filter"] = sql(f"""
 SELECT band, count(*) AS rows FROM spots
 WHERE {in_window()} AND snr BETWEEN -35 AND 25 AND distance BETWEEN 500 AND 18000
@@ -191,6 +192,7 @@ SELECT count(*) AS signatures, count(*) FILTER (WHERE tx_grid_4 = rx_grid_4) AS
 ORACLE["signature_union"] = sql(f"SELECT {SIG_ROUNDED}, source FROM sig_union", "sig_union")
 ORACLE["rows_by_band"] = sql("SELECT source, band, count(*) AS rows FROM sig_union GROUP BY 1, 2", "sig_union")
 ORACLE["dxpedition_paths"] = sql("SELECT * FROM dx_paths", "dx_paths")
+ORACLE["dxpedition_paths_binned"] = ORACLE["dxpedition_paths"]
 _DXG = (f"CAST(trunc(round({gc_km(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4'))}, 6)) AS BIGINT) AS avg_distance, "
         f"CAST(trunc(round({azimuth(_L4('tx_grid_4'), _A4('tx_grid_4'), _L4('rx_grid_4'), _A4('rx_grid_4'))}, 6)) AS BIGINT) AS avg_azimuth")
 ORACLE["dxpedition_signatures"] = sql(f"""
@@ -253,6 +255,10 @@ GROUP BY ALL""", "pskr", "rbn", "contest", "thresholds")
 ORACLE["model_metrics"] = sql(f"""
 SELECT source, band, count(*) AS paths, {r('avg(mode_hit)')} AS recall, {r('sqrt(avg(snr_error * snr_error))')} AS rmse,
        {r('avg(snr_error)')} AS bias, {r('avg(abs(snr_error))')} AS mae FROM scored GROUP BY source, band""", "scored")
+ORACLE["model_metrics_sets"] = sql(f"""
+SELECT source, band, hour, CAST(grouping(source, band, hour) AS BIGINT) AS set_id, count(*) AS paths, {r('avg(mode_hit)')} AS recall,
+       {r('sqrt(avg(snr_error * snr_error))')} AS rmse, {r('avg(snr_error)')} AS bias, {r('avg(abs(snr_error))')} AS mae
+FROM scored GROUP BY GROUPING SETS ((source, band, hour), (source, band), (source, hour), (band), ())""", "scored")
 ORACLE["band_hour_heatmap"] = sql("SELECT band, " + ", ".join(
     f"{r(f'avg(CASE WHEN hour = {h} THEN mode_hit END)')} AS h{h:02d}" for h in range(24)) + " FROM scored GROUP BY band", "scored")
 
@@ -385,6 +391,13 @@ ORACLE["pskr_ingest"] = sql("SELECT * FROM pskr", "pskr")
 ORACLE["stream_quality"] = ORACLE["quality_distribution"]
 ORACLE["stream_quality_late"] = ORACLE["quality_distribution"]
 ORACLE["stream_spots_daily"] = ORACLE["stream_spots_daily_late"] = ORACLE["spots_daily"]
+ORACLE["stream_spots_daily_sketch"] = sql(f"""
+SELECT CAST(timestamp AS DATE) AS day, band, mode, count(*) AS spot_count, {r('avg(snr)')} AS avg_snr, max(distance) AS max_distance,
+       true AS tx_near, true AS rx_near
+FROM spots GROUP BY 1, 2, 3""", "spots")
+ORACLE["overwrite_table"] = sql("""
+SELECT band, count(*) AS rows, CAST(sum(snr) AS BIGINT) AS sum_snr, CAST(sum(id) AS BIGINT) AS sum_id
+FROM spots WHERE band < 108 AND (band <> 105 OR snr > -10) GROUP BY band""", "spots")
 ORACLE["stream_live_conditions"] = ORACLE["live_conditions"]
 ORACLE["stream_live_enrich"] = ORACLE["live_enrich"]
 ORACLE["stream_ingest_log"] = ("SELECT count(*) AS rows, CAST(0 AS BIGINT) AS without_size, CAST(0 AS BIGINT) AS pending FROM events")

@@ -123,11 +123,29 @@ def daily_stations(spots: DataFrame) -> DataFrame:
             .select(*DAILY_KEYS, "s.*").distinct())
 
 
+#: log2 of a sketch's registers: a standard error of about 1.04 / sqrt(4096) = 1.6 %.
+SKETCH_LOG2 = 12
+
+
+def daily_sketches(spots: DataFrame) -> DataFrame:
+    """Per day, band and mode: sketches of the distinct transmitters and receivers, a
+    few KB each however many stations there are."""
+    return spots.groupBy(F.to_date("timestamp").alias("day"), "band", "mode").agg(
+        F.hll_sketch_agg("callsign", SKETCH_LOG2).alias("tx_sketch"), F.hll_sketch_agg("reporter", SKETCH_LOG2).alias("rx_sketch"))
+
+
+def merge_sketches(partials: DataFrame) -> DataFrame:
+    return partials.groupBy(*DAILY_KEYS).agg(F.hll_union_agg("tx_sketch").alias("tx_sketch"), F.hll_union_agg("rx_sketch").alias("rx_sketch"))
+
+
 def run_spots_daily(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, available_now: bool = True,
-                    max_files_per_trigger: int = 1000, compact_every: int = COMPACT_EVERY):
-    """Daily rollup of spots: counts and distinct stations, as partials under out_path."""
+                    max_files_per_trigger: int = 1000, compact_every: int = COMPACT_EVERY, sketches: bool = False):
+    """Daily rollup of spots: counts and distinct stations, as partials under out_path.
+    With ``sketches`` the stations are mergeable sketches instead of the stations
+    themselves: a bounded size per key, and approximate counts."""
     src = spark.readStream.schema(schemas.WSPR_SPOT).option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir)
-    partials = {f"{out_path}/counts": (daily_partials, merge_daily), f"{out_path}/stations": (daily_stations, DataFrame.distinct)}
+    stations = {f"{out_path}/sketches": (daily_sketches, merge_sketches)} if sketches else {f"{out_path}/stations": (daily_stations, DataFrame.distinct)}
+    partials = {f"{out_path}/counts": (daily_partials, merge_daily)} | stations
     return _run(src, partials, checkpoint, available_now, compact_every)
 
 
@@ -136,12 +154,17 @@ def merge_daily(partials: DataFrame) -> DataFrame:
                                              F.max("max_distance").alias("max_distance"))
 
 
-def read_spots_daily(spark: SparkSession, out_path: str) -> DataFrame:
-    """Same columns as ``reports.spots_daily``; distinct counts are exact."""
+def read_spots_daily(spark: SparkSession, out_path: str, sketches: bool = False) -> DataFrame:
+    """Same columns as ``reports.spots_daily``; distinct counts are exact, or with
+    ``sketches`` estimated."""
     counts = merge_daily(read_partials(spark, f"{out_path}/counts"))
-    stations = read_partials(spark, f"{out_path}/stations").select(*DAILY_KEYS, "side", "call").distinct()
-    unique = stations.groupBy(*DAILY_KEYS).agg(F.count_if(F.col("side") == "tx").alias("unique_tx"),
-                                               F.count_if(F.col("side") == "rx").alias("unique_rx"))
+    if sketches:
+        unique = merge_sketches(read_partials(spark, f"{out_path}/sketches")).select(
+            *DAILY_KEYS, F.hll_sketch_estimate("tx_sketch").alias("unique_tx"), F.hll_sketch_estimate("rx_sketch").alias("unique_rx"))
+    else:
+        stations = read_partials(spark, f"{out_path}/stations").select(*DAILY_KEYS, "side", "call").distinct()
+        unique = stations.groupBy(*DAILY_KEYS).agg(F.count_if(F.col("side") == "tx").alias("unique_tx"),
+                                                   F.count_if(F.col("side") == "rx").alias("unique_rx"))
     on = [counts[k].eqNullSafe(unique[k]) for k in DAILY_KEYS]
     return counts.join(unique, on).select(
         *[counts[k] for k in DAILY_KEYS], "spot_count", "unique_tx", "unique_rx",
