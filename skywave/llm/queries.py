@@ -80,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 _TEMPLATES = ",\n  ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licence_scan.TEMPLATES.items())
+_REQUIRED = ", ".join(f"'{w}'" for w in licence_scan.required_words({k: licence_scan.bigrams(v) for k, v in licence_scan.TEMPLATES.items()}, licence_scan.THRESHOLD))
 
 
 
@@ -128,10 +129,20 @@ s AS (SELECT doc_id, t AS s FROM f
       UNION ALL SELECT doc_id, unnest(regexp_split_to_array(t, '\n')) FROM f
       UNION ALL SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1))) FROM f),
 w AS (SELECT DISTINCT doc_id, regexp_extract_all(s, '[a-z0-9]+') AS w FROM s),
-g AS (SELECT doc_id, w, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) BETWEEN 2 AND 400),
+g AS (SELECT doc_id, w, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM w WHERE len(w) >= 2),
 m AS (SELECT doc_id, w, name, 2.0::DOUBLE * len(list_intersect(g.g, tg.g)) / (len(g.g) + len(tg.g)) AS dice FROM g, tg
       WHERE list_has_any(g.g, tg.g) AND len(g.g) * 3 >= len(tg.g) * 2 AND len(g.g) * 2 <= len(tg.g) * 3),
-b AS (SELECT doc_id, w, max(dice) AS dice, arg_min(name, (-dice, name)) AS name FROM m WHERE dice >= 0.8 GROUP BY doc_id, w),
+c AS (SELECT doc_id, w, max(dice) AS dice, arg_min(name, (-dice, name)) AS name FROM m WHERE dice >= 0.8 GROUP BY doc_id, w),
+r AS (SELECT [{_REQUIRED}] AS r),
+ta AS (SELECT name, len(w) AS n, i, w[i] || ' ' || w[i + 1] AS g FROM (SELECT name, w, unnest(range(1, len(w))) AS i FROM tw), r
+       WHERE list_contains(r, w[i]) OR list_contains(r, w[i + 1])),
+da AS (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM (SELECT doc_id, regexp_extract_all(t, '[a-z0-9]+') AS w FROM f)),
+l AS (SELECT DISTINCT doc_id, name, greatest(da.i - ta.i, 0) AS start, w[greatest(da.i - ta.i, 0) + 1:greatest(da.i - ta.i, 0) + n] AS w
+      FROM da JOIN ta ON da.w[da.i] || ' ' || da.w[da.i + 1] = ta.g),
+v AS (SELECT doc_id, name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM l),
+y AS (SELECT doc_id, v.name, max(2.0::DOUBLE * len(list_intersect(v.g, tg.g)) / (len(v.g) + len(tg.g))) AS dice FROM v JOIN tg USING (name) GROUP BY ALL),
+b AS (SELECT doc_id, name, dice FROM c UNION ALL
+      SELECT doc_id, name, dice FROM y ANTI JOIN c USING (doc_id, name) WHERE dice >= 0.8),
 x AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT name, ',' ORDER BY name) AS licences,
              arg_min(name, (-dice, name)) AS best_licence, max(dice) AS best_dice FROM b GROUP BY doc_id)
 SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licences, '') AS licences, best_licence, best_dice

@@ -269,6 +269,38 @@ def test_licence_scan(spark, edges, empty):
                    5: (0, [], None), 6: (0, [], None)}
 
 
+def test_licence_notices_inside_other_words(spark):
+    """Notices anywhere in a line, against a plain search: every window with as many words as the template."""
+    import random
+    rng = random.Random(8)
+    notices = list(licence_scan.TEMPLATES.items())
+    rows = [(1, "(c) 2020 Foo Ltd, all rights reserved."), (2, "Foo is released under the MIT License, see file COPYING."),
+            (3, "see the license under the public software rights"), (4, "reserved"), (5, "license")]
+    for i, (name, text) in enumerate(notices):
+        w = text.split()
+        for k in range(1 + (len(w) > 30)):                              # whole, and with three words changed
+            w2 = list(w)
+            for j in rng.sample(range(len(w)), 3 * k):
+                w2[j] = "zebra"
+            rows.append((100 + 2 * i + k, " ".join(rng.choices(WORDS, k=rng.randrange(60))) + " " + " ".join(w2) + " " + " ".join(rng.choices(WORDS, k=rng.randrange(1, 60)))))
+    got = {r.doc_id: r for r in licence_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, text in rows:
+        best = {}
+        words = licence_scan.words_of(text)
+        for name, template in notices:
+            g, n = set(licence_scan.bigrams(template)), len(licence_scan.words_of(template))
+            for start in range(max(len(words) - n, 0) + 1):
+                h = set(licence_scan.bigrams(" ".join(words[start:start + n])))
+                best[name] = max(best.get(name, 0), 2 * len(g & h) / (len(g) + len(h)))
+        found = {name for name, dice in best.items() if dice >= 0.8}
+        assert found <= set(got[i].licences), (i, found, got[i].licences)
+        if i >= 100:
+            assert notices[(i - 100) // 2][0] in got[i].licences
+    assert got[1].licences == ["all-rights-reserved"] and got[2].licences == ["MIT"] and got[1].best_dice == got[2].best_dice == 1.0
+    assert [m.words for m in got[2].matches] == ["released under the mit license"]
+    assert got[3].n_matches == got[4].n_matches == got[5].n_matches == 0
+
+
 def test_licence_required_words_are_necessary():
     """Any subset of a template's bigrams that can still match holds a required word."""
     import itertools
