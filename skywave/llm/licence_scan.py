@@ -99,6 +99,12 @@ def _sql(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _known(grams: dict[str, list[str]]) -> Column:
+    """array<struct<name, n, grams>>, written as one SQL literal: thousands of Column objects take seconds to build."""
+    return F.expr("array({})".format(", ".join(
+        f"named_struct('name', {_sql(k)}, 'n', {len(b)}, 'grams', array({', '.join(map(_sql, b))}))" for k, b in grams.items())))
+
+
 def scan_column(text: Column | str, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> Column:
     """array<struct<licence, dice, words>>, an entry per matching segment, then one per template found in a window only."""
     grams = {k: bigrams(v) for k, v in templates.items()}
@@ -109,7 +115,7 @@ def scan_column(text: Column | str, templates: dict[str, str] = TEMPLATES, thres
         maybe = folded.contains(w) if maybe is None else maybe | folded.contains(w)
     cuts = [r"\n\s*\n", r"\n", r"(?<=[.!?])\s+"]
     parts = F.concat(F.array(folded), *(F.split(folded, c) for c in cuts))
-    known = F.array(*(F.struct(F.lit(k).alias("name"), F.lit(len(b)).alias("n"), F.array(*map(F.lit, b)).alias("grams")) for k, b in grams.items()))
+    known = _known(grams)
     least = min(map(len, grams.values())) * threshold / (2 - threshold)
     most = max(map(len, grams.values())) * (2 - threshold) / threshold
     words = F.filter(F.array_distinct(F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))),
@@ -132,20 +138,26 @@ def scan_column(text: Column | str, templates: dict[str, str] = TEMPLATES, thres
 
     found = F.filter(F.transform(pairs, best), lambda m: m["licence"].isNotNull())
     inside = _windows(folded, templates, grams, required, threshold)
-    found = F.transform(F.array(F.struct(found.alias("found"), inside.alias("inside"))), lambda x: F.concat(
-        x["found"], F.filter(x["inside"], lambda m: ~F.exists(x["found"], lambda f: f["licence"] == m["licence"]))))[0]
+    found = _once(F.struct(found.alias("found"), inside.alias("inside")), lambda x: F.concat(
+        x["found"], F.filter(x["inside"], lambda m: ~F.exists(x["found"], lambda f: f["licence"] == m["licence"]))))
     return F.when(maybe, found).otherwise(F.array().cast("array<struct<licence:string,dice:double,words:string>>"))
 
 
-def _grams(w: Column) -> Column:
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 2), lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1))))
+def _once(value: Column, use) -> Column:
+    """use(value), the value evaluated once wherever use has it, lambdas included."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _grams(w: Column, start: Column, n: Column) -> Column:
+    """The bigrams of up to n words from start (from 0) on; slice would copy all words for each window."""
+    return F.array_distinct(F.transform(F.sequence(start, F.least(start + n, F.size(w)) - 2), lambda i: F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1))))
 
 
 def _windows(folded: Column, templates: dict[str, str], grams: dict[str, list[str]], required: list[str], threshold: float) -> Column:
     """array<struct<licence, dice, words>>: the best window of each template that has one."""
-    laid = F.array(*(F.struct(F.lit(g).alias("gram"), F.lit(k).alias("name"), F.lit(n).alias("n"), F.lit(i).alias("at"))
-                     for g, k, n, i in anchors(templates, required)))
-    known = F.array(*(F.struct(F.lit(k).alias("name"), F.array(*map(F.lit, b)).alias("grams")) for k, b in grams.items()))
+    laid = F.expr("array({})".format(", ".join(
+        f"named_struct('gram', {_sql(g)}, 'name', {_sql(k)}, 'n', {n}, 'at', {i})" for g, k, n, i in anchors(templates, required))))
+    known = _known(grams)
     least = F.lit(threshold / (2 - threshold))
 
     def of_text(w):
@@ -157,12 +169,14 @@ def _windows(folded: Column, templates: dict[str, str], grams: dict[str, list[st
             lambda a: F.struct(a["name"].alias("name"), a["n"].alias("n"), F.greatest(i - a["at"], F.lit(0)).alias("start"))))))
 
         def score(t, s):
-            g = _grams(F.slice(w, s["start"] + 1, s["n"]))
-            return F.transform(F.array(g), lambda g: F.when(F.size(g) >= F.size(t["grams"]) * least, F.lit(2.0) * F.size(F.array_intersect(g, t["grams"]))
-                                                            / (F.size(g) + F.size(t["grams"]))).otherwise(F.lit(0.0)))[0]
-
-        tops = F.transform(known, lambda t: F.array_max(F.filter(F.transform(F.filter(starts, lambda s: s["name"] == t["name"]), lambda s: F.struct(
-            score(t, s).alias("dice"), (-s["start"]).alias("before"), s["n"].alias("n"), t["name"].alias("licence"))), lambda m: m["dice"] >= F.lit(threshold))))
+            return _once(_grams(w, s["start"], s["n"]), lambda g: F.when(
+                F.size(g) >= F.size(t["grams"]) * least,
+                F.lit(2.0) * F.size(F.array_intersect(g, t["grams"])) / (F.size(g) + F.size(t["grams"]))).otherwise(F.lit(0.0)))
+
+        tops = _once(starts, lambda all_: F.transform(known, lambda t: F.array_max(F.filter(F.transform(
+            F.filter(all_, lambda s: s["name"] == t["name"]),
+            lambda s: F.struct(score(t, s).alias("dice"), (-s["start"]).alias("before"), s["n"].alias("n"), t["name"].alias("licence"))),
+            lambda m: m["dice"] >= F.lit(threshold)))))
         return F.transform(F.filter(tops, lambda m: m.isNotNull()), lambda m: F.struct(
             m["licence"].alias("licence"), m["dice"].alias("dice"), F.concat_ws(" ", F.slice(w, F.lit(1) - m["before"], m["n"])).alias("words")))
 
