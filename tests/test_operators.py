@@ -143,6 +143,40 @@ def test_dxpedition_window_inclusive(spark):
     assert sorted(r.timestamp for r in got) == [start, end]
 
 
+def _dx_case(spark):
+    """One file's worth of spots; windows of a callsign overlap, repeat, touch and lack ends."""
+    t = lambda h: dt.datetime(1999, 1, 1) + dt.timedelta(hours=h)
+    rbn = spark.createDataFrame([(t(h), f"W{h % 3}", "K", "NA", 14000, 107, f"K{h % 2}", "K", "NA", "CQ", h % 7, 20, "CW") for h in range(96)], schemas.RBN_SPOT)
+    cat = spark.createDataFrame([(f"K{i % 2}", f"E{i % 3}", ("AB12", "AB12", "CD34")[i % 3], 1999, 1, t(i % 5 * 6), t(i % 5 * 6 + i % 4 * 20)) for i in range(40)]
+                                + [("K0", "E", "AB12", 1999, 1, None, t(9)), ("K1", "E", "AB12", 1999, 1, t(9), t(3))], schemas.CATALOG)
+    cg = spark.createDataFrame([("W0", "FN42", "FN42", 1, t(0).date()), ("W1", "JO62", "JO62", 1, t(0).date())], schemas.CALLSIGN_GRID)
+    return rbn.coalesce(1), cat, cg
+
+
+def test_dxpedition_paths_of_one_file_arise_in_many_tasks(spark):
+    """The joined rows are as in the plain join, and neither one task makes them nor do they move."""
+    rbn, cat, cg = _dx_case(spark)
+    for days in (5.0, 0.1, 50.0):
+        p = signatures.dxpedition_paths(rbn, cat, cg, cell_days=days)
+        pairs = [(s.timestamp, s.dx_call, c.entity, c.grid) for s in rbn.collect() if s.de_call != "W2" for c in cat.collect()
+                 if c.start_ts and c.callsign == s.dx_call and c.start_ts <= s.timestamp <= c.end_ts]
+        assert sorted((r.timestamp, r.dx_call, r.dx_entity, r.dx_grid) for r in p.collect()) == sorted(pairs)
+        assert p.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+
+
+def test_dxpedition_signatures_of_merged_windows(spark):
+    """Windows counted in stretches give the signatures of all (spot, window) pairs, from fewer rows."""
+    rbn, cat, cg = _dx_case(spark)
+    merged = signatures.merge_windows(cat)
+    solar = solar_rows(spark, [dict(date=T0.date(), time=T0, observed_flux=70.0, kp_index=2.0)])
+    every = signatures.dxpedition_paths(rbn, cat, cg)
+    once = signatures.dxpedition_paths(rbn, merged, cg, spread=signatures.signature_spread())
+    assert once.groupBy().sum("windows").first()[0] == every.count() > 2 * once.count()
+    assert once.groupBy("timestamp", "dx_call", "dx_grid", "skimmer_call").count().where("count > 1").count() == 0
+    rows = lambda p: sorted([round(v, 9) if isinstance(v, float) else v for v in r] for r in signatures.dxpedition_signatures(p, solar).collect())
+    assert rows(once) == rows(every)
+
+
 def test_density_absent_cell_weight(spark):
     sol = solar_rows(spark, [dict(date=T0.date(), time=T0, ssn=50.0)])
     s = spot_rows(spark, [dict(snr=0, grid="FN42", reporter_grid="JO01")])
