@@ -412,7 +412,8 @@ def dxpedition_paths_binned(spark, sf):
 
 @register("dxpedition_signatures")
 def dxpedition_signatures(spark, sf):
-    p = signatures.dxpedition_paths(fx.rbn_raw(spark, sf), fx.dxpedition_catalog(spark, sf), _cg(spark, sf))
+    windows = signatures.merge_windows(fx.dxpedition_catalog(spark, sf))
+    p = signatures.dxpedition_paths(fx.rbn_raw(spark, sf), windows, _cg(spark, sf), spread=signatures.signature_spread())
     return signatures.dxpedition_signatures(p, fx.solar_raw(spark, sf), min_spots=1, replicate=2)
 
 
