@@ -64,49 +64,62 @@ V1_ABSENT = ("mode", "column_count")
 CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "__bad"}
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once per row: as a generator's output they
+    aren't copied into each filter and expression above that uses them, as those of
+    a projection are."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _lines(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:
     """Raw CSV lines with their parsed rows: value, columns (the line's own
     count), row (a struct of ``schema``; lines without the ``absent`` columns
     have NULL there) and bad (why a line can't be used, else NULL).  A line is
     parsed as one record, with quoted fields, doubled quotes and commas inside
     them; its fields are text first, so nothing is inferred, and nothing that
-    fails to parse becomes a default."""
+    fails to parse becomes a default.
+
+    A line is parsed once: by the CSV parser if it has a quote, else its fields
+    are what lies between the commas."""
     full = schema.fieldNames()
     old = [n for n in full if n not in absent]
+    text = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    quoted, n = F.contains("value", F.lit('"')), F.col("columns")
     # what is outside quotes tells the number of columns
-    columns = F.size(F.split(F.regexp_replace("value", '"([^"]|"")*"', ""), ","))
-    text = spark.read.text(path).where(F.length(F.trim("value")) > 0).withColumn("columns", columns)
-
-    def parsed(names) -> Column:
-        return F.from_csv("value", ", ".join(f"`{n}` string" for n in [*names, "__bad"]), CSV)
-
-    text = text.withColumn("__full", parsed(full)).withColumn("__old", parsed(old) if absent else F.lit(None))
-
-    def raw(f: T.StructField, line: str) -> Column:
-        return F.coalesce(clean_fixed(F.col(line)[f.name]), F.lit(""))
-
-    def row(names, line: str) -> Column:
-        fields = [F.lit(None).cast(f.dataType) if f.name not in names else raw(f, line) if isinstance(f.dataType, T.StringType)
-                  else F.trim(raw(f, line)).try_cast(f.dataType) for f in schema.fields]
-        return F.struct(*[c.alias(f.name) for c, f in zip(fields, schema.fields)])
-
-    def unread(names, line: str) -> Column:
-        """A field with text in the line and nothing in the row."""
-        bad = F.lit(False)
-        for f in schema.fields:
-            if f.name in names and not isinstance(f.dataType, T.StringType):
-                field = F.trim(raw(f, line))
-                bad = bad | ((field != "") & field.try_cast(f.dataType).isNull())
-        return bad
-
-    n = F.col("columns")
+    outside = F.when(quoted, F.regexp_replace("value", '"([^"]|"")*"', "")).otherwise(F.col("value"))
+    text = _once(text, columns=F.size(F.split(outside, ",")))
     is_old = n == len(old) if absent else F.lit(False)
-    whole = F.when(is_old, F.col("__old")["__bad"].isNull()) if absent else F.when(F.lit(False), F.lit(True))
-    reason = (F.when((n != len(full)) & ~is_old, F.lit("columns"))
-               .when(~whole.otherwise(F.col("__full")["__bad"].isNull()), F.lit("record"))
-               .when(F.when(is_old, unread(old, "__old") if absent else F.lit(False)).otherwise(unread(full, "__full")), F.lit("value")))
-    rows = F.when(is_old, row(old, "__old")).otherwise(row(full, "__full")) if absent else row(full, "__full")
-    return text.withColumn("row", rows).withColumn("bad", reason).drop("__full", "__old")
+
+    def parsed(names, when: Column) -> Column:
+        return F.when(when, F.from_csv("value", ", ".join(f"`{x}` string" for x in [*names, "__bad"]), CSV))
+
+    text = _once(text, __full=parsed(full, quoted & (n == len(full))), __old=parsed(old, quoted & is_old) if absent else F.lit(None))
+    records = F.when(n == len(full), F.array(*[F.col("__full")[x] for x in full]))
+    record = F.col("__full")["__bad"]
+    if absent:
+        records = records.when(is_old, F.array(*[F.col("__old")[x] for x in old]))
+        record = F.coalesce(record, F.col("__old")["__bad"])
+    text = _once(text, __fields=F.when(quoted, records).otherwise(F.split("value", ",")), __record=record)
+
+    def field(f: T.StructField) -> Column:
+        """The field's text; NULL where the line has no such column."""
+        at = F.get("__fields", F.lit(full.index(f.name)))
+        if absent:
+            at = F.when(~is_old, at) if f.name in absent else F.when(is_old, F.get("__fields", F.lit(old.index(f.name)))).otherwise(at)
+        at = F.coalesce(clean_fixed(at), F.lit(""))
+        at = at if isinstance(f.dataType, T.StringType) else F.trim(at)
+        return F.when(~is_old, at) if f.name in absent else at
+
+    usable = (n == len(full)) | is_old
+    text = _once(text, __text=F.when(usable, F.struct(*[field(f).alias(f.name) for f in schema.fields])))
+    given = lambda f: F.col("__text")[f.name]
+    text = _once(text, row=F.when(usable, F.struct(*[(given(f) if isinstance(f.dataType, T.StringType) else given(f).try_cast(f.dataType)).alias(f.name) for f in schema.fields])))
+    unread = F.lit(False)                                # a field with text in the line and nothing in the row
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            unread = unread | (F.coalesce(given(f) != "", F.lit(False)) & F.col("row")[f.name].isNull())
+    reason = F.when(~usable, F.lit("columns")).when(F.col("__record").isNotNull(), F.lit("record")).when(unread, F.lit("value"))
+    return text.select("value", "columns", "row", reason.alias("bad"))
 
 
 def quarantine(spark: SparkSession, path: str, schema: T.StructType, absent=()) -> DataFrame:

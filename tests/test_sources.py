@@ -82,3 +82,24 @@ def test_overwrite_with_fewer_partitions(spark):
     assert sorted((r.part, r["count"]) for r in spark.read.parquet(path).groupBy("part").count().collect()) == [(0, 30), (1, 30), (2, 30)]
     overwrite_table(rows.where("part < 2"), path, ["part"])
     assert sorted((r.part, r["count"]) for r in spark.read.parquet(path).groupBy("part").count().collect()) == [(0, 30), (1, 30)]
+
+
+def test_lines_are_parsed_once_with_or_without_quotes(spark):
+    """A line gives the same row bare and with every field quoted, and the plan parses it once."""
+    lines = ["1,2021-03-01 12:00:00,W1\0\0, FN42 ,-10, 14097100 ,K1,,23,0,1000,90,107,WSPR,2.0,0,17",
+             "2,2021-03-01 12:02:00,\0,FN42,,14097100,K2,EN52,23,,900,80,107,,2.0,0,15",
+             "3,2021-03-01 12:04:00,W1,FN42,-9,14097100,K4,DM79,23,0,1000,90,107,2.0,0",          # 15 columns
+             "4,never,W1,FN42,-9,14097100,K4,DM79,23,0,1000,90,107,2.0,0",
+             "5,2021-03-01 12:04:00,W1,FN42,x7,14097100,K4,DM79,23,0,1000,90,107,WSPR,2.0,0,17",
+             "6,2021-03-01 12:06:00,W1", ",,,,,,,,,,,,,,,,", "7" + "," * 17]
+    got = []
+    for each in (lines, [",".join(f'"{x}"' for x in line.split(",")) for line in lines]):
+        path = scratch_path(spark, "test-once")
+        spark.createDataFrame([(x,) for x in each], "value string").coalesce(1).write.text(path)
+        rows, bad = readers.load_wspr(spark, path, fmt="csv"), readers.quarantine(spark, path, schemas.WSPR_SPOT, readers.V1_ABSENT)
+        got.append((sorted(map(str, rows.collect())), sorted((r.value.replace('"', ""), r.columns, r.bad) for r in bad.collect())))
+        for df in (rows, bad):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("from_csv(") <= 2                                     # a 17-column and a 15-column line's
+    assert got[0] == got[1]
+    assert len(got[0][0]) == 4 and [b for _, _, b in sorted(got[0][1])] == ["value", "value", "columns", "columns"]
