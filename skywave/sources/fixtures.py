@@ -9,6 +9,8 @@ as the raw CSV that the readers conform.
 
 from __future__ import annotations
 
+import contextlib
+import functools
 import hashlib
 import os
 import threading
@@ -38,13 +40,13 @@ MATERIALIZE = os.environ.get("SKYWAVE_MATERIALIZE", "1") != "0"
 BRONZE_LAYOUT_VERSION = 3       # bump when the stored layout changes
 _BUILD_LOCK = threading.Lock()   # one builder per process when queries are built concurrently
 
-_BRONZE_LAYOUT = {   # name -> (sources, partition by month, clustering columns)
-    "spots": (["lineitem", "events"], True, ["band", "timestamp"]),
-    "solar": (["orders"], False, ["date", "time"]),
-    "rbn": (["events"], True, ["band", "timestamp"]),
-    "contest": (["lineitem"], True, ["band", "timestamp"]),
-    "pskr": (["events"], True, ["band", "timestamp"]),
-    "silver": (["embeddings"], True, ["band", "timestamp"]),
+_BRONZE_LAYOUT = {   # name -> ((source, its columns), ..), partition by month, clustering columns
+    "spots": ((("lineitem", lambda: _spots_hist()), ("events", lambda: _spots_live())), True, ["band", "timestamp"]),   # disjoint ids
+    "solar": ((("orders", lambda: _solar_raw()),), False, ["date", "time"]),
+    "rbn": ((("events", lambda: _rbn_raw()),), True, ["band", "timestamp"]),
+    "contest": ((("lineitem", lambda: _contest_raw()),), True, ["band", "timestamp"]),
+    "pskr": ((("events", lambda: _pskr_spots()),), True, ["band", "timestamp"]),
+    "silver": ((("embeddings", lambda: _silver()),), True, ["band", "timestamp"]),
 }
 
 
@@ -60,28 +62,62 @@ def _source_key(spark: SparkSession, sf_dir: str, sources) -> str:
     return h.hexdigest()[:16]
 
 
-def _bronze(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def _bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    parts, by_month, cluster = _BRONZE_LAYOUT[name]
     if not MATERIALIZE:
-        return build()
+        built = [table(spark, sf_dir, source).select(*_typed(columns(), build_schema(name)).values()) for source, columns in parts]
+        return functools.reduce(DataFrame.unionByName, built)
     from skywave.session import checkpoint_root
-    sources, by_month, cluster = _BRONZE_LAYOUT[name]
-    path = f"{checkpoint_root(spark).rstrip('/')}/skywave/bronze/{_source_key(spark, sf_dir, sources)}/{name}"
+    path = f"{checkpoint_root(spark).rstrip('/')}/skywave/bronze/{_source_key(spark, sf_dir, [source for source, _ in parts])}/{name}"
     marker = f"{path}/_SKYWAVE_COMPLETE"
     with _BUILD_LOCK:
         if not _fs_exists(spark, marker):
-            _write_bronze(spark, build(), path, by_month, cluster, marker)
+            for i, (source, columns) in enumerate(parts):
+                rows = _clustered(table(spark, sf_dir, source), _typed(columns(), build_schema(name)), by_month, cluster)
+                w = rows.write.mode("append" if i else "overwrite").option("partitionOverwriteMode", "static")
+                with _small_sorts(spark):
+                    (w.partitionBy("ym") if by_month else w).parquet(path)
+            _fs_touch(spark, marker)
     # the layout is known: no footers are read to plan; ym is the month partition, for pruning
     fields = [*build_schema(name).fields, *([T.StructField("ym", T.IntegerType())] if by_month else [])]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
-def _write_bronze(spark: SparkSession, df: DataFrame, path: str, by_month: bool, cluster, marker: str) -> None:
-    from skywave.sources.sinks import write_fact
+#: Columns made before the rows move: a small integer, not the price's 8 random bytes.
+EARLY = ("snr", "distance")
+#: A task sorts at most about this much of the shuffle; the session's may be too much to sort in memory.
+SORTED_BYTES = 16 << 20
+
+
+def _clustered(source: DataFrame, columns: dict[str, Column], by_month: bool, cluster) -> DataFrame:
+    """Rows of the dataset by month and clustering columns, laid out as by ``write_fact``.
+
+    The source's rows are moved and sorted and become the dataset's wider rows where
+    they are written: Spark prunes the source's other columns, so what is shuffled, and
+    spilled if memory is short, is a few numbers per row."""
+    early = {n: f"__{n}" for n in EARLY if n in columns}
+    keys = {n: f"__{n}" for n in cluster}
     if by_month:
-        write_fact(df, path, sort_cols=cluster, mode="overwrite")
+        month = F.date_format(columns["timestamp"], "yyyyMM").cast("int")
+        rows = source.withColumns({k: columns[n] for n, k in early.items()}).withColumn("ym", month).hint("rebalance", "ym")
+        rows = rows.withColumns({k: columns[n] for n, k in keys.items()}).sortWithinPartitions("ym", *keys.values())
     else:
-        df.repartitionByRange(*cluster).sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
-    _fs_touch(spark, marker)
+        rows = source.withColumns({k: columns[n] for n, k in keys.items()}).repartitionByRange(*keys.values()).sortWithinPartitions(*keys.values())
+        early = {}
+    made = early | keys
+    return rows.select(*[F.col(made[n]).alias(n) if n in made else c for n, c in columns.items()], *(["ym"] if by_month else []))
+
+
+@contextlib.contextmanager
+def _small_sorts(spark: SparkSession):
+    """AQE partitions of SORTED_BYTES while a table is written."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, str(SORTED_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if was is None else spark.conf.set(name, was)
 
 
 def _fs(spark: SparkSession, path: str):
@@ -124,21 +160,20 @@ def _band_centre_hz(band: Column) -> Column:
     return expr.otherwise(14_100_000).cast("bigint")
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    """Cast to the dataset schema (the adapters build typed, non-null values,
-    so no null-fill or NUL stripping is needed)."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def _typed(columns: list[Column], schema: T.StructType) -> dict[str, Column]:
+    """The columns by name, of the dataset schema's types (the adapters build typed,
+    non-null values, so no null-fill or NUL stripping is needed)."""
+    return {f.name: c.cast(f.dataType).alias(f.name) for f, c in zip(schema.fields, columns, strict=True)}
 
 
 def _s(c) -> Column:
     return c.cast("string")
 
 
-def _build_spots_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _spots_hist() -> list[Column]:
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     band = (F.lit(102) + pk % 10).cast("int")
-    out = li.select(
+    return [
         (ok * 100_000_000 + pk * 10_000 + sk * 10 + ln).alias("id"),
         (_ts("l_shipdate") + _hours((ok + ln) % 4 * 6)).alias("timestamp"),
         F.concat(F.lit("W"), _s(ln % 3)).alias("reporter"),
@@ -156,15 +191,13 @@ def _build_spots_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2.0").alias("version"),
         F.lit(0).alias("code"),
         F.lit(17).alias("column_count"),
-    )
-    return _typed(out, schemas.WSPR_SPOT)
+    ]
 
 
-def _build_spots_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _spots_live() -> list[Column]:
     """Recent spots from ``events``: one fast mover (K3 crosses many grids per
     day) and telemetry-like transmitters (user_id % 10 = 9) whose synthetic
     callsigns never carry an upper-case grid."""
-    ev = table(spark, sf_dir, "events")
     e, u = F.col("event_id"), F.col("user_id")
     telemetry = u % 10 == 9
     band = (F.lit(102) + e % 10).cast("int")
@@ -174,7 +207,7 @@ def _build_spots_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = (F.when(telemetry, F.lower(F.concat(F.char(65 + e % 18), F.char(65 + u % 18), _s(e % 10), _s(u % 10))))
             .when(u % 5 == 3, F.concat(F.char(65 + e % 10), F.lit("N"), _s(F.floor(e / 10) % 10), F.lit("1")))
             .otherwise(F.concat(F.char(65 + u % 5), F.lit("N"), _s(u % 5), F.lit("1"))))
-    out = ev.select(
+    return [
         (e * 10).alias("id"),
         (_ts("ts") - F.make_ym_interval(F.lit(FIXTURE_EPOCH_SHIFT_YEARS), F.lit(0))).alias("timestamp"),
         F.concat(F.lit("W"), _s(e % 3)).alias("reporter"),
@@ -192,23 +225,16 @@ def _build_spots_live(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2.0").alias("version"),
         F.lit(0).alias("code"),
         F.when(e % 50 == 0, 15).otherwise(17).alias("column_count"),
-    )
-    return _typed(out, schemas.WSPR_SPOT)
+    ]
 
 
-def _build_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """WSPR bronze = historical spots + recent spots (disjoint ids)."""
-    return _build_spots_hist(spark, sf_dir).unionByName(_build_spots_live(spark, sf_dir))
-
-
-def _build_solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _solar_raw() -> list[Column]:
     """Solar indices from ``orders``; two readings share some 3-hour buckets and
     some (date, time) keys are re-published with a newer ``updated_at``."""
-    o = table(spark, sf_dir, "orders")
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     date = F.to_date(_ts("o_orderdate"))
     price = F.floor("o_totalprice").cast("bigint")
-    out = o.select(
+    return [
         date.alias("date"),
         (date.cast("timestamp") + _hours(ok % 8 * 3 + ck % 2)).alias("time"),
         (F.lit(65) + price % 185).cast("double").alias("observed_flux"),
@@ -220,18 +246,16 @@ def _build_solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((ok % 20).cast("double") * 1e-6).alias("xray_long"),
         F.concat(F.lit("orders_"), F.col("o_orderstatus"), F.lit(".txt")).alias("source_file"),
         F.timestamp_micros(F.lit(1767225600000000) + ck * 10_000_000 + ok).alias("updated_at"),
-    )
-    return _typed(out, schemas.SOLAR)
+    ]
 
 
-def _build_rbn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = table(spark, sf_dir, "events")
+def _rbn_raw() -> list[Column]:
     e, u = F.col("event_id"), F.col("user_id")
     band = (F.lit(102) + F.floor(e / 60) % 10).cast("int")
     tx_mode = (F.when(F.col("event_type") == "view", "CW").when(F.col("event_type") == "click", "RTTY")
                .when(F.col("event_type") == "purchase", "PSK31").when(F.col("event_type") == "signup", "")
                .otherwise("FT8"))
-    out = ev.select(
+    return [
         (_ts("ts") - F.make_ym_interval(F.lit(FIXTURE_EPOCH_SHIFT_YEARS), F.lit(0))).alias("timestamp"),
         F.concat(F.lit("W"), _s(u % 3)).alias("de_call"),
         F.lit("K").alias("de_pfx"),
@@ -245,16 +269,14 @@ def _build_rbn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("value").cast("int") % 120 - 25).alias("snr"),
         (F.lit(20) + e % 10).alias("speed"),
         tx_mode.alias("tx_mode"),
-    )
-    return _typed(out, schemas.RBN_SPOT)
+    ]
 
 
-def _build_contest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+def _contest_raw() -> list[Column]:
     ok, pk, sk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
     band = (F.lit(102) + pk % 10).cast("int")
     mode = F.when(F.col("l_returnflag") == "A", "PH").when(F.col("l_returnflag") == "N", "RY").otherwise("CW")
-    out = li.select(
+    return [
         (_ts("l_shipdate") + _hours((ok + ln) % 4 * 6)).alias("timestamp"),
         (F.floor(_band_centre_hz(band) / 1000) + pk % 100).cast("bigint").alias("frequency"),
         band.alias("band"),
@@ -267,8 +289,7 @@ def _build_contest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(pk % 40).alias("exch_rcvd"),
         F.lit("CQ-WW").alias("contest"),
         F.concat(F.lit("cq-ww/"), F.col("l_linestatus")).alias("source"),
-    )
-    return _typed(out, schemas.CONTEST_QSO)
+    ]
 
 
 def dxpedition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,11 +309,10 @@ def dxpedition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    emb = table(spark, sf_dir, "embeddings")
+def _silver() -> list[Column]:
     v = F.col("vec_id")
     band = (F.lit(102) + F.col("label") % 10).cast("int")
-    return emb.select(
+    return [
         (F.lit("1999-01-01 00:00:00").cast("timestamp") + _hours(v % 48)).alias("timestamp"),
         F.concat(F.char(65 + v % 18), F.char(65 + F.floor(v / 18) % 18), _s(v % 10), F.lit("5")).alias("tx_grid"),
         F.concat(F.char(65 + F.floor(v / 7) % 18), F.char(65 + v % 18), _s(F.floor(v / 3) % 10), F.lit("4")).alias("rx_grid"),
@@ -303,7 +323,7 @@ def _build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.0).alias("xray_flux"),
         F.col("embedding"),
         F.lit("2026-01-01 00:00:00").cast("timestamp").alias("computed_at"),
-    )
+    ]
 
 
 def lab_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,12 +372,11 @@ def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listed.unionByName(new)
 
 
-def _build_pskr_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pskr_spots() -> list[Column]:
     """PSK Reporter reports (the JSONL field set) from ``events``."""
-    ev = table(spark, sf_dir, "events")
     e, u = F.col("event_id"), F.col("user_id")
     band = (F.lit(102) + e % 10).cast("int")
-    return ev.select(
+    return [
         (_ts("ts") - F.make_ym_interval(F.lit(FIXTURE_EPOCH_SHIFT_YEARS), F.lit(0))).alias("timestamp"),
         F.concat(F.lit("K"), _s(u % 40)).alias("sender_call"),
         F.concat(F.char(65 + u % 18), F.char(65 + e % 18), _s(u % 10), _s(e % 10),
@@ -368,7 +387,7 @@ def _build_pskr_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
         band.alias("band"),
         F.when(F.col("event_type") == "click", "FT4").when(F.col("event_type") == "view", "CW").otherwise("FT8").alias("mode"),
         (F.col("value").cast("int") % 50 - 30).alias("snr"),
-    )
+    ]
 
 
 def predictions(sig: DataFrame) -> DataFrame:
@@ -408,27 +427,27 @@ def step_i_paths(spots_df: DataFrame) -> DataFrame:
 
 
 def spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "spots", lambda: _build_spots(spark, sf_dir))
+    return _bronze(spark, sf_dir, "spots")
 
 
 def solar_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "solar", lambda: _build_solar_raw(spark, sf_dir))
+    return _bronze(spark, sf_dir, "solar")
 
 
 def rbn_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "rbn", lambda: _build_rbn_raw(spark, sf_dir))
+    return _bronze(spark, sf_dir, "rbn")
 
 
 def contest_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "contest", lambda: _build_contest_raw(spark, sf_dir))
+    return _bronze(spark, sf_dir, "contest")
 
 
 def pskr_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "pskr", lambda: _build_pskr_spots(spark, sf_dir))
+    return _bronze(spark, sf_dir, "pskr")
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _bronze(spark, sf_dir, "silver", lambda: _build_silver(spark, sf_dir))
+    return _bronze(spark, sf_dir, "silver")
 
 
 def raw_spot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

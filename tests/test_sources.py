@@ -115,3 +115,26 @@ def test_overwrite_query_with_large_ids(spark):
     spark.createDataFrame([(9, dt.datetime(2024, 1, 1), 1, "view", 5.0)], "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{sf}/events.parquet")
     got = {r.band: (r.rows, r.sum_snr, r.sum_id) for r in all_queries()["overwrite_table"](spark, sf).collect()}
     assert got == {102: (2, -9, None), 103: (1, -3, 6_000_000_000_000_010_001)}
+
+
+def test_bronze_moves_source_rows(spark, monkeypatch):
+    """Spots and solar rows are shuffled and sorted as the few numbers they are made of; the stored rows are all rows."""
+    from skywave.sources import fixtures as fx
+    sf = scratch_path(spark, "test-bronze")
+    n = spark.range(200)
+    n.selectExpr("id div 7 as l_orderkey", "id % 13 as l_partkey", "id % 5 as l_suppkey", "int(id % 7) as l_linenumber", "double(id % 50) as l_quantity",
+                 "id * 997.5 as l_extendedprice", "timestamp'1998-01-30' + make_dt_interval(int(id % 60)) as l_shipdate").withColumn("l_extendedprice", F.col("l_extendedprice").cast("double")).write.parquet(f"{sf}/lineitem.parquet")
+    n.selectExpr("id as event_id", "timestamp'2024-01-30' + make_dt_interval(int(id % 4)) as ts", "id % 31 as user_id", "'view' as event_type", "double(id % 90) as value").write.parquet(f"{sf}/events.parquet")
+    n.selectExpr("id as o_orderkey", "id % 9 as o_custkey", "'F' as o_orderstatus", "double(id * 31.5) as o_totalprice", "timestamp'1998-01-30' + make_dt_interval(int(id % 60)) as o_orderdate").write.parquet(f"{sf}/orders.parquet")
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    stored = {k: sorted(map(str, getattr(fx, k)(spark, sf).drop("ym").collect())) for k in ("spots", "solar_raw")}
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) == size
+    monkeypatch.setattr(fx, "MATERIALIZE", False)
+    for k, rows in stored.items():
+        assert rows == sorted(map(str, getattr(fx, k)(spark, sf).collect()))
+    for k in ("spots", "solar"):
+        parts, by_month, cluster = fx._BRONZE_LAYOUT[k]
+        for source, columns in parts:
+            made = fx._clustered(fx.table(spark, sf, source), fx._typed(columns(), fx.build_schema(k)), by_month, cluster)
+            above, below = made._jdf.queryExecution().executedPlan().toString().split("Exchange", 1)
+            assert "concat(" in above and "concat(" not in below and "Sort [" in above
