@@ -5,8 +5,8 @@ import random
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
-from skywave.operators import reports, validation
-from skywave.operators.intervals import interval_join, lookup_band
+from skywave.operators import intervals, reports, validation
+from skywave.operators.intervals import interval_join, interval_join_blocks, lookup_band
 from skywave.plans import catalog
 from skywave.sources import fixtures as fx
 from skywave.streaming import rollups
@@ -43,6 +43,25 @@ def test_interval_join_is_an_equi_join(spark):
     assert empty.count() == 0 and interval_join(p, s.limit(0), "x", "lo", "hi", 150).count() == 0
 
 
+@pytest.mark.parametrize("chunk,blocks", [(1, 1), (3, 8), (4096, 1)])
+@pytest.mark.parametrize("keyed", [False, True])
+def test_blocks_give_the_rows_of_the_interval_join(spark, monkeypatch, chunk, blocks, keyed):
+    """Cells cut into many chunks and parts; rows that come twice, null keys and ends."""
+    monkeypatch.setattr(intervals, "CHUNK", chunk)
+    monkeypatch.setattr(intervals, "BLOCKS", blocks)
+    r = random.Random(chunk)
+    points = [(i, r.choice("ab") if i % 9 else None, r.choice([None, r.randrange(-60, 300), r.randrange(-60, 300)])) for i in range(90)] + [(90, "a", 7)] * 3
+    spans = [(i, r.choice("abc"), lo := r.randrange(-60, 280), lo + r.choice([-2, 0, 1, 5, 23, 24, 25, 250])) for i in range(40)]
+    spans += [(90, "a", None, 5), (91, "b", 5, None), (92, None, 0, 100)] + [(93, "a", 7, 7)] * 2
+    p = spark.createDataFrame(points, "id int, k string, x int")
+    s = spark.createDataFrame(spans, "span int, key string, lo int, hi int")
+    on = [("k", "key")] if keyed else ()
+    got, want = interval_join_blocks(p, s, "x", "lo", "hi", 3, 2, on, tasks=4), interval_join(p, s, "x", "lo", "hi", 3, 2, on)
+    assert got.columns == want.columns and got.rdd.getNumPartitions() == 4
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect())) and want.count() > 30
+    assert interval_join_blocks(p, s.where("span < 0"), "x", "lo", "hi", 3, 2, on, tasks=4).count() == 0
+
+
 def test_lookup_band_of_any_table(spark):
     spots = spark.createDataFrame([(1, 14_000_000), (2, 14_350_000), (3, 14_350_001), (4, None), (5, 0), (6, 14_100_000)], "id int, frequency long")
     edges = spark.createDataFrame([(7, 14.0, 14.35), (5, 14.1, 14.1), (9, 0.1, 13.9)], "band int, lo_mhz double, hi_mhz double")

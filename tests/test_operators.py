@@ -164,6 +164,25 @@ def test_dxpedition_paths_of_one_file_arise_in_many_tasks(spark):
         assert p.select(F.spark_partition_id().alias("p")).distinct().count() > 4
 
 
+@pytest.mark.parametrize("days", [5.0])
+def test_dxpedition_paths_of_one_callsign_and_cell_are_shared_out(spark, days):
+    """More windows than a broadcast takes, all of one callsign and day: no task makes most of the paths."""
+    t = lambda m: dt.datetime(1999, 1, 4) + dt.timedelta(minutes=m)
+    rbn = spark.createDataFrame([(t(m), "W1", "K", "NA", 14000 + m, 107, "K0", "K", "NA", "CQ", 9, 20, "CW") for m in range(400)], schemas.RBN_SPOT)
+    cat = spark.createDataFrame([("K0", f"E{i}", "AB12", 1999, 1, t(i), t(i + 300)) for i in range(200)], schemas.CATALOG)
+    cg = spark.createDataFrame([("W1", "FN42", "FN42", 1, T0.date())], schemas.CALLSIGN_GRID)
+    broadcast = "spark.sql.autoBroadcastJoinThreshold"
+    was = spark.conf.get(broadcast)
+    spark.conf.set(broadcast, "-1")
+    try:
+        p = signatures.dxpedition_paths(rbn.coalesce(1), cat, cg, cell_days=days)
+        made = [r["count"] for r in p.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set(broadcast, was)
+    assert sum(made) == sum(i <= m <= i + 300 for m in range(400) for i in range(200))
+    assert len(made) > 8 and max(made) < sum(made) / 4
+
+
 def test_dxpedition_signatures_of_merged_windows(spark):
     """Windows counted in stretches give the signatures of all (spot, window) pairs, from fewer rows."""
     rbn, cat, cg = _dx_case(spark)
