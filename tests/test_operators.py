@@ -164,7 +164,7 @@ def test_dxpedition_paths_of_one_file_arise_in_many_tasks(spark):
         assert p.select(F.spark_partition_id().alias("p")).distinct().count() > 4
 
 
-@pytest.mark.parametrize("days", [5.0])
+@pytest.mark.parametrize("days", [5.0, 2])
 def test_dxpedition_paths_of_one_callsign_and_cell_are_shared_out(spark, days):
     """More windows than a broadcast takes, all of one callsign and day: no task makes most of the paths."""
     t = lambda m: dt.datetime(1999, 1, 4) + dt.timedelta(minutes=m)
